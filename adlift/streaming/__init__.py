@@ -1,0 +1,6 @@
+"""Streaming: not used by this job.
+
+The job is a batch over a closed date range; it has no watermarks, event-time
+windows or streaming state. Reruns and late data are handled by rerunning the
+affected days: the sink's dynamic partition overwrite replaces exactly those days.
+"""
