@@ -13,8 +13,9 @@ single write replaces the loop's per-day writes. Stage order:
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,41 +44,89 @@ def begin_day_between(start: dt.date, end: dt.date) -> F.Column:
     return F.col("begintime").between(_epoch_ms(start), _epoch_ms(end + dt.timedelta(days=1)) - 1)
 
 
-@dataclass
 class Stages:
-    """Intermediate results of one run, all lazy."""
-
-    cfg: RunConfig
-    sales: DataFrame            # normalised sales, history + run days
-    sales_run: DataFrame        # normalised sales on run days
-    placements_run: DataFrame   # exploded placements beginning on run days
-    ad_keys: DataFrame          # distinct (date, sku, location) with a placement, history days
-    winners: DataFrame          # sale lines with their credited placement (before the gate)
-    baseline: DataFrame         # (date, sku) -> averages, run days
-    gated: DataFrame            # run days that have a baseline
-    incremental: DataFrame      # gated winners + baseline + clamped increments
-    dims: dict
-
-    def enriched(self, broadcast_max_rows: int | None = None) -> DataFrame:
+    """Intermediate results of one run, each built on first use (all lazy plans).
+
+    sales           normalised sales, history + run days
+    sales_run       normalised sales on run days
+    placements_run  exploded placements that begin on run days
+    ad_keys         distinct (date, sku, location) with a placement, history days
+    winners         sale lines with their credited placement (before the gate)
+    baseline        (date, sku) -> averages, run days
+    gated           run days that have a baseline
+    incremental     gated winners + baseline + clamped increments
+    """
+
+    def __init__(self, sources: Sources, cfg: RunConfig):
+        self.sources, self.cfg = sources, cfg
+        self._persisted: list[DataFrame] = []
+
+    @cached_property
+    def _raw_sales(self) -> DataFrame:
+        return scan_date_range(self.sources.sales, self.cfg.read_start, self.cfg.end)
+
+    @cached_property
+    def _raw_placements(self) -> DataFrame:
+        return scan_date_range(self.sources.placements, self.cfg.read_start, self.cfg.end)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return normalize_sales(self._raw_sales, self.cfg)
+
+    @cached_property
+    def sales_run(self) -> DataFrame:
+        return self.sales.where(F.col("date").between(F.lit(self.cfg.start), F.lit(self.cfg.end)))
+
+    @cached_property
+    def placements_run(self) -> DataFrame:
+        return normalize_placements(self._raw_placements.where(begin_day_between(self.cfg.start, self.cfg.end)))
+
+    @cached_property
+    def ad_keys(self) -> DataFrame:
+        hist = begin_day_between(self.cfg.read_start, self.cfg.history_end)
+        return placement_keys(self._raw_placements.where(hist))
+
+    @cached_property
+    def winners(self) -> DataFrame:
+        return attribute(self.sales_run, self.placements_run, self.cfg.grace_seconds)
+
+    @cached_property
+    def baseline(self) -> DataFrame:
+        return baseline_by_day(self.sales, self.ad_keys, self.cfg)
+
+    @cached_property
+    def gated(self) -> DataFrame:
+        return gated_days(self.baseline)
+
+    @cached_property
+    def incremental(self) -> DataFrame:
+        # The baseline feeds two consumers here, the day gate and the join. Column
+        # pruning makes their subtrees differ, so without persisting, the whole
+        # history branch (scan, anti-join, windows) would run twice. It holds at
+        # most (run days x SKUs) rows; lost blocks are recomputed from lineage.
+        base = self.baseline.persist(StorageLevel.MEMORY_AND_DISK)
+        self._persisted.append(base)
+        # The gate table has at most one row per run day: a size bound from the config.
+        kept = self.winners.join(F.broadcast(gated_days(base)), "date", "left_semi")
+        return incremental_rows(kept, base)
+
+    @cached_property
+    def dims(self) -> dict:
+        return {name: self.sources.dimension(name) for name in DIMENSIONS}
+
+    def release(self) -> None:
+        """Drop persisted intermediates once the run's action has finished."""
+        for df in self._persisted:
+            df.unpersist()
+        self._persisted.clear()
+
+    def enriched(self, broadcast_max_rows: int | None = None, incremental: DataFrame | None = None) -> DataFrame:
         bound = self.cfg.dim_broadcast_max_rows if broadcast_max_rows is None else broadcast_max_rows
-        return enrich(self.incremental, self.dims, bound)
+        return enrich(self.incremental if incremental is None else incremental, self.dims, bound)
 
 
 def stages(sources: Sources, cfg: RunConfig) -> Stages:
-    raw_sales = scan_date_range(sources.sales, cfg.read_start, cfg.end)
-    raw_placements = scan_date_range(sources.placements, cfg.read_start, cfg.end)
-    sales = normalize_sales(raw_sales, cfg)
-    sales_run = sales.where(F.col("date").between(F.lit(cfg.start), F.lit(cfg.end)))
-    placements_run = normalize_placements(raw_placements.where(begin_day_between(cfg.start, cfg.end)))
-    ad_keys = placement_keys(raw_placements.where(begin_day_between(cfg.read_start, cfg.history_end)))
-    winners = attribute(sales_run, placements_run, cfg.grace_seconds)
-    baseline = baseline_by_day(sales, ad_keys, cfg)
-    gated = gated_days(baseline)
-    # The gate table has at most one row per run day: a size bound from the config.
-    kept = winners.join(F.broadcast(gated), "date", "left_semi")
-    incremental = incremental_rows(kept, baseline)
-    dims = {name: sources.dimension(name) for name in DIMENSIONS}
-    return Stages(cfg, sales, sales_run, placements_run, ad_keys, winners, baseline, gated, incremental, dims)
+    return Stages(sources, cfg)
 
 
 def daily_conversions(sources: Sources, cfg: RunConfig) -> DataFrame:
@@ -97,17 +146,19 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
     (the job's empty-source guard), instead of stopping the process.
     """
     s = stages(sources, cfg)
-    if is_empty(s.sales) or is_empty(s.placements_run.select("date")):
+    if is_empty(s.sales) or is_empty(s._raw_placements):
         return {"written": False, "reason": "no sales or no placements in the read window"}
     seen_winners = Observation("winners")
     seen_output = Observation("output")
-    st = Stages(**{**s.__dict__, "incremental": s.incremental.observe(
-        seen_winners, F.count(F.lit(1)).alias("winner_rows"))})
-    out = daily_sums(st.enriched()).observe(
+    observed = s.incremental.observe(seen_winners, F.count(F.lit(1)).alias("winner_rows"))
+    out = daily_sums(s.enriched(incremental=observed)).observe(
         seen_output,
         F.count(F.lit(1)).alias("groups"),
         F.coalesce(F.sum("units_sold"), F.lit(0)).alias("units_sold"),
         F.count(F.when(F.col("sales").isNull() | F.col("daily_budget").isNull(), 1)).alias("null_money"),
     )
-    write_daily_conversions(out, output_path, cfg.write_mode)
+    try:
+        write_daily_conversions(out, output_path, cfg.write_mode)
+    finally:
+        s.release()
     return {"written": True, **seen_winners.get, **seen_output.get}

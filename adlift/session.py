@@ -52,7 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "adlift") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "adlift",
+                  min_partition_size: str = "64k") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -61,6 +62,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Test-scale tables shuffle well under a megabyte; AQE's default 1 MB
+        # minimum would coalesce every stage into one task on one core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", min_partition_size)
     )
     for key, value in {**RESULT_SETTINGS, **PLAN_SETTINGS}.items():
         builder = builder.config(key, value)

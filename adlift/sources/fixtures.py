@@ -14,17 +14,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlift.functions.dates import ntz_to_epoch_seconds
 from adlift.sources.bundle import Sources
 
 
+# Declared schemas of the driver tables the derivation reads: no inference pass
+# over file footers at plan time.
+DRIVER_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+class _Tables:
+    """Each driver table read once per load (one file listing per table)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._seen = spark, sf_dir, {}
+
+    def __call__(self, name: str) -> DataFrame:
+        if name not in self._seen:
+            self._seen[name] = _read(self.spark, self.sf_dir, name)
+        return self._seen[name]
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _read(spark, sf_dir, "events")
+def _events(tables: _Tables) -> DataFrame:
+    ev = tables("events")
     return ev.select(
         "event_id", "ts", "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").try_cast("int").alias("k"),
@@ -32,10 +56,10 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(tables: _Tables) -> DataFrame:
     """Purchases as sales rows, partition columns year/month/day included."""
-    ev = _events(spark, sf_dir).where(F.col("event_type") == "purchase")
-    part = _read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    ev = _events(tables).where(F.col("event_type") == "purchase")
+    part = tables("part").select("p_partkey", "p_name")
     j = ev.join(part, ev.k == part.p_partkey, "left")
     return j.select(
         F.col("event_id").alias("order_id"),
@@ -53,9 +77,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
+def placements(tables: _Tables) -> DataFrame:
     """Views and clicks as winning ad placements (epoch-ms times, SKU arrays)."""
-    ev = _events(spark, sf_dir).where(F.col("event_type").isin("view", "click"))
+    ev = _events(tables).where(F.col("event_type").isin("view", "click"))
     eid = F.col("event_id")
     k = F.col("k")
     skus = (
@@ -87,11 +111,8 @@ def placements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    nation = _read(spark, sf_dir, "nation")
-    region = _read(spark, sf_dir, "region")
-    supplier = _read(spark, sf_dir, "supplier")
-    part = _read(spark, sf_dir, "part")
+def dimensions(tables: _Tables) -> dict[str, DataFrame]:
+    nation, region, supplier, part = tables("nation"), tables("region"), tables("supplier"), tables("part")
     sid = F.col("s_suppkey")
     # Category ids number the distinct part types in name order. The distinct set
     # is the fixed type vocabulary, so the ordering window runs on a handful of rows.
@@ -118,7 +139,8 @@ def dimensions(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def load(spark: SparkSession, sf_dir: str) -> Sources:
     """All eight inputs over one scale-factor directory (lazy plans, nothing read yet)."""
-    return Sources(sales=sales(spark, sf_dir), placements=placements(spark, sf_dir), **dimensions(spark, sf_dir))
+    tables = _Tables(spark, sf_dir)
+    return Sources(sales=sales(tables), placements=placements(tables), **dimensions(tables))
 
 
 # DuckDB form of the same derivation, already normalised (what the engine's
