@@ -38,6 +38,9 @@ class RunConfig:
     # Dimension tables are broadcast only when a bounded count proves they are at
     # most this many rows; larger ones go through a shuffle join.
     dim_broadcast_max_rows: int = 200_000
+    # A (day, sku, location) with more sale rows than this is joined to its
+    # credited placement by broadcast instead of by shuffle (None: never split).
+    hot_key_rows: int | None = 1_000_000
     # Sink: "overwrite" replaces only the day partitions written (dynamic), "append" adds.
     write_mode: str = "overwrite"
     extra: dict = field(default_factory=dict, compare=False)

@@ -59,14 +59,41 @@ def first_line_per_sale(sales_n: DataFrame) -> DataFrame:
     return sales_n.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
+def hot_keys(sales_n: DataFrame, min_rows: int) -> DataFrame:
+    """(date, sku, location_id) keys with more than ``min_rows`` sale rows.
+
+    At most ``rows / min_rows`` keys can qualify, so the result has a size bound
+    that follows from its definition and may be broadcast. Counted with a partial
+    (map-side) aggregate over the key columns only.
+    """
+    keys = list(SALE_KEYS)
+    counts = sales_n.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") > min_rows).select(*keys)
+
+
+def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int,
+              hot_key_rows: int | None = None) -> DataFrame:
     """Winners: each sale line joined to the placement that gets its credit.
 
     ``sales_n`` and ``placements_x`` should already be limited to the run days.
+
+    With ``hot_key_rows`` set, keys holding more sale rows than that are split
+    off: their lines stay where the line shuffle put them (spread by order id)
+    and meet their single latest placement through a broadcast of the hot keys'
+    placements (one row per hot key). The other keys join by shuffle. Without
+    the split, one hot key would be sorted and joined by a single task.
     """
+    keys = list(SALE_KEYS)
     top = latest_placement(placements_x)
-    lines = first_line_per_sale(sales_n.dropna(subset=list(SALE_KEYS)))
-    joined = lines.join(top, list(SALE_KEYS), "inner")
+    lines = first_line_per_sale(sales_n.dropna(subset=keys))
+    if hot_key_rows is None:
+        joined = lines.join(top, keys, "inner")
+    else:
+        hot = F.broadcast(hot_keys(sales_n, hot_key_rows))
+        cold = lines.join(hot, keys, "left_anti").join(top, keys, "inner")
+        hot_top = F.broadcast(top.join(hot, keys, "left_semi"))
+        warm = lines.join(hot, keys, "left_semi").join(hot_top, keys, "inner")
+        joined = cold.unionByName(warm)
     return joined.where(F.col("end_sec") >= F.col("ts_sec") - F.lit(grace_seconds))
 
 

@@ -88,7 +88,7 @@ class Stages:
 
     @cached_property
     def winners(self) -> DataFrame:
-        return attribute(self.sales_run, self.placements_run, self.cfg.grace_seconds)
+        return attribute(self.sales_run, self.placements_run, self.cfg.grace_seconds, self.cfg.hot_key_rows)
 
     @cached_property
     def baseline(self) -> DataFrame:

@@ -72,8 +72,10 @@ def test_single_day_equals_all_days(spark):
         assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 
 
-def test_hot_key_matches_brute_force(spark):
-    """A third of all sales and placements on one (day, sku, location)."""
+@pytest.mark.parametrize("hot_key_rows", [None, 50])
+def test_hot_key_matches_brute_force(spark, hot_key_rows):
+    """A third of all sales and placements on one (day, sku, location); with a
+    threshold of 50 rows that key takes the broadcast path."""
     rnd = random.Random(7)
     day = "2024-10-02"
     sales, placements = [], []
@@ -87,7 +89,7 @@ def test_hot_key_matches_brute_force(spark):
         skus, loc = (["H"], 1) if hot else ([f"S{rnd.randrange(20)}"], rnd.randrange(4))
         h, m = rnd.randrange(23), rnd.randrange(60)
         placements.append((f"p{i:04d}", skus, loc, f"{day} {h:02d}:{m:02d}:00", f"{day} {h + rnd.randrange(2):02d}:{m:02d}:30"))
-    st = daily.stages(golden.sources(spark, sales=sales, placements=placements), RunConfig(start=day, end=day))
+    st = daily.stages(golden.sources(spark, sales=sales, placements=placements), RunConfig(start=day, end=day, hot_key_rows=hot_key_rows))
     got = sorted((r["order_id"], r["placement_id"]) for r in st.winners.collect())
 
     # Brute force: every (sale, placement) pair of a key, the job's two-branch
