@@ -97,46 +97,71 @@ def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int,
     return joined.where(F.col("end_sec") >= F.col("ts_sec") - F.lit(grace_seconds))
 
 
-def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
-    """J2+F3 as counts, per (date, order_id, sku, location_id) that has an ad.
-
-    ``n_pairs``: (line, placement) pairs on the same key, the equi-join's size.
-    ``n_in_window``: those that pass the time test, the interval join's size.
-
-    Counted without forming pairs: placements are grouped by (key, end second),
-    lines by (key, threshold second). A running count over each key, ordered by
-    second, gives "placements ending at or after t"; a key's window holds one row
-    per distinct second, not one per input row, however hot the key.
+def _threshold_counts(lines: DataFrame, placements_x: DataFrame) -> DataFrame:
+    """Per (key, threshold second t): ``m`` lines, ``on_key`` placements of the key
+    and ``at_or_after`` placements ending at or after t. Keys without placements
+    are dropped.
+
+    Placements are grouped by (key, end second) and lines by (key, t); a running
+    count over each key ordered by second gives "placements ending at or after t".
+    A key's window holds one row per distinct second, not one per input row,
+    however hot the key.
     """
     keys = list(SALE_KEYS)
-    lines = sales_n.dropna(subset=keys).select(
-        *SALE_GRAIN, (F.col("ts_sec") - F.lit(grace_seconds)).alias("t")
-    )
     ends = placements_x.dropna(subset=keys).groupBy(*keys, F.col("end_sec").alias("t")).agg(
         F.count(F.lit(1)).alias("c")
     )
-    marks = lines.select(*keys, "t").distinct().select(
-        *keys, "t", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("c")
+    marks = lines.groupBy(*keys, "t").agg(F.count(F.lit(1)).alias("m"))
+    both = ends.select(*keys, "t", F.lit(0).alias("kind"), "c", F.lit(0).cast("long").alias("m")).unionByName(
+        marks.select(*keys, "t", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("c"), "m")
     )
-    both = ends.select(*keys, "t", F.lit(0).alias("kind"), "c").unionByName(marks)
     # Placement rows sort before threshold rows of the same second (end >= t is
     # inclusive); null ends sort last, so they pair but are never in the window.
     running = Window.partitionBy(*keys).orderBy(F.col("t").desc_nulls_last(), F.col("kind").asc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     counted = both.select(
-        *keys, "t", "kind",
+        *keys, "t", "kind", "m",
         F.sum("c").over(running).alias("at_or_after"),
         F.sum("c").over(Window.partitionBy(*keys)).alias("on_key"),
     ).where((F.col("kind") == 1) & (F.col("on_key") > 0))
+    # A line without a time still pairs with its key's placements but is never in window.
+    in_window = F.when(F.col("t").isNull(), F.lit(0)).otherwise(F.col("at_or_after"))
+    return counted.select(*keys, "t", "m", "on_key", in_window.alias("at_or_after"))
+
+
+def _threshold_lines(sales_n: DataFrame, grace_seconds: int) -> DataFrame:
+    return sales_n.dropna(subset=list(SALE_KEYS)).select(
+        *SALE_GRAIN, (F.col("ts_sec") - F.lit(grace_seconds)).alias("t")
+    )
+
+
+def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
+    """J2+F3 as counts, per (date, order_id, sku, location_id) that has an ad.
+
+    ``n_pairs``: (line, placement) pairs on the same key, the equi-join's size.
+    ``n_in_window``: those that pass the time test, the interval join's size.
+    Counted without forming pairs (see ``_threshold_counts``).
+    """
+    keys = list(SALE_KEYS)
+    lines = _threshold_lines(sales_n, grace_seconds)
+    counted = _threshold_counts(lines, placements_x)
     l, c = lines.alias("l"), counted.alias("c")
     cond = [F.col(f"l.{k}") == F.col(f"c.{k}") for k in keys] + [F.col("l.t").eqNullSafe(F.col("c.t"))]
     per_line = l.join(c, cond, "inner").select(
-        *[F.col(f"l.{k}") for k in SALE_GRAIN],
-        F.col("c.on_key").alias("pairs"),
-        F.when(F.col("l.t").isNull(), F.lit(0)).otherwise(F.col("c.at_or_after")).alias("in_window"),
+        *[F.col(f"l.{k}") for k in SALE_GRAIN], F.col("c.on_key").alias("pairs"), F.col("c.at_or_after").alias("in_window"),
     )
     return per_line.groupBy(*SALE_GRAIN).agg(
         F.sum("pairs").cast("long").alias("n_pairs"),
         F.sum("in_window").cast("long").alias("n_in_window"),
     )
+
+
+def candidate_totals_by_day(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
+    """Per day: total pairs and in-window pairs, straight from the per-second
+    counts weighted by the lines at each second (no per-line join)."""
+    counted = _threshold_counts(_threshold_lines(sales_n, grace_seconds), placements_x)
+    return counted.groupBy("date").agg(
+        F.sum(F.col("m") * F.col("on_key")).cast("long").alias("n_pairs"),
+        F.sum(F.col("m") * F.col("at_or_after")).cast("long").alias("n_in_window"),
+    )

@@ -49,11 +49,12 @@ def id_coverage(fact_ids: DataFrame, dimension: DataFrame, id_name: str) -> Data
 
 
 def stage_counts(spark: SparkSession, cfg: RunConfig, sales_run: DataFrame, placements_run: DataFrame,
-                 candidates: DataFrame, winners: DataFrame, gated: DataFrame) -> DataFrame:
+                 pair_totals: DataFrame, winners: DataFrame, gated: DataFrame) -> DataFrame:
     """Q4/A4: the funnel per run day: sales, ads, pairs, in-window pairs, winners.
 
-    Every input is first reduced to one row per day, so the joins here are over
-    at most ``cfg.n_days`` rows a side.
+    Every input is first reduced to one row per day (``pair_totals`` already is:
+    see ``attribution.candidate_totals_by_day``), so the joins here are over at
+    most ``cfg.n_days`` rows a side.
     """
     def per_day(df: DataFrame, measure, name: str) -> DataFrame:
         return df.groupBy("date").agg(measure.alias(name))
@@ -62,8 +63,7 @@ def stage_counts(spark: SparkSession, cfg: RunConfig, sales_run: DataFrame, plac
     parts = [
         per_day(sales_run, one, "n_sales"),
         per_day(placements_run, one, "n_ads"),
-        per_day(candidates, F.sum("n_pairs"), "n_pairs"),
-        per_day(candidates, F.sum("n_in_window"), "n_in_window"),
+        pair_totals.select("date", "n_pairs", "n_in_window"),
         per_day(winners, one, "n_winners"),
     ]
     out = run_calendar(spark, cfg)

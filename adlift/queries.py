@@ -234,8 +234,8 @@ def q_source_profile(spark, sf_dir):
 
 def q_stage_counts(spark, sf_dir):
     s = _stages(spark, sf_dir)
-    cand = attribution.candidate_counts(s.sales_run, s.placements_run, s.cfg.grace_seconds)
-    return quality.stage_counts(spark, s.cfg, s.sales_run, s.placements_run, cand, s.winners, s.gated)
+    totals = attribution.candidate_totals_by_day(s.sales_run, s.placements_run, s.cfg.grace_seconds)
+    return quality.stage_counts(spark, s.cfg, s.sales_run, s.placements_run, totals, s.winners, s.gated)
 
 
 def q_campaign_id_coverage(spark, sf_dir):

@@ -1,0 +1,60 @@
+"""Properties of the whole job on the driver's smallest tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from adlift.config import fixture_config
+from adlift.operators.metrics import daily_sums
+from adlift.plans import daily
+from adlift.sources import fixtures
+from conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def st(spark):
+    return daily.stages(fixtures.load(spark, SF_SMALL), fixture_config())
+
+
+def test_winners_at_most_sales(st):
+    assert st.winners.count() <= st.sales_run.count()
+    keys = ["date", "order_id", "sku", "location_id"]
+    assert st.winners.groupBy(*keys).count().where("count > 1").count() == 0
+
+
+def test_increments_not_negative(st):
+    bad = st.incremental.where((F.col("incremental_units_sold") < 0) | (F.col("incremental_sales") < 0))
+    assert bad.count() == 0
+
+
+def test_enrichment_keeps_rows_and_units(st):
+    before = st.incremental.agg(F.count(F.lit(1)), F.sum("units_sold")).first()
+    after = st.enriched().agg(F.count(F.lit(1)), F.sum("units_sold")).first()
+    assert tuple(before) == tuple(after)
+
+
+def test_output_sums_match_rows(st):
+    rows = st.enriched()
+    out = daily_sums(rows)
+    total = rows.agg(F.sum("incremental_sales")).first()[0] or 0.0
+    assert float(out.agg(F.sum("sales")).first()[0] or 0) == pytest.approx(total, abs=0.01 * out.count() + 0.01)
+
+
+def test_input_order_changes_nothing(spark):
+    src = fixtures.load(spark, SF_SMALL)
+    cfg = fixture_config()
+    a = daily.daily_conversions(src, cfg)
+    src.sales = src.sales.orderBy(F.rand(3)).repartition(5)
+    src.placements = src.placements.orderBy(F.rand(4)).repartition(3)
+    b = daily.daily_conversions(src, cfg)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_text_time_form_gives_same_output(spark):
+    """The first form of the job: sale time as date-time text, day from that time."""
+    src = fixtures.load(spark, SF_SMALL)
+    a = daily.daily_conversions(src, fixture_config())
+    src.sales = src.sales.withColumn(
+        "timestamp", F.date_format(F.timestamp_seconds(F.col("timestamp").cast("long")), "yyyy-MM-dd HH:mm:ss"))
+    b = daily.daily_conversions(src, fixture_config(sales_date_source="timestamp", sale_time_format="text"))
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
