@@ -182,6 +182,12 @@ FROM sales
 WHERE sales_year * 10000 + sales_month * 100 + sales_day
       BETWEEN {SCAN_START.year * 10000 + SCAN_START.month * 100 + SCAN_START.day}
           AND {SCAN_END.year * 10000 + SCAN_END.month * 100 + SCAN_END.day}""",
+    "run_calendar": _with(f"""
+cal AS (SELECT CAST(d AS DATE) AS date FROM generate_series({START}, {END}, INTERVAL 1 DAY) AS t(d))""") + f"""
+SELECT c.date, c.date - {BACK} AS history_from, c.date - 1 AS history_to,
+       CAST((SELECT count(*) FROM sales s WHERE s.date = c.date) AS BIGINT) AS n_sales,
+       CAST((SELECT count(*) FROM placements p WHERE p.date = c.date) AS BIGINT) AS n_placements
+FROM cal c""",
     **{f"dim_{n}": _with() + f"SELECT * FROM {n}"
        for n in ("categories", "campaigns", "organizations", "locations", "ad_groups", "ads")},
     "sink_roundtrip": _with(FULL) + DAILY_CONVERSIONS,

@@ -32,6 +32,7 @@ from adlift.operators import attribution, baseline, quality
 from adlift.operators.enrich import DIMENSION_JOINS, enrich
 from adlift.operators.normalize import explode_tracked_skus, normalize_sales, placement_keys, placement_times
 from adlift.plans import daily
+from adlift.plans.calendar import run_calendar_with_inputs
 from adlift.session import checkpoint_dir, configure
 from adlift.sources import fixtures
 from adlift.sources.catalog import scan_date_range
@@ -72,6 +73,12 @@ def q_scan_date_range(spark, sf_dir):
                        F.col("day").cast("int").alias("day"))
 
 
+def q_run_calendar(spark, sf_dir):
+    s = _stages(spark, sf_dir)
+    placements = placement_times(scan_date_range(s.sources.placements, s.cfg.start, s.cfg.end))
+    return run_calendar_with_inputs(spark, s.cfg, s.sales_run, placements)
+
+
 def _dim_query(name):
     def q(spark, sf_dir):
         return getattr(_setup(spark, sf_dir), name)
@@ -253,6 +260,7 @@ def q_sample_rows(spark, sf_dir):
 
 QUERIES = {
     "scan_date_range": q_scan_date_range,
+    "run_calendar": q_run_calendar,
     **{f"dim_{n}": _dim_query(n) for n in ("categories", "campaigns", "organizations", "locations", "ad_groups", "ads")},
     "sink_roundtrip": q_sink_roundtrip,
     "sales_date_from_parts": q_sales_date_from_parts,
