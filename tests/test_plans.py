@@ -106,3 +106,13 @@ def test_hot_key_matches_brute_force(spark, hot_key_rows):
           FROM s JOIN p ON s.sku = p.sku AND s.loc = p.loc
           WHERE (p.b <= s.ts AND p.e >= s.ts) OR p.e >= s.ts - 7200) WHERE rn = 1 ORDER BY 1, 2""").fetchall()
     assert got == sorted(want) and len(want) > 50
+
+
+@pytest.mark.parametrize("hot_key_rows", [0, 1])
+def test_hot_key_path_gives_same_output(spark, hot_key_rows):
+    """Threshold 0 sends every key through the broadcast path, 1 every repeated key."""
+    src = fixtures.load(spark, SF_SMALL)
+    a = daily.daily_conversions(src, fixture_config(hot_key_rows=None))
+    b = daily.daily_conversions(src, fixture_config(hot_key_rows=hot_key_rows))
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
