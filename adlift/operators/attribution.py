@@ -77,22 +77,28 @@ def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int,
 
     ``sales_n`` and ``placements_x`` should already be limited to the run days.
 
-    With ``hot_key_rows`` set, keys holding more sale rows than that are split
-    off: their lines stay where the line shuffle put them (spread by order id)
-    and meet their single latest placement through a broadcast of the hot keys'
-    placements (one row per hot key). The other keys join by shuffle. Without
-    the split, one hot key would be sorted and joined by a single task.
+    With ``hot_key_rows`` set, keys holding more sale rows than that are split off:
+      * cold keys (at most ``hot_key_rows`` rows each): one shuffle on the join key
+        serves both the line dedupe and the join with the latest placements;
+      * hot keys: lines are deduplicated on their own grain, which spreads them by
+        order id, and meet their single latest placement through a broadcast of
+        the hot keys' placements (one row per hot key). When no key is hot, AQE
+        drops this branch at runtime.
+    Without the split, lines are deduplicated on their grain and then shuffled
+    again for the join, so a hot key never lands whole in one dedupe task, but
+    the join itself would still put it in one task.
     """
     keys = list(SALE_KEYS)
     top = latest_placement(placements_x)
-    lines = first_line_per_sale(sales_n.dropna(subset=keys))
+    sales = sales_n.dropna(subset=keys)
     if hot_key_rows is None:
-        joined = lines.join(top, keys, "inner")
+        joined = first_line_per_sale(sales).join(top, keys, "inner")
     else:
-        hot = F.broadcast(hot_keys(sales_n, hot_key_rows))
-        cold = lines.join(hot, keys, "left_anti").join(top, keys, "inner")
+        hot = F.broadcast(hot_keys(sales, hot_key_rows))
+        cold_lines = first_line_per_sale(sales.join(hot, keys, "left_anti").repartition(*keys))
+        cold = cold_lines.join(top, keys, "inner")
         hot_top = F.broadcast(top.join(hot, keys, "left_semi"))
-        warm = lines.join(hot, keys, "left_semi").join(hot_top, keys, "inner")
+        warm = first_line_per_sale(sales.join(hot, keys, "left_semi")).join(hot_top, keys, "inner")
         joined = cold.unionByName(warm)
     return joined.where(F.col("end_sec") >= F.col("ts_sec") - F.lit(grace_seconds))
 
