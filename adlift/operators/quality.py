@@ -48,6 +48,34 @@ def id_coverage(fact_ids: DataFrame, dimension: DataFrame, id_name: str) -> Data
     )
 
 
+def dimension_coverage(facts: DataFrame, dims: dict[str, DataFrame], joins) -> DataFrame:
+    """Q2 for every dimension: per dimension, the distinct ids the facts use, how
+    many of them the dimension lacks, the dimension's rows and how many of its ids
+    repeat (a repeated id would multiply measures in the left join).
+
+    ``joins`` is a sequence of (dimension name, fact column, ...). One small row per
+    dimension; each part aggregates to distinct ids before it joins.
+    """
+    parts = []
+    for name, fact_key, *_ in joins:
+        used = facts.select(F.col(fact_key).cast("long").alias("id")).dropna().distinct().withColumn("used", F.lit(1))
+        have = dims[name].groupBy(F.col("id").cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+        both = used.join(have, "id", "full_outer")
+        parts.append(both.agg(
+            F.count("used").alias("fact_ids"),
+            F.count(F.when(F.col("used").isNotNull() & F.col("n").isNull(), 1)).alias("unmatched_ids"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("dimension_rows"),
+            F.count(F.when(F.col("n") > 1, 1)).alias("duplicate_ids"),
+        ).select(
+            F.lit(name).alias("dimension"),
+            *[F.col(c).cast("long").alias(c) for c in ("fact_ids", "unmatched_ids", "dimension_rows", "duplicate_ids")],
+        ))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def stage_counts(spark: SparkSession, cfg: RunConfig, sales_run: DataFrame, placements_run: DataFrame,
                  pair_totals: DataFrame, winners: DataFrame, gated: DataFrame) -> DataFrame:
     """Q4/A4: the funnel per run day: sales, ads, pairs, in-window pairs, winners.

@@ -261,6 +261,13 @@ SELECT coalesce(f.id, d.id) AS campaign_id, f.id IS NOT NULL AS in_facts, d.n IS
        CAST(coalesce(d.n, 0) AS BIGINT) AS dimension_rows
 FROM (SELECT DISTINCT CAST(campaignid AS BIGINT) AS id FROM winners WHERE campaignid IS NOT NULL) f
 FULL OUTER JOIN (SELECT CAST(id AS BIGINT) AS id, count(*) AS n FROM campaigns GROUP BY 1) d ON f.id = d.id""",
+    "dimension_coverage": _with(ATTRIBUTED) + "\nUNION ALL\n".join(f"""
+SELECT '{n}' AS dimension,
+       (SELECT count(DISTINCT CAST({key} AS BIGINT)) FROM winners) AS fact_ids,
+       (SELECT count(DISTINCT CAST(w.{key} AS BIGINT)) FROM winners w
+         WHERE w.{key} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {n} d WHERE CAST(d.id AS BIGINT) = CAST(w.{key} AS BIGINT))) AS unmatched_ids,
+       (SELECT count(*) FROM {n}) AS dimension_rows,
+       (SELECT count(*) FROM (SELECT id FROM {n} GROUP BY id HAVING count(*) > 1)) AS duplicate_ids""" for n, (key, _) in _ENRICH_COLUMNS.items()),
     "sample_rows": _with(RUN) + """
 SELECT order_id, date, sku, location_id, units_sold, sale_amount FROM sales_run ORDER BY date, order_id LIMIT 2""",
 }

@@ -251,6 +251,11 @@ def q_campaign_id_coverage(spark, sf_dir):
                                s.dims["campaigns"], "campaign_id")
 
 
+def q_dimension_coverage(spark, sf_dir):
+    s = _stages(spark, sf_dir)
+    return quality.dimension_coverage(s.winners, s.dims, DIMENSION_JOINS)
+
+
 def q_sample_rows(spark, sf_dir):
     s = _stages(spark, sf_dir)
     return quality.sample_rows(
@@ -286,5 +291,6 @@ QUERIES = {
     "source_profile": q_source_profile,
     "stage_counts": q_stage_counts,
     "campaign_id_coverage": q_campaign_id_coverage,
+    "dimension_coverage": q_dimension_coverage,
     "sample_rows": q_sample_rows,
 }
