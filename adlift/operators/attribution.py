@@ -40,6 +40,7 @@ def ordering(spec) -> list:
     """Columns for ``orderBy`` from (name, direction) pairs; nulls always last."""
     return [F.col(c).asc_nulls_last() if d == "asc" else F.col(c).desc_nulls_last() for c, d in spec]
 
+
 SALE_GRAIN = ("date", "order_id", "sku", "location_id")
 
 
@@ -52,8 +53,10 @@ def latest_placement(placements_x: DataFrame) -> DataFrame:
 def first_line_per_sale(sales_n: DataFrame) -> DataFrame:
     """W2's grain: one line per (date, order_id, sku, location_id).
 
-    Its own shuffle on all four columns spreads a hot (sku, location) over many
-    tasks by order id; the partial top-1 drops repeated lines before the shuffle.
+    On input not yet partitioned, the shuffle is on all four columns, which
+    spreads a hot (sku, location) over many tasks by order id, and the partial
+    top-1 drops repeated lines before it. Input already hash-partitioned on
+    (date, sku, location_id) needs no shuffle at all.
     """
     w = Window.partitionBy(*SALE_GRAIN).orderBy(*ordering(LINE_ORDER))
     return sales_n.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
