@@ -151,3 +151,19 @@ def test_dimension_size_check_bounds_broadcast(spark):
     from adlift.operators.enrich import dimension_rows_upto
     dims = {"small": spark.range(3), "big": spark.range(1000)}
     assert dimension_rows_upto(dims, 10) == {"small": 3, "big": 11}
+
+
+def test_placements_without_id_column(spark):
+    src = golden.sources(spark)
+    src.placements = src.placements.drop("placement_id")
+    st = daily.stages(src, RunConfig(start="2024-10-02", end="2024-10-03"))
+    got = sorted((r["order_id"], r["winningadid"]) for r in st.winners.collect())
+    assert got == [("o6", 1003), ("o8", 1003), ("o9", 1001)]
+
+
+def test_choice_struct_bids_in_the_job(spark):
+    src = golden.sources(spark)
+    src.placements = src.placements.withColumn(
+        "winningbidamount", F.struct(F.lit(None).cast("double").alias("double"), F.lit(3).alias("int")))
+    st = daily.stages(src, RunConfig(start="2024-10-02", end="2024-10-03"))
+    assert {r["winningbidamount"] for r in st.winners.collect()} == {3.0}
