@@ -106,6 +106,10 @@ enr AS (
   LEFT JOIN ad_groups ag ON i.adgroupid = ag.id
   LEFT JOIN ads ad ON i.winningadid = ad.id)"""
 
+# Cents: Spark's round() on a double rounds half-up on the double's shortest decimal
+# form (75.615 -> 75.62), as the job does; DuckDB's round() on a double works on the
+# binary value (75.6149999... -> 75.61). The oracle therefore rounds to cents in
+# DECIMAL, which states the job's rounding exactly.
 ATTRIBUTED = ",".join([RUN, PAIRS, WINNERS])
 FULL = ",".join([RUN, PAIRS, WINNERS, BASELINE, INCREMENTS, ENRICHED])
 
@@ -119,7 +123,7 @@ SELECT make_date(sales_year, sales_month, sales_day) AS sales_date,
        CAST(adgroupid AS BIGINT) AS adgroup_id, offercode AS offer_code,
        CAST(location_id AS BIGINT) AS location, sales_year, sales_month, sales_day,
        CAST(trunc(round(sum(incremental_units_sold), 6)) AS INTEGER) AS units_sold,
-       CAST(round(round(sum(incremental_sales), 6), 2) AS DECIMAL(10,2)) AS sales,
+       CAST(round(CAST(round(sum(incremental_sales), 6) AS DECIMAL(18,6)), 2) AS DECIMAL(10,2)) AS sales,
        'time_based_incremental' AS attribution_method
 FROM enr
 GROUP BY sales_year, sales_month, sales_day, organization_name, advertiserorgid, daily_budget, status,
@@ -133,7 +137,7 @@ SELECT date AS sales_date, organization_name AS retailer_name, advertiserorgid A
        winningcurrencycode AS winning_currency_code, campaignid AS campaign_id, adgroupid AS adgroup_id,
        offercode AS offer_code, location_id AS location,
        round(sum(incremental_units_sold), 6) AS units_sold,
-       round(round(sum(incremental_sales), 6), 2) AS sales,
+       CAST(round(CAST(round(sum(incremental_sales), 6) AS DECIMAL(18,6)), 2) AS DOUBLE) AS sales,
        'time_based_incremental' AS attribution_method
 FROM enr
 GROUP BY date, organization_name, advertiserorgid, daily_budget, status, campaign_type, campaign_name,
