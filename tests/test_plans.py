@@ -116,3 +116,31 @@ def test_hot_key_path_gives_same_output(spark, hot_key_rows):
     b = daily.daily_conversions(src, fixture_config(hot_key_rows=hot_key_rows))
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_command_line_run(spark, partitioned, tmp_path):
+    """The job as scheduled: a date window and table locations on the command line."""
+    from adlift.cli import main
+    from adlift.sources.sink import read_daily_conversions
+
+    src, derived = partitioned
+    root = tmp_path / "cli"
+    names = ("categories", "campaigns", "organizations", "locations", "ad_groups", "ads")
+    # The module fixture wrote every input under one folder; find it from the sales path.
+    base = src.sales.inputFiles()[0].split("/sales/")[0].replace("file:", "")
+    argv = ["--start-date", "2024-01-01", "--end-date", "2024-01-30",
+            "--sales", f"{base}/sales", "--placements", f"{base}/placements", "--output", str(root)]
+    for n in names:
+        argv += ["--dimension", f"{n}={base}/{n}"]
+    got = main(argv, spark)
+    want = daily.daily_conversions(derived, fixture_config())
+    back = read_daily_conversions(spark, str(root))
+    assert got["written"] and got["groups"] == back.count() == want.count() > 0
+    assert back.exceptAll(want).count() == 0
+
+
+def test_run_with_no_winners_in_window(spark, partitioned, tmp_path):
+    """A window whose output is empty: nothing written, counts observed as zero."""
+    src, _ = partitioned
+    got = daily.run(spark, src, RunConfig(start="2024-01-10", end="2024-01-12"), str(tmp_path / "empty"))
+    assert got["written"] and got["groups"] == 0 and got["winner_rows"] == 0
