@@ -145,20 +145,36 @@ def _threshold_lines(sales_n: DataFrame, grace_seconds: int) -> DataFrame:
     )
 
 
-def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
+# A line without a time pairs with its key's placements but is never in window;
+# the sentinel stands in for its missing threshold so joins stay plain equi-joins.
+_NO_TIME = -(2 ** 62)
+
+
+def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int,
+                     hot_rows: int = 1_000_000) -> DataFrame:
     """J2+F3 as counts, per (date, order_id, sku, location_id) that has an ad.
 
     ``n_pairs``: (line, placement) pairs on the same key, the equi-join's size.
     ``n_in_window``: those that pass the time test, the interval join's size.
-    Counted without forming pairs (see ``_threshold_counts``).
+    Counted without forming pairs (see ``_threshold_counts``), then joined back to
+    the lines on (key, second): many lines to one count row. A (key, second) with
+    more than ``hot_rows`` lines (at most ``lines / hot_rows`` of them) meets its
+    count row by broadcast, the rest by shuffle.
     """
     keys = list(SALE_KEYS)
+    on = keys + ["tk"]
     lines = _threshold_lines(sales_n, grace_seconds)
-    counted = _threshold_counts(lines, placements_x)
-    l, c = lines.alias("l"), counted.alias("c")
-    cond = [F.col(f"l.{k}") == F.col(f"c.{k}") for k in keys] + [F.col("l.t").eqNullSafe(F.col("c.t"))]
-    per_line = l.join(c, cond, "inner").select(
-        *[F.col(f"l.{k}") for k in SALE_GRAIN], F.col("c.on_key").alias("pairs"), F.col("c.at_or_after").alias("in_window"),
+    counted = _threshold_counts(lines, placements_x).select(
+        *keys, F.coalesce("t", F.lit(_NO_TIME)).alias("tk"), "m",
+        F.col("on_key").alias("pairs"), F.col("at_or_after").alias("in_window"),
+    )
+    lines = lines.select(*SALE_GRAIN, F.coalesce("t", F.lit(_NO_TIME)).alias("tk"))
+    hot = counted.where(F.col("m") > hot_rows).drop("m")
+    cold = counted.where(F.col("m") <= hot_rows).drop("m")
+    hot_keys_ = F.broadcast(hot.select(*on))
+    per_line = (
+        lines.join(hot_keys_, on, "left_anti").join(cold, on, "inner")
+        .unionByName(lines.join(hot_keys_, on, "left_semi").join(F.broadcast(hot), on, "inner"))
     )
     return per_line.groupBy(*SALE_GRAIN).agg(
         F.sum("pairs").cast("long").alias("n_pairs"),

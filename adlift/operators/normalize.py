@@ -96,8 +96,9 @@ def placement_times(placements: DataFrame) -> DataFrame:
 def explode_tracked_skus(placements_timed: DataFrame) -> DataFrame:
     """One row per tracked SKU, as string; null or empty arrays yield no row."""
     cols = [c for c in placements_timed.columns if c != "trackedskus"]
+    at = cols.index("date") + 1
     return placements_timed.select(*cols, F.explode("trackedskus").alias("_sku")).select(
-        *cols[:4], F.col("_sku").cast("string").alias("sku"), *cols[4:]
+        *cols[:at], F.col("_sku").cast("string").alias("sku"), *cols[at:]
     )
 
 

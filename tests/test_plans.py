@@ -144,3 +144,13 @@ def test_run_with_no_winners_in_window(spark, partitioned, tmp_path):
     src, _ = partitioned
     got = daily.run(spark, src, RunConfig(start="2024-01-10", end="2024-01-12"), str(tmp_path / "empty"))
     assert got["written"] and got["groups"] == 0 and got["winner_rows"] == 0
+
+
+def test_candidate_counts_hot_path_same(spark):
+    """Threshold 0 sends every (key, second) through the broadcast path."""
+    from adlift.operators.attribution import candidate_counts
+    st = daily.stages(fixtures.load(spark, SF_SMALL), fixture_config())
+    a = candidate_counts(st.sales_run, st.placements_run, 7200)
+    b = candidate_counts(st.sales_run, st.placements_run, 7200, hot_rows=0)
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
