@@ -41,6 +41,9 @@ class RunConfig:
     # A (day, sku, location) with more sale rows than this is joined to its
     # credited placement by broadcast instead of by shuffle (None: never split).
     hot_key_rows: int | None = 1_000_000
+    # Refuse to write when a dimension repeats an id (a left join would multiply
+    # measures); the job itself does not check, so this is off by default.
+    require_unique_dimension_ids: bool = False
     # Sink: "overwrite" replaces only the day partitions written (dynamic), "append" adds.
     write_mode: str = "overwrite"
     extra: dict = field(default_factory=dict, compare=False)

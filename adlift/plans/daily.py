@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adlift.config import RunConfig
+from adlift.contracts import DAILY_CONVERSIONS, schema_mismatches
 from adlift.operators.attribution import attribute
 from adlift.operators.baseline import baseline_by_day, gated_days
 from adlift.operators.enrich import enrich
@@ -148,6 +149,10 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
     s = stages(sources, cfg)
     if is_empty(s.sales) or is_empty(s._raw_placements):
         return {"written": False, "reason": "no sales or no placements in the read window"}
+    if cfg.require_unique_dimension_ids:
+        repeated = _repeated_dimension_ids(s.dims)
+        if repeated:
+            raise ValueError(f"dimensions with repeated ids (would multiply measures): {repeated}")
     seen_winners = Observation("winners")
     seen_output = Observation("output")
     observed = s.incremental.observe(seen_winners, F.count(F.lit(1)).alias("winner_rows"))
@@ -158,6 +163,10 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
         F.count(F.when(F.col("sales").isNull(), 1)).alias("null_sales"),
         F.count(F.when(F.col("daily_budget").isNull(), 1)).alias("null_daily_budget"),
     )
+    # Q3: the output must match the declared contract before anything is written.
+    mismatches = schema_mismatches(out, DAILY_CONVERSIONS)
+    if mismatches:
+        raise ValueError(f"output schema differs from the contract: {mismatches}")
     try:
         write_daily_conversions(out, output_path, cfg.write_mode)
     finally:
@@ -169,6 +178,16 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
     }
 
 
+def _repeated_dimension_ids(dims: dict) -> dict[str, int]:
+    """Per dimension, how many ids occur more than once (one small aggregate each)."""
+    out = {}
+    for name, df in dims.items():
+        n = df.groupBy("id").count().where(F.col("count") > 1).count()
+        if n:
+            out[name] = n
+    return out
+
+
 def _observed(obs: Observation, names: tuple[str, ...]) -> dict:
     """The metrics of an observation; zeros when its plan was proven empty.
 

@@ -73,3 +73,14 @@ def test_run_with_empty_sales_writes_nothing(spark, tmp_path):
     src = golden.sources(spark, sales=[s for s in golden.SALES if s[3] < "2024-01-01"])
     got = daily.run(spark, src, CFG, str(tmp_path / "none"))
     assert got["written"] is False
+
+
+def test_strict_mode_refuses_repeated_dimension_ids(spark, tmp_path):
+    src = golden.sources(spark)
+    src.categories = src.categories.unionByName(src.categories)
+    with pytest.raises(ValueError, match="categories"):
+        daily.run(spark, src, CFG.with_(require_unique_dimension_ids=True), str(tmp_path / "x"))
+    # The job's own behaviour: the repeated id doubles the matched rows, so A's
+    # increments (7 - 13/3 and 30.50) count twice: 5.33 units -> 5, 61.00 sales.
+    a = daily.daily_conversions(src, CFG).where("sku = 'A'").first()
+    assert (a["units_sold"], a["sales"]) == (5, Decimal("61.00"))
