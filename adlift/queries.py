@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from adlift.config import RunConfig, fixture_config
 from adlift.functions.dates import (
-    date_from_epoch_seconds,
     date_from_parts,
     date_from_text_time,
     epoch_seconds_from_text,

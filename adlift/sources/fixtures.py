@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from adlift.functions.dates import ntz_to_epoch_seconds
 from adlift.sources.bundle import Sources

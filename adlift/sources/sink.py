@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from adlift.contracts import DAILY_CONVERSIONS
+from adlift.functions.dates import partition_day_predicate
 
 OUTPUT_PARTITIONS = ("sales_year", "sales_month", "sales_day")
 
@@ -26,6 +29,13 @@ def write_daily_conversions(df: DataFrame, path: str, mode: str = "overwrite") -
     )
 
 
-def read_daily_conversions(spark: SparkSession, path: str) -> DataFrame:
-    """Read the sink back with its declared schema (partition columns typed int)."""
-    return spark.read.schema(DAILY_CONVERSIONS).parquet(path).select(*DAILY_CONVERSIONS.fieldNames())
+def read_daily_conversions(spark: SparkSession, path: str, start: dt.date | None = None,
+                           end: dt.date | None = None) -> DataFrame:
+    """Read the sink back with its declared schema (partition columns typed int).
+
+    With ``start``/``end`` only those day directories are read (partition pruning).
+    """
+    df = spark.read.schema(DAILY_CONVERSIONS).parquet(path)
+    if start is not None or end is not None:
+        df = df.where(partition_day_predicate(start or dt.date.min, end or dt.date.max, *OUTPUT_PARTITIONS))
+    return df.select(*DAILY_CONVERSIONS.fieldNames())

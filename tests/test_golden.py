@@ -66,6 +66,8 @@ def test_run_writes_and_reruns_idempotently(spark, tmp_path):
     from adlift.sources.sink import read_daily_conversions
     back = read_daily_conversions(spark, path)
     assert back.count() == 2
+    assert read_daily_conversions(spark, path, D3, D3).count() == 0
+    assert read_daily_conversions(spark, path, D2, D2).count() == 2
     assert schema_mismatches(back, DAILY_CONVERSIONS) == []
 
 
