@@ -42,17 +42,19 @@ def projected_dimension(dim: DataFrame, columns: dict[str, str], id_alias: str)
 
 
 def enrich(facts: DataFrame, dims: dict[str, DataFrame], broadcast_max_rows: int | None = 200_000,
-           only: tuple[str, ...] | None = None) -> DataFrame:
+           only: tuple[str, ...] | None = None, sizes: dict[str, int] | None = None) -> DataFrame:
     """Left-join the dimensions named in ``only`` (default: all six), in job order.
 
+    ``sizes`` are row counts capped at ``broadcast_max_rows + 1`` when already known
+    (see ``Sources.dimension_rows_upto``); otherwise they are counted here.
     ``broadcast_max_rows=None`` skips the size check and leaves the strategy to the
     planner entirely.
     """
     chosen = [j for j in DIMENSION_JOINS if only is None or j[0] in only]
-    sizes = (
-        dimension_rows_upto({name: dims[name] for name, _, _ in chosen}, broadcast_max_rows)
-        if broadcast_max_rows is not None and chosen else {}
-    )
+    if broadcast_max_rows is None or not chosen:
+        sizes = {}
+    elif sizes is None:
+        sizes = dimension_rows_upto({name: dims[name] for name, _, _ in chosen}, broadcast_max_rows)
     out = facts
     for name, fact_key, columns in chosen:
         key = f"_{name}_id"

@@ -123,7 +123,8 @@ class Stages:
 
     def enriched(self, broadcast_max_rows: int | None = None, incremental: DataFrame | None = None) -> DataFrame:
         bound = self.cfg.dim_broadcast_max_rows if broadcast_max_rows is None else broadcast_max_rows
-        return enrich(self.incremental if incremental is None else incremental, self.dims, bound)
+        sizes = self.sources.dimension_rows_upto(bound) if bound is not None else None
+        return enrich(self.incremental if incremental is None else incremental, self.dims, bound, sizes=sizes)
 
 
 def stages(sources: Sources, cfg: RunConfig) -> Stages:

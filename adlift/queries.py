@@ -50,8 +50,12 @@ def _cfg() -> RunConfig:
 
 
 def _setup(spark: SparkSession, sf_dir: str):
+    """The inputs over ``sf_dir``, loaded once per session (lazy plans, not data)."""
     configure(spark)
-    return fixtures.load(spark, sf_dir)
+    loaded = spark.__dict__.setdefault("_adlift_sources", {})
+    if sf_dir not in loaded:
+        loaded[sf_dir] = fixtures.load(spark, sf_dir)
+    return loaded[sf_dir]
 
 
 def _stages(spark, sf_dir) -> daily.Stages:
@@ -210,7 +214,9 @@ def _enrich_query(dim_names: tuple[str, ...]):
 
     def q(spark, sf_dir):
         s = _stages(spark, sf_dir)
-        return enrich(s.winners, s.dims, s.cfg.dim_broadcast_max_rows, only=dim_names).select(*_WINNER_KEYS, *cols)
+        bound = s.cfg.dim_broadcast_max_rows
+        sizes = s.sources.dimension_rows_upto(bound)
+        return enrich(s.winners, s.dims, bound, only=dim_names, sizes=sizes).select(*_WINNER_KEYS, *cols)
     return q
 
 
