@@ -86,3 +86,11 @@ def test_strict_mode_refuses_repeated_dimension_ids(spark, tmp_path):
     # increments (7 - 13/3 and 30.50) count twice: 5.33 units -> 5, 61.00 sales.
     a = daily.daily_conversions(src, CFG).where("sku = 'A'").first()
     assert (a["units_sold"], a["sales"]) == (5, Decimal("61.00"))
+
+
+def test_append_mode_rerun_duplicates_like_the_job(spark, tmp_path):
+    from adlift.sources.sink import read_daily_conversions
+    path = str(tmp_path / "appended")
+    for _ in range(2):
+        daily.run(spark, golden.sources(spark), CFG.with_(write_mode="append"), path)
+    assert read_daily_conversions(spark, path).count() == 4
