@@ -168,3 +168,37 @@ def test_day_loop_equals_one_plan(spark):
         one = daily.daily_conversions(src, RunConfig(start=d, end=d))
         loop = one if loop is None else loop.unionByName(one)
     assert whole.exceptAll(loop).count() == 0 and loop.exceptAll(whole).count() == 0
+
+
+def test_baseline_join_skew_is_split_by_aqe(spark):
+    """The baseline join is left to AQE: with one (date, sku) holding most winners,
+    broadcasts off and small skew thresholds, the executed join is skew-split."""
+    rnd = random.Random(1)
+    sales, placements = [], []
+    for i in range(6000):
+        hot = i % 3 != 0
+        sku, loc = ("H", rnd.randrange(4)) if hot else (f"S{rnd.randrange(200)}", rnd.randrange(8))
+        day = "2024-10-02" if rnd.random() < 0.5 else "2024-10-01"
+        sales.append((f"o{i}", sku, loc, f"{day} {rnd.randrange(8, 20):02d}:{rnd.randrange(60):02d}:00", 1, 10.0))
+    for d in ("2024-10-01", "2024-10-02"):
+        for loc in range(8):
+            for sku in ["H"] + [f"S{j}" for j in range(200)]:
+                placements.append((f"p{d}{loc}{sku}", [sku], loc, f"{d} 07:00:00", f"{d} 23:00:00"))
+    hist = [(f"h{i}", "H" if i % 2 else f"S{i % 200}", 9, f"2024-09-{10 + i % 20:02d} 10:00:00", 2, 5.0)
+            for i in range(400)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        src = golden.sources(spark, sales=sales + hist, placements=placements)
+        df = daily.stages(src, RunConfig(start="2024-10-01", end="2024-10-02", hot_key_rows=None)).incremental
+        assert len(df.collect()) == 6000
+        assert "SortMergeJoin(skew=true)" in plan_text(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        spark.catalog.clearCache()
