@@ -1,6 +1,6 @@
 """Command line: one run of the job, the way it is scheduled.
 
-    spark-submit -m adlift --start-date 2024-10-01 --end-date 2024-10-03 \\
+    spark-submit --py-files adlift.zip adlift/__main__.py --start-date 2024-10-01 --end-date 2024-10-03 \\
         --sales retail.sales --placements ads.placements \\
         --jdbc-url jdbc:postgresql://host/db --jdbc-user u --jdbc-password-env DB_PASSWORD \\
         --output s3://bucket/daily_ad_conversions/
