@@ -41,7 +41,7 @@ def ordering(spec) -> list:
     return [F.col(c).asc_nulls_last() if d == "asc" else F.col(c).desc_nulls_last() for c, d in spec]
 
 
-SALE_GRAIN = ("date", "order_id", "sku", "location_id")
+SALE_GRAIN = ("date", "sku", "location_id", "order_id")
 
 
 def latest_placement(placements_x: DataFrame) -> DataFrame:
