@@ -202,3 +202,18 @@ def test_baseline_join_skew_is_split_by_aqe(spark):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
         spark.catalog.clearCache()
+
+
+def test_winner_equals_max_by_over_pairs(spark):
+    """SURVEY §5.3: the row_number winner equals a max_by over the candidate pairs
+    (test-only: pairs are formed here, on the smallest tables)."""
+    st = daily.stages(fixtures.load(spark, SF_SMALL), fixture_config())
+    keys = ["date", "sku", "location_id"]
+    pairs = st.sales_run.join(st.placements_run, keys).where(
+        (F.col("end_sec") >= F.col("ts_sec") - 7200))
+    rank = F.struct(F.col("end_sec"), F.col("begin_sec"), F.col("placement_id"), -F.col("ts_sec"))
+    by_max = pairs.groupBy("date", "order_id", "sku", "location_id").agg(
+        F.max_by("placement_id", rank).alias("placement_id"))
+    mine = st.winners.select("date", "order_id", "sku", "location_id", "placement_id")
+    assert mine.count() > 0
+    assert mine.exceptAll(by_max).count() == 0 and by_max.exceptAll(mine).count() == 0
