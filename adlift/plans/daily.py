@@ -99,14 +99,22 @@ class Stages:
     def gated(self) -> DataFrame:
         return gated_days(self.baseline)
 
-    @cached_property
+    @property
     def incremental(self) -> DataFrame:
         # The baseline feeds two consumers here, the day gate and the join. Column
         # pruning makes their subtrees differ, so without persisting, the whole
         # history branch (scan, anti-join, windows) would run twice. It holds at
         # most (run days x SKUs) rows; lost blocks are recomputed from lineage.
-        base = self.baseline.persist(StorageLevel.MEMORY_AND_DISK)
-        self._persisted.append(base)
+        # Persisting is renewed on every use, so a cleared cache is rebuilt once
+        # instead of silently computing the baseline twice.
+        if self.baseline.storageLevel == StorageLevel.NONE:
+            self.baseline.persist(StorageLevel.MEMORY_AND_DISK)
+            self._persisted.append(self.baseline)
+        return self._incremental
+
+    @cached_property
+    def _incremental(self) -> DataFrame:
+        base = self.baseline
         # The gate table has at most one row per run day: a size bound from the config.
         kept = self.winners.join(F.broadcast(gated_days(base)), "date", "left_semi")
         return incremental_rows(kept, base)
