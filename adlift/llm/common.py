@@ -31,16 +31,6 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def pinned(value: Column) -> Column:
-    """``value``, but a filter on it is not pushed below the projection that makes it.
-
-    The optimizer copies a column's expression into every filter it pushes down;
-    for the array expressions here that would evaluate them again per reference.
-    ``rand()`` is always under 2, so the value never changes.
-    """
-    return F.when(F.rand(0) < F.lit(2.0), value)
-
-
 def lower_ascii(value: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(value, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

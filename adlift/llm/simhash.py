@@ -89,11 +89,13 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _links(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links that connect the fingerprints of one key exactly as all close pairs would.
+def _links(fps: np.ndarray, distance: int, earlier: np.ndarray) -> list[tuple[int, int]]:
+    """Links that connect the fingerprints of one key as all close pairs would.
 
     Walks breadth first: each fingerprint reached is compared once with those not yet
-    reached. At most one link per fingerprint; memory grows with their number alone.
+    reached. At most one link per fingerprint; memory grows with their number alone. A
+    pair that also agrees under an ``earlier`` mask is connected there already, directly
+    or over others, so its link is left to that key.
     """
     out, left = [], np.unique(fps)
     while len(left):
@@ -103,14 +105,19 @@ def _links(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
             near = np.bitwise_count((left ^ at).view(np.uint64)) <= distance
             if near.any():
                 found = left[near]
-                out += [(int(at), int(x)) for x in found]
+                own = found[~(((found ^ at)[:, None] & earlier) == 0).any(axis=1)]
+                out += [(int(at), int(x)) for x in own]
                 queue += list(found)
                 left = left[~near]
     return out
 
 
-def _compare_runs(distance: int, split: int | None):
-    """For ``mapInPandas`` over rows sorted by (rule, key): links, and the rows of keys over ``split``."""
+def _compare_runs(distance: int, split: int | None, earlier: list[list[int]]):
+    """For ``mapInPandas`` over rows sorted by (rule, key): links, and the rows of keys over ``split``.
+
+    ``earlier``: for each rule the masks of the rules before it.
+    """
+    masks = [np.array([_signed(m) for m in own], dtype=np.int64) for own in earlier]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
@@ -126,7 +133,7 @@ def _compare_runs(distance: int, split: int | None):
         def close():
             if over or size < 2:
                 return None
-            found = _links(np.concatenate(held), distance)
+            found = _links(np.concatenate(held), distance, masks[key[0]])
             return rows(found, []) if found else None
 
         for batch in batches:
@@ -159,9 +166,9 @@ def _compare_runs(distance: int, split: int | None):
     return run
 
 
-def _meet(keyed: DataFrame, distance: int, split: int | None) -> DataFrame:
+def _meet(keyed: DataFrame, distance: int, split: int | None, earlier: list[list[int]]) -> DataFrame:
     sorted_rows = keyed.repartition("rule", "k").sortWithinPartitions("rule", "k")
-    return sorted_rows.mapInPandas(_compare_runs(distance, split), "rule int, a long, b long")
+    return sorted_rows.mapInPandas(_compare_runs(distance, split, earlier), "rule int, a long, b long")
 
 
 def links(fps: DataFrame, distance: int, split: int = SPLIT) -> DataFrame:
@@ -172,20 +179,19 @@ def links(fps: DataFrame, distance: int, split: int = SPLIT) -> DataFrame:
     table = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(_signed(m)).alias("mask")) for i, m in enumerate(masks)])
     keyed = distinct.select("fp", F.explode(table).alias("m")).select(
         F.col("m.rule").alias("rule"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("k"), "fp")
-    first = save(_meet(keyed, distance, split), "simhash-links")
+    first = save(_meet(keyed, distance, split, [masks[:i] for i in range(len(masks))]), "simhash-links")
     near = first.where("rule < 0").select("a", "b")
     crowded = first.where("rule >= 0")
     if crowded.isEmpty():
         return near
     # The other bits of a crowded key, cut into blocks the same way.
-    finer = []
-    for i, m in enumerate(masks):
-        rest = [p for p in range(64) if not m >> p & 1]
-        finer.append(F.array(*[F.lit(_signed(x)) for x in _masks(blocks, blocks - distance, rest)]))
-    again = crowded.select("rule", "b", "a", F.posexplode(F.element_at(F.array(*finer), F.col("rule") + 1)))
+    finer = [_masks(blocks, blocks - distance, [p for p in range(64) if not m >> p & 1]) for m in masks]
+    table = F.array(*[F.array(*[F.lit(_signed(x)) for x in own]) for own in finer])
+    again = crowded.select("rule", "b", "a", F.posexplode(F.element_at(table, F.col("rule") + 1)))
+    earlier = [masks[:i] + [m | x for x in own[:j]] for i, (m, own) in enumerate(zip(masks, finer)) for j in range(len(own))]
     refined = again.select((F.col("rule") * F.lit(len(masks)) + F.col("pos")).alias("rule"),
                            F.col("b").bitwiseOR(F.col("a").bitwiseAND(F.col("col"))).alias("k"), F.col("a").alias("fp"))
-    return near.unionByName(save(_meet(refined, distance, None), "simhash-links").select("a", "b"))
+    return near.unionByName(save(_meet(refined, distance, None, earlier), "simhash-links").select("a", "b"))
 
 
 def components(docs: DataFrame, shingle: int, distance: int, split: int = SPLIT) -> DataFrame:

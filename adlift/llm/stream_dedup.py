@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlift.llm.common import pinned, save, shared_path, text_or_empty
+from adlift.llm.common import save, shared_path, text_or_empty
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_SETTINGS = {
@@ -103,7 +103,7 @@ def _groups(docs: DataFrame, digest: Callable[[Column], Column]) -> tuple[DataFr
     ids = members.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "keep_id", "n")
     full = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     full = full.join(ids.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    full = full.withColumn("digest", pinned(digest(F.col("text"))))
+    full = full.withColumn("digest", digest(F.col("text")))
     full = full.join(many, "digest")
     stays = (full.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
              .groupBy("digest").agg(F.min("text").alias("kept_text")))

@@ -10,7 +10,7 @@ labeler is; its posteriors then train the final span classifier, a naive Bayes m
 the span's shape and surroundings, which decides on the candidates that are not base spans.
 
 A match's place is the summed length, in code points, of the pieces and matches before it,
-from one split by the same pattern. The patterns use look-behinds and possessive
+from one split by the same pattern, added up over chunks and a rest. The patterns use look-behinds and possessive
 quantifiers, so each scan is linear in the text and never recurses.
 
 EM works on counts per vote pattern (at most kinds * 3^labelers rows) and the classifier
@@ -30,7 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlift.llm.common import pinned, save, text_or_empty
+from adlift.llm.common import save, text_or_empty
 
 # The base patterns of the contract, in linear-time form, in the contract's order.
 BASE = {
@@ -43,7 +43,7 @@ BASE = {
 LOOSE = {
     "email_text": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+"
                   r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z]{2,24}+){1,4}",
-    "phone_local": r"(?<![0-9+() .-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone_local": r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
@@ -88,7 +88,7 @@ def _luhn(digits: Column) -> Column:
 
 def _valid(kind: str, text: Column) -> Column:
     if kind == "ip":
-        return text.rlike(r"^(?:0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}")
+        return text.rlike(r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}")
     if kind == "card":
         return _luhn(_digits(text))
     if kind == "phone":
@@ -165,10 +165,23 @@ def _shape(text: Column, before: Column, after: Column) -> list[tuple[str, Colum
 FEATURES = ("length", "digits", "before", "after")
 
 
+CHUNK = 256
+
+
+def _add(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
+
+
 def _lengths(kind: str) -> Column:
-    """Per match: the length of the piece before it and its own."""
-    return F.transform(f"_m_{kind}", lambda m, i: F.struct(
-        F.length(F.element_at(F.col(f"_p_{kind}"), i + F.lit(1))).alias("gap"), F.length(m).alias("len")))
+    """Per match: the length of the piece before it plus its own."""
+    return F.transform(f"_m_{kind}", lambda m, i: F.length(F.element_at(F.col(f"_p_{kind}"), i + F.lit(1))) + F.length(m))
+
+
+def _totals(kind: str) -> Column:
+    """Sums over whole chunks of ``_lengths``, so that no place adds up more than two short stretches."""
+    lens = F.col(f"_l_{kind}")
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(lens) - 1) / CHUNK).cast("int")),
+                       lambda j: _add(F.slice(lens, j * CHUNK + 1, F.lit(CHUNK))))
 
 
 def _of_kind(spans: str, kind: str) -> Column:
@@ -178,11 +191,12 @@ def _of_kind(spans: str, kind: str) -> Column:
 def _matches(kind: str) -> Column:
     """All valid matches of a kind in ``_text`` with place, votes and features; null if none."""
     found = F.col(f"_m_{kind}")
-    pieces, lens = F.col(f"_p_{kind}"), F.col(f"_l_{kind}")
+    pieces, lens, totals = F.col(f"_p_{kind}"), F.col(f"_l_{kind}"), F.col(f"_t_{kind}")
 
     def one(text: Column, i: Column) -> Column:
-        start = F.aggregate(F.slice(lens, F.lit(1), i + F.lit(1)), F.lit(0), lambda a, x: a + x["gap"] + x["len"]) \
-            - F.length(text)
+        chunk = F.floor(i / CHUNK).cast("int")
+        start = (_add(F.slice(totals, F.lit(1), chunk))
+                 + _add(F.slice(lens, chunk * CHUNK + 1, i - chunk * CHUNK + 1)) - F.length(text))
         before = F.right(F.element_at(pieces, i + F.lit(1)), F.lit(CONTEXT))
         after = F.left(F.element_at(pieces, i + F.lit(2)), F.lit(CONTEXT))
         return F.struct(
@@ -209,6 +223,7 @@ def scan(docs: DataFrame) -> DataFrame:
     some = lambda k: F.size(f"_m_{k}") > 0
     df = df.withColumns({f"_p_{k}": F.when(some(k), F.split("_text", p, -1)) for k, p in patterns.items()})
     df = df.withColumns({f"_l_{k}": F.when(some(k), _lengths(k)) for k in patterns})
+    df = df.withColumns({f"_t_{k}": F.when(some(k), _totals(k)) for k in patterns})
     df = df.withColumns({f"_s_{k}": F.coalesce(_matches(k).cast(SPAN), F.array().cast(SPAN))
                          for k in patterns})
     df = df.withColumn("_base", F.concat(*[f"_s_{k}" for k in BASE]))

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlift.llm.common import pinned, save, text_or_empty
+from adlift.llm.common import save, text_or_empty
 
 BLANK = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -225,11 +225,12 @@ def judge(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, all columns as they were.
 
-    Judges each row in place (texts are read twice, never shuffled), so null or
-    repeated ids cannot mix rows up.
+    Rows are written once with their votes and judged in place, never joined by id, so
+    null or repeated ids cannot mix them up. A plain filter on the votes would not do:
+    the optimizer would push it below the projections and so into their lambdas.
     """
-    given = [F.col(f"_in.`{c}`").alias(c) for c in docs.columns]
     rows = docs.select(F.col("text").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"))
-    model = learn(vote_patterns(features(docs.select("text"))))
-    judged = features(rows).withColumn("_kept", pinned(~F.col("base_failed") & (model.posterior() >= KEEP_AT)))
-    return judged.where("_kept").select(*given)
+    voted = save(features(rows).select("_in", "base_failed", *[f"_v_{k}" for k in votes()]), "quality-rows")
+    model = learn(vote_patterns(voted))
+    kept = voted.where(~F.col("base_failed") & (model.posterior() >= KEEP_AT))
+    return kept.select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns])
