@@ -36,6 +36,8 @@ STATE_SETTINGS = {
     # One bound for all stores of an executor; what exceeds it goes to disk.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Otherwise every store, however small, preallocates 4 MB of disk for its manifest.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
