@@ -9,8 +9,7 @@
    third of all rows share reaches its state as one row per task. :class:`Deduplicator`
    keeps one checkpoint, so later batches meet the digests of earlier ones.
 3. The state is read back with the ``statestore`` reader. Digests with two or more rows
-   are hits: their members' full texts are fetched and compared with the text that
-   stays. Rows whose bytes differ (a collision of the digest) are regrouped exactly by
+   are hits: their members' full texts are fetched and compared byte by byte. Rows whose bytes differ (a collision of the digest) are regrouped exactly by
    digest and text.
 
 Null text counts as empty, and empty texts are equal like any others. Of equal texts the
@@ -101,15 +100,13 @@ def _groups(docs: DataFrame, digest: Callable[[Column], Column]) -> tuple[DataFr
     many = save(keyed.index().where("n > 1").select("digest", "keep_id", "n"), "dedup-hits")
     members = save(landed.join(many, "digest").select("doc_id", "digest", "keep_id", "n").distinct(), "dedup-members")
 
-    # Full bytes of the members only; the digest decides which of a repeated id's rows.
-    ids = members.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "keep_id", "n")
+    # Full bytes of the members only. A group's texts are equal if its least and greatest
+    # are; the partial aggregate leaves two texts per group and task to shuffle.
     full = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    full = full.join(ids.select("_id").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    ids = members.select(F.col("doc_id").alias("_id")).distinct()
+    full = full.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     full = full.withColumn("digest", digest(F.col("text")))
-    full = full.join(many, "digest")
-    stays = (full.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-             .groupBy("digest").agg(F.min("text").alias("kept_text")))
-    differ = full.join(stays, "digest").where("text != kept_text").select("digest").distinct()
+    differ = full.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").select("digest")
     collided = save(differ, "dedup-collisions")
     if collided.isEmpty():
         return landed, members
