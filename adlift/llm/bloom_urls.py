@@ -63,16 +63,33 @@ def bloom_filter(keys: DataFrame) -> tuple[DataFrame, int]:
     return masked.groupBy("block").agg(*[F.bit_or(f"m{j}").alias(f"w{j}") for j in range(WORDS)]), blocks
 
 
-def possible_hits(candidates: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``candidates`` whose ``key`` may be among ``keys``."""
+def _probe(rows: DataFrame, keys: DataFrame, how: str) -> tuple[DataFrame, Column]:
+    """``rows`` joined to the filter of ``keys``, and the test whether a row's key may be among them."""
     table, blocks = bloom_filter(keys)
-    probe = candidates.withColumn("block", _block("key", blocks))
-    probe = probe.select("*", *[m.alias(f"m{j}") for j, m in enumerate(_masks("key"))])
+    table = table.withColumnRenamed("block", "_block")
+    probe = rows.withColumn("_block", _block("key", blocks))
+    probe = probe.select("*", *[m.alias(f"_m{j}") for j, m in enumerate(_masks("key"))])
     test = F.lit(True)
     for j in range(WORDS):
-        test = test & (F.col(f"w{j}").bitwiseAND(F.col(f"m{j}")) == F.col(f"m{j}"))
+        test = test & (F.col(f"w{j}").bitwiseAND(F.col(f"_m{j}")) == F.col(f"_m{j}"))
     # At most MAX_BLOCKS rows by construction.
-    return probe.join(F.broadcast(table), "block").where(test).select(*candidates.columns)
+    return probe.join(F.broadcast(table), "_block", how), F.coalesce(test, F.lit(False))
+
+
+def possible_hits(candidates: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``candidates`` whose ``key`` may be among ``keys``."""
+    probed, maybe = _probe(candidates, keys, "inner")
+    return probed.where(maybe).select(*candidates.columns)
+
+
+def without_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose ``key`` is not among ``keys``: an exact anti-join that shuffles only possible hits.
+
+    Rows that the filter clears stay where they are, however wide they are.
+    """
+    probed, maybe = _probe(rows, keys, "left")
+    hits = probed.where(maybe).select(*rows.columns).join(keys.select("key"), "key", "left_anti")
+    return probed.where(~maybe).select(*rows.columns).unionByName(hits.select(*rows.columns))
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFrame:

@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlift.llm.bloom_urls import without_keys
 from adlift.llm.common import id_and_text, id_as_long, save
 from adlift.llm.components import connected_components
 
@@ -218,7 +219,8 @@ def keep_one(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
         stay.select(F.col("doc_id").alias("_s")), F.col("_id").eqNullSafe(F.col("_s")), "left_anti")
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("_text"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"))
-    rows = rows.join(save(drop, "simhash-drop"), F.col("_doc").eqNullSafe(F.col("_id")), "left_anti")
+    key = lambda i: F.coalesce(F.col(i).cast("string"), F.lit("")).alias("key")
+    rows = without_keys(rows.select("*", key("_doc")), save(drop.select(key("_id")), "simhash-drop"))
     if not stay.where("n > 1").isEmpty():
         rows = rows.withColumn("_sha", F.sha2("_text", 256)).dropDuplicates(["_doc", "_sha"])
     return rows.select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns])

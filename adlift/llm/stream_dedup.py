@@ -27,6 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adlift.llm.bloom_urls import without_keys
 from adlift.llm.common import save, shared_path, text_or_empty
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -134,11 +135,12 @@ def judge(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataF
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every group of equal texts, with the columns of ``docs`` as they were."""
     landed, members = _groups(docs, sha256)
-    drop = members.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(
-        F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    key = lambda i, d: F.concat(F.coalesce(F.col(i).cast("string"), F.lit("")), F.lit(":"), F.col(d))
+    drop = save(members.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(key("doc_id", "digest").alias("key")),
+                "dedup-drop")
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), sha256(text_or_empty()).alias("_sha"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"))
-    rows = rows.join(drop, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_digest")), "left_anti")
+    rows = without_keys(rows.withColumn("key", key("_doc", "_sha")), drop)
     repeated = landed.groupBy("doc_id", "digest").count().where("count > 1")
     if not repeated.isEmpty():
         rows = rows.dropDuplicates(["_doc", "_sha"])
