@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 def as_date(value: str | dt.date | dt.datetime) -> dt.date:
@@ -35,18 +35,14 @@ class RunConfig:
     sales_date_source: str = "parts"
     # "epoch": sale time is epoch seconds (text or number); "text": a date-time string.
     sale_time_format: str = "epoch"
-    # Dimension tables are broadcast only when a bounded count proves they are at
-    # most this many rows; larger ones go through a shuffle join.
-    dim_broadcast_max_rows: int = 200_000
-    # A (day, sku, location) with more sale rows than this is joined to its
-    # credited placement by broadcast instead of by shuffle (None: never split).
-    hot_key_rows: int | None = 1_000_000
+    # A (day, sku, location) is spread over this many tasks by order id in the
+    # attribution join, whatever its size; its one latest placement meets each part.
+    join_salts: int = 16
     # Refuse to write when a dimension repeats an id (a left join would multiply
     # measures); the job itself does not check, so this is off by default.
     require_unique_dimension_ids: bool = False
     # Sink: "overwrite" replaces only the day partitions written (dynamic), "append" adds.
     write_mode: str = "overwrite"
-    extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):
         object.__setattr__(self, "start", as_date(self.start))
@@ -55,6 +51,12 @@ class RunConfig:
             raise ValueError(f"start {self.start} is after end {self.end}")
         if self.lookback_days < 1 or self.baseline_rows < 1 or self.grace_seconds < 0:
             raise ValueError("lookback_days and baseline_rows must be >= 1, grace_seconds >= 0")
+        if self.join_salts < 1:
+            raise ValueError(f"join_salts must be >= 1: {self.join_salts}")
+        if self.baseline_rows > 1000:
+            # Beyond spark.sql.optimizer.windowGroupLimitThreshold Spark drops the map-side
+            # top-k that keeps a hot SKU's window small.
+            raise ValueError(f"baseline_rows must be <= 1000: {self.baseline_rows}")
         if self.sales_date_source not in ("parts", "timestamp"):
             raise ValueError(f"sales_date_source must be 'parts' or 'timestamp': {self.sales_date_source}")
         if self.sale_time_format not in ("epoch", "text"):

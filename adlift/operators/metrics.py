@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adlift.contracts import DAILY_CONVERSIONS
+from adlift.contracts import DAILY_CONVERSIONS, SOURCE_TYPED
 from adlift.functions.dates import sales_date_padded
 from adlift.functions.numeric import STABLE_DECIMALS, clamped_increment, money, truncated_units
+from adlift.operators.enrich import DIMENSION_JOINS
 
 ATTRIBUTION_METHOD = "time_based_incremental"
 
@@ -64,6 +66,7 @@ def daily_sums(rows: DataFrame) -> DataFrame:
         F.sum("incremental_sales").alias("_sales"),
     )
     types = {f.name: f.dataType for f in DAILY_CONVERSIONS.fields}
+    given = {f.name: f.dataType for f in agg.schema.fields}
     out = []
     for f in DAILY_CONVERSIONS.fields:
         if f.name == "units_sold":
@@ -72,11 +75,26 @@ def daily_sums(rows: DataFrame) -> DataFrame:
             out.append(money("_sales").alias("sales"))
         elif f.name == "attribution_method":
             out.append(F.lit(ATTRIBUTION_METHOD).alias(f.name))
+        elif f.name in SOURCE_TYPED and not isinstance(given[f.name], T.IntegralType):
+            out.append(F.col(f.name))  # text ids stay text
         else:
             out.append(F.col(f.name).try_cast(types[f.name]).alias(f.name))
     return agg.select(*out)
 
 
+def sums_by_ids(rows: DataFrame) -> DataFrame:
+    """The increments summed over everything the output groups by but dimension names.
+
+    Names depend on ids, so the dimensions join these groups instead of single
+    sales; a repeated dimension id multiplies a sum as it would its rows.
+    """
+    ids = {c for _, c, _ in DIMENSION_JOINS}
+    own = [src for src, _ in GROUP_KEYS if src in rows.columns]
+    keys = list(dict.fromkeys(["date", *own, *sorted(ids)]))
+    return rows.groupBy(*keys).agg(F.sum("incremental_units_sold").alias("incremental_units_sold"),
+                                   F.sum("incremental_sales").alias("incremental_sales"))
+
+
 def daily_sums_20key(rows: DataFrame) -> DataFrame:
     """The 20-key form, one result per loop day, no output casts."""
     agg = rows.groupBy(F.col("date").alias("sales_date"), *[F.col(s).alias(d) for s, d in GROUP_KEYS_20]).agg(

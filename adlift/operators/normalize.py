@@ -43,8 +43,8 @@ def normalize_sales(sales: DataFrame, cfg: RunConfig) -> DataFrame:
     """Typed sales rows.
 
     ``date`` comes from the partition parts (default) or from the sale time.
-    ``sales_year/month/day`` are the integer partition parts, as the job groups by
-    them and writes them as output partitions.
+    ``sales_year/month/day``, the output partitions, are the parts of that same date (the
+    integer partition parts in the first case), so a run writes only its own days.
     """
     require_columns(sales, SALES_COLUMNS, "sales")
     ts = sale_seconds(cfg)
@@ -54,6 +54,10 @@ def normalize_sales(sales: DataFrame, cfg: RunConfig) -> DataFrame:
         day = date_from_text_time("timestamp")
     else:
         day = date_from_epoch_seconds(ts)
+    if cfg.sales_date_source == "parts":
+        parts = [F.col(c).try_cast("int").alias(f"sales_{c}") for c in ("year", "month", "day")]
+    else:
+        parts = [F.year(day).alias("sales_year"), F.month(day).alias("sales_month"), F.dayofmonth(day).alias("sales_day")]
     return sales.select(
         F.col("order_id"),
         F.col("sku").cast("string").alias("sku"),
@@ -62,9 +66,7 @@ def normalize_sales(sales: DataFrame, cfg: RunConfig) -> DataFrame:
         resolve_choice(sales, "sale_amount").alias("sale_amount"),
         ts.alias("ts_sec"),
         day.alias("date"),
-        F.col("year").try_cast("int").alias("sales_year"),
-        F.col("month").try_cast("int").alias("sales_month"),
-        F.col("day").try_cast("int").alias("sales_day"),
+        *parts,
         F.col("product_name"),
         F.col("state"),
         F.col("city"),

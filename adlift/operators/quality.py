@@ -7,8 +7,9 @@ by the number of sources, run days or dimension ids, never by the fact rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlift.config import RunConfig
 from adlift.plans.calendar import run_calendar
@@ -30,15 +31,23 @@ def source_profile(sources: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _id(df: DataFrame, name: str) -> Column:
+    """An id for comparison: integers as long, anything else as text."""
+    integral = isinstance(df.schema[name].dataType, T.IntegralType)
+    return F.col(name).cast("long") if integral else F.col(name).cast("string")
+
+
 def id_coverage(fact_ids: DataFrame, dimension: DataFrame, id_name: str) -> DataFrame:
     """Q2/A5: fact ids against a dimension's ids, side by side.
 
     One row per id seen on either side: whether the facts use it, whether the
     dimension has it and how many dimension rows carry it (>1 would multiply
-    measures in a left join).
+    measures in a left join). Ids are compared as text where either side is text.
     """
-    f = fact_ids.select(F.col(id_name).cast("long").alias("id")).dropna().distinct().withColumn("in_facts", F.lit(True))
-    d = dimension.groupBy(F.col("id").cast("long").alias("id")).agg(F.count(F.lit(1)).alias("dimension_rows"))
+    f = fact_ids.select(_id(fact_ids, id_name).alias("id")).dropna().distinct().withColumn("in_facts", F.lit(True))
+    d = dimension.groupBy(_id(dimension, "id").alias("id")).agg(F.count(F.lit(1)).alias("dimension_rows"))
+    if f.schema["id"].dataType != d.schema["id"].dataType:
+        f, d = (x.withColumn("id", F.col("id").cast("string")) for x in (f, d))
     j = f.join(d, "id", "full_outer")
     return j.select(
         F.col("id").alias(id_name),
@@ -53,27 +62,26 @@ def dimension_coverage(facts: DataFrame, dims: dict[str, DataFrame], joins) -> D
     many of them the dimension lacks, the dimension's rows and how many of its ids
     repeat (a repeated id would multiply measures in the left join).
 
-    ``joins`` is a sequence of (dimension name, fact column, ...). One small row per
-    dimension; each part aggregates to distinct ids before it joins.
+    ``joins`` is a sequence of (dimension name, fact column, ...). The facts are read
+    once: their ids are stacked to (dimension, id) pairs, made distinct and met by the
+    stacked dimensions in one join.
     """
-    parts = []
-    for name, fact_key, *_ in joins:
-        used = facts.select(F.col(fact_key).cast("long").alias("id")).dropna().distinct().withColumn("used", F.lit(1))
-        have = dims[name].groupBy(F.col("id").cast("long").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-        both = used.join(have, "id", "full_outer")
-        parts.append(both.agg(
-            F.count("used").alias("fact_ids"),
-            F.count(F.when(F.col("used").isNotNull() & F.col("n").isNull(), 1)).alias("unmatched_ids"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("dimension_rows"),
-            F.count(F.when(F.col("n") > 1, 1)).alias("duplicate_ids"),
-        ).select(
-            F.lit(name).alias("dimension"),
-            *[F.col(c).cast("long").alias(c) for c in ("fact_ids", "unmatched_ids", "dimension_rows", "duplicate_ids")],
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pairs = F.array(*[F.struct(F.lit(n).alias("dimension"), F.col(k).cast("string").alias("id")) for n, k, *_ in joins])
+    used = facts.select(F.explode(pairs).alias("p")).select("p.*").dropna().distinct().withColumn("used", F.lit(1))
+    have = None
+    for name, *_ in joins:
+        own = dims[name].select(F.lit(name).alias("dimension"), F.col("id").cast("string").alias("id"))
+        have = own if have is None else have.unionByName(own)
+    have = have.groupBy("dimension", "id").agg(F.count(F.lit(1)).alias("n"))
+    by = used.join(have, ["dimension", "id"], "full_outer").groupBy("dimension").agg(
+        F.count("used").alias("fact_ids"),
+        F.count(F.when(F.col("used").isNotNull() & F.col("n").isNull(), 1)).alias("unmatched_ids"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("dimension_rows"),
+        F.count(F.when(F.col("n") > 1, 1)).alias("duplicate_ids"))
+    every = facts.sparkSession.createDataFrame([(n,) for n, *_ in joins], "dimension string")
+    return every.join(by, "dimension", "left").select("dimension", *[
+        F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
+        for c in ("fact_ids", "unmatched_ids", "dimension_rows", "duplicate_ids")])
 
 
 def stage_counts(spark: SparkSession, cfg: RunConfig, sales_run: DataFrame, placements_run: DataFrame,

@@ -274,4 +274,13 @@ SELECT '{n}' AS dimension,
        (SELECT count(*) FROM (SELECT id FROM {n} GROUP BY id HAVING count(*) > 1)) AS duplicate_ids""" for n, (key, _) in _ENRICH_COLUMNS.items()),
     "sample_rows": _with(RUN) + """
 SELECT order_id, date, sku, location_id, units_sold, sale_amount FROM sales_run ORDER BY date, order_id LIMIT 2""",
+    "sale_timestamp_numeric": _with() + """
+SELECT order_id, ts_sec AS as_double, ts_sec AS as_decimal, ts_sec AS as_text FROM sales""",
+    "attribution_winner_no_placement_id": _with(RUN, PAIRS, WINNERS.replace(
+        "placement_id DESC NULLS LAST,", "").replace("adgroupid DESC NULLS LAST,", """adgroupid DESC NULLS LAST,
+               aislecategoryid DESC NULLS LAST, retailerorgid DESC NULLS LAST, advertiserorgid DESC NULLS LAST,
+               adproduct DESC NULLS LAST, winningcurrencycode DESC NULLS LAST, offercode DESC NULLS LAST,""")) + """
+SELECT date, order_id, sku, location_id, begin_sec, end_sec, winningadid, campaignid, offercode FROM winners""",
+    "daily_conversions_text_ids": _with(FULL) + "SELECT * REPLACE ('cmp-' || campaign_id AS campaign_id) FROM ("
+                                  + DAILY_CONVERSIONS + ")",
 }

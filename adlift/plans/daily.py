@@ -18,17 +18,19 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from adlift.config import RunConfig
 from adlift.contracts import DAILY_CONVERSIONS, schema_mismatches
 from adlift.operators.attribution import attribute
 from adlift.operators.baseline import baseline_by_day, gated_days
 from adlift.operators.enrich import enrich
-from adlift.operators.metrics import daily_sums, daily_sums_20key, incremental_rows
+from adlift.functions.dates import epoch_ms_to_seconds
+from adlift.operators.metrics import daily_sums, daily_sums_20key, incremental_rows, sums_by_ids
 from adlift.operators.normalize import normalize_placements, normalize_sales, placement_keys
 from adlift.sources.bundle import DIMENSIONS, Sources
 from adlift.sources.catalog import is_empty, scan_date_range
-from adlift.sources.sink import write_daily_conversions
+from adlift.sources.sink import clear_unwritten_days, day_files, read_daily_conversions, write_daily_conversions
 
 MS_PER_DAY = 86_400_000
 
@@ -37,12 +39,18 @@ def _epoch_ms(d: dt.date) -> int:
     return (d - dt.date(1970, 1, 1)).days * MS_PER_DAY
 
 
-def begin_day_between(start: dt.date, end: dt.date) -> F.Column:
+def begin_day_between(placements: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Placements whose begin time falls on a UTC day in [start, end].
 
-    Written on the raw ``begintime`` so Parquet min/max statistics skip row groups.
+    An integer ``begintime`` is compared as it is, so Parquet min/max statistics skip
+    row groups; any other type through the same conversion that gives the begin day.
     """
-    return F.col("begintime").between(_epoch_ms(start), _epoch_ms(end + dt.timedelta(days=1)) - 1)
+    kind = next(f.dataType for f in placements.schema.fields if f.name.lower() == "begintime")
+    lo, hi = _epoch_ms(start), _epoch_ms(end + dt.timedelta(days=1))
+    if isinstance(kind, T.IntegralType):
+        return placements.where((F.col("begintime") >= lo) & (F.col("begintime") < hi))
+    sec = epoch_ms_to_seconds("begintime")
+    return placements.where((sec >= lo // 1000) & (sec < hi // 1000))
 
 
 class Stages:
@@ -58,8 +66,9 @@ class Stages:
     incremental     gated winners + baseline + clamped increments
     """
 
-    def __init__(self, sources: Sources, cfg: RunConfig):
-        self.sources, self.cfg = sources, cfg
+    def __init__(self, sources: Sources, cfg: RunConfig, persist: bool = False):
+        """``persist``: keep the baseline while plans run; the owner must ``release()`` it."""
+        self.sources, self.cfg, self.persist = sources, cfg, persist
         self._persisted: list[DataFrame] = []
 
     @cached_property
@@ -80,16 +89,15 @@ class Stages:
 
     @cached_property
     def placements_run(self) -> DataFrame:
-        return normalize_placements(self._raw_placements.where(begin_day_between(self.cfg.start, self.cfg.end)))
+        return normalize_placements(begin_day_between(self._raw_placements, self.cfg.start, self.cfg.end))
 
     @cached_property
     def ad_keys(self) -> DataFrame:
-        hist = begin_day_between(self.cfg.read_start, self.cfg.history_end)
-        return placement_keys(self._raw_placements.where(hist))
+        return placement_keys(begin_day_between(self._raw_placements, self.cfg.read_start, self.cfg.history_end))
 
     @cached_property
     def winners(self) -> DataFrame:
-        return attribute(self.sales_run, self.placements_run, self.cfg.grace_seconds, self.cfg.hot_key_rows)
+        return attribute(self.sales_run, self.placements_run, self.cfg.grace_seconds, self.cfg.join_salts)
 
     @cached_property
     def baseline(self) -> DataFrame:
@@ -107,7 +115,7 @@ class Stages:
         # most (run days x SKUs) rows; lost blocks are recomputed from lineage.
         # Persisting is renewed on every use, so a cleared cache is rebuilt once
         # instead of silently computing the baseline twice.
-        if self.baseline.storageLevel == StorageLevel.NONE:
+        if self.persist and self.baseline.storageLevel == StorageLevel.NONE:
             self.baseline.persist(StorageLevel.MEMORY_AND_DISK)
             self._persisted.append(self.baseline)
         return self._incremental
@@ -129,14 +137,13 @@ class Stages:
             df.unpersist()
         self._persisted.clear()
 
-    def enriched(self, broadcast_max_rows: int | None = None, incremental: DataFrame | None = None) -> DataFrame:
-        bound = self.cfg.dim_broadcast_max_rows if broadcast_max_rows is None else broadcast_max_rows
-        sizes = self.sources.dimension_rows_upto(bound) if bound is not None else None
-        return enrich(self.incremental if incremental is None else incremental, self.dims, bound, sizes=sizes)
+    def enriched(self, incremental: DataFrame | None = None) -> DataFrame:
+        """Increments summed by ids, with the dimension names of those groups."""
+        return enrich(sums_by_ids(self.incremental if incremental is None else incremental), self.dims)
 
 
-def stages(sources: Sources, cfg: RunConfig) -> Stages:
-    return Stages(sources, cfg)
+def stages(sources: Sources, cfg: RunConfig, persist: bool = False) -> Stages:
+    return Stages(sources, cfg, persist)
 
 
 def daily_conversions(sources: Sources, cfg: RunConfig) -> DataFrame:
@@ -155,58 +162,54 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
     Empty sales or placements in the read window end the run with no output
     (the job's empty-source guard), instead of stopping the process.
     """
-    s = stages(sources, cfg)
+    s = stages(sources, cfg, persist=True)
     if is_empty(s.sales) or is_empty(s._raw_placements):
         return {"written": False, "reason": "no sales or no placements in the read window"}
     if cfg.require_unique_dimension_ids:
         repeated = _repeated_dimension_ids(s.dims)
         if repeated:
             raise ValueError(f"dimensions with repeated ids (would multiply measures): {repeated}")
-    seen_winners = Observation("winners")
-    seen_output = Observation("output")
+    days = [cfg.start + dt.timedelta(days=i) for i in range(cfg.n_days)]
+    seen = Observation("winners")
     try:
-        observed = s.incremental.observe(seen_winners, F.count(F.lit(1)).alias("winner_rows"))
-        out = daily_sums(s.enriched(incremental=observed)).observe(
-            seen_output,
-            F.count(F.lit(1)).alias("groups"),
-            F.coalesce(F.sum("units_sold"), F.lit(0)).alias("units_sold"),
-            F.count(F.when(F.col("sales").isNull(), 1)).alias("null_sales"),
-            F.count(F.when(F.col("daily_budget").isNull(), 1)).alias("null_daily_budget"),
-        )
+        observed = s.incremental.observe(seen, F.count(F.lit(1)).alias("winner_rows"))
+        out = daily_sums(s.enriched(incremental=observed))
         # Q3: the output must match the declared contract before anything is written.
         mismatches = schema_mismatches(out, DAILY_CONVERSIONS)
         if mismatches:
             raise ValueError(f"output schema differs from the contract: {mismatches}")
+        before = day_files(spark, output_path, days)
         write_daily_conversions(out, output_path, cfg.write_mode)
     finally:
         s.release()
+    cleared = clear_unwritten_days(spark, output_path, before) if cfg.write_mode == "overwrite" else []
+    counts = {"groups": 0, "units_sold": 0, "null_sales": 0, "null_daily_budget": 0}
+    if any(f != before.get(d) for d, f in day_files(spark, output_path, days).items()):
+        # Days left in the window were all written by this run (or, appending, earlier ones too).
+        back = read_daily_conversions(spark, output_path, cfg.start, cfg.end, out.schema)
+        counts = back.agg(
+            F.count(F.lit(1)).alias("groups"),
+            F.coalesce(F.sum("units_sold"), F.lit(0)).alias("units_sold"),
+            F.count(F.when(F.col("sales").isNull(), 1)).alias("null_sales"),
+            F.count(F.when(F.col("daily_budget").isNull(), 1)).alias("null_daily_budget"),
+        ).first().asDict()
+    unread = s.sales_run.where("ts_sec IS NULL").count() if cfg.sales_date_source == "parts" else 0
     return {
         "written": True,
-        **_observed(seen_winners, ("winner_rows",)),
-        **_observed(seen_output, ("groups", "units_sold", "null_sales", "null_daily_budget")),
+        # A plan proven empty at runtime runs no node that could be observed.
+        "winner_rows": seen.get["winner_rows"] if counts["groups"] else 0,
+        **counts,
+        "sales_without_time": unread,
+        "repeated_dimension_ids": _repeated_dimension_ids(s.dims),
+        "days_cleared": [d.isoformat() for d in cleared],
     }
 
 
 def _repeated_dimension_ids(dims: dict) -> dict[str, int]:
-    """Per dimension, how many ids occur more than once (one small aggregate each)."""
-    out = {}
+    """Per dimension, how many ids occur more than once (one aggregate over all six)."""
+    ids = None
     for name, df in dims.items():
-        n = df.groupBy("id").count().where(F.col("count") > 1).count()
-        if n:
-            out[name] = n
-    return out
-
-
-def _observed(obs: Observation, names: tuple[str, ...]) -> dict:
-    """The metrics of an observation; zeros when its plan was proven empty.
-
-    When AQE proves the observed subtree empty it replaces it, metrics node
-    included, so no row arrives and ``get`` fails its schema assertion. Empty is
-    the only way that happens, so the counts are zero; any other error is raised.
-    """
-    try:
-        return dict(obs.get)
-    except Exception as e:  # py4j wraps the JVM assertion
-        if "assertion failed" not in str(e):
-            raise
-        return {n: 0 for n in names}
+        own = df.select(F.lit(name).alias("dimension"), F.col("id").cast("string").alias("id"))
+        ids = own if ids is None else ids.unionByName(own)
+    repeated = ids.groupBy("dimension", "id").count().where(F.col("count") > 1)
+    return {r["dimension"]: r["n"] for r in repeated.groupBy("dimension").agg(F.count(F.lit(1)).alias("n")).collect()}

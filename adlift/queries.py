@@ -11,6 +11,7 @@ decimals on both sides so float summation order cannot change a hash.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 
@@ -197,7 +198,7 @@ def q_baseline_single_day(spark, sf_dir):
     cfg = _cfg()
     lo, hi = SINGLE_DAY - dt.timedelta(days=cfg.lookback_days), SINGLE_DAY - dt.timedelta(days=1)
     sales = normalize_sales(scan_date_range(src.sales, lo, hi), cfg)
-    keys = placement_keys(scan_date_range(src.placements, lo, hi).where(daily.begin_day_between(lo, hi)))
+    keys = placement_keys(daily.begin_day_between(scan_date_range(src.placements, lo, hi), lo, hi))
     b = baseline.baseline_single_day(sales, keys, SINGLE_DAY, cfg)
     return b.select("sku", _r("avg_units_sold_no_ad_traffic"), _r("avg_sales_no_ad_traffic"))
 
@@ -221,9 +222,7 @@ def _enrich_query(dim_names: tuple[str, ...]):
 
     def q(spark, sf_dir):
         s = _stages(spark, sf_dir)
-        bound = s.cfg.dim_broadcast_max_rows
-        sizes = s.sources.dimension_rows_upto(bound)
-        return enrich(s.winners, s.dims, bound, only=dim_names, sizes=sizes).select(*_WINNER_KEYS, *cols)
+        return enrich(s.winners, s.dims, only=dim_names).select(*_WINNER_KEYS, *cols)
     return q
 
 
@@ -242,6 +241,29 @@ def q_daily_conversions_20key(spark, sf_dir):
     return daily_sums_20key(_stages(spark, sf_dir).enriched())
 
 
+def q_sale_timestamp_numeric(spark, sf_dir):
+    s = _setup(spark, sf_dir).sales
+    as_long = F.col("timestamp").cast("long")
+    forms = {"as_double": as_long.cast("double"), "as_decimal": as_long.cast("decimal(20,3)"),
+             "as_text": F.concat(as_long.cast("string"), F.lit(".0"))}
+    s = s.select("order_id", *[c.alias(n) for n, c in forms.items()])
+    return s.select("order_id", *[epoch_seconds_from_value(n).alias(n) for n in forms])
+
+
+def q_attribution_winner_no_placement_id(spark, sf_dir):
+    src, cfg = _setup(spark, sf_dir), _cfg()
+    bare = dataclasses.replace(src, placements=src.placements.drop("placement_id"))
+    return daily.stages(bare, cfg).winners.select("date", "order_id", "sku", "location_id", "begin_sec", "end_sec",
+                                                  "winningadid", "campaignid", "offercode")
+
+
+def q_daily_conversions_text_ids(spark, sf_dir):
+    src = _setup(spark, sf_dir)
+    named = lambda df, c: df.withColumn(c, F.concat(F.lit("cmp-"), F.col(c).cast("string")))
+    text = dataclasses.replace(src, placements=named(src.placements, "campaignid"), campaigns=named(src.campaigns, "id"))
+    return daily.daily_conversions(text, _cfg())
+
+
 # ---- quality reports -----------------------------------------------------------
 
 def q_source_profile(spark, sf_dir):
@@ -300,6 +322,9 @@ QUERIES = {
     "incremental_rows": q_incremental_rows,
     "daily_conversions": q_daily_conversions,
     "daily_conversions_20key": q_daily_conversions_20key,
+    "sale_timestamp_numeric": q_sale_timestamp_numeric,
+    "attribution_winner_no_placement_id": q_attribution_winner_no_placement_id,
+    "daily_conversions_text_ids": q_daily_conversions_text_ids,
     "source_profile": q_source_profile,
     "stage_counts": q_stage_counts,
     "campaign_id_coverage": q_campaign_id_coverage,

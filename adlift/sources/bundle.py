@@ -31,17 +31,3 @@ class Sources:
         if name not in DIMENSIONS:
             raise KeyError(name)
         return getattr(self, name)
-
-    def dimension_rows_upto(self, bound: int) -> dict[str, int]:
-        """Row counts of the six dimensions, each capped at ``bound + 1``.
-
-        Counted once per bound for these inputs (one small job), so several plans
-        built over the same inputs share the broadcast decision.
-        """
-        from adlift.operators.enrich import dimension_rows_upto
-
-        cache = self.__dict__.setdefault("_dimension_rows", {})
-        key = (bound, tuple(id(self.dimension(n)) for n in DIMENSIONS))
-        if key not in cache:
-            cache[key] = dimension_rows_upto({n: self.dimension(n) for n in DIMENSIONS}, bound)
-        return cache[key]

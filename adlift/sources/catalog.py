@@ -27,9 +27,23 @@ def scan_date_range(df: DataFrame, start: dt.date, end: dt.date,
     return df.where(partition_day_predicate(start, end, year, month, day))
 
 
-def read_jdbc_dimension(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:
-    """S3: one dimension table over JDBC (small; the join side decides broadcast)."""
-    return spark.read.jdbc(url, table, properties=properties or {})
+def jdbc_options(url: str, table: str, properties: dict | None = None, fetch_size: int = 10_000,
+                 partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+                 partitions: int | None = None) -> dict[str, str]:
+    """Reader options for one table: rows per fetch, and a split by a numeric column if asked for."""
+    out = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **(properties or {})}
+    if partition_column is not None:
+        if lower is None or upper is None or not partitions:
+            raise ValueError("a partition column needs its lower and upper bound and a number of partitions")
+        out |= {"partitionColumn": partition_column, "lowerBound": str(lower), "upperBound": str(upper),
+                "numPartitions": str(partitions)}
+    return out
+
+
+def read_jdbc_dimension(spark: SparkSession, url: str, table: str, properties: dict | None = None,
+                        **options) -> DataFrame:
+    """S3: one dimension table over JDBC; ``options`` as in :func:`jdbc_options`."""
+    return spark.read.format("jdbc").options(**jdbc_options(url, table, properties, **options)).load()
 
 
 def from_catalog(spark: SparkSession, sales: str, placements: str, dimensions: dict[str, str] | None = None,

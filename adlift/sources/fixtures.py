@@ -193,11 +193,3 @@ ad_groups AS (SELECT DISTINCT TRY_CAST(substr(p_brand, 7) AS INTEGER) AS id, p_b
 ads AS (SELECT p_partkey AS id, p_name AS name FROM part)
 """
 
-
-def oracle(sql_body: str) -> str:
-    """An oracle query: the derivation CTEs, then ``sql_body`` (which may add CTEs
-    by starting with ``, name AS (...)``)."""
-    body = sql_body.strip()
-    if body.startswith(","):
-        return "WITH " + ORACLE_CTES.strip() + "\n" + body
-    return "WITH " + ORACLE_CTES.strip() + "\n" + body

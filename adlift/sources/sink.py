@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from adlift.contracts import DAILY_CONVERSIONS
 from adlift.functions.dates import partition_day_predicate
@@ -29,13 +30,45 @@ def write_daily_conversions(df: DataFrame, path: str, mode: str = "overwrite") -
     )
 
 
+def day_files(spark: SparkSession, path: str, days: list[dt.date]) -> dict[dt.date, frozenset[str]]:
+    """The data files in the folder of each day that has one: one listing per day."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    out = {}
+    for d in days:
+        folder = jvm.org.apache.hadoop.fs.Path(day_folder(path, d))
+        if fs.exists(folder):
+            out[d] = frozenset(s.getPath().getName() for s in fs.listStatus(folder))
+    return out
+
+
+def day_folder(path: str, day: dt.date) -> str:
+    return f"{path.rstrip('/')}/sales_year={day.year}/sales_month={day.month}/sales_day={day.day}"
+
+
+def clear_unwritten_days(spark: SparkSession, path: str, before: dict[dt.date, frozenset[str]]) -> list[dt.date]:
+    """Remove the day folders whose files a completed overwrite of these days left alone.
+
+    Dynamic overwrite replaces only partitions that have rows; a rerun day that has
+    become empty would keep its old ones. Every write names its files anew, so a
+    folder whose files are those of ``before`` was not written.
+    """
+    now = day_files(spark, path, list(before))
+    stale = [d for d, files in before.items() if now.get(d) == files]
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for d in stale:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(day_folder(path, d)), True)
+    return stale
+
+
 def read_daily_conversions(spark: SparkSession, path: str, start: dt.date | None = None,
-                           end: dt.date | None = None) -> DataFrame:
+                           end: dt.date | None = None, schema: T.StructType = DAILY_CONVERSIONS) -> DataFrame:
     """Read the sink back with its declared schema (partition columns typed int).
 
     With ``start``/``end`` only those day directories are read (partition pruning).
+    ``schema``: that of the written rows, where ids are text.
     """
-    df = spark.read.schema(DAILY_CONVERSIONS).parquet(path)
+    df = spark.read.schema(schema).parquet(path)
     if start is not None or end is not None:
         df = df.where(partition_day_predicate(start or dt.date.min, end or dt.date.max, *OUTPUT_PARTITIONS))
-    return df.select(*DAILY_CONVERSIONS.fieldNames())
+    return df.select(*schema.fieldNames())

@@ -94,3 +94,40 @@ def test_append_mode_rerun_duplicates_like_the_job(spark, tmp_path):
     for _ in range(2):
         daily.run(spark, golden.sources(spark), CFG.with_(write_mode="append"), path)
     assert read_daily_conversions(spark, path).count() == 4
+
+
+def test_rerun_clears_a_day_that_became_empty(spark, tmp_path):
+    from adlift.sources.sink import read_daily_conversions
+    path = str(tmp_path / "out")
+    assert daily.run(spark, golden.sources(spark), CFG, path)["days_cleared"] == []
+    src = golden.sources(spark)
+    src.placements = src.placements.where("begintime >= 1727913600000 OR begintime < 1727827200000")
+    again = daily.run(spark, src, CFG, path)
+    assert again["groups"] == 0 and again["days_cleared"] == ["2024-10-02"]
+    assert read_daily_conversions(spark, path).count() == 0
+
+
+def test_timestamp_form_writes_only_its_own_day(spark, tmp_path):
+    """A sale of 10-02 stored in partition 10-01 belongs to 10-02's output alone."""
+    from pyspark.sql import functions as F
+
+    from adlift.sources.sink import read_daily_conversions
+    src = golden.sources(spark)
+    src.sales = src.sales.withColumn("day", F.when(F.col("order_id") == "o6", F.lit("1")).otherwise(F.col("day")))
+    cfg = CFG.with_(sales_date_source="timestamp")
+    path = str(tmp_path / "out")
+    daily.run(spark, src, cfg.with_(start=D2, end=D2), path)
+    daily.run(spark, src, cfg.with_(start=dt.date(2024, 10, 1), end=dt.date(2024, 10, 1)), path)
+    a = read_daily_conversions(spark, path).where("sku = 'A'").collect()
+    got = {r["sales_day"]: (r["sales_date"], r["sales"]) for r in a}
+    # The later run of 10-01 wrote its own day and left 10-02 as it was.
+    assert got[2] == (D2, Decimal("30.50")) and set(got) == {1, 2}
+
+
+def test_run_reports_unreadable_times_and_repeated_ids(spark, tmp_path):
+    from pyspark.sql import functions as F
+    src = golden.sources(spark)
+    src.sales = src.sales.withColumn("timestamp", F.when(F.col("order_id") == "o9", "soon").otherwise(F.col("timestamp")))
+    src.categories = src.categories.unionByName(src.categories)
+    got = daily.run(spark, src, CFG, str(tmp_path / "out"))
+    assert got["sales_without_time"] == 1 and got["repeated_dimension_ids"]["categories"] > 0

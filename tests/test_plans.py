@@ -72,8 +72,8 @@ def test_single_day_equals_all_days(spark):
         assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 
 
-@pytest.mark.parametrize("hot_key_rows", [None, 50])
-def test_hot_key_matches_brute_force(spark, hot_key_rows):
+@pytest.mark.parametrize("salts", [1, 16])
+def test_hot_key_matches_brute_force(spark, salts):
     """A third of all sales and placements on one (day, sku, location); with a
     threshold of 50 rows that key takes the broadcast path."""
     rnd = random.Random(7)
@@ -89,7 +89,7 @@ def test_hot_key_matches_brute_force(spark, hot_key_rows):
         skus, loc = (["H"], 1) if hot else ([f"S{rnd.randrange(20)}"], rnd.randrange(4))
         h, m = rnd.randrange(23), rnd.randrange(60)
         placements.append((f"p{i:04d}", skus, loc, f"{day} {h:02d}:{m:02d}:00", f"{day} {h + rnd.randrange(2):02d}:{m:02d}:30"))
-    st = daily.stages(golden.sources(spark, sales=sales, placements=placements), RunConfig(start=day, end=day, hot_key_rows=hot_key_rows))
+    st = daily.stages(golden.sources(spark, sales=sales, placements=placements), RunConfig(start=day, end=day, join_salts=salts))
     got = sorted((r["order_id"], r["placement_id"]) for r in st.winners.collect())
 
     # Brute force: every (sale, placement) pair of a key, the job's two-branch
@@ -108,14 +108,22 @@ def test_hot_key_matches_brute_force(spark, hot_key_rows):
     assert got == sorted(want) and len(want) > 50
 
 
-@pytest.mark.parametrize("hot_key_rows", [0, 1])
-def test_hot_key_path_gives_same_output(spark, hot_key_rows):
-    """Threshold 0 sends every key through the broadcast path, 1 every repeated key."""
-    src = fixtures.load(spark, SF_SMALL)
-    a = daily.daily_conversions(src, fixture_config(hot_key_rows=None))
-    b = daily.daily_conversions(src, fixture_config(hot_key_rows=hot_key_rows))
-    assert a.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def test_attribution_reads_each_fact_once_and_broadcasts_no_fact(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(daily.stages(fixtures.load(spark, SF_SMALL), fixture_config()).winners)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("events.parquet") == 2 and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("kind", ["double", "string"])
+def test_begin_day_takes_fractions_and_bad_text(spark, kind):
+    last = 1727913599999.5  # 2024-10-02 23:59:59.9995
+    rows = [(str(last),), ("1727827200000",), ("1727913600000",), ("1727827199999",)] + ([("bad",)] if kind == "string" else [])
+    df = spark.createDataFrame(rows, "begintime string").select(F.col("begintime").cast(kind).alias("begintime"))
+    assert daily.begin_day_between(df, dt.date(2024, 10, 2), dt.date(2024, 10, 2)).count() == 2
 
 
 def test_command_line_run(spark, partitioned, tmp_path):
@@ -146,16 +154,37 @@ def test_run_with_no_winners_in_window(spark, partitioned, tmp_path):
     assert got["written"] and got["groups"] == 0 and got["winner_rows"] == 0
 
 
-def test_candidate_counts_hot_path_same(spark):
-    """Threshold 0 sends every (key, second) through the broadcast path."""
+def test_candidate_counts_do_not_depend_on_salts(spark):
     from adlift.operators.attribution import candidate_counts
     st = daily.stages(fixtures.load(spark, SF_SMALL), fixture_config())
-    a = candidate_counts(st.sales_run, st.placements_run, 7200)
-    b = candidate_counts(st.sales_run, st.placements_run, 7200, hot_rows=0)
+    a = candidate_counts(st.sales_run, st.placements_run, 7200, 1)
+    b = candidate_counts(st.sales_run, st.placements_run, 7200, 7)
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_winner_without_ids_does_not_depend_on_input_order(spark):
+    t = ("2024-10-02 08:00:00", "2024-10-02 12:00:00")
+    st = []
+    for flip in (False, True):
+        src = golden.sources(spark, sales=[("o1", "A", 1, "2024-10-02 11:00:00", 1, 1.0)],
+                             placements=[("p1", ["A"], 1, *t), ("p2", ["A"], 1, *t)])
+        offers = F.when((F.col("placement_id") == "p1") == F.lit(flip), "X").otherwise("Y")
+        src.placements = src.placements.withColumn("offerCode", offers).withColumn("campaignid", F.lit(1)) \
+            .withColumn("winningadid", F.lit(1)).withColumn("adgroupid", F.lit(1)).drop("placement_id")
+        st.append(daily.stages(src, RunConfig(start="2024-10-02", end="2024-10-02")).winners.first()["offercode"])
+    assert st == ["Y", "Y"]
+
+
+def test_nothing_stays_persisted(spark, tmp_path):
+    held = lambda: spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    src, before = golden.sources(spark), held()
+    cfg = RunConfig(start="2024-10-02", end="2024-10-03")
+    daily.daily_conversions(src, cfg).count()
+    daily.run(spark, src, cfg, str(tmp_path / "out"))
+    assert held() == before
+
+
 def test_day_loop_equals_one_plan(spark):
     """SURVEY §5.3: the job's day-by-day loop and the one-plan form give the same rows."""
     src = fixtures.load(spark, SF_MID)
@@ -195,7 +224,7 @@ def test_baseline_join_skew_is_split_by_aqe(spark):
         for k, v in settings.items():
             spark.conf.set(k, v)
         src = golden.sources(spark, sales=sales + hist, placements=placements)
-        df = daily.stages(src, RunConfig(start="2024-10-01", end="2024-10-02", hot_key_rows=None)).incremental
+        df = daily.stages(src, RunConfig(start="2024-10-01", end="2024-10-02")).incremental
         assert len(df.collect()) == 6000
         assert "SortMergeJoin(skew=true)" in plan_text(df)
     finally:

@@ -147,10 +147,21 @@ def test_dimension_miss_keeps_row(spark):
     assert len(r) == 1 and r[0]["campaign_name"] is None and r[0]["category_name"] == "Snacks"
 
 
-def test_dimension_size_check_bounds_broadcast(spark):
-    from adlift.operators.enrich import dimension_rows_upto
-    dims = {"small": spark.range(3), "big": spark.range(1000)}
-    assert dimension_rows_upto(dims, 10) == {"small": 3, "big": 11}
+def test_jdbc_options():
+    from adlift.sources.catalog import jdbc_options
+    assert jdbc_options("jdbc:x:y", "ads", {"user": "u"}) == {
+        "url": "jdbc:x:y", "dbtable": "ads", "fetchsize": "10000", "user": "u"}
+    split = jdbc_options("jdbc:x:y", "ads", fetch_size=5, partition_column="id", lower=0, upper=9, partitions=3)
+    assert (split["fetchsize"], split["partitionColumn"], split["numPartitions"]) == ("5", "id", "3")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x:y", "ads", partition_column="id")
+
+
+def test_sub_second_sale_time_is_not_inside_the_grace(spark):
+    from adlift.functions.dates import epoch_seconds_from_text
+    df = spark.createDataFrame([("2024-10-02 15:00:00.5",), ("2024-10-02 15:00:00",), ("x",)], "t string")
+    at = golden.epoch("2024-10-02 15:00:00")
+    assert [r[0] for r in df.select(epoch_seconds_from_text("t")).collect()] == [at + 1, at, None]
 
 
 def test_placements_without_id_column(spark):
