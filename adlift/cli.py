@@ -41,6 +41,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--grace-seconds", type=int, default=7200)
     p.add_argument("--sales-date-source", choices=("parts", "timestamp"), default="parts")
     p.add_argument("--sale-time-format", choices=("epoch", "text"), default="epoch")
+    p.add_argument("--column-owner", action="append", default=[], metavar="COLUMN=TABLE",
+                   help="the table an output column is taken from where several have it (repeatable)")
     p.add_argument("--write-mode", choices=("overwrite", "append"), default="overwrite")
     return p.parse_args(argv)
 
@@ -52,6 +54,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         start=args.start_date, end=args.end_date, lookback_days=args.lookback_days,
         grace_seconds=args.grace_seconds, sales_date_source=args.sales_date_source,
         sale_time_format=args.sale_time_format, write_mode=args.write_mode,
+        column_owners=dict(o.split("=", 1) for o in args.column_owner),
     )
     dims = dict(d.split("=", 1) for d in args.dimension)
     props = {}

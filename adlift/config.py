@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 
 def as_date(value: str | dt.date | dt.datetime) -> dt.date:
@@ -41,6 +41,9 @@ class RunConfig:
     # Refuse to write when a dimension repeats an id (a left join would multiply
     # measures); the job itself does not check, so this is off by default.
     require_unique_dimension_ids: bool = False
+    # Output column -> table it is taken from, where more than one table has it
+    # (see ``adlift.contracts.column_owners``).
+    column_owners: dict[str, str] = field(default_factory=dict)
     # Sink: "overwrite" replaces only the day partitions written (dynamic), "append" adds.
     write_mode: str = "overwrite"
 

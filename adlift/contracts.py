@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 # struct), so inputs are checked for presence and normalised by explicit casts.
 SALES_COLUMNS = (
     "order_id", "sku", "location_id", "units_sold", "sale_amount", "timestamp",
-    "year", "month", "day", "product_name", "state", "city",
+    "year", "month", "day",
 )
 PLACEMENT_COLUMNS = (
     "begintime", "endtime", "locationid", "trackedskus", "winningbidamount", "winningbidprice",
@@ -19,13 +19,18 @@ PLACEMENT_COLUMNS = (
 )
 DIMENSION_COLUMNS = {
     "categories": ("id", "name"),
-    "campaigns": ("id", "name", "daily_budget", "status", "campaign_type"),
+    "campaigns": ("id", "name"),
     "organizations": ("id", "name"),
     "locations": ("id", "name"),
     "ad_groups": ("id", "name"),
     "ads": ("id", "name"),
 }
 
+# The job names these output columns without a table: whichever of the tables joined by
+# then has one, owns it. Fixed values.
+OWNED_COLUMNS = ("product_name", "state", "city", "status", "campaign_type", "daily_budget")
+OWNER_TABLES = ("sales", "placements", "categories", "campaigns", "organizations")
+
 _S, _I, _L = T.StringType(), T.IntegerType(), T.LongType()
 _MONEY = T.DecimalType(10, 2)
 
@@ -77,6 +82,28 @@ def require_columns(df: DataFrame, required, what: str) -> DataFrame:
     return df
 
 
+def column_owners(tables: dict[str, DataFrame], chosen: dict[str, str] | None = None) -> dict[str, str]:
+    """The table each of ``OWNED_COLUMNS`` is taken from, by name.
+
+    A column that several tables have needs a choice (``chosen``: column -> table); one
+    that none has is an error, raised before anything is read.
+    """
+    chosen = dict(chosen or {})
+    unknown = sorted(set(chosen) - set(OWNED_COLUMNS))
+    if unknown:
+        raise ValueError(f"no owner can be chosen for {unknown}; only for {list(OWNED_COLUMNS)}")
+    out = {}
+    for column in OWNED_COLUMNS:
+        have = [t for t in OWNER_TABLES if not missing_columns(tables[t], [column])]
+        if column in chosen and chosen[column] not in have:
+            raise ValueError(f"{chosen[column]!r} was chosen for column {column!r}, which only {have} have")
+        if column not in chosen and len(have) != 1:
+            raise ValueError(f"column {column!r} is in {have or 'none'} of {list(OWNER_TABLES)}; "
+                             "choose one in RunConfig.column_owners")
+        out[column] = chosen.get(column, have[0])
+    return out
+
+
 def schema_mismatches(df: DataFrame, expected: T.StructType) -> list[str]:
     """Q3: differences between ``df``'s schema and a contract (name, type, order)."""
     given = {f.name: f.dataType for f in df.schema.fields}

@@ -49,14 +49,8 @@ def date_from_parts(year="year", month="month", day="day") -> Column:
 
 
 def sales_date_padded(year="sales_year", month="sales_month", day="sales_day") -> Column:
-    """Year + zero-padded month and day parsed as ``yyyyMMdd``."""
-    text = F.concat_ws(
-        "",
-        _c(year).cast("string"),
-        F.lpad(_c(month).cast("string"), 2, "0"),
-        F.lpad(_c(day).cast("string"), 2, "0"),
-    )
-    return F.try_to_date(text, "yyyyMMdd")
+    """The day of the three integer parts; a part that is missing gives null."""
+    return date_from_parts(year, month, day)
 
 
 def epoch_ms_to_seconds(ms: str | Column) -> Column:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlift.contracts import OWNED_COLUMNS
 from adlift.operators.normalize import PLACEMENT_PAYLOAD, SALE_KEYS
 
 # Total order among a key's placements (the job orders by end time only; ties are
@@ -30,20 +31,21 @@ PLACEMENT_ORDER = (
     # them are the same placement for every output.
     *((c, "desc") for c in PLACEMENT_PAYLOAD if c not in ("winningadid", "campaignid", "adgroupid")),
     ("winningbidamount", "desc"), ("winningbidprice", "desc"),
+    *((c, "desc") for c in OWNED_COLUMNS),
 )
 
 # Among several lines of one (day, order, sku, location) the earliest is kept: it is
 # eligible whenever any line is (eligibility is monotone in the sale time).
 LINE_ORDER = (
     ("ts_sec", "asc"), ("units_sold", "desc"), ("sale_amount", "desc"),
-    ("product_name", "asc"), ("state", "asc"), ("city", "asc"),
+    *((c, "asc") for c in OWNED_COLUMNS),
     ("sales_year", "asc"), ("sales_month", "asc"), ("sales_day", "asc"),
 )
 
 
-def ordering(spec) -> list:
-    """Columns for ``orderBy`` from (name, direction) pairs; nulls always last."""
-    return [F.col(c).asc_nulls_last() if d == "asc" else F.col(c).desc_nulls_last() for c, d in spec]
+def ordering(df: DataFrame, spec) -> list:
+    """Columns for ``orderBy`` from (name, direction) pairs that ``df`` has; nulls always last."""
+    return [F.col(c).asc_nulls_last() if d == "asc" else F.col(c).desc_nulls_last() for c, d in spec if c in df.columns]
 
 
 SALE_GRAIN = ("date", "sku", "location_id", "order_id")
@@ -51,7 +53,7 @@ SALE_GRAIN = ("date", "sku", "location_id", "order_id")
 
 def latest_placement(placements_x: DataFrame) -> DataFrame:
     """One row per (date, sku, location_id): the placement that ends last."""
-    w = Window.partitionBy(*SALE_KEYS).orderBy(*ordering(PLACEMENT_ORDER))
+    w = Window.partitionBy(*SALE_KEYS).orderBy(*ordering(placements_x, PLACEMENT_ORDER))
     return placements_x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
@@ -71,7 +73,7 @@ def first_line_per_sale(sales_salted: DataFrame) -> DataFrame:
     The salt is a function of the order id, so adding it to the grain changes no
     group; input partitioned by (date, sku, location_id, _salt) needs no shuffle.
     """
-    w = Window.partitionBy(*SALE_GRAIN, "_salt").orderBy(*ordering(LINE_ORDER))
+    w = Window.partitionBy(*SALE_GRAIN, "_salt").orderBy(*ordering(sales_salted, LINE_ORDER))
     return sales_salted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
@@ -92,10 +94,10 @@ def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int, s
     return joined.where(F.col("end_sec") >= F.col("ts_sec") - F.lit(grace_seconds))
 
 
-def _threshold_counts(lines: DataFrame, placements_x: DataFrame) -> DataFrame:
-    """Per (key, threshold second t): ``m`` lines, ``on_key`` placements of the key
-    and ``at_or_after`` placements ending at or after t. Keys without placements
-    are dropped.
+def _per_second(lines: DataFrame, placements_x: DataFrame) -> DataFrame:
+    """Per (key, second t): ``c`` placements that end at t and ``m`` lines with threshold
+    t (``kind`` 0 and 1), ``on_key`` placements of the key and ``at_or_after`` of them
+    ending at or after t.
 
     Placements are grouped by (key, end second) and lines by (key, t); a running
     count over each key ordered by second gives "placements ending at or after t".
@@ -103,12 +105,11 @@ def _threshold_counts(lines: DataFrame, placements_x: DataFrame) -> DataFrame:
     however hot the key.
     """
     keys = list(SALE_KEYS)
-    ends = placements_x.dropna(subset=keys).groupBy(*keys, F.col("end_sec").alias("t")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
+    zero = F.lit(0).cast("long")
+    ends = placements_x.groupBy(*keys, F.col("end_sec").alias("t")).agg(F.count(F.lit(1)).alias("c"))
     marks = lines.groupBy(*keys, "t").agg(F.count(F.lit(1)).alias("m"))
-    both = ends.select(*keys, "t", F.lit(0).alias("kind"), "c", F.lit(0).cast("long").alias("m")).unionByName(
-        marks.select(*keys, "t", F.lit(1).alias("kind"), F.lit(0).cast("long").alias("c"), "m")
+    both = ends.select(*keys, "t", F.lit(0).alias("kind"), "c", zero.alias("m")).unionByName(
+        marks.select(*keys, "t", F.lit(1).alias("kind"), zero.alias("c"), "m")
     )
     # Placement rows sort before threshold rows of the same second (end >= t is
     # inclusive); null ends sort last, so they pair but are never in the window.
@@ -116,17 +117,16 @@ def _threshold_counts(lines: DataFrame, placements_x: DataFrame) -> DataFrame:
         Window.unboundedPreceding, Window.currentRow
     )
     counted = both.select(
-        *keys, "t", "kind", "m",
+        *keys, "t", "kind", "c", "m",
         F.sum("c").over(running).alias("at_or_after"),
         F.sum("c").over(Window.partitionBy(*keys)).alias("on_key"),
-    ).where((F.col("kind") == 1) & (F.col("on_key") > 0))
+    )
     # A line without a time still pairs with its key's placements but is never in window.
-    in_window = F.when(F.col("t").isNull(), F.lit(0)).otherwise(F.col("at_or_after"))
-    return counted.select(*keys, "t", "m", "on_key", in_window.alias("at_or_after"))
+    return counted.withColumn("at_or_after", F.when(F.col("t").isNull(), F.lit(0)).otherwise(F.col("at_or_after")))
 
 
 def _threshold_lines(sales_n: DataFrame, grace_seconds: int) -> DataFrame:
-    return sales_n.dropna(subset=list(SALE_KEYS)).select(
+    return sales_n.select(
         *SALE_GRAIN, (F.col("ts_sec") - F.lit(grace_seconds)).alias("t")
     )
 
@@ -141,13 +141,14 @@ def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds:
 
     ``n_pairs``: (line, placement) pairs on the same key, the equi-join's size.
     ``n_in_window``: those that pass the time test, the interval join's size.
-    Counted without forming pairs (see ``_threshold_counts``), then joined back to
+    Counted without forming pairs (see ``_per_second``), then joined back to
     the lines on (key, second, salt): a hot second is spread by order id and meets a
     copy of its one count row per salt.
     """
     keys = list(SALE_KEYS)
-    lines = _threshold_lines(sales_n, grace_seconds)
-    counted = _threshold_counts(lines, placements_x).select(
+    lines = _threshold_lines(sales_n.dropna(subset=keys), grace_seconds)
+    marks = _per_second(lines, placements_x.dropna(subset=keys)).where((F.col("kind") == 1) & (F.col("on_key") > 0))
+    counted = marks.select(
         *keys, F.coalesce("t", F.lit(_NO_TIME)).alias("tk"),
         F.col("on_key").alias("pairs"), F.col("at_or_after").alias("in_window"),
     )
@@ -159,11 +160,16 @@ def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds:
     )
 
 
-def candidate_totals_by_day(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
-    """Per day: total pairs and in-window pairs, straight from the per-second
-    counts weighted by the lines at each second (no per-line join)."""
-    counted = _threshold_counts(_threshold_lines(sales_n, grace_seconds), placements_x)
+def funnel_by_day(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
+    """Per day: sale rows, placement rows, pairs and in-window pairs, all from the
+    per-second counts (one read of each fact, no per-line join).
+
+    Rows without a SKU or location are counted but pair with nothing.
+    """
+    counted = _per_second(_threshold_lines(sales_n, grace_seconds), placements_x)
+    pairing = (F.col("kind") == 1) & F.col("sku").isNotNull() & F.col("location_id").isNotNull()
+    per_line = lambda n: F.sum(F.when(pairing, F.col("m") * F.col(n)).otherwise(0)).cast("long")
     return counted.groupBy("date").agg(
-        F.sum(F.col("m") * F.col("on_key")).cast("long").alias("n_pairs"),
-        F.sum(F.col("m") * F.col("at_or_after")).cast("long").alias("n_in_window"),
+        F.sum("m").alias("n_sales"), F.sum("c").alias("n_ads"),
+        per_line("on_key").alias("n_pairs"), per_line("at_or_after").alias("n_in_window"),
     )

@@ -25,6 +25,12 @@ DIMENSION_JOINS = (
 )
 
 
+def dimension_joins(owners: dict[str, str]) -> tuple:
+    """``DIMENSION_JOINS`` for the tables that own the output columns (``contracts.column_owners``)."""
+    return tuple((name, key, {"name": columns["name"], **{c: c for c, table in owners.items() if table == name}})
+                 for name, key, columns in DIMENSION_JOINS)
+
+
 def projected_dimension(dim: DataFrame, columns: dict[str, str], id_alias: str) -> DataFrame:
     return dim.select(F.col("id").alias(id_alias), *[F.col(src).alias(dst) for src, dst in columns.items()])
 
@@ -36,15 +42,16 @@ def id_match(fact, fact_type: T.DataType, dim, dim_type: T.DataType):
     return fact == dim
 
 
-def enrich(facts: DataFrame, dims: dict[str, DataFrame], only: tuple[str, ...] | None = None) -> DataFrame:
+def enrich(facts: DataFrame, dims: dict[str, DataFrame], only: tuple[str, ...] | None = None,
+           joins: tuple = DIMENSION_JOINS) -> DataFrame:
     """Left-join the dimensions named in ``only`` (default: all six), in job order.
 
     No hints: the planner broadcasts a side whose size it knows to be small, and AQE
     one that turns out to be.
     """
     out = facts
-    for name, fact_key, columns in (j for j in DIMENSION_JOINS if only is None or j[0] in only):
-        require_columns(dims[name], DIMENSION_COLUMNS[name], name)
+    for name, fact_key, columns in (j for j in joins if only is None or j[0] in only):
+        require_columns(dims[name], (*DIMENSION_COLUMNS[name], *columns), name)
         key = f"_{name}_id"
         side = projected_dimension(dims[name], columns, key)
         match = id_match(out[fact_key], out.schema[fact_key].dataType, side[key], side.schema[key].dataType)

@@ -1,8 +1,8 @@
 """Input normalisation: one typed, narrow row shape per fact.
 
 Normalised sales: order_id, sku (string), location_id, units_sold, sale_amount
-(double), ts_sec (epoch seconds), date, sales_year/month/day (int), product_name,
-state, city.
+(double), ts_sec (epoch seconds), date, sales_year/month/day (int) and the output
+columns that sales own (by default product_name, state, city).
 
 Normalised placements, one row per tracked SKU: placement_id, date (UTC day of the
 begin time), sku, location_id, begin_sec, end_sec, bid amounts and the ids and
@@ -35,11 +35,15 @@ PLACEMENT_PAYLOAD = (
 )
 
 
+# Output columns that sales usually own (see ``contracts.column_owners``).
+SALES_OWNED = ("product_name", "state", "city")
+
+
 def sale_seconds(cfg: RunConfig):
     return epoch_seconds_from_text("timestamp") if cfg.sale_time_format == "text" else epoch_seconds_from_value("timestamp")
 
 
-def normalize_sales(sales: DataFrame, cfg: RunConfig) -> DataFrame:
+def normalize_sales(sales: DataFrame, cfg: RunConfig, owned: tuple[str, ...] = SALES_OWNED) -> DataFrame:
     """Typed sales rows.
 
     ``date`` comes from the partition parts (default) or from the sale time.
@@ -67,13 +71,11 @@ def normalize_sales(sales: DataFrame, cfg: RunConfig) -> DataFrame:
         ts.alias("ts_sec"),
         day.alias("date"),
         *parts,
-        F.col("product_name"),
-        F.col("state"),
-        F.col("city"),
+        *[F.col(c).alias(c) for c in owned],
     )
 
 
-def placement_times(placements: DataFrame) -> DataFrame:
+def placement_times(placements: DataFrame, owned: tuple[str, ...] = ()) -> DataFrame:
     """begin/end as epoch seconds and the begin day, before exploding."""
     require_columns(placements, PLACEMENT_COLUMNS, "placements")
     pid = F.col("placement_id") if "placement_id" in [c.lower() for c in placements.columns] else F.lit(None).cast("long")
@@ -87,7 +89,7 @@ def placement_times(placements: DataFrame) -> DataFrame:
         F.col("trackedskus"),
         resolve_choice(placements, "winningbidamount").alias("winningbidamount"),
         resolve_choice(placements, "winningbidprice").alias("winningbidprice"),
-        *[F.col(c).alias(c) for c in PLACEMENT_PAYLOAD],
+        *[F.col(c).alias(c) for c in (*PLACEMENT_PAYLOAD, *owned)],
         # Partition parts keep a placement_ prefix so they never clash with sales.
         F.col("year").alias("placement_year"),
         F.col("month").alias("placement_month"),
@@ -104,8 +106,8 @@ def explode_tracked_skus(placements_timed: DataFrame) -> DataFrame:
     )
 
 
-def normalize_placements(placements: DataFrame) -> DataFrame:
-    return explode_tracked_skus(placement_times(placements))
+def normalize_placements(placements: DataFrame, owned: tuple[str, ...] = ()) -> DataFrame:
+    return explode_tracked_skus(placement_times(placements, owned))
 
 
 def placement_keys(placements: DataFrame) -> DataFrame:

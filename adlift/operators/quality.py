@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlift.config import RunConfig
+from adlift.operators.normalize import SALE_KEYS
 from adlift.plans.calendar import run_calendar
 
 
@@ -84,28 +85,17 @@ def dimension_coverage(facts: DataFrame, dims: dict[str, DataFrame], joins) -> D
         for c in ("fact_ids", "unmatched_ids", "dimension_rows", "duplicate_ids")])
 
 
-def stage_counts(spark: SparkSession, cfg: RunConfig, sales_run: DataFrame, placements_run: DataFrame,
-                 pair_totals: DataFrame, winners: DataFrame, gated: DataFrame) -> DataFrame:
+def stage_counts(spark: SparkSession, cfg: RunConfig, funnel: DataFrame, winners: DataFrame,
+                 gated: DataFrame) -> DataFrame:
     """Q4/A4: the funnel per run day: sales, ads, pairs, in-window pairs, winners.
 
-    Every input is first reduced to one row per day (``pair_totals`` already is:
-    see ``attribution.candidate_totals_by_day``), so the joins here are over at
-    most ``cfg.n_days`` rows a side.
+    Every input is at most one row per day (``funnel``: ``attribution.funnel_by_day``),
+    so the joins here are over at most ``cfg.n_days`` rows a side.
     """
-    def per_day(df: DataFrame, measure, name: str) -> DataFrame:
-        return df.groupBy("date").agg(measure.alias(name))
-
-    one = F.count(F.lit(1))
-    parts = [
-        per_day(sales_run, one, "n_sales"),
-        per_day(placements_run, one, "n_ads"),
-        pair_totals.select("date", "n_pairs", "n_in_window"),
-        per_day(winners, one, "n_winners"),
-    ]
+    won = winners.groupBy("date").agg(F.count(F.lit(1)).alias("n_winners"))
     out = run_calendar(spark, cfg)
-    for p in parts:
+    for p in (funnel, won, gated.withColumn("has_baseline", F.lit(True))):
         out = out.join(F.broadcast(p), "date", "left")
-    out = out.join(F.broadcast(gated.withColumn("has_baseline", F.lit(True))), "date", "left")
     return out.select(
         "date",
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_sales", "n_ads", "n_pairs", "n_in_window", "n_winners")],
@@ -113,6 +103,39 @@ def stage_counts(spark: SparkSession, cfg: RunConfig, sales_run: DataFrame, plac
     )
 
 
+def baseline_profile(spark: SparkSession, cfg: RunConfig, sales: DataFrame, placements_x: DataFrame,
+                     baseline: DataFrame) -> DataFrame:
+    """Q1/A4: what each run day's baseline rests on, one row per run day: earliest day and
+    rows of sales and of (exploded) placements in its history, sales without an ad, and
+    SKUs that got a baseline.
+
+    Both facts are counted by (date, sku, location) first, so a hot key is one row of the
+    join that tells sales with an ad from those without; null keys match nothing. The
+    join's result is summed to history days, and each of those (at most lookback + run
+    days) is copied to the run days it feeds.
+    """
+    keys = list(SALE_KEYS)
+    lo, hi = F.lit(cfg.read_start), F.lit(cfg.history_end)
+    count = lambda df, n: df.where(F.col("date").between(lo, hi)).groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    by_key = count(sales, "s").join(count(placements_x, "p"), keys, "full_outer")
+    by_day = by_key.groupBy("date").agg(
+        F.sum("s").alias("s"), F.sum("p").alias("p"),
+        F.sum(F.when(F.col("p").isNull(), F.col("s"))).alias("no_ad"),
+        F.min(F.when(F.col("s").isNotNull(), F.col("date"))).alias("s_day"),
+        F.min(F.when(F.col("p").isNotNull(), F.col("date"))).alias("p_day"))
+    first = F.greatest(F.date_add("date", 1), F.lit(cfg.start))
+    last = F.least(F.date_add("date", cfg.lookback_days), F.lit(cfg.end))
+    fed = by_day.where(first <= last).select(F.explode(F.sequence(first, last)).alias("day"), "s", "p", "no_ad", "s_day", "p_day")
+    history = fed.groupBy(F.col("day").alias("date")).agg(
+        F.min("s_day").alias("earliest_sale"), F.sum("s").alias("n_sales"),
+        F.min("p_day").alias("earliest_ad"), F.sum("p").alias("n_ads"), F.sum("no_ad").alias("n_sales_without_ads"))
+    skus = baseline.groupBy("date").agg(F.count(F.lit(1)).alias("n_baseline_skus"))
+    out = run_calendar(spark, cfg).join(F.broadcast(history), "date", "left").join(F.broadcast(skus), "date", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return out.select("date", "earliest_sale", zero("n_sales"), "earliest_ad", zero("n_ads"),
+                      zero("n_sales_without_ads"), zero("n_baseline_skus"))
+
+
 def sample_rows(df: DataFrame, order: list[str], n: int = 2) -> DataFrame:
     """L1: ``n`` rows, first by ``order`` so the sample repeats run to run.
 

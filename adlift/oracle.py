@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from adlift.config import fixture_config
-from adlift.queries import SCAN_END, SCAN_START, SINGLE_DAY
+from adlift.queries import EMPTIED_DAY, SCAN_END, SCAN_START, SINGLE_DAY
 from adlift.sources.fixtures import ORACLE_CTES
 
 _CFG = fixture_config()
@@ -243,6 +243,20 @@ SELECT date, order_id, sku, location_id, units_sold, sale_amount,
 FROM inc""",
     "daily_conversions": _with(FULL) + DAILY_CONVERSIONS,
     "daily_conversions_20key": _with(FULL) + DAILY_CONVERSIONS_20,
+    "daily_conversions_owner": _with(FULL.replace(
+        "i.*,", "i.* EXCLUDE (state, city), 'State of ' || org.name AS state, 'City of ' || org.name AS city,"))
+                               + DAILY_CONVERSIONS,
+    "sink_rerun_timestamp_form": _with(FULL) + DAILY_CONVERSIONS,
+    "sink_rerun_emptied_day": _with(FULL) + f"SELECT * FROM ({DAILY_CONVERSIONS}) WHERE sales_date <> {_d(EMPTIED_DAY)}",
+    "baseline_profile": _with(BASELINE) + f"""
+SELECT c.date,
+       (SELECT min(s.date) FROM sales s WHERE s.date BETWEEN c.date - {BACK} AND c.date - 1) AS earliest_sale,
+       (SELECT count(*) FROM sales s WHERE s.date BETWEEN c.date - {BACK} AND c.date - 1) AS n_sales,
+       (SELECT min(p.date) FROM placements_x p WHERE p.date BETWEEN c.date - {BACK} AND c.date - 1) AS earliest_ad,
+       (SELECT count(*) FROM placements_x p WHERE p.date BETWEEN c.date - {BACK} AND c.date - 1) AS n_ads,
+       (SELECT count(*) FROM nad n WHERE n.date BETWEEN c.date - {BACK} AND c.date - 1) AS n_sales_without_ads,
+       (SELECT count(*) FROM baseline b WHERE b.date = c.date) AS n_baseline_skus
+FROM cal c""",
     "source_profile": _with() + f"""
 SELECT 'sales' AS source, count(*) AS n_rows, min(date) AS min_date, max(date) AS max_date
 FROM sales WHERE date BETWEEN {READ_START} AND {END}

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlift.config import RunConfig
-from adlift.contracts import DAILY_CONVERSIONS, schema_mismatches
+from adlift.contracts import DAILY_CONVERSIONS, OWNED_COLUMNS, OWNER_TABLES, column_owners, schema_mismatches
 from adlift.operators.attribution import attribute
 from adlift.operators.baseline import baseline_by_day, gated_days
-from adlift.operators.enrich import enrich
+from adlift.operators.enrich import dimension_joins, enrich
 from adlift.functions.dates import epoch_ms_to_seconds
 from adlift.operators.metrics import daily_sums, daily_sums_20key, incremental_rows, sums_by_ids
 from adlift.operators.normalize import normalize_placements, normalize_sales, placement_keys
@@ -59,6 +59,7 @@ class Stages:
     sales           normalised sales, history + run days
     sales_run       normalised sales on run days
     placements_run  exploded placements that begin on run days
+    placements_history  exploded placements that begin on history days
     ad_keys         distinct (date, sku, location) with a placement, history days
     winners         sale lines with their credited placement (before the gate)
     baseline        (date, sku) -> averages, run days
@@ -79,9 +80,17 @@ class Stages:
     def _raw_placements(self) -> DataFrame:
         return scan_date_range(self.sources.placements, self.cfg.read_start, self.cfg.end)
 
+    @cached_property
+    def owners(self) -> dict[str, str]:
+        """The table each output column named without one is taken from."""
+        return column_owners({t: getattr(self.sources, t) for t in OWNER_TABLES}, self.cfg.column_owners)
+
+    def _owned_by(self, table: str) -> tuple[str, ...]:
+        return tuple(c for c in OWNED_COLUMNS if self.owners[c] == table)
+
     @cached_property
     def sales(self) -> DataFrame:
-        return normalize_sales(self._raw_sales, self.cfg)
+        return normalize_sales(self._raw_sales, self.cfg, self._owned_by("sales"))
 
     @cached_property
     def sales_run(self) -> DataFrame:
@@ -89,7 +98,12 @@ class Stages:
 
     @cached_property
     def placements_run(self) -> DataFrame:
-        return normalize_placements(begin_day_between(self._raw_placements, self.cfg.start, self.cfg.end))
+        rows = begin_day_between(self._raw_placements, self.cfg.start, self.cfg.end)
+        return normalize_placements(rows, self._owned_by("placements"))
+
+    @cached_property
+    def placements_history(self) -> DataFrame:
+        return normalize_placements(begin_day_between(self._raw_placements, self.cfg.read_start, self.cfg.history_end))
 
     @cached_property
     def ad_keys(self) -> DataFrame:
@@ -139,7 +153,8 @@ class Stages:
 
     def enriched(self, incremental: DataFrame | None = None) -> DataFrame:
         """Increments summed by ids, with the dimension names of those groups."""
-        return enrich(sums_by_ids(self.incremental if incremental is None else incremental), self.dims)
+        sums = sums_by_ids(self.incremental if incremental is None else incremental)
+        return enrich(sums, self.dims, joins=dimension_joins(self.owners))
 
 
 def stages(sources: Sources, cfg: RunConfig, persist: bool = False) -> Stages:

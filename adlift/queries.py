@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from adlift.config import RunConfig, fixture_config
 from adlift.functions.dates import (
+    date_from_epoch_seconds,
     date_from_parts,
     date_from_text_time,
+    epoch_ms_to_seconds,
     epoch_seconds_from_text,
     epoch_seconds_from_value,
     sales_date_padded,
@@ -45,6 +47,8 @@ SCAN_START, SCAN_END = dt.date(2024, 1, 8), dt.date(2024, 1, 21)
 # The day of the single-day baseline query: the last run day, whose 60-day
 # history covers every earlier day of the data.
 SINGLE_DAY = dt.date(2024, 1, 30)
+# The day that the rerun queries write again.
+EMPTIED_DAY = dt.date(2024, 1, 15)
 
 
 def _cfg() -> RunConfig:
@@ -99,7 +103,7 @@ def _dim_query(name):
 
 def q_sink_roundtrip(spark, sf_dir):
     out = daily_sums(_stages(spark, sf_dir).enriched())
-    path = f"{checkpoint_dir(spark).rstrip('/')}/adlift-sink-{uuid.uuid4().hex}"
+    path = _output_folder(spark, "sink")
     write_daily_conversions(out, path, "overwrite")
     # Writing the same range again replaces those day partitions, adds nothing.
     write_daily_conversions(out, path, "overwrite")
@@ -264,6 +268,44 @@ def q_daily_conversions_text_ids(spark, sf_dir):
     return daily.daily_conversions(text, _cfg())
 
 
+def q_daily_conversions_owner(spark, sf_dir):
+    src = _setup(spark, sf_dir)
+    seat = lambda prefix: F.concat(F.lit(prefix), F.col("name"))
+    moved = dataclasses.replace(
+        src, sales=src.sales.drop("state", "city"),
+        organizations=src.organizations.withColumns({"state": seat("State of "), "city": seat("City of ")}))
+    return daily.daily_conversions(moved, _cfg())
+
+
+def _output_folder(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/adlift-{name}-{uuid.uuid4().hex}"
+
+
+def q_sink_rerun_timestamp_form(spark, sf_dir):
+    """Every fifth sale is stored a day before its time; its output stays on its own day."""
+    src = _setup(spark, sf_dir)
+    stored = F.date_sub(date_from_parts("year", "month", "day"), F.when(F.col("order_id") % 5 == 0, 1).otherwise(0))
+    late = src.sales.withColumn("_stored", stored).withColumns({
+        "year": F.year("_stored"), "month": F.month("_stored"), "day": F.dayofmonth("_stored")}).drop("_stored")
+    src = dataclasses.replace(src, sales=late)
+    cfg = _cfg().with_(sales_date_source="timestamp")
+    path = _output_folder(spark, "rerun-timestamp")
+    daily.run(spark, src, cfg, path)
+    daily.run(spark, src, cfg.with_(start=EMPTIED_DAY, end=EMPTIED_DAY), path)
+    return read_daily_conversions(spark, path)
+
+
+def q_sink_rerun_emptied_day(spark, sf_dir):
+    """A rerun of two days, one of which has lost its placements."""
+    src, cfg = _setup(spark, sf_dir), _cfg()
+    path = _output_folder(spark, "rerun-emptied")
+    daily.run(spark, src, cfg, path)
+    begin = date_from_epoch_seconds(epoch_ms_to_seconds("begintime"))
+    lost = dataclasses.replace(src, placements=src.placements.where(begin != F.lit(EMPTIED_DAY)))
+    daily.run(spark, lost, cfg.with_(start=EMPTIED_DAY - dt.timedelta(days=1), end=EMPTIED_DAY), path)
+    return read_daily_conversions(spark, path)
+
+
 # ---- quality reports -----------------------------------------------------------
 
 def q_source_profile(spark, sf_dir):
@@ -275,8 +317,13 @@ def q_source_profile(spark, sf_dir):
 
 def q_stage_counts(spark, sf_dir):
     s = _stages(spark, sf_dir)
-    totals = attribution.candidate_totals_by_day(s.sales_run, s.placements_run, s.cfg.grace_seconds)
-    return quality.stage_counts(spark, s.cfg, s.sales_run, s.placements_run, totals, s.winners, s.gated)
+    funnel = attribution.funnel_by_day(s.sales_run, s.placements_run, s.cfg.grace_seconds)
+    return quality.stage_counts(spark, s.cfg, funnel, s.winners, s.gated)
+
+
+def q_baseline_profile(spark, sf_dir):
+    s = _stages(spark, sf_dir)
+    return quality.baseline_profile(spark, s.cfg, s.sales, s.placements_history, s.baseline)
 
 
 def q_campaign_id_coverage(spark, sf_dir):
@@ -325,7 +372,11 @@ QUERIES = {
     "sale_timestamp_numeric": q_sale_timestamp_numeric,
     "attribution_winner_no_placement_id": q_attribution_winner_no_placement_id,
     "daily_conversions_text_ids": q_daily_conversions_text_ids,
+    "daily_conversions_owner": q_daily_conversions_owner,
+    "sink_rerun_timestamp_form": q_sink_rerun_timestamp_form,
+    "sink_rerun_emptied_day": q_sink_rerun_emptied_day,
     "source_profile": q_source_profile,
+    "baseline_profile": q_baseline_profile,
     "stage_counts": q_stage_counts,
     "campaign_id_coverage": q_campaign_id_coverage,
     "dimension_coverage": q_dimension_coverage,

@@ -131,3 +131,67 @@ def test_run_reports_unreadable_times_and_repeated_ids(spark, tmp_path):
     src.categories = src.categories.unionByName(src.categories)
     got = daily.run(spark, src, CFG, str(tmp_path / "out"))
     assert got["sales_without_time"] == 1 and got["repeated_dimension_ids"]["categories"] > 0
+
+
+def test_columns_come_from_whichever_table_has_them(spark):
+    from pyspark.sql import functions as F
+    src = golden.sources(spark)
+    src.sales = src.sales.drop("state", "city").withColumn("status", F.lit("from sales"))
+    src.organizations = src.organizations.withColumns({"state": F.lit("OR"), "city": F.lit("Portland")})
+    src.campaigns = src.campaigns.drop("campaign_type")
+    src.placements = src.placements.withColumn("campaign_type", F.lit("from placements"))
+    with pytest.raises(ValueError, match="'status'.*'sales', 'campaigns'"):
+        daily.daily_conversions(src, CFG)
+    a = daily.daily_conversions(src, CFG.with_(column_owners={"status": "sales"})).where("sku = 'A'").first()
+    assert (a["state"], a["city"]) == ("OR", "Portland")
+    assert (a["status"], a["campaign_type"], a["product_name"]) == ("from sales", "from placements", "product A")
+    assert (a["units_sold"], a["sales"], a["daily_budget"]) == (2, Decimal("30.50"), Decimal("53.00"))
+    by_campaign = daily.daily_conversions(src, CFG.with_(column_owners={"status": "campaigns"}))
+    assert by_campaign.where("sku = 'A'").first()["status"] == "active"
+
+
+def test_missing_or_wrongly_chosen_owner_is_an_error(spark):
+    src = golden.sources(spark)
+    with pytest.raises(ValueError, match="only \\['sales'\\] have"):
+        daily.daily_conversions(src, CFG.with_(column_owners={"city": "campaigns"}))
+    with pytest.raises(ValueError, match="no owner can be chosen"):
+        daily.daily_conversions(src, CFG.with_(column_owners={"sku": "sales"}))
+    src.sales = src.sales.drop("city")
+    with pytest.raises(ValueError, match="'city' is in none"):
+        daily.daily_conversions(src, CFG)
+
+
+def test_baseline_profile(spark):
+    from adlift.operators.quality import baseline_profile
+    # A sale without a SKU matches no ad: it is history, and history without an ad.
+    sales = [*golden.SALES, ("o11", None, 1, "2024-10-01 09:00:00", 1, 1.0)]
+    st = daily.stages(golden.sources(spark, sales=sales), CFG)
+    got = {r["date"]: tuple(r)[1:] for r in
+           baseline_profile(spark, CFG, st.sales, st.placements_history, st.baseline).collect()}
+    first, ads = dt.date(2024, 9, 27), dt.date(2024, 10, 1)
+    assert got == {D2: (first, 6, ads, 1, 5, 2), D3: (first, 11, ads, 5, 6, 2)}
+
+
+def test_baseline_profile_without_history(spark):
+    from adlift.operators.quality import baseline_profile
+    cfg = CFG.with_(start=dt.date(2023, 1, 1), end=dt.date(2023, 1, 1))
+    st = daily.stages(golden.sources(spark), cfg)
+    rows = baseline_profile(spark, cfg, st.sales, st.placements_history, st.baseline).collect()
+    assert [tuple(r) for r in rows] == [(cfg.start, None, 0, None, 0, 0, 0)]
+
+
+def test_stage_counts_count_rows_without_a_key_but_pair_none(spark):
+    from adlift.operators.attribution import funnel_by_day
+    day = "2024-10-02"
+    sales = [*golden.SALES, ("o11", None, 1, f"{day} 10:00:00", 1, 1.0), ("o12", "A", None, f"{day} 10:00:00", 1, 1.0)]
+    ads = [*golden.PLACEMENTS, ("p6", [None], 1, f"{day} 09:00:00", f"{day} 11:00:00"),
+           ("p7", ["A"], None, f"{day} 09:00:00", f"{day} 11:00:00")]
+    counts = {}
+    for name, (s, p) in {"plain": (golden.SALES, golden.PLACEMENTS), "nulls": (sales, ads)}.items():
+        st = daily.stages(golden.sources(spark, sales=s, placements=p), CFG)
+        r = funnel_by_day(st.sales_run, st.placements_run, CFG.grace_seconds).where(f"date = '{day}'").first()
+        counts[name] = (r["n_sales"], r["n_ads"], r["n_pairs"], r["n_in_window"])
+    # o6, o7, o8 meet p1, p2 and p3, o9 meets p1; p2 ended over two hours before o7 and o8,
+    # p1 before o7, and p3 (13:00) one second too early for o7.
+    assert counts["plain"] == (5, 4, 10, 6)
+    assert counts["nulls"] == (7, 6, 10, 6)

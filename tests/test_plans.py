@@ -74,8 +74,7 @@ def test_single_day_equals_all_days(spark):
 
 @pytest.mark.parametrize("salts", [1, 16])
 def test_hot_key_matches_brute_force(spark, salts):
-    """A third of all sales and placements on one (day, sku, location); with a
-    threshold of 50 rows that key takes the broadcast path."""
+    """A third of all sales and placements on one (day, sku, location)."""
     rnd = random.Random(7)
     day = "2024-10-02"
     sales, placements = [], []
@@ -118,6 +117,14 @@ def test_attribution_reads_each_fact_once_and_broadcasts_no_fact(spark):
     assert plan.count("events.parquet") == 2 and "Broadcast" not in plan
 
 
+@pytest.mark.parametrize("name, reads", [("dimension_coverage", 1), ("stage_counts", 3), ("baseline_profile", 2)])
+def test_reports_read_each_fact_a_fixed_number_of_times(spark, name, reads):
+    """Coverage from the winners alone; the funnel from one aggregate, the winners and the baseline."""
+    from adlift.queries import QUERIES
+    plan = plan_text(QUERIES[name](spark, SF_SMALL))
+    assert plan.count("events.parquet") == 2 * reads
+
+
 @pytest.mark.parametrize("kind", ["double", "string"])
 def test_begin_day_takes_fractions_and_bad_text(spark, kind):
     last = 1727913599999.5  # 2024-10-02 23:59:59.9995
