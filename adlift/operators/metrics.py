@@ -49,9 +49,13 @@ GROUP_KEYS_20 = tuple(k for k in GROUP_KEYS if k[1] not in ("sales_date", "sales
 def incremental_rows(attributed: DataFrame, baseline: DataFrame) -> DataFrame:
     """J9 + N18/N19: per attributed sale, units and amount above the baseline, >= 0.
 
-    A SKU without a baseline that day keeps its row with increments 0.
+    A SKU without a baseline that day keeps its row with increments 0. SKUs meet
+    null-safely: attributed rows have no null SKU, so it changes no row, and no null
+    filter goes into the baseline's plan, which stays the one that the day gate reads.
     """
-    j = attributed.join(baseline, ["date", "sku"], "left")
+    side = baseline.withColumnsRenamed({"date": "_date", "sku": "_sku"})
+    match = (attributed["date"] == side["_date"]) & attributed["sku"].eqNullSafe(side["_sku"])
+    j = attributed.join(side, match, "left").drop("_date", "_sku")
     return j.withColumns({
         "incremental_units_sold": clamped_increment("units_sold", "avg_units_sold_no_ad_traffic"),
         "incremental_sales": clamped_increment("sale_amount", "avg_sales_no_ad_traffic"),

@@ -15,7 +15,6 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,10 +66,8 @@ class Stages:
     incremental     gated winners + baseline + clamped increments
     """
 
-    def __init__(self, sources: Sources, cfg: RunConfig, persist: bool = False):
-        """``persist``: keep the baseline while plans run; the owner must ``release()`` it."""
-        self.sources, self.cfg, self.persist = sources, cfg, persist
-        self._persisted: list[DataFrame] = []
+    def __init__(self, sources: Sources, cfg: RunConfig):
+        self.sources, self.cfg = sources, cfg
 
     @cached_property
     def _raw_sales(self) -> DataFrame:
@@ -121,44 +118,26 @@ class Stages:
     def gated(self) -> DataFrame:
         return gated_days(self.baseline)
 
-    @property
-    def incremental(self) -> DataFrame:
-        # The baseline feeds two consumers here, the day gate and the join. Column
-        # pruning makes their subtrees differ, so without persisting, the whole
-        # history branch (scan, anti-join, windows) would run twice. It holds at
-        # most (run days x SKUs) rows; lost blocks are recomputed from lineage.
-        # Persisting is renewed on every use, so a cleared cache is rebuilt once
-        # instead of silently computing the baseline twice.
-        if self.persist and self.baseline.storageLevel == StorageLevel.NONE:
-            self.baseline.persist(StorageLevel.MEMORY_AND_DISK)
-            self._persisted.append(self.baseline)
-        return self._incremental
-
     @cached_property
-    def _incremental(self) -> DataFrame:
-        base = self.baseline
+    def incremental(self) -> DataFrame:
+        # The baseline feeds the day gate and the join; both keep its plan as it is, so
+        # its shuffle is written once and read twice (ReusedExchange), nothing persisted.
         # The gate table has at most one row per run day: a size bound from the config.
-        kept = self.winners.join(F.broadcast(gated_days(base)), "date", "left_semi")
-        return incremental_rows(kept, base)
+        kept = self.winners.join(F.broadcast(self.gated), "date", "left_semi")
+        return incremental_rows(kept, self.baseline)
 
     @cached_property
     def dims(self) -> dict:
         return {name: self.sources.dimension(name) for name in DIMENSIONS}
 
-    def release(self) -> None:
-        """Drop persisted intermediates once the run's action has finished."""
-        for df in self._persisted:
-            df.unpersist()
-        self._persisted.clear()
-
     def enriched(self, incremental: DataFrame | None = None) -> DataFrame:
         """Increments summed by ids, with the dimension names of those groups."""
         sums = sums_by_ids(self.incremental if incremental is None else incremental)
         return enrich(sums, self.dims, joins=dimension_joins(self.owners))
 
 
-def stages(sources: Sources, cfg: RunConfig, persist: bool = False) -> Stages:
-    return Stages(sources, cfg, persist)
+def stages(sources: Sources, cfg: RunConfig) -> Stages:
+    return Stages(sources, cfg)
 
 
 def daily_conversions(sources: Sources, cfg: RunConfig) -> DataFrame:
@@ -177,7 +156,7 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
     Empty sales or placements in the read window end the run with no output
     (the job's empty-source guard), instead of stopping the process.
     """
-    s = stages(sources, cfg, persist=True)
+    s = stages(sources, cfg)
     if is_empty(s.sales) or is_empty(s._raw_placements):
         return {"written": False, "reason": "no sales or no placements in the read window"}
     if cfg.require_unique_dimension_ids:
@@ -186,17 +165,14 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
             raise ValueError(f"dimensions with repeated ids (would multiply measures): {repeated}")
     days = [cfg.start + dt.timedelta(days=i) for i in range(cfg.n_days)]
     seen = Observation("winners")
-    try:
-        observed = s.incremental.observe(seen, F.count(F.lit(1)).alias("winner_rows"))
-        out = daily_sums(s.enriched(incremental=observed))
-        # Q3: the output must match the declared contract before anything is written.
-        mismatches = schema_mismatches(out, DAILY_CONVERSIONS)
-        if mismatches:
-            raise ValueError(f"output schema differs from the contract: {mismatches}")
-        before = day_files(spark, output_path, days)
-        write_daily_conversions(out, output_path, cfg.write_mode)
-    finally:
-        s.release()
+    observed = s.incremental.observe(seen, F.count(F.lit(1)).alias("winner_rows"))
+    out = daily_sums(s.enriched(incremental=observed))
+    # Q3: the output must match the declared contract before anything is written.
+    mismatches = schema_mismatches(out, DAILY_CONVERSIONS)
+    if mismatches:
+        raise ValueError(f"output schema differs from the contract: {mismatches}")
+    before = day_files(spark, output_path, days)
+    write_daily_conversions(out, output_path, cfg.write_mode)
     cleared = clear_unwritten_days(spark, output_path, before) if cfg.write_mode == "overwrite" else []
     counts = {"groups": 0, "units_sold": 0, "null_sales": 0, "null_daily_budget": 0}
     if any(f != before.get(d) for d, f in day_files(spark, output_path, days).items()):

@@ -66,7 +66,7 @@ def _setup(spark: SparkSession, sf_dir: str):
 
 def _stages(spark, sf_dir) -> daily.Stages:
     """One run's stages over ``sf_dir``, built once per session and shared by the
-    reports (lazy plans; the persisted baseline is renewed on use)."""
+    reports (lazy plans, not data)."""
     src = _setup(spark, sf_dir)
     built = spark.__dict__.setdefault("_adlift_stages", {})
     if sf_dir not in built:

@@ -20,7 +20,7 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Let AQE coalesce and split inside persisted plans too (the baseline).
+    # Let AQE coalesce and split inside persisted plans too.
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 

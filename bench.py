@@ -61,7 +61,7 @@ def main() -> None:
     runs: dict[str, list[float]] = {}
 
     def timed(name, action):
-        # No run may reuse another's persisted baseline.
+        # No run may reuse another's data.
         spark.catalog.clearCache()
         t0 = time.perf_counter()
         out = action()

@@ -117,6 +117,14 @@ def test_attribution_reads_each_fact_once_and_broadcasts_no_fact(spark):
     assert plan.count("events.parquet") == 2 and "Broadcast" not in plan
 
 
+def test_history_is_read_once_for_gate_and_baseline_join(spark):
+    """Executed plan: sales and placements once for the run days and once for history."""
+    out = daily.daily_conversions(fixtures.load(spark, SF_SMALL), fixture_config())
+    out.collect()
+    final = plan_text(out).split("== Initial Plan ==")[0]
+    assert final.count("events.parquet") == 4 and "ReusedExchange" in final
+
+
 @pytest.mark.parametrize("name, reads", [("dimension_coverage", 1), ("stage_counts", 3), ("baseline_profile", 2)])
 def test_reports_read_each_fact_a_fixed_number_of_times(spark, name, reads):
     """Coverage from the winners alone; the funnel from one aggregate, the winners and the baseline."""
@@ -233,7 +241,8 @@ def test_baseline_join_skew_is_split_by_aqe(spark):
         src = golden.sources(spark, sales=sales + hist, placements=placements)
         df = daily.stages(src, RunConfig(start="2024-10-01", end="2024-10-02")).incremental
         assert len(df.collect()) == 6000
-        assert "SortMergeJoin(skew=true)" in plan_text(df)
+        # The winners' left join to the baseline, not another join of the plan.
+        assert any("SortMergeJoin(skew=true)" in line and "LeftOuter" in line for line in plan_text(df).splitlines())
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
