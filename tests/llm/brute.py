@@ -111,3 +111,16 @@ def suffix_cover(streams, depth):
                     covered[p].update(range(i, i + depth))
             a = b
     return covered
+
+
+def masked(text: str | None, listing: str) -> str | None:
+    """``text`` with the listed spans replaced by their kind, overlapping ones by the first's."""
+    spans = sorted((int(a), int(b), kind) for kind, a, b in (s.split(":") for s in listing.split(",") if s))
+    if not spans:
+        return text
+    out, at = "", 0
+    for start, end, kind in spans:
+        if start >= at:
+            out += text[at:start] + f"[{kind.upper()}]"
+        at = max(at, end)
+    return out + text[at:]
