@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 from adlift.config import RunConfig
 from adlift.plans.daily import run
 from adlift.session import configure
+from adlift.sources.bundle import DIMENSIONS
 from adlift.sources.catalog import from_catalog
 
 
@@ -37,6 +38,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--jdbc-url")
     p.add_argument("--jdbc-user")
     p.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
+    p.add_argument("--jdbc-driver", help="class name of the JDBC driver")
+    p.add_argument("--jdbc-fetch-size", type=int, default=10_000)
+    p.add_argument("--jdbc-partition", action="append", default=[], metavar="NAME=COLUMN,LOWER,UPPER,N",
+                   help="read a dimension in N parts split by a numeric column (repeatable)")
     p.add_argument("--lookback-days", type=int, default=60)
     p.add_argument("--grace-seconds", type=int, default=7200)
     p.add_argument("--sales-date-source", choices=("parts", "timestamp"), default="parts")
@@ -47,6 +52,16 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
+def jdbc_read(args: argparse.Namespace) -> dict[str, dict]:
+    """Per dimension, how it is read over JDBC."""
+    out = {name: {"fetch_size": args.jdbc_fetch_size} for name in DIMENSIONS}
+    for spec in args.jdbc_partition:
+        name, _, split = spec.partition("=")
+        column, lower, upper, n = split.split(",")
+        out[name] |= {"partition_column": column, "lower": int(lower), "upper": int(upper), "partitions": int(n)}
+    return out
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = parse_args(sys.argv[1:] if argv is None else argv)
     spark = configure(spark or SparkSession.builder.appName("adlift").getOrCreate())
@@ -60,9 +75,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     props = {}
     if args.jdbc_user:
         props["user"] = args.jdbc_user
+    if args.jdbc_driver:
+        props["driver"] = args.jdbc_driver
     if args.jdbc_password_env:
         props["password"] = os.environ.get(args.jdbc_password_env, "")
-    sources = from_catalog(spark, args.sales, args.placements, dims or None, args.jdbc_url, props)
+    sources = from_catalog(spark, args.sales, args.placements, dims or None, args.jdbc_url, props, jdbc_read(args))
     result = run(spark, sources, cfg, args.output)
     print(json.dumps(result, default=str))
     return result

@@ -30,8 +30,16 @@ def scan_date_range(df: DataFrame, start: dt.date, end: dt.date,
 def jdbc_options(url: str, table: str, properties: dict | None = None, fetch_size: int = 10_000,
                  partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
                  partitions: int | None = None) -> dict[str, str]:
-    """Reader options for one table: rows per fetch, and a split by a numeric column if asked for."""
+    """Reader options for one table: rows per fetch, and a split by a numeric column if asked for.
+
+    ``properties`` are passed on (user, password, driver ...); a ``query`` among them
+    replaces the table, which Spark cannot split by a column.
+    """
     out = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **(properties or {})}
+    if "query" in out:
+        if partition_column is not None:
+            raise ValueError("a query cannot be split by a column; give a table")
+        del out["dbtable"]
     if partition_column is not None:
         if lower is None or upper is None or not partitions:
             raise ValueError("a partition column needs its lower and upper bound and a number of partitions")
@@ -47,14 +55,18 @@ def read_jdbc_dimension(spark: SparkSession, url: str, table: str, properties: d
 
 
 def from_catalog(spark: SparkSession, sales: str, placements: str, dimensions: dict[str, str] | None = None,
-                 jdbc_url: str | None = None, jdbc_properties: dict | None = None) -> Sources:
-    """Bind a run to catalog tables / paths, dimensions by name or over JDBC."""
+                 jdbc_url: str | None = None, jdbc_properties: dict | None = None,
+                 jdbc_read: dict[str, dict] | None = None) -> Sources:
+    """Bind a run to catalog tables / paths, dimensions by name or over JDBC.
+
+    ``jdbc_read``: per dimension, the keyword arguments of :func:`jdbc_options` for it.
+    """
     dims = {}
     for name in DIMENSIONS:
         if dimensions and name in dimensions:
             dims[name] = read_table(spark, dimensions[name])
         elif jdbc_url:
-            dims[name] = read_jdbc_dimension(spark, jdbc_url, name, jdbc_properties)
+            dims[name] = read_jdbc_dimension(spark, jdbc_url, name, jdbc_properties, **(jdbc_read or {}).get(name, {}))
         else:
             raise ValueError(f"no source for dimension {name!r}")
     return Sources(sales=read_table(spark, sales), placements=read_table(spark, placements), **dims)

@@ -157,6 +157,31 @@ def test_jdbc_options():
         jdbc_options("jdbc:x:y", "ads", partition_column="id")
 
 
+def test_jdbc_query_replaces_the_table():
+    from adlift.sources.catalog import jdbc_options
+    got = jdbc_options("jdbc:x", "ads", {"query": "SELECT id, name FROM ads", "driver": "d.D"})
+    assert "dbtable" not in got and got["driver"] == "d.D"
+    with pytest.raises(ValueError, match="cannot be split"):
+        jdbc_options("jdbc:x", "ads", {"query": "SELECT 1"}, partition_column="id", lower=0, upper=1, partitions=2)
+
+
+def test_command_line_jdbc_options_reach_the_reader(spark, monkeypatch):
+    from adlift import cli
+    from adlift.sources import catalog
+    seen = {}
+
+    def read(_, url, table, properties, **options):
+        seen[table] = catalog.jdbc_options(url, table, properties, **options)
+    monkeypatch.setattr(catalog, "read_jdbc_dimension", read)
+    monkeypatch.setattr(catalog, "read_table", lambda *_: None)
+    args = cli.parse_args("--start-date 2024-10-01 --end-date 2024-10-01 --sales s --placements p --output o --jdbc-url jdbc:x "
+                          "--jdbc-fetch-size 500 --jdbc-partition ads=id,0,1000,4".split())
+    catalog.from_catalog(spark, args.sales, args.placements, None, args.jdbc_url, {"user": "u"}, cli.jdbc_read(args))
+    assert len(seen) == 6 and {o["fetchsize"] for o in seen.values()} == {"500"}
+    assert seen["ads"]["partitionColumn"] == "id" and seen["ads"]["numPartitions"] == "4"
+    assert "partitionColumn" not in seen["campaigns"] and seen["campaigns"]["user"] == "u"
+
+
 def test_sub_second_sale_time_is_not_inside_the_grace(spark):
     from adlift.functions.dates import epoch_seconds_from_text
     df = spark.createDataFrame([("2024-10-02 15:00:00.5",), ("2024-10-02 15:00:00",), ("x",)], "t string")
