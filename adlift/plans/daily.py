@@ -26,7 +26,7 @@ from adlift.operators.baseline import baseline_by_day, gated_days
 from adlift.operators.enrich import dimension_joins, enrich
 from adlift.functions.dates import epoch_ms_to_seconds
 from adlift.operators.metrics import daily_sums, daily_sums_20key, incremental_rows, sums_by_ids
-from adlift.operators.normalize import normalize_placements, normalize_sales, placement_keys
+from adlift.operators.normalize import normalize_placements, normalize_sales, placement_keys, sale_seconds
 from adlift.sources.bundle import DIMENSIONS, Sources
 from adlift.sources.catalog import is_empty, scan_date_range
 from adlift.sources.sink import clear_unwritten_days, day_files, read_daily_conversions, write_daily_conversions
@@ -184,13 +184,15 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
             F.count(F.when(F.col("sales").isNull(), 1)).alias("null_sales"),
             F.count(F.when(F.col("daily_budget").isNull(), 1)).alias("null_daily_budget"),
         ).first().asDict()
-    unread = s.sales_run.where("ts_sec IS NULL").count() if cfg.sales_date_source == "parts" else 0
+    # A sale whose time cannot be read silently loses its ad: count those stored in the window.
+    stored = scan_date_range(sources.sales, cfg.start, cfg.end)
+    unread = stored.where(F.col("timestamp").isNotNull() & sale_seconds(cfg).isNull()).count()
     return {
         "written": True,
         # A plan proven empty at runtime runs no node that could be observed.
         "winner_rows": seen.get["winner_rows"] if counts["groups"] else 0,
         **counts,
-        "sales_without_time": unread,
+        "unreadable_sale_times": unread,
         "repeated_dimension_ids": _repeated_dimension_ids(s.dims),
         "days_cleared": [d.isoformat() for d in cleared],
     }

@@ -127,10 +127,12 @@ def test_timestamp_form_writes_only_its_own_day(spark, tmp_path):
 def test_run_reports_unreadable_times_and_repeated_ids(spark, tmp_path):
     from pyspark.sql import functions as F
     src = golden.sources(spark)
-    src.sales = src.sales.withColumn("timestamp", F.when(F.col("order_id") == "o9", "soon").otherwise(F.col("timestamp")))
+    # o8 has no time at all, which is not an unreadable one.
+    src.sales = src.sales.withColumn("timestamp", F.when(F.col("order_id") == "o9", "soon").when(
+        F.col("order_id") != "o8", F.col("timestamp")))
     src.categories = src.categories.unionByName(src.categories)
     got = daily.run(spark, src, CFG, str(tmp_path / "out"))
-    assert got["sales_without_time"] == 1 and got["repeated_dimension_ids"]["categories"] > 0
+    assert got["unreadable_sale_times"] == 1 and got["repeated_dimension_ids"]["categories"] > 0
 
 
 def test_columns_come_from_whichever_table_has_them(spark):
