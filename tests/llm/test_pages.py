@@ -66,6 +66,26 @@ class TestMainText:
         out = html_suffix.extract_main_text(frame("page_id long, url string, html string", [row, row])).collect()
         assert [r["text"] for r in out] == [f"{NOTICE} {MENU}"] * 2
 
+    def test_copies_of_an_unmarked_page_keep_their_text(self, spark):
+        def page(k, nav=""):
+            return (f"<html><body>{nav}<div>{MENU}</div><p>Story {k} tells of number {k} and what came of it in year "
+                    f"{1900 + k}.</p><div>{NOTICE}</div></body></html>")
+
+        def story(k):
+            return f"Story {k} tells of number {k} and what came of it in year {1900 + k}."
+
+        # Copies only, one under another menu: nothing tells menu from story, so both stay.
+        got = self.rows(spark, [("http://h.org/a", page(1)), ("http://h.org/b", page(1, f"<nav>Here {MENU}</nav>"))])
+        assert got == {k: f"{MENU}\n{story(1)}\n{NOTICE}" for k in (0, 1)}
+        # A third page of other content tells them apart.
+        got = self.rows(spark, [("http://h.org/a", page(1)), ("http://h.org/b", page(1)), ("http://h.org/c", page(2))])
+        assert got == {0: story(1), 1: story(1), 2: story(2)}
+
+    def test_pages_without_a_host_are_not_pooled(self, spark):
+        pages = [(url, f"<div>{NOTICE}</div><p>Page {k}</p>") for k, url in enumerate([None, "", "no scheme", "http:///x"])]
+        got = self.rows(spark, pages)
+        assert got == {k: f"{NOTICE}\nPage {k}" for k in range(4)}
+
     def test_windows_equal_a_real_suffix_array(self, spark):
         rng = random.Random(3)
         streams = {p: [rng.choice("abc") for _ in range(rng.randint(0, 60))] for p in range(12)}
