@@ -39,16 +39,18 @@ BASE = {
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}+(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-# Candidates of the method, in the order their kinds are listed.
+# A capitalised word of any script, with inner capitals and joined parts (O'Brien, McDonald, Anna-Maria).
+NAME_WORD = r"(?:\p{Lu}['’])?+\p{Lu}[\p{Ll}\p{M}]++(?:['’-]?\p{Lu}[\p{Ll}\p{M}]++)*+"
+# Candidates of the method, in the order their kinds are listed. Open lengths, so no span ends inside its value.
 LOOSE = {
-    "email_text": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+"
-                  r"(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z]{2,24}+){1,4}",
+    "email_text": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++"
+                  r"(?:(?:\.| ?(?:\(dot\)|\[dot\]) ?)[A-Za-z0-9-]++| ?\. ?[A-Za-z][A-Za-z0-9-]++)++",
     "phone_local": r"(?<![0-9+(.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9])(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
-              r"[A-Za-z0-9_/+-]{8,256}[\"']?",
-    "name": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr)\.? [A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30})?(?![a-z])",
+              r"[A-Za-z0-9_/+-]{8,}+[\"']?+",
+    "name": rf"(?<!\p{{L}})(?:Mr|Mrs|Ms|Dr)\.?(?: {NAME_WORD})++",
 }
 KINDS = (*BASE, *LOOSE)
 CONTEXT = 40
@@ -120,7 +122,7 @@ def _format_vote(kind: str, text: Column) -> Column:
 def _gazetteer_vote(kind: str, text: Column) -> Column:
     digits = _digits(text)
     if kind in ("email", "email_text"):
-        return F.when(F.lower(F.regexp_extract(text, r"([A-Za-z]+)\W*$", 1)).isin(*TLDS), 1).otherwise(0)
+        return F.when(F.lower(F.regexp_extract(text, r"(?<![A-Za-z])([A-Za-z]++)\W*+$", 1)).isin(*TLDS), 1).otherwise(0)
     if kind == "ip":
         return F.when(text.rlike(RESERVED_NETS), -1).otherwise(0)
     if kind == "card":
@@ -130,7 +132,7 @@ def _gazetteer_vote(kind: str, text: Column) -> Column:
     if kind == "secret":
         return F.lit(1)  # the pattern names the key word
     if kind == "name":
-        return F.when(F.regexp_extract(text, r"^\S+ ([A-Za-z]+)", 1).isin(*GIVEN_NAMES), 1).otherwise(0)
+        return F.when(F.regexp_extract(text, r"^\S+ ([\p{L}\p{M}]+)", 1).isin(*GIVEN_NAMES), 1).otherwise(0)
     return F.lit(0)
 
 

@@ -213,6 +213,30 @@ class TestPii:
         # No base span, as both runs of digits are too long, but the method finds the local number.
         assert "+1 [PHONE_LOCAL] 4425414259157784" in {r["text"] for r in got.values()}
 
+    def test_added_spans_are_whole(self, spark, frame):
+        secret = "0641917ea4e9feb9cda83477b57ac265" * 12 + "7602ad27cf5550de"
+        texts = {f'token = "{secret}" set': "[SECRET] set", f"password={secret}": "[SECRET]",
+                 "Write bob (at) mail1.corp2.com now": "Write [EMAIL_TEXT] now",
+                 f"Mail {'a1' * 40} [at] a.b-c.d.e.f.com, please": "Mail [EMAIL_TEXT], please",
+                 "mail ann (at) corp (dot) example (dot) org": "mail [EMAIL_TEXT]",
+                 "Ask Mrs José García here": "Ask [NAME] here", "von Dr. Müller gesehen": "von [NAME] gesehen",
+                 "Ask Mr. John O'Brien-Smith here": "Ask [NAME] here", "Ask Mrs Élodie here": "Ask [NAME] here",
+                 "Ask Ms Ana García López here": "Ask [NAME] here", "Ask Mr McDonald's dog": "Ask [NAME]'s dog",
+                 "Ask Mrs Jose\u0301 here": "Ask [NAME] here"}
+        docs = frame("doc_id long, text string", enumerate(texts))
+        got = {r["doc_id"]: r["text"] for r in weak_pii.redact(docs).collect()}
+        assert got == dict(enumerate(texts.values()))
+
+    def test_long_added_spans_are_scanned_in_linear_time(self, spark):
+        texts = ["token=" + "a1" * 200_000, "a" * 400_000 + " (at) b.com", "a (at) " + "b1." * 150_000 + "com",
+                 "Dr. A" + "é" * 400_000, "Dr." + " Anna" * 80_000, "token " * 60_000, "b (at) " * 60_000]
+        started = time.time()
+        rows = weak_pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        got = {r["doc_id"]: r["spans"] for r in rows}
+        kinds = ["secret", "email_text", "email_text", "name", "name"]
+        assert got == {i: f"{k}:0:{len(texts[i])}" for i, k in enumerate(kinds)} | {5: "", 6: ""}
+        assert time.time() - started < 60
+
     def test_empty_table(self, spark, documents):
         assert weak_pii.find(documents.limit(0)).count() == 0
         assert weak_pii.redact(documents.limit(0)).count() == 0
