@@ -10,7 +10,9 @@
    keeps one checkpoint, so later batches meet the digests of earlier ones.
 3. The state is read back with the ``statestore`` reader. Digests with two or more rows
    are hits: their members' full texts are fetched and compared byte by byte. Rows whose bytes differ (a collision of the digest) are regrouped exactly by
-   digest and text.
+   digest and text. Members are found by id, not by the locator: file and size do not
+   address a row, and a table that was shuffled before names no file. The locator is
+   kept in the state for later batches only.
 
 Null text counts as empty, and empty texts are equal like any others. Of equal texts the
 row with the largest id stays; null ids are smaller than any other. Rows repeated with
