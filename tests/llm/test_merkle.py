@@ -1,0 +1,107 @@
+"""The Merkle manifest against a plain recursive tree, its log positions, and its corner cases."""
+
+import hashlib
+import zlib
+
+import pytest
+from brute import frame  # noqa: F401 (a fixture)
+from pyspark.sql import functions as F
+
+from adlift.llm import merkle_log as m
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def field(x):
+    return "-" if x is None else f"{len(str(x).encode())}:{x}"
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([sha(*out[-1][i:i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def brute(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[2], []).append((r, sha(*map(field, r))))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {}
+    for g in order:
+        groups[g].sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        trees[g] = levels([h for _, h in groups[g]])
+    top = levels([trees[g][-1][0] for g in order])
+    out = []
+    for k, g in enumerate(order):
+        for i, (r, leaf) in enumerate(groups[g]):
+            used = leaf
+            if r[0] is not None and r[3] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 0:
+                used = sha(*map(field, (*r[:3], r[3] + 1, r[4])))
+            proof, folded = [], used
+            for tree, at in ((trees[g], i), (top, k)):
+                for level in tree[:-1]:
+                    run = level[at // 2 * 2:at // 2 * 2 + 2]
+                    proof += [run[1 - at % 2]] if len(run) == 2 else []
+                    run[at % 2] = folded
+                    folded, at = sha(*run), at // 2
+            out.append((r[0], leaf, trees[g][-1][0], top[-1][0], sha(*proof), folded, folded == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def found(df, **more):
+    names = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    return sorted((tuple(r) for r in m.manifest(df, **more).select(*names).collect()), key=str)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 13, 31, 64, 100])
+def test_positions_address_the_log(n):
+    """Every node of a ragged tree lies where the closed form says."""
+    tree = levels([sha(str(i)) for i in range(n)])
+    log = m.postorder([bytes.fromhex(h) for h in tree[0]], m.height(n))
+    assert len(log) == sum(map(len, tree)) == m.subtree_size(m.height(n), n)
+    at = {(lv, j): m.node_position(lv, j, n) for lv, nodes in enumerate(tree) for j in range(len(nodes))}
+    assert sorted(at.values()) == list(range(len(log)))
+    assert all(log[p].hex() == tree[lv][j] for (lv, j), p in at.items())
+
+
+@pytest.mark.parametrize("bits", [1, 2, 12])
+def test_manifest_equals_plain_tree(frame, bits):
+    rows = [(i * 3 % 101, f"s{i % 4}", ("en", "de", "én", None)[min(i % 5, 3)], i * 7, "text é\n" * (i % 4)) for i in range(101)]
+    rows += [(500 + i, None, "one" if i == 3 else "fr", None, None) for i in range(6)]
+    want = brute(rows)
+    assert {r[-1] for r in want} == {True, False}
+    assert found(frame(SCHEMA, rows), bits=bits) == want
+
+
+def test_nulls_repeats_and_long_texts(frame):
+    rows = [(None, None, None, None, None)] * 3 + [(7, "s", "en", 3, "abc")] * 9 + [(7, "s", "en", 3, "abd"), (7, None, "en", 3, "abc")]
+    rows += [(8, "s", "en", 0, ""), (9, "", "", 2 ** 62, "x" * 300_000), (None, "s", "en", 1, "y")]
+    assert found(frame(SCHEMA, rows), bits=2) == brute(rows)
+
+
+def test_empty_table_lone_row_and_clashing_columns(frame):
+    assert found(frame(SCHEMA, [])) == []
+    one = [(14, "s", "en", 1, "a")]
+    assert found(frame(SCHEMA, one)) == brute(one)
+    rows = [(i, "s", "en" if i % 3 else "de", i, "a" * i) for i in range(20)]
+    extra = frame(SCHEMA, rows).withColumns({c: F.lit("x") for c in ("g", "h", "t", "i", "n", "c", "root", "leaf", "path", "_tie")})
+    assert found(extra, bits=2) == brute(rows)
+
+
+def test_many_groups(frame):
+    rows = [(i, "s", f"lang{i % 37}", i, None) for i in range(200)]
+    assert found(frame(SCHEMA, rows), bits=2) == brute(rows)
+
+
+def test_changed_text_does_not_verify():
+    leaves = [bytes.fromhex(sha(str(i))) for i in range(11)]
+    log = b"".join(m.postorder(leaves, m.height(11)))
+    for i, leaf in enumerate(leaves):
+        path = m.steps(log, i, 11, m.height(11))
+        assert m.fold(leaf, path) == log[-32:] and m.fold(bytes(32), path) != log[-32:]

@@ -14,7 +14,7 @@ from adlift.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF_SMALL)
     want = con.execute(queries.ORACLE[name])
