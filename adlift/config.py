@@ -35,9 +35,6 @@ class RunConfig:
     sales_date_source: str = "parts"
     # "epoch": sale time is epoch seconds (text or number); "text": a date-time string.
     sale_time_format: str = "epoch"
-    # A (day, sku, location) is spread over this many tasks by order id in the
-    # attribution join, whatever its size; its one latest placement meets each part.
-    join_salts: int = 16
     # Refuse to write when a dimension repeats an id (a left join would multiply
     # measures); the job itself does not check, so this is off by default.
     require_unique_dimension_ids: bool = False
@@ -54,8 +51,6 @@ class RunConfig:
             raise ValueError(f"start {self.start} is after end {self.end}")
         if self.lookback_days < 1 or self.baseline_rows < 1 or self.grace_seconds < 0:
             raise ValueError("lookback_days and baseline_rows must be >= 1, grace_seconds >= 0")
-        if self.join_salts < 1:
-            raise ValueError(f"join_salts must be >= 1: {self.join_salts}")
         if self.baseline_rows > 1000:
             # Beyond spark.sql.optimizer.windowGroupLimitThreshold Spark drops the map-side
             # top-k that keeps a hot SKU's window small.

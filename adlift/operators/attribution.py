@@ -11,7 +11,9 @@ placement of that key is. Hence
 
 and the interval/as-of join becomes a top-1 per key (partial top-1 runs map-side,
 before the shuffle) followed by a many-to-one equi-join. No (sale, placement) pairs
-are formed, so a hot (day, sku, location) costs one row on the placement side.
+are formed, so a hot (day, sku, location) costs one row on the placement side. The
+join is left to adaptive execution, which splits a hot key's lines at runtime and
+reads its one placement with each part; nothing is salted or copied.
 """
 
 from __future__ import annotations
@@ -57,41 +59,46 @@ def latest_placement(placements_x: DataFrame) -> DataFrame:
     return placements_x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def salted(df: DataFrame, salts: int) -> DataFrame:
-    """``_salt`` from the order id: the lines of one sale share it, those of a key spread."""
-    return df.withColumn("_salt", F.pmod(F.xxhash64("order_id"), F.lit(salts)).cast("int"))
+def first_line_per_sale(lines: DataFrame) -> DataFrame:
+    """W2's grain: one line per (date, order_id, sku, location_id)."""
+    w = Window.partitionBy(*SALE_GRAIN).orderBy(*ordering(lines, LINE_ORDER))
+    return lines.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def every_salt(df: DataFrame, salts: int) -> DataFrame:
-    """One copy of each row per salt (for a side with one row per key)."""
-    return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+def _in_time(joined: DataFrame, grace_seconds: int) -> DataFrame:
+    return joined.where(F.col("end_sec") >= F.col("ts_sec") - F.lit(grace_seconds))
 
 
-def first_line_per_sale(sales_salted: DataFrame) -> DataFrame:
-    """W2's grain: one line per (date, order_id, sku, location_id).
+def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
+    """Winners: each sale line joined to the placement that gets its credit.
 
-    The salt is a function of the order id, so adding it to the grain changes no
-    group; input partitioned by (date, sku, location_id, _salt) needs no shuffle.
-    """
-    w = Window.partitionBy(*SALE_GRAIN, "_salt").orderBy(*ordering(sales_salted, LINE_ORDER))
-    return sales_salted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    ``sales_n`` and ``placements_x`` should already be limited to the run days.
 
+    Raw lines meet their key's latest placement, those out of time go, and of what is
+    left each sale keeps its first line: exact, because the earliest line is eligible
+    whenever any line is. The join key is one struct of the three columns. To the planner
+    that is not the partitioning of the top-1, nor the one the line dedupe needs, so both
+    join inputs are plain shuffles of their own: the shape in which adaptive execution
+    may split a skewed partition. The dedupe's shuffle carries winners only, and spreads
+    a hot key by order id.
+    """
+    keys = list(SALE_KEYS)
+    top = latest_placement(placements_x.dropna(subset=keys))
+    top = top.select(F.struct(*keys).alias("_key"), *[c for c in top.columns if c not in keys])
+    lines = sales_n.dropna(subset=keys).withColumn("_key", F.struct(*keys))
+    joined = lines.join(top, "_key").drop("_key")
+    return first_line_per_sale(_in_time(joined, grace_seconds))
 
-def attribute(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int, salts: int = 16) -> DataFrame:
-    """Winners: each sale line joined to the placement that gets its credit.
 
-    ``sales_n`` and ``placements_x`` should already be limited to the run days.
+def attribute_co_located(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
+    """:func:`attribute` for facts already laid out by (date, sku, location_id).
 
-    Lines are shuffled once, by key and salt: that partitioning serves both the line
-    dedupe and the join, and spreads a hot key over ``salts`` tasks. The key's single
-    latest placement is copied to each salt. One path for every size, one read of
-    each fact, no broadcast.
+    Joins on the plain columns, so the layout's partitioning serves the top-1, the join
+    and the line dedupe: no shuffle at all (see ``adlift.sources.layout``).
     """
     keys = list(SALE_KEYS)
-    top = every_salt(latest_placement(placements_x), salts)
-    lines = salted(sales_n.dropna(subset=keys), salts).repartition(*keys, "_salt")
-    joined = first_line_per_sale(lines).join(top, [*keys, "_salt"], "inner").drop("_salt")
-    return joined.where(F.col("end_sec") >= F.col("ts_sec") - F.lit(grace_seconds))
+    joined = sales_n.dropna(subset=keys).join(latest_placement(placements_x.dropna(subset=keys)), keys)
+    return first_line_per_sale(_in_time(joined, grace_seconds))
 
 
 def _per_second(lines: DataFrame, placements_x: DataFrame) -> DataFrame:
@@ -136,14 +143,14 @@ def _threshold_lines(sales_n: DataFrame, grace_seconds: int) -> DataFrame:
 _NO_TIME = -(2 ** 62)
 
 
-def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int, salts: int = 16) -> DataFrame:
+def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds: int) -> DataFrame:
     """J2+F3 as counts, per (date, order_id, sku, location_id) that has an ad.
 
     ``n_pairs``: (line, placement) pairs on the same key, the equi-join's size.
     ``n_in_window``: those that pass the time test, the interval join's size.
-    Counted without forming pairs (see ``_per_second``), then joined back to
-    the lines on (key, second, salt): a hot second is spread by order id and meets a
-    copy of its one count row per salt.
+    Counted without forming pairs (see ``_per_second``), then joined back to the lines.
+    The counted side is unique per (key, second), so this is a plain many-to-one
+    equi-join: a hot second's lines are split by adaptive execution, nothing is copied.
     """
     keys = list(SALE_KEYS)
     lines = _threshold_lines(sales_n.dropna(subset=keys), grace_seconds)
@@ -152,9 +159,8 @@ def candidate_counts(sales_n: DataFrame, placements_x: DataFrame, grace_seconds:
         *keys, F.coalesce("t", F.lit(_NO_TIME)).alias("tk"),
         F.col("on_key").alias("pairs"), F.col("at_or_after").alias("in_window"),
     )
-    marked = salted(lines.select(*SALE_GRAIN, F.coalesce("t", F.lit(_NO_TIME)).alias("tk")), salts)
-    per_line = marked.join(every_salt(counted, salts), [*keys, "tk", "_salt"], "inner")
-    return per_line.groupBy(*SALE_GRAIN).agg(
+    marked = lines.select(*SALE_GRAIN, F.coalesce("t", F.lit(_NO_TIME)).alias("tk"))
+    return marked.join(counted, [*keys, "tk"]).groupBy(*SALE_GRAIN).agg(
         F.sum("pairs").cast("long").alias("n_pairs"),
         F.sum("in_window").cast("long").alias("n_in_window"),
     )

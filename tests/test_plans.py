@@ -72,8 +72,7 @@ def test_single_day_equals_all_days(spark):
         assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
 
 
-@pytest.mark.parametrize("salts", [1, 16])
-def test_hot_key_matches_brute_force(spark, salts):
+def hot_key_case():
     """A third of all sales and placements on one (day, sku, location)."""
     rnd = random.Random(7)
     day = "2024-10-02"
@@ -88,7 +87,27 @@ def test_hot_key_matches_brute_force(spark, salts):
         skus, loc = (["H"], 1) if hot else ([f"S{rnd.randrange(20)}"], rnd.randrange(4))
         h, m = rnd.randrange(23), rnd.randrange(60)
         placements.append((f"p{i:04d}", skus, loc, f"{day} {h:02d}:{m:02d}:00", f"{day} {h + rnd.randrange(2):02d}:{m:02d}:30"))
-    st = daily.stages(golden.sources(spark, sales=sales, placements=placements), RunConfig(start=day, end=day, join_salts=salts))
+    return day, sales, placements
+
+
+def set_conf(spark, settings):
+    """Set them, and return what puts the old values back."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return lambda: [spark.conf.unset(k) if v is None else spark.conf.set(k, v) for k, v in before.items()]
+
+
+# Joins of the size of a test's tables are shuffled, and partitions of some KB count as skewed.
+SPLITTING = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k"}
+
+
+def test_hot_key_matches_brute_force(spark):
+    day, sales, placements = hot_key_case()
+    st = daily.stages(golden.sources(spark, sales=sales, placements=placements), RunConfig(start=day, end=day))
     got = sorted((r["order_id"], r["placement_id"]) for r in st.winners.collect())
 
     # Brute force: every (sale, placement) pair of a key, the job's two-branch
@@ -169,13 +188,40 @@ def test_run_with_no_winners_in_window(spark, partitioned, tmp_path):
     assert got["written"] and got["groups"] == 0 and got["winner_rows"] == 0
 
 
-def test_candidate_counts_do_not_depend_on_salts(spark):
+def test_attribution_splits_a_hot_key_at_runtime(spark):
+    """Winners and candidate counts: the hot key's lines are split, placements are not copied."""
     from adlift.operators.attribution import candidate_counts
-    st = daily.stages(fixtures.load(spark, SF_SMALL), fixture_config())
-    a = candidate_counts(st.sales_run, st.placements_run, 7200, 1)
-    b = candidate_counts(st.sales_run, st.placements_run, 7200, 7)
-    assert a.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    day, sales, placements = hot_key_case()
+    # A hot second, too: every hot line has one time.
+    many = [(f"x{i}", "H", 1, f"{day} 12:00:00", 1, 1.0) for i in range(6000)]
+    src = golden.sources(spark, sales=sales + many, placements=placements)
+    cfg = RunConfig(start=day, end=day)
+    plain = sorted(map(tuple, daily.stages(src, cfg).winners.select("order_id", "sku", "placement_id").collect()))
+    back = set_conf(spark, SPLITTING)
+    try:
+        st = daily.stages(src, cfg)
+        for df in (st.winners, candidate_counts(st.sales_run, st.placements_run, cfg.grace_seconds)):
+            df.collect()
+            plan = plan_text(df).split("== Initial Plan ==")[0]
+            assert "SortMergeJoin(skew=true)" in plan
+            # The only rows made from one are those of the tracked SKUs.
+            assert plan.count("Generate explode") == 1 or "Generate explode(trackedskus" in plan
+        assert sorted(map(tuple, st.winners.select("order_id", "sku", "placement_id").collect())) == plain
+    finally:
+        back()
+
+
+def test_candidate_counts_match_pairs(spark):
+    from adlift.operators.attribution import candidate_counts
+    day, sales, placements = hot_key_case()
+    st = daily.stages(golden.sources(spark, sales=sales, placements=placements), RunConfig(start=day, end=day))
+    grain = ["date", "order_id", "sku", "location_id"]
+    pairs = st.sales_run.join(st.placements_run.select("date", "sku", "location_id", "end_sec"), ["date", "sku", "location_id"])
+    want = pairs.groupBy(*grain).agg(F.count("*").alias("n_pairs"),
+                                     F.count(F.when(F.col("end_sec") >= F.col("ts_sec") - 7200, 1)).alias("n_in_window"))
+    got = candidate_counts(st.sales_run, st.placements_run, 7200).select(want.columns)
+    assert got.count() > 0 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_winner_without_ids_does_not_depend_on_input_order(spark):
