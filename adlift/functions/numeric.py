@@ -38,8 +38,8 @@ def clamped_increment(actual: str | Column, baseline: str | Column) -> Column:
 
 
 # Fixed value: sums of averaged increments are rounded to this many decimals before
-# truncating or rounding to cents, so float summation order cannot move a value that
-# is exactly an integer (or exactly half a cent) across the boundary.
+# truncating or rounding to cents, so that thirds add up again: three increments of
+# 0.333... are one unit. (Sums themselves are exact, see ``adlift.functions.exact``.)
 STABLE_DECIMALS = 6
 
 

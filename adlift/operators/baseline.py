@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlift.config import RunConfig
+from adlift.functions import exact
 from adlift.operators.normalize import SALE_KEYS
 
 # Recency order among history rows of one SKU (the job orders by day only; the
@@ -61,23 +62,36 @@ def sales_without_ads(sales_n: DataFrame, keys: DataFrame, start: dt.date, end:
     return hist.join(keys, list(SALE_KEYS), "left_anti")
 
 
+def daily_history(sales_n: DataFrame, keys: DataFrame, start: dt.date, end: dt.date, k: int) -> DataFrame:
+    """Per (sku, day) in [start, end] its ``k`` most recent ad-free sale rows: all that any baseline can use.
+
+    A day's rows depend on that day's sales and placements alone, so they can be kept
+    (see ``adlift.sources.summary``) and pooled with other days' later.
+    """
+    return _top(sales_without_ads(sales_n, keys, start, end, k), ("sku", "date"), k)
+
+
+def averages(rows: DataFrame, *keys: str) -> DataFrame:
+    """A1: mean units and mean amount by ``keys``, exact sums divided once."""
+    cut = rows.select(*keys, *exact.parts("_u", "units_sold"), *exact.parts("_a", "sale_amount"),
+                      F.col("units_sold").isNotNull().cast("int").alias("_un"),
+                      F.col("sale_amount").isNotNull().cast("int").alias("_an"))
+    sums = cut.groupBy(*keys).agg(*exact.summed("_u"), *exact.summed("_a"),
+                                  F.sum("_un").alias("_un"), F.sum("_an").alias("_an"))
+    return sums.select(*keys, exact.mean("_u", "_un").alias("avg_units_sold_no_ad_traffic"),
+                       exact.mean("_a", "_an").alias("avg_sales_no_ad_traffic"))
+
+
 def baseline_single_day(sales_n: DataFrame, keys: DataFrame, day: dt.date, cfg: RunConfig) -> DataFrame:
     """P1 for one day D, the job's own form: (sku, avg units, avg amount)."""
     k = cfg.baseline_rows
     lo, hi = day - dt.timedelta(days=cfg.lookback_days), day - dt.timedelta(days=1)
-    hist = sales_without_ads(sales_n, keys, lo, hi, k)
-    ranked = _top(_top(hist, ("sku", "date"), k), ("sku",), k)
-    return ranked.groupBy("sku").agg(
-        F.avg("units_sold").alias("avg_units_sold_no_ad_traffic"),
-        F.avg("sale_amount").alias("avg_sales_no_ad_traffic"),
-    )
+    return averages(_top(daily_history(sales_n, keys, lo, hi, k), ("sku",), k), "sku")
 
 
-def baseline_by_day(sales_n: DataFrame, keys: DataFrame, cfg: RunConfig) -> DataFrame:
-    """P1 for every run day at once: (date, sku, avg units, avg amount)."""
+def baseline_from_history(hist: DataFrame, cfg: RunConfig) -> DataFrame:
+    """P1 for every run day from the days' histories (:func:`daily_history`, fresh or kept)."""
     k, back = cfg.baseline_rows, cfg.lookback_days
-    hist = sales_without_ads(sales_n, keys, cfg.read_start, cfg.history_end, k)
-    hist = _top(hist, ("sku", "date"), k)
     later = F.lead("date", k).over(Window.partitionBy("sku").orderBy(*oldest_first()))
     last_day = F.date_add("date", back)
     valid = hist.select(
@@ -88,10 +102,12 @@ def baseline_by_day(sales_n: DataFrame, keys: DataFrame, cfg: RunConfig) -> Data
     days = valid.select(
         F.explode(F.sequence("valid_from", "valid_to")).alias("date"), "sku", "units_sold", "sale_amount"
     )
-    return days.groupBy("date", "sku").agg(
-        F.avg("units_sold").alias("avg_units_sold_no_ad_traffic"),
-        F.avg("sale_amount").alias("avg_sales_no_ad_traffic"),
-    )
+    return averages(days, "date", "sku")
+
+
+def baseline_by_day(sales_n: DataFrame, keys: DataFrame, cfg: RunConfig) -> DataFrame:
+    """P1 for every run day at once: (date, sku, avg units, avg amount)."""
+    return baseline_from_history(daily_history(sales_n, keys, cfg.read_start, cfg.history_end, cfg.baseline_rows), cfg)
 
 
 def gated_days(baseline: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlift.contracts import DAILY_CONVERSIONS, SOURCE_TYPED
+from adlift.functions import exact
 from adlift.functions.dates import sales_date_padded
 from adlift.functions.numeric import STABLE_DECIMALS, clamped_increment, money, truncated_units
 from adlift.operators.enrich import DIMENSION_JOINS
@@ -62,13 +63,27 @@ def incremental_rows(attributed: DataFrame, baseline: DataFrame) -> DataFrame:
     })
 
 
+# The two measures and the names of their running sums' parts.
+MEASURES = (("incremental_units_sold", "_units"), ("incremental_sales", "_sales"))
+
+
+def _totals(rows: DataFrame, keys: list) -> DataFrame:
+    """The measures of ``rows`` summed by ``keys`` as decimals ``_units`` and ``_sales``.
+
+    Exact (``adlift.functions.exact``), so the order in which rows are added changes
+    nothing. ``rows`` hold the measures, or the parts that :func:`sums_by_ids` left of them.
+    """
+    if "_units_whole" not in rows.columns:
+        rows = rows.select("*", *[c for m, n in MEASURES for c in exact.parts(n, m)])
+    agg = rows.groupBy(*keys).agg(*[c for _, n in MEASURES for c in exact.summed(n)])
+    return agg.withColumns({n: exact.total(n) for _, n in MEASURES}).drop(
+        *[p for _, n in MEASURES for p in exact.part_names(n)])
+
+
 def daily_sums(rows: DataFrame) -> DataFrame:
     """A2: sums over the 24 keys (nulls group together), then the output casts."""
     rows = rows.withColumn("sales_date", sales_date_padded("sales_year", "sales_month", "sales_day"))
-    agg = rows.groupBy(*[F.col(src).alias(dst) for src, dst in GROUP_KEYS]).agg(
-        F.sum("incremental_units_sold").alias("_units"),
-        F.sum("incremental_sales").alias("_sales"),
-    )
+    agg = _totals(rows, [F.col(src).alias(dst) for src, dst in GROUP_KEYS])
     types = {f.name: f.dataType for f in DAILY_CONVERSIONS.fields}
     given = {f.name: f.dataType for f in agg.schema.fields}
     out = []
@@ -87,7 +102,7 @@ def daily_sums(rows: DataFrame) -> DataFrame:
 
 
 def sums_by_ids(rows: DataFrame) -> DataFrame:
-    """The increments summed over everything the output groups by but dimension names.
+    """The increments' parts summed over everything the output groups by but dimension names.
 
     Names depend on ids, so the dimensions join these groups instead of single
     sales; a repeated dimension id multiplies a sum as it would its rows.
@@ -95,19 +110,16 @@ def sums_by_ids(rows: DataFrame) -> DataFrame:
     ids = {c for _, c, _ in DIMENSION_JOINS}
     own = [src for src, _ in GROUP_KEYS if src in rows.columns]
     keys = list(dict.fromkeys(["date", *own, *sorted(ids)]))
-    return rows.groupBy(*keys).agg(F.sum("incremental_units_sold").alias("incremental_units_sold"),
-                                   F.sum("incremental_sales").alias("incremental_sales"))
+    cut = rows.select(*keys, *[c for m, n in MEASURES for c in exact.parts(n, m)])
+    return cut.groupBy(*keys).agg(*[c for _, n in MEASURES for c in exact.summed(n)])
 
 
 def daily_sums_20key(rows: DataFrame) -> DataFrame:
     """The 20-key form, one result per loop day, no output casts."""
-    agg = rows.groupBy(F.col("date").alias("sales_date"), *[F.col(s).alias(d) for s, d in GROUP_KEYS_20]).agg(
-        F.sum("incremental_units_sold").alias("_units"),
-        F.sum("incremental_sales").alias("_sales"),
-    )
+    agg = _totals(rows, [F.col("date").alias("sales_date"), *[F.col(s).alias(d) for s, d in GROUP_KEYS_20]])
     return agg.select(
         "sales_date", *[d for _, d in GROUP_KEYS_20],
-        F.round("_units", STABLE_DECIMALS).alias("units_sold"),
-        F.round(F.round("_sales", STABLE_DECIMALS), 2).alias("sales"),
+        F.round("_units", STABLE_DECIMALS).cast("double").alias("units_sold"),
+        F.round(F.round("_sales", STABLE_DECIMALS), 2).cast("double").alias("sales"),
         F.lit(ATTRIBUTION_METHOD).alias("attribution_method"),
     )
