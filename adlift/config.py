@@ -76,6 +76,10 @@ class RunConfig:
     def n_days(self) -> int:
         return (self.end - self.start).days + 1
 
+    @property
+    def days(self) -> list[dt.date]:
+        return [self.start + dt.timedelta(days=i) for i in range(self.n_days)]
+
     def with_(self, **changes) -> "RunConfig":
         return replace(self, **changes)
 

@@ -43,8 +43,9 @@ def sale_seconds(cfg: RunConfig):
     return epoch_seconds_from_text("timestamp") if cfg.sale_time_format == "text" else epoch_seconds_from_value("timestamp")
 
 
-def normalize_sales(sales: DataFrame, cfg: RunConfig, owned: tuple[str, ...] = SALES_OWNED) -> DataFrame:
-    """Typed sales rows.
+def normalize_sales(sales: DataFrame, cfg: RunConfig, owned: tuple[str, ...] = SALES_OWNED,
+                    raw: tuple[str, ...] = ()) -> DataFrame:
+    """Typed sales rows (and the ``raw`` columns as they are).
 
     ``date`` comes from the partition parts (default) or from the sale time.
     ``sales_year/month/day``, the output partitions, are the parts of that same date (the
@@ -71,7 +72,7 @@ def normalize_sales(sales: DataFrame, cfg: RunConfig, owned: tuple[str, ...] = S
         ts.alias("ts_sec"),
         day.alias("date"),
         *parts,
-        *[F.col(c).alias(c) for c in owned],
+        *[F.col(c).alias(c) for c in (*owned, *raw)],
     )
 
 

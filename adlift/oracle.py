@@ -248,6 +248,8 @@ FROM inc""",
                                + DAILY_CONVERSIONS,
     "sink_rerun_timestamp_form": _with(FULL) + DAILY_CONVERSIONS,
     "sink_rerun_emptied_day": _with(FULL) + f"SELECT * FROM ({DAILY_CONVERSIONS}) WHERE sales_date <> {_d(EMPTIED_DAY)}",
+    "empty_window": _with(FULL) + f"""
+SELECT * FROM ({DAILY_CONVERSIONS}) WHERE sales_date NOT BETWEEN {_d(EMPTIED_DAY - dt.timedelta(days=1))} AND {_d(EMPTIED_DAY)}""",
     "baseline_profile": _with(BASELINE) + f"""
 SELECT c.date,
        (SELECT min(s.date) FROM sales s WHERE s.date BETWEEN c.date - {BACK} AND c.date - 1) AS earliest_sale,

@@ -24,12 +24,12 @@ from adlift.contracts import DAILY_CONVERSIONS, OWNED_COLUMNS, OWNER_TABLES, col
 from adlift.operators.attribution import attribute
 from adlift.operators.baseline import baseline_by_day, gated_days
 from adlift.operators.enrich import dimension_joins, enrich
-from adlift.functions.dates import epoch_ms_to_seconds
+from adlift.functions.dates import epoch_ms_to_seconds, partition_day_predicate
 from adlift.operators.metrics import daily_sums, daily_sums_20key, incremental_rows, sums_by_ids
 from adlift.operators.normalize import normalize_placements, normalize_sales, placement_keys, sale_seconds
 from adlift.sources.bundle import DIMENSIONS, Sources
-from adlift.sources.catalog import is_empty, scan_date_range
-from adlift.sources.sink import clear_unwritten_days, day_files, read_daily_conversions, write_daily_conversions
+from adlift.sources.catalog import empty_ones, scan_date_range
+from adlift.sources.sink import by_day, output_table
 
 MS_PER_DAY = 86_400_000
 
@@ -91,7 +91,21 @@ class Stages:
 
     @cached_property
     def sales_run(self) -> DataFrame:
-        return self.sales.where(F.col("date").between(F.lit(self.cfg.start), F.lit(self.cfg.end)))
+        return self._sales_run()
+
+    def _sales_run(self, observed=lambda df: df) -> DataFrame:
+        """``observed`` sees the normalised rows before the run days are chosen.
+
+        Where the day is the stored one, only the run days' folders are read at all; so an
+        observation, below which no filter can be pushed, costs no pruning.
+        """
+        if self.cfg.sales_date_source == "parts":
+            raw = scan_date_range(self.sources.sales, self.cfg.start, self.cfg.end)
+        else:
+            raw = self._raw_sales
+        rows = observed(normalize_sales(raw, self.cfg, self._owned_by("sales"), ("year", "month", "day", "timestamp")))
+        return rows.drop("year", "month", "day", "timestamp").where(
+            F.col("date").between(F.lit(self.cfg.start), F.lit(self.cfg.end)))
 
     @cached_property
     def placements_run(self) -> DataFrame:
@@ -151,51 +165,58 @@ def daily_conversions_20key(sources: Sources, cfg: RunConfig) -> DataFrame:
 
 
 def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str) -> dict:
-    """Plan, guard, write. Returns counts observed during the single write job.
+    """Plan, guard, write. Returns counts observed during the write.
 
-    Empty sales or placements in the read window end the run with no output
-    (the job's empty-source guard), instead of stopping the process.
+    Two small jobs go before the one write: the emptiness guard and the repeated dimension
+    ids. Everything else that is reported is observed while the write runs; after the
+    loss of an executor, tasks that run again may count ``winner_rows`` and
+    ``unreadable_sale_times`` twice (not the output's counts, nor any written value).
+
+    Empty sales or placements in the read window (the job's empty-source guard) end the run:
+    nothing is computed and, unless appending, the window's old days are cleared.
     """
-    s = stages(sources, cfg)
-    if is_empty(s.sales) or is_empty(s._raw_placements):
-        return {"written": False, "reason": "no sales or no placements in the read window"}
-    if cfg.require_unique_dimension_ids:
-        repeated = _repeated_dimension_ids(s.dims)
-        if repeated:
-            raise ValueError(f"dimensions with repeated ids (would multiply measures): {repeated}")
-    days = [cfg.start + dt.timedelta(days=i) for i in range(cfg.n_days)]
-    seen = Observation("winners")
-    observed = s.incremental.observe(seen, F.count(F.lit(1)).alias("winner_rows"))
-    out = daily_sums(s.enriched(incremental=observed))
+    s, table = stages(sources, cfg), output_table(spark, output_path)
+    table.recover()
+    # An append leaves the days it has no rows for; every other run replaces its window.
+    old = table.days(cfg.days) if cfg.write_mode == "overwrite" else []
+    empty = empty_ones({"sales": s.sales, "placements": s._raw_placements})
+    if empty:
+        if old:
+            table.replace(None, cfg.days)
+        return {"written": False, "reason": f"no {' and no '.join(empty)} in the read window",
+                "days_cleared": [d.isoformat() for d in old]}
+    repeated = _repeated_dimension_ids(s.dims)
+    if repeated and cfg.require_unique_dimension_ids:
+        raise ValueError(f"dimensions with repeated ids (would multiply measures): {repeated}")
+    won, sold, out = Observation("winners"), Observation("sales"), Observation("output")
+    s.__dict__["sales_run"] = s._sales_run(lambda df: df.observe(sold, F.count(F.when(_unreadable(cfg), 1)).alias("unread")))
+    observed = s.incremental.observe(won, F.count(F.lit(1)).alias("winner_rows"))
+    rows = daily_sums(s.enriched(incremental=observed))
     # Q3: the output must match the declared contract before anything is written.
-    mismatches = schema_mismatches(out, DAILY_CONVERSIONS)
+    mismatches = schema_mismatches(rows, DAILY_CONVERSIONS)
     if mismatches:
         raise ValueError(f"output schema differs from the contract: {mismatches}")
-    before = day_files(spark, output_path, days)
-    write_daily_conversions(out, output_path, cfg.write_mode)
-    cleared = clear_unwritten_days(spark, output_path, before) if cfg.write_mode == "overwrite" else []
-    counts = {"groups": 0, "units_sold": 0, "null_sales": 0, "null_daily_budget": 0}
-    if any(f != before.get(d) for d, f in day_files(spark, output_path, days).items()):
-        # Days left in the window were all written by this run (or, appending, earlier ones too).
-        back = read_daily_conversions(spark, output_path, cfg.start, cfg.end, out.schema)
-        counts = back.agg(
-            F.count(F.lit(1)).alias("groups"),
-            F.coalesce(F.sum("units_sold"), F.lit(0)).alias("units_sold"),
-            F.count(F.when(F.col("sales").isNull(), 1)).alias("null_sales"),
-            F.count(F.when(F.col("daily_budget").isNull(), 1)).alias("null_daily_budget"),
-        ).first().asDict()
-    # A sale whose time cannot be read silently loses its ad: count those stored in the window.
-    stored = scan_date_range(sources.sales, cfg.start, cfg.end)
-    unread = stored.where(F.col("timestamp").isNotNull() & sale_seconds(cfg).isNull()).count()
-    return {
-        "written": True,
-        # A plan proven empty at runtime runs no node that could be observed.
-        "winner_rows": seen.get["winner_rows"] if counts["groups"] else 0,
-        **counts,
-        "unreadable_sale_times": unread,
-        "repeated_dimension_ids": _repeated_dimension_ids(s.dims),
-        "days_cleared": [d.isoformat() for d in cleared],
-    }
+    # Above the rebalance, in the write's own tasks, each of which counts once.
+    rows = by_day(rows).observe(
+        out, F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("units_sold"), F.lit(0)).alias("units_sold"),
+        F.count(F.when(F.col("sales").isNull(), 1)).alias("null_sales"),
+        F.count(F.when(F.col("daily_budget").isNull(), 1)).alias("null_daily_budget"))
+    written = table.replace(rows, cfg.days, cfg.write_mode)
+    counts = out.get
+    if counts["groups"]:
+        seen = {"winner_rows": won.get["winner_rows"], "unreadable_sale_times": sold.get["unread"]}
+    else:
+        # A plan proven empty while it runs drops its nodes, and what they observed.
+        unread = scan_date_range(sources.sales, cfg.start, cfg.end).select(
+            sale_seconds(cfg).alias("ts_sec"), "timestamp", "year", "month", "day").where(_unreadable(cfg)).count()
+        seen = {"winner_rows": 0, "unreadable_sale_times": unread}
+    return {"written": True, **counts, **seen, "repeated_dimension_ids": repeated,
+            "days_cleared": [d.isoformat() for d in old if d not in written]}
+
+
+def _unreadable(cfg: RunConfig):
+    """A sale stored in the window whose time is given but cannot be read: it silently loses its ad."""
+    return F.col("timestamp").isNotNull() & F.col("ts_sec").isNull() & partition_day_predicate(cfg.start, cfg.end)
 
 
 def _repeated_dimension_ids(dims: dict) -> dict[str, int]:

@@ -104,9 +104,9 @@ def _dim_query(name):
 def q_sink_roundtrip(spark, sf_dir):
     out = daily_sums(_stages(spark, sf_dir).enriched())
     path = _output_folder(spark, "sink")
-    write_daily_conversions(out, path, "overwrite")
+    write_daily_conversions(out, path, _cfg().days)
     # Writing the same range again replaces those day partitions, adds nothing.
-    write_daily_conversions(out, path, "overwrite")
+    write_daily_conversions(out, path, _cfg().days)
     return read_daily_conversions(spark, path)
 
 
@@ -306,6 +306,16 @@ def q_sink_rerun_emptied_day(spark, sf_dir):
     return read_daily_conversions(spark, path)
 
 
+def q_empty_window(spark, sf_dir):
+    """A rerun of two days whose sources have become empty: its days go, all others stay."""
+    src, cfg = _setup(spark, sf_dir), _cfg()
+    path = _output_folder(spark, "rerun-empty")
+    daily.run(spark, src, cfg, path)
+    none = dataclasses.replace(src, placements=src.placements.where("placement_id IS NULL"))
+    daily.run(spark, none, cfg.with_(start=EMPTIED_DAY - dt.timedelta(days=1), end=EMPTIED_DAY), path)
+    return read_daily_conversions(spark, path)
+
+
 # ---- quality reports -----------------------------------------------------------
 
 def q_source_profile(spark, sf_dir):
@@ -375,6 +385,7 @@ QUERIES = {
     "daily_conversions_owner": q_daily_conversions_owner,
     "sink_rerun_timestamp_form": q_sink_rerun_timestamp_form,
     "sink_rerun_emptied_day": q_sink_rerun_emptied_day,
+    "empty_window": q_empty_window,
     "source_profile": q_source_profile,
     "baseline_profile": q_baseline_profile,
     "stage_counts": q_stage_counts,

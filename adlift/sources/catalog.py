@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlift.functions.dates import partition_day_predicate
 from adlift.sources.bundle import DIMENSIONS, Sources
@@ -72,6 +73,11 @@ def from_catalog(spark: SparkSession, sales: str, placements: str, dimensions: d
     return Sources(sales=read_table(spark, sales), placements=read_table(spark, placements), **dims)
 
 
-def is_empty(df: DataFrame) -> bool:
-    """The empty-source guard (one bounded job, reads at most one row)."""
-    return df.isEmpty()
+def empty_ones(tables: dict[str, DataFrame]) -> list[str]:
+    """The names of the tables without a row (one job, which takes at most one row of each)."""
+    found = None
+    for name, df in tables.items():
+        one = df.limit(1).select(F.lit(name).alias("name"))
+        found = one if found is None else found.unionByName(one)
+    have = {r["name"] for r in found.collect()}
+    return [name for name in tables if name not in have]

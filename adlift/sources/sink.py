@@ -8,57 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from adlift.contracts import DAILY_CONVERSIONS
-from adlift.functions.dates import partition_day_predicate
+from adlift.sources.daytable import DayTable
 
 OUTPUT_PARTITIONS = ("sales_year", "sales_month", "sales_day")
 
 
-def write_daily_conversions(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write partitioned by sales year/month/day.
-
-    ``overwrite`` uses dynamic partition overwrite: only the days present in ``df``
-    are replaced, so a rerun of a range is idempotent and other days stay. The
-    rebalance hint keeps a day's rows together but lets AQE split a large day into
-    several files instead of one task per day.
-    """
-    out = df.hint("rebalance", *OUTPUT_PARTITIONS)
-    (
-        out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*OUTPUT_PARTITIONS)
-        .parquet(path)
-    )
+def output_table(spark: SparkSession, path: str) -> DayTable:
+    return DayTable(spark, path, OUTPUT_PARTITIONS)
 
 
-def day_files(spark: SparkSession, path: str, days: list[dt.date]) -> dict[dt.date, frozenset[str]]:
-    """The data files in the folder of each day that has one: one listing per day."""
-    jvm = spark._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    out = {}
-    for d in days:
-        folder = jvm.org.apache.hadoop.fs.Path(day_folder(path, d))
-        if fs.exists(folder):
-            out[d] = frozenset(s.getPath().getName() for s in fs.listStatus(folder))
-    return out
+def by_day(df: DataFrame) -> DataFrame:
+    """Rows dealt out for a partitioned write.
 
-
-def day_folder(path: str, day: dt.date) -> str:
-    return f"{path.rstrip('/')}/sales_year={day.year}/sales_month={day.month}/sales_day={day.day}"
+    The hint keeps a day's rows together but lets AQE split a large day into several
+    files instead of one task per day.
+    """
+    return df.hint("rebalance", *OUTPUT_PARTITIONS)
 
 
-def clear_unwritten_days(spark: SparkSession, path: str, before: dict[dt.date, frozenset[str]]) -> list[dt.date]:
-    """Remove the day folders whose files a completed overwrite of these days left alone.
+def write_daily_conversions(df: DataFrame, path: str, days: list[dt.date], mode: str = "overwrite") -> list[dt.date]:
+    """Replace ``days`` (or add to them) in one commit; returns those that have rows.
 
-    Dynamic overwrite replaces only partitions that have rows; a rerun day that has
-    become empty would keep its old ones. Every write names its files anew, so a
-    folder whose files are those of ``before`` was not written.
+    Rerunning a range is idempotent: its days are replaced, those that became empty
+    are cleared, other days stay (see ``adlift.sources.daytable``).
     """
-    now = day_files(spark, path, list(before))
-    stale = [d for d, files in before.items() if now.get(d) == files]
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for d in stale:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(day_folder(path, d)), True)
-    return stale
+    return output_table(df.sparkSession, path).replace(by_day(df), days, mode)
 
 
 def read_daily_conversions(spark: SparkSession, path: str, start: dt.date | None = None,
@@ -68,7 +42,4 @@ def read_daily_conversions(spark: SparkSession, path: str, start: dt.date | None
     With ``start``/``end`` only those day directories are read (partition pruning).
     ``schema``: that of the written rows, where ids are text.
     """
-    df = spark.read.schema(schema).parquet(path)
-    if start is not None or end is not None:
-        df = df.where(partition_day_predicate(start or dt.date.min, end or dt.date.max, *OUTPUT_PARTITIONS))
-    return df.select(*schema.fieldNames())
+    return output_table(spark, path).read(schema, start, end)

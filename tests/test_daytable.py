@@ -1,0 +1,131 @@
+"""Replacement of days: all old or all new, whatever step a failure cuts."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from adlift.sources.daytable import META, DayTable
+
+PARTS = ("y", "m", "d")
+SCHEMA = T.StructType([T.StructField("v", T.StringType()), *[T.StructField(c, T.IntegerType()) for c in PARTS]])
+D = [dt.date(2024, 1, 30) + dt.timedelta(days=i) for i in range(5)]
+
+
+class Cut(Exception):
+    pass
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return DayTable(spark, str(tmp_path / "t"), PARTS)
+
+
+def rows(spark, value, days):
+    return spark.createDataFrame([(f"{value}{k}", d.year, d.month, d.day) for d in days for k in range(2)], SCHEMA)
+
+
+def seen(table, **window):
+    """{day: values} as a reader gets them."""
+    out = {}
+    for r in table.read(SCHEMA, **window).collect():
+        out.setdefault(dt.date(r.y, r.m, r.d), set()).add(r.v)
+    return out
+
+
+def of(value, days):
+    return {d: {f"{value}0", f"{value}1"} for d in days}
+
+
+def test_replace_clears_keeps_and_reads_windows(spark, table):
+    assert table.replace(rows(spark, "a", D), D) == D and seen(table) == of("a", D)
+    # Days 1 to 3 again, day 2 without rows.
+    assert table.replace(rows(spark, "b", [D[1], D[3]]), D[1:4]) == [D[1], D[3]]
+    assert seen(table) == of("a", [D[0], D[4]]) | of("b", [D[1], D[3]])
+    assert seen(table, start=D[1], end=D[2]) == of("b", [D[1]])
+    assert table.replace(None, D[3:]) == [] and set(seen(table)) == {D[0], D[1]}
+    # What is left is plain partitioned Parquet.
+    assert spark.read.schema(SCHEMA).parquet(table.path).count() == 4
+    assert sorted(n.split("-")[0] for n in table._names(META)) == ["commit", "done"]
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "append"])
+@pytest.mark.parametrize("step", range(6))
+def test_a_cut_at_any_step_shows_old_or_new_days_never_a_mix(spark, table, monkeypatch, mode, step):
+    """Steps: before the commit; after it; after one, two, three published days; before the end mark."""
+    table.replace(rows(spark, "a", D[:4]), D[:4])
+    new = rows(spark, "b", [D[1], D[2], D[4]])
+    state = {"left": step}
+
+    def cutting(f):
+        def g(*a, **k):
+            if state["left"] == 0:
+                raise Cut
+            state["left"] -= 1
+            return f(*a, **k)
+        return g
+
+    with monkeypatch.context() as m:
+        if step in (0, 5):
+            m.setattr(table, "_write_text", cutting(table._write_text))
+            state["left"] = step // 5
+        else:
+            m.setattr(table, "_publish_day", cutting(table._publish_day))
+            state["left"] = step - 1
+        with pytest.raises(Cut):
+            table.replace(new, D[1:], mode)
+    old = of("a", D[:4])
+    if mode == "overwrite":
+        want = of("a", [D[0]]) | of("b", [D[1], D[2], D[4]])
+    else:
+        want = {d: old.get(d, set()) | of("b", [D[1], D[2], D[4]]).get(d, set()) for d in D}
+    fresh = DayTable(spark, table.path, PARTS)
+    assert seen(fresh) == (old if step == 0 else want)
+    assert seen(fresh, start=D[2], end=D[3]) == {d: v for d, v in (old if step == 0 else want).items() if D[2] <= d <= D[3]}
+    # The next write finishes the commit first; its own day follows.
+    assert fresh.recover() is (step > 0) and fresh.pending() is None
+    assert seen(fresh) == (old if step == 0 else want)
+    fresh.replace(rows(spark, "c", D[:1]), D[:1])
+    assert seen(fresh)[D[0]] == {"c0", "c1"}
+
+
+def test_a_day_cut_between_its_two_steps(spark, table, monkeypatch):
+    """The old folder is gone, the new one not yet in place: readers take it from the stage."""
+    table.replace(rows(spark, "a", D[:2]), D[:2])
+
+    class NoRename:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            if "stage" in a.toString():
+                raise Cut
+            return self.fs.rename(a, b)
+
+    with monkeypatch.context() as m:
+        m.setattr(table, "fs", NoRename(table.fs))
+        with pytest.raises(Cut):
+            table.replace(rows(spark, "b", D[:2]), D[:2])
+    assert not table.fs.exists(table._at(table.folder(D[0])))
+    assert seen(DayTable(spark, table.path, PARTS)) == of("b", D[:2])
+
+
+def test_rows_of_other_days_and_second_writers_are_refused(spark, table):
+    table.replace(rows(spark, "a", D[:1]), D[:1])
+    with pytest.raises(ValueError, match="2024-01-31"):
+        table.replace(rows(spark, "b", D[:2]), D[:1])
+    assert seen(table) == of("a", D[:1]) and table.pending() is None
+    with pytest.raises(ValueError, match="without a day"):
+        table.replace(rows(spark, "b", D[:1]).withColumn("y", F.lit(None).cast("int")), D[:1])
+    assert seen(table) == of("a", D[:1])
+
+
+def test_info_is_handed_on(spark, table):
+    assert table.info() == {}
+    table.replace(rows(spark, "a", D[:1]), D[:1], info={"k": 1})
+    table.replace(rows(spark, "b", D[:1]), D[:1])
+    assert table.info() == {"k": 1}

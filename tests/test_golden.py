@@ -74,7 +74,49 @@ def test_run_writes_and_reruns_idempotently(spark, tmp_path):
 def test_run_with_empty_sales_writes_nothing(spark, tmp_path):
     src = golden.sources(spark, sales=[s for s in golden.SALES if s[3] < "2024-01-01"])
     got = daily.run(spark, src, CFG, str(tmp_path / "none"))
-    assert got["written"] is False
+    assert got == {"written": False, "reason": "no sales in the read window", "days_cleared": []}
+    assert not (tmp_path / "none").exists()
+
+
+def test_rerun_with_empty_sources_clears_its_window(spark, tmp_path):
+    from adlift.sources.sink import read_daily_conversions
+    path, src = str(tmp_path / "out"), golden.sources(spark)
+    daily.run(spark, src, CFG, path)
+    src.placements = src.placements.where("false")
+    appended = daily.run(spark, src, CFG.with_(write_mode="append"), path)
+    assert appended["days_cleared"] == [] and read_daily_conversions(spark, path).count() == 2
+    got = daily.run(spark, src, CFG, path)
+    assert got["written"] is False and got["reason"] == "no placements in the read window"
+    assert got["days_cleared"] == ["2024-10-02"] and read_daily_conversions(spark, path).count() == 0
+
+
+def test_run_is_one_write_and_two_guards(spark, tmp_path):
+    """Queries that Spark ran: the emptiness guard, the dimension ids, the write that observes all counts."""
+    ran = lambda: spark._jsparkSession.sharedState().statusStore().executionsCount()
+    src, before = golden.sources(spark), ran()
+    got = daily.run(spark, src, CFG, str(tmp_path / "out"))
+    assert ran() - before == 3
+    assert {k: v for k, v in got.items() if k != "repeated_dimension_ids"} == {
+        "written": True, "groups": 2, "units_sold": 2, "null_sales": 0, "null_daily_budget": 0, "winner_rows": 3,
+        "unreadable_sale_times": 0, "days_cleared": []}
+
+
+def test_run_finishes_what_a_failed_run_committed(spark, tmp_path, monkeypatch):
+    from adlift.sources.daytable import DayTable
+    from adlift.sources.sink import read_daily_conversions
+    path = str(tmp_path / "out")
+    daily.run(spark, golden.sources(spark), CFG, path)
+    double = golden.sources(spark)
+    double.categories = double.categories.unionByName(double.categories)
+    with monkeypatch.context() as m:
+        m.setattr(DayTable, "_publish_day", lambda self, commit, day: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            daily.run(spark, double, CFG, path)
+    sales = lambda: {r["sku"]: r["sales"] for r in read_daily_conversions(spark, path).collect()}
+    assert sales() == {"A": Decimal("61.00"), "B": Decimal("0.00")}
+    # A run of another day publishes them before its own.
+    daily.run(spark, double, CFG.with_(start=D3), path)
+    assert sales() == {"A": Decimal("61.00"), "B": Decimal("0.00")} and DayTable(spark, path, ("a", "b", "c")).pending() is None
 
 
 def test_strict_mode_refuses_repeated_dimension_ids(spark, tmp_path):
