@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from adlift.config import fixture_config
-from adlift.queries import EMPTIED_DAY, SCAN_END, SCAN_START, SINGLE_DAY
+from adlift.queries import EMPTIED_DAY, LATE_FROM, LATE_LOCATION, SCAN_END, SCAN_START, SHORT_LOOKBACK, SINGLE_DAY
 from adlift.sources.fixtures import ORACLE_CTES
 
 _CFG = fixture_config()
@@ -171,6 +171,26 @@ def _enrich_sql(names) -> str:
             + "\n".join(joins))
 
 
+# The days whose own rows differ before and after the change, those whose history (at most K
+# ad-free rows per SKU) differs, and the run days that either reaches.
+_LATE = f"IN ({_d(LATE_FROM)}, {_d(LATE_FROM + dt.timedelta(days=9))})"
+AFFECTED = f"""
+sales_b AS (SELECT * FROM sales WHERE NOT (order_id % 50 = 7 AND date {_LATE})),
+placements_b AS (SELECT * FROM placements_x WHERE NOT (location_id = {LATE_LOCATION} AND date = {_d(LATE_FROM)})),
+own AS (
+  SELECT DISTINCT date FROM sales WHERE order_id % 50 = 7 AND date {_LATE}
+  UNION SELECT DISTINCT date FROM placements WHERE location_id = {LATE_LOCATION} AND date = {_d(LATE_FROM)}),
+""" + ",\n".join(f"""
+hist_{n} AS (
+  SELECT date, sku, order_id FROM {sales} s
+  WHERE NOT EXISTS (SELECT 1 FROM {ads} p WHERE p.date = s.date AND p.sku = s.sku AND p.location_id = s.location_id)
+  QUALIFY row_number() OVER (PARTITION BY date, sku ORDER BY {RECENCY}) <= {K})"""
+                 for n, sales, ads in (("b", "sales_b", "placements_b"), ("a", "sales", "placements_x"))) + """,
+past AS (
+  SELECT DISTINCT date FROM ((SELECT * FROM hist_a EXCEPT SELECT * FROM hist_b)
+                             UNION ALL (SELECT * FROM hist_b EXCEPT SELECT * FROM hist_a)))"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ORACLE_CTES.strip() + "".join("," + c for c in ctes if c) + "\n"
 
@@ -250,6 +270,17 @@ FROM inc""",
     "sink_rerun_emptied_day": _with(FULL) + f"SELECT * FROM ({DAILY_CONVERSIONS}) WHERE sales_date <> {_d(EMPTIED_DAY)}",
     "empty_window": _with(FULL) + f"""
 SELECT * FROM ({DAILY_CONVERSIONS}) WHERE sales_date NOT BETWEEN {_d(EMPTIED_DAY - dt.timedelta(days=1))} AND {_d(EMPTIED_DAY)}""",
+    "baseline_from_summary": _with(BASELINE) + """
+SELECT date, sku, round(avg_units_sold_no_ad_traffic, 6) AS avg_units_sold_no_ad_traffic,
+       round(avg_sales_no_ad_traffic, 6) AS avg_sales_no_ad_traffic
+FROM baseline""",
+    "backfill_output": _with(FULL) + DAILY_CONVERSIONS,
+    "affected_days": _with(AFFECTED) + f"""
+SELECT * FROM (
+  SELECT CAST(d AS DATE) AS date, EXISTS (SELECT 1 FROM own WHERE own.date = d) AS own_changed,
+         EXISTS (SELECT 1 FROM past WHERE past.date BETWEEN CAST(d AS DATE) - {SHORT_LOOKBACK} AND CAST(d AS DATE) - 1) AS past_changed
+  FROM generate_series({START}, {END}, INTERVAL 1 DAY) AS t(d))
+WHERE own_changed OR past_changed""",
     "baseline_profile": _with(BASELINE) + f"""
 SELECT c.date,
        (SELECT min(s.date) FROM sales s WHERE s.date BETWEEN c.date - {BACK} AND c.date - 1) AS earliest_sale,

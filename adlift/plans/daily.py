@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from adlift.config import RunConfig
 from adlift.contracts import DAILY_CONVERSIONS, OWNED_COLUMNS, OWNER_TABLES, column_owners, schema_mismatches
 from adlift.operators.attribution import attribute
-from adlift.operators.baseline import baseline_by_day, gated_days
+from adlift.operators.baseline import baseline_by_day, baseline_from_history, gated_days
 from adlift.operators.enrich import dimension_joins, enrich
 from adlift.functions.dates import epoch_ms_to_seconds, partition_day_predicate
 from adlift.operators.metrics import daily_sums, daily_sums_20key, incremental_rows, sums_by_ids
@@ -66,8 +66,8 @@ class Stages:
     incremental     gated winners + baseline + clamped increments
     """
 
-    def __init__(self, sources: Sources, cfg: RunConfig):
-        self.sources, self.cfg = sources, cfg
+    def __init__(self, sources: Sources, cfg: RunConfig, history: DataFrame | None = None):
+        self.sources, self.cfg, self.history = sources, cfg, history
 
     @cached_property
     def _raw_sales(self) -> DataFrame:
@@ -126,6 +126,8 @@ class Stages:
 
     @cached_property
     def baseline(self) -> DataFrame:
+        if self.history is not None:
+            return baseline_from_history(self.history, self.cfg)
         return baseline_by_day(self.sales, self.ad_keys, self.cfg)
 
     @cached_property
@@ -150,8 +152,9 @@ class Stages:
         return enrich(sums, self.dims, joins=dimension_joins(self.owners))
 
 
-def stages(sources: Sources, cfg: RunConfig) -> Stages:
-    return Stages(sources, cfg)
+def stages(sources: Sources, cfg: RunConfig, history: DataFrame | None = None) -> Stages:
+    """``history``: kept rows of the history days (``adlift.sources.summary``) instead of their raw sales."""
+    return Stages(sources, cfg, history)
 
 
 def daily_conversions(sources: Sources, cfg: RunConfig) -> DataFrame:
@@ -164,7 +167,8 @@ def daily_conversions_20key(sources: Sources, cfg: RunConfig) -> DataFrame:
     return daily_sums_20key(stages(sources, cfg).enriched())
 
 
-def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str) -> dict:
+def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str,
+        history: DataFrame | None = None, info: dict | None = None) -> dict:
     """Plan, guard, write. Returns counts observed during the write.
 
     Two small jobs go before the one write: the emptiness guard and the repeated dimension
@@ -173,23 +177,25 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
     ``unreadable_sale_times`` twice (not the output's counts, nor any written value).
 
     Empty sales or placements in the read window (the job's empty-source guard) end the run:
-    nothing is computed and, unless appending, the window's old days are cleared.
+    nothing is computed and, unless appending, the window's old days are cleared. With kept
+    ``history`` only the run days' sales are looked at. ``info`` is kept with the output's state.
     """
-    s, table = stages(sources, cfg), output_table(spark, output_path)
+    s, table = stages(sources, cfg, history), output_table(spark, output_path)
     table.recover()
     # An append leaves the days it has no rows for; every other run replaces its window.
     old = table.days(cfg.days) if cfg.write_mode == "overwrite" else []
-    empty = empty_ones({"sales": s.sales, "placements": s._raw_placements})
+    sales = s.sales if history is None else s.sales_run
+    empty = empty_ones({"sales": sales, "placements": s._raw_placements})
     if empty:
-        if old:
-            table.replace(None, cfg.days)
+        if old or info is not None:
+            table.replace(None, cfg.days, info=info)
         return {"written": False, "reason": f"no {' and no '.join(empty)} in the read window",
                 "days_cleared": [d.isoformat() for d in old]}
     repeated = _repeated_dimension_ids(s.dims)
     if repeated and cfg.require_unique_dimension_ids:
         raise ValueError(f"dimensions with repeated ids (would multiply measures): {repeated}")
     won, sold, out = Observation("winners"), Observation("sales"), Observation("output")
-    s.__dict__["sales_run"] = s._sales_run(lambda df: df.observe(sold, F.count(F.when(_unreadable(cfg), 1)).alias("unread")))
+    s.sales_run = s._sales_run(lambda df: df.observe(sold, F.count(F.when(_unreadable(cfg), 1)).alias("unread")))
     observed = s.incremental.observe(won, F.count(F.lit(1)).alias("winner_rows"))
     rows = daily_sums(s.enriched(incremental=observed))
     # Q3: the output must match the declared contract before anything is written.
@@ -201,7 +207,7 @@ def run(spark: SparkSession, sources: Sources, cfg: RunConfig, output_path: str)
         out, F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("units_sold"), F.lit(0)).alias("units_sold"),
         F.count(F.when(F.col("sales").isNull(), 1)).alias("null_sales"),
         F.count(F.when(F.col("daily_budget").isNull(), 1)).alias("null_daily_budget"))
-    written = table.replace(rows, cfg.days, cfg.write_mode)
+    written = table.replace(rows, cfg.days, cfg.write_mode, info)
     counts = out.get
     if counts["groups"]:
         seen = {"winner_rows": won.get["winner_rows"], "unreadable_sale_times": sold.get["unread"]}

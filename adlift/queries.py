@@ -34,12 +34,14 @@ from adlift.operators import attribution, baseline, quality
 from adlift.operators.enrich import DIMENSION_JOINS, enrich
 from adlift.operators.metrics import daily_sums, daily_sums_20key
 from adlift.operators.normalize import explode_tracked_skus, normalize_sales, placement_keys, placement_times
-from adlift.plans import daily
+from adlift.plans import backfill, daily
 from adlift.plans.calendar import run_calendar_with_inputs
 from adlift.session import checkpoint_dir, configure
 from adlift.sources import fixtures
 from adlift.sources.catalog import scan_date_range
 from adlift.sources.sink import read_daily_conversions, write_daily_conversions
+from adlift.sources.summary import HistorySummary
+from adlift.sources.versions import content_versions
 
 R6 = 6
 # The window of the scan query, a two-week slice of the run.
@@ -316,6 +318,55 @@ def q_empty_window(spark, sf_dir):
     return read_daily_conversions(spark, path)
 
 
+# ---- kept history and backfill ------------------------------------------------
+
+# The state of the inputs before the change that these queries follow: some sales
+# from LATE_FROM on had not arrived, nor one location's placements of LATE_FROM. A short lookback
+# lets the change's reach end within the run.
+LATE_FROM, LATE_LOCATION, SHORT_LOOKBACK = dt.date(2024, 1, 18), 3, 4
+
+
+def _earlier(src):
+    stored = date_from_parts("year", "month", "day")
+    begin = date_from_epoch_seconds(epoch_ms_to_seconds("begintime"))
+    late_sale = (F.col("order_id") % 50 == 7) & stored.isin([LATE_FROM, LATE_FROM + dt.timedelta(days=9)])
+    late_ad = (F.col("locationid") == LATE_LOCATION) & (begin == F.lit(LATE_FROM))
+    return dataclasses.replace(src, sales=src.sales.where(~late_sale), placements=src.placements.where(~late_ad))
+
+
+def q_baseline_from_summary(spark, sf_dir):
+    """The history kept before the change, brought up to date for the changed days, and read."""
+    src, cfg = _setup(spark, sf_dir), _cfg()
+    kept = HistorySummary(spark, _output_folder(spark, "history"))
+    days = [cfg.read_start + dt.timedelta(days=i) for i in range((cfg.history_end - cfg.read_start).days + 1)]
+    for state in (_earlier(src), src):
+        versions = {r["date"]: r["version"] for r in backfill.input_versions(state, cfg).collect()}
+        kept.refresh(lambda todo, state=state: backfill.history_of(state, cfg, todo), versions, days, cfg)
+    b = daily.stages(src, cfg, kept.read(cfg.read_start, cfg.history_end)).baseline
+    return b.select("date", "sku", _r("avg_units_sold_no_ad_traffic"), _r("avg_sales_no_ad_traffic"))
+
+
+def q_affected_days(spark, sf_dir):
+    """Run days that the change reaches, by their own inputs or by the history of their baseline."""
+    src, cfg = _setup(spark, sf_dir), _cfg().with_(lookback_days=SHORT_LOOKBACK)
+
+    def keys(state):
+        s = daily.stages(state, cfg)
+        hist = baseline.daily_history(s.sales, s.ad_keys, cfg.read_start, cfg.history_end, cfg.baseline_rows)
+        return backfill.day_keys(spark, backfill.input_versions(state, cfg), content_versions(hist), cfg)
+
+    return backfill.affected_days(keys(_earlier(src)), keys(src))
+
+
+def q_backfill_output(spark, sf_dir):
+    """The output written before the change and brought up to date by the affected days alone."""
+    src, cfg = _setup(spark, sf_dir), _cfg()
+    out, kept = _output_folder(spark, "backfill"), _output_folder(spark, "backfill-history")
+    for state in (_earlier(src), src):
+        backfill.backfill(spark, state, cfg, out, kept)
+    return read_daily_conversions(spark, out)
+
+
 # ---- quality reports -----------------------------------------------------------
 
 def q_source_profile(spark, sf_dir):
@@ -386,6 +437,9 @@ QUERIES = {
     "sink_rerun_timestamp_form": q_sink_rerun_timestamp_form,
     "sink_rerun_emptied_day": q_sink_rerun_emptied_day,
     "empty_window": q_empty_window,
+    "baseline_from_summary": q_baseline_from_summary,
+    "affected_days": q_affected_days,
+    "backfill_output": q_backfill_output,
     "source_profile": q_source_profile,
     "baseline_profile": q_baseline_profile,
     "stage_counts": q_stage_counts,

@@ -1,0 +1,159 @@
+"""Kept history and backfill: what is read, what is run, and that the result is that of a full run."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import golden
+from adlift.config import RunConfig
+from adlift.plans import backfill as bf
+from adlift.plans import daily
+from adlift.sources import fixtures
+from adlift.sources.sink import read_daily_conversions
+from adlift.sources.summary import HistorySummary
+from adlift.sources.versions import combined, content_versions, file_versions
+from conftest import SF_SMALL
+
+CFG = RunConfig(start="2024-01-20", end="2024-01-30", lookback_days=6)
+STORED = ("year", "month", "day")
+
+
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+class Files:
+    """The test tables' sales and placements as day folders, read with declared schemas."""
+
+    def __init__(self, spark, root):
+        src = fixtures.load(spark, SF_SMALL)
+        self.spark, self.root = spark, str(root)
+        self.schemas = {n: getattr(src, n).schema for n in ("sales", "placements")}
+        for n in self.schemas:
+            getattr(src, n).write.partitionBy(*STORED).parquet(f"{self.root}/{n}")
+        self.src = src
+
+    def sources(self):
+        read = lambda n: self.spark.read.schema(self.schemas[n]).parquet(f"{self.root}/{n}")
+        return type(self.src)(**{**self.src.__dict__, "sales": read("sales"), "placements": read("placements")})
+
+    def versions(self, cfg=CFG):
+        days = bf._between(cfg.read_start, cfg.end)
+        return combined(*[file_versions(self.spark, f"{self.root}/{n}", days) for n in self.schemas])
+
+    def folder(self, name, day):
+        return f"{self.root}/{name}/year={day.year}/month={day.month}/day={day.day}"
+
+    def add_sale(self, day, **values):
+        row = self.sources().sales.where(F.make_date(*STORED) == F.lit(day)).limit(1).withColumns(
+            {c: F.lit(v) for c, v in values.items()})
+        row.drop(*STORED).coalesce(1).write.mode("append").parquet(self.folder("sales", day))
+
+    def spoil(self, name, day):
+        """Content that cannot be read, of the same name, size and time: a read of it fails."""
+        for f in os.listdir(self.folder(name, day)):
+            path = f"{self.folder(name, day)}/{f}"
+            if f.endswith(".parquet"):
+                at = os.stat(path)
+                with open(path, "wb") as out:
+                    out.write(b"x" * at.st_size)
+                os.utime(path, ns=(at.st_atime_ns, at.st_mtime_ns))
+            elif f.endswith(".crc"):
+                os.remove(path)
+
+
+@pytest.fixture
+def files(spark, tmp_path):
+    return Files(spark, tmp_path)
+
+
+def test_only_run_days_and_changed_days_of_sales_are_read(spark, files, tmp_path):
+    out, kept = str(tmp_path / "out"), str(tmp_path / "kept")
+    first = bf.backfill(spark, files.sources(), CFG, out, kept, files.versions())
+    assert len(first["days_run"]) == 11 and len(first["history_days"]) == 16
+    changed = dt.date(2024, 1, 27)
+    files.add_sale(changed, order_id=10 ** 9, sku="new-sku", location_id=77)
+    rows = sorted(map(str, daily.daily_conversions(files.sources(), CFG).collect()))
+    run_again = bf._between(changed, CFG.end)
+    for day in bf._between(CFG.read_start, CFG.end):
+        if day not in run_again:
+            files.spoil("sales", day)
+    with pytest.raises(Exception, match="(?i)parquet|corrupt|footer"):
+        daily.daily_conversions(files.sources(), CFG).collect()
+    again = bf.backfill(spark, files.sources(), CFG, out, kept, files.versions())
+    assert again["history_days"] == [changed.isoformat()]
+    assert again["days_run"] == [d.isoformat() for d in run_again]
+    assert sorted(map(str, read_daily_conversions(spark, out).collect())) == rows
+    idle = bf.backfill(spark, files.sources(), CFG, out, kept, files.versions())
+    assert idle == {"days_run": [], "history_days": [], "runs": []}
+
+
+def test_change_that_leaves_the_history_reaches_its_own_day_only(spark, files, tmp_path):
+    """A sale whose key had an ad that day is no history: later baselines stay."""
+    out, kept = str(tmp_path / "out"), str(tmp_path / "kept")
+    bf.backfill(spark, files.sources(), CFG, out, kept, files.versions())
+    day = dt.date(2024, 1, 23)
+    st = daily.stages(files.sources(), CFG)
+    ad = st.placements_run.where(F.col("date") == F.lit(day)).orderBy(F.col("end_sec").desc()).first()
+    files.add_sale(day, order_id=10 ** 9, sku=ad["sku"], location_id=ad["location_id"], timestamp=str(ad["begin_sec"]))
+    got = bf.backfill(spark, files.sources(), CFG, out, kept, files.versions())
+    assert got["days_run"] == [day.isoformat()] and got["history_days"] == [day.isoformat()]
+    assert same(read_daily_conversions(spark, out), daily.daily_conversions(files.sources(), CFG))
+
+
+def test_dimension_and_setting_changes_reach_every_day(spark, tmp_path):
+    cfg = RunConfig(start="2024-10-02", end="2024-10-03")
+    out, kept = str(tmp_path / "out"), str(tmp_path / "kept")
+    bf.backfill(spark, golden.sources(spark), cfg, out, kept)
+    src = golden.sources(spark)
+    src.locations = src.locations.withColumn("name", F.upper("name"))
+    got = bf.backfill(spark, src, cfg, out, kept)
+    assert got["days_run"] == ["2024-10-02", "2024-10-03"] and got["history_days"] == []
+    assert read_daily_conversions(spark, out).first()["location_name"] == "STORE 1"
+    # One row per (sku, day) instead of three: kept histories of the other form are replaced.
+    got = bf.backfill(spark, src, cfg.with_(baseline_rows=1), out, kept)
+    assert len(got["history_days"]) == 61 and len(got["days_run"]) == 2
+    assert same(read_daily_conversions(spark, out), daily.daily_conversions(src, cfg.with_(baseline_rows=1)))
+    assert bf.backfill(spark, src, cfg.with_(baseline_rows=1), out, kept)["days_run"] == []
+
+
+def test_a_day_that_lost_its_rows_is_run_and_cleared(spark, tmp_path):
+    cfg = RunConfig(start="2024-10-02", end="2024-10-03")
+    out, kept = str(tmp_path / "out"), str(tmp_path / "kept")
+    bf.backfill(spark, golden.sources(spark), cfg, out, kept)
+    assert read_daily_conversions(spark, out).count() == 2
+    got = bf.backfill(spark, golden.sources(spark, placements=golden.PLACEMENTS[:1]), cfg, out, kept)
+    assert got["days_run"][0] == "2024-10-02" and read_daily_conversions(spark, out).count() == 0
+
+
+def test_append_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="append"):
+        bf.backfill(spark, golden.sources(spark), RunConfig(start="2024-10-02", end="2024-10-02", write_mode="append"), "x", "y")
+
+
+def test_kept_history_is_small_and_gives_the_same_baseline(spark, tmp_path):
+    src = fixtures.load(spark, SF_SMALL)
+    kept = HistorySummary(spark, str(tmp_path / "kept"))
+    days = bf._between(CFG.read_start, CFG.history_end)
+    assert kept.refresh(lambda d: bf.history_of(src, CFG, d), {}, days, CFG) == days
+    rows = kept.read(CFG.read_start, CFG.history_end)
+    assert rows.groupBy("sku", "date").count().where("count > 3").count() == 0
+    cols = ["date", "sku", F.round("avg_units_sold_no_ad_traffic", 9), F.round("avg_sales_no_ad_traffic", 9)]
+    a, b = daily.stages(src, CFG, rows).baseline.select(*cols), daily.stages(src, CFG).baseline.select(*cols)
+    assert a.count() > 0 and same(a, b)
+
+
+def test_content_versions_see_repeats_but_not_order(spark):
+    day = dt.date(2024, 1, 1)
+    make = lambda rows: {r["date"]: r["version"] for r in content_versions(
+        spark.createDataFrame(rows, "date date, a int, b array<string>").repartition(3)).collect()}
+    rows = [(day, 1, ["x"]), (day, 2, None), (None, 3, None)]
+    assert make(rows) == make(rows[::-1]) and len(make(rows)) == 1
+    assert make(rows) != make(rows + rows[:1]) != make(rows + rows[:1] * 2)
+
+
+def test_contiguous():
+    d = [dt.date(2024, 1, x) for x in (1, 2, 5, 7, 8, 9)]
+    assert bf.contiguous(d) == [(d[0], d[1]), (d[2], d[2]), (d[3], d[5])] and bf.contiguous([]) == []
