@@ -13,6 +13,7 @@ files. Prints the observed counts as one JSON line.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import os
 import sys
@@ -20,10 +21,12 @@ import sys
 from pyspark.sql import SparkSession
 
 from adlift.config import RunConfig
+from adlift.plans.backfill import backfill
 from adlift.plans.daily import run
 from adlift.session import configure
 from adlift.sources.bundle import DIMENSIONS
 from adlift.sources.catalog import from_catalog
+from adlift.sources.versions import combined, file_versions
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
@@ -48,6 +51,11 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--sale-time-format", choices=("epoch", "text"), default="epoch")
     p.add_argument("--column-owner", action="append", default=[], metavar="COLUMN=TABLE",
                    help="the table an output column is taken from where several have it (repeatable)")
+    p.add_argument("--backfill", metavar="HISTORY",
+                   help="run only the days that changed inputs reach; HISTORY: folder of the kept history")
+    p.add_argument("--versions", choices=("files", "content"), default="content",
+                   help="how a backfill tells changed days: by the day folders' files (sales and placements are paths, "
+                        "stored by their own day) or by reading the rows")
     p.add_argument("--write-mode", choices=("overwrite", "append"), default="overwrite")
     return p.parse_args(argv)
 
@@ -80,6 +88,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.jdbc_password_env:
         props["password"] = os.environ.get(args.jdbc_password_env, "")
     sources = from_catalog(spark, args.sales, args.placements, dims or None, args.jdbc_url, props, jdbc_read(args))
-    result = run(spark, sources, cfg, args.output)
+    if args.backfill:
+        versions = None
+        if args.versions == "files":
+            days = [cfg.read_start + dt.timedelta(days=i) for i in range((cfg.end - cfg.read_start).days + 1)]
+            versions = combined(*[file_versions(spark, root, days) for root in (args.sales, args.placements)])
+        result = backfill(spark, sources, cfg, args.output, args.backfill, versions)
+    else:
+        result = run(spark, sources, cfg, args.output)
     print(json.dumps(result, default=str))
     return result

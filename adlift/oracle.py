@@ -239,6 +239,10 @@ FROM sales""",
     "attribution_candidates": _with(RUN, PAIRS, CANDIDATES) + "SELECT * FROM cand",
     "attribution_winner": _with(ATTRIBUTED) + """
 SELECT date, order_id, sku, location_id, ts_sec, placement_id, begin_sec, end_sec FROM winners""",
+    "attribution_winner_bucketed": _with(ATTRIBUTED) + """
+SELECT date, order_id, sku, location_id, ts_sec, placement_id, begin_sec, end_sec FROM winners""",
+    "sales_without_ads_bucketed": _with(_no_ads("nad", READ_START, HIST_END)) + """
+SELECT date, order_id, sku, location_id, ts_sec, units_sold, sale_amount FROM nad""",
     "sales_without_ads": _with(_no_ads("nad", READ_START, HIST_END)) + """
 SELECT date, order_id, sku, location_id, ts_sec, units_sold, sale_amount FROM nad""",
     "baseline_single_day": _with(_no_ads("nad1", _SINGLE_LO, _SINGLE_HI)) + f"""
@@ -281,6 +285,15 @@ SELECT * FROM (
          EXISTS (SELECT 1 FROM past WHERE past.date BETWEEN CAST(d AS DATE) - {SHORT_LOOKBACK} AND CAST(d AS DATE) - 1) AS past_changed
   FROM generate_series({START}, {END}, INTERVAL 1 DAY) AS t(d))
 WHERE own_changed OR past_changed""",
+    "placement_partitions": _with() + """
+SELECT placement_id, CAST(year(date) AS INTEGER) AS placement_year, CAST(month(date) AS INTEGER) AS placement_month,
+       CAST(day(date) AS INTEGER) AS placement_day FROM placements""",
+    "lookback_window": _with() + f"""
+SELECT source, date, count(*) AS n_rows
+FROM (SELECT 'sales' AS source, date FROM sales UNION ALL SELECT 'placements' AS source, date FROM placements)
+WHERE date BETWEEN {_d(SCAN_START)} - 7 AND {_d(SCAN_END)} GROUP BY source, date""",
+    "show_rows": _with() + """
+SELECT order_id, sales_year AS year, sales_month AS month, sales_day AS day FROM sales ORDER BY order_id LIMIT 5""",
     "baseline_profile": _with(BASELINE) + f"""
 SELECT c.date,
        (SELECT min(s.date) FROM sales s WHERE s.date BETWEEN c.date - {BACK} AND c.date - 1) AS earliest_sale,

@@ -33,12 +33,19 @@ from adlift.functions.numeric import resolve_choice
 from adlift.operators import attribution, baseline, quality
 from adlift.operators.enrich import DIMENSION_JOINS, enrich
 from adlift.operators.metrics import daily_sums, daily_sums_20key
-from adlift.operators.normalize import explode_tracked_skus, normalize_sales, placement_keys, placement_times
+from adlift.operators.normalize import (
+    explode_tracked_skus,
+    normalize_placements,
+    normalize_sales,
+    placement_keys,
+    placement_times,
+)
 from adlift.plans import backfill, daily
 from adlift.plans.calendar import run_calendar_with_inputs
 from adlift.session import checkpoint_dir, configure
 from adlift.sources import fixtures
 from adlift.sources.catalog import scan_date_range
+from adlift.sources.layout import BucketedFacts, write_bucketed
 from adlift.sources.sink import read_daily_conversions, write_daily_conversions
 from adlift.sources.summary import HistorySummary
 from adlift.sources.versions import content_versions
@@ -90,6 +97,15 @@ def q_scan_date_range(spark, sf_dir):
                        F.col("day").cast("int").alias("day"))
 
 
+def q_lookback_window(spark, sf_dir):
+    """What a run of SCAN_START..SCAN_END with a lookback of a week reads of each source, by stored day."""
+    src, cfg = _setup(spark, sf_dir), RunConfig(start=SCAN_START, end=SCAN_END, lookback_days=7)
+    st = daily.stages(src, cfg)
+    rows = [df.select(F.lit(name).alias("source"), date_from_parts("year", "month", "day").alias("date"))
+            for name, df in (("sales", st._raw_sales), ("placements", st._raw_placements))]
+    return rows[0].unionByName(rows[1]).groupBy("source", "date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def q_run_calendar(spark, sf_dir):
     s = _stages(spark, sf_dir)
     placements = placement_times(scan_date_range(s.sources.placements, s.cfg.start, s.cfg.end))
@@ -160,6 +176,12 @@ def q_placement_interval(spark, sf_dir):
                     seconds_to_ntz("begin_sec").alias("begin_time"), seconds_to_ntz("end_sec").alias("end_time"))
 
 
+def q_placement_partitions(spark, sf_dir):
+    """Partition parts under their ``placement_`` names, the sales parts' names free."""
+    p = placement_times(_setup(spark, sf_dir).placements)
+    return p.select("placement_id", *[F.col(f"placement_{c}").cast("int").alias(f"placement_{c}") for c in ("year", "month", "day")])
+
+
 def q_resolve_choice(spark, sf_dir):
     p = _setup(spark, sf_dir).placements
     # The choice form: even ids carry the double member, odd ids the int member.
@@ -367,6 +389,27 @@ def q_backfill_output(spark, sf_dir):
     return read_daily_conversions(spark, out)
 
 
+# ---- bucketed layout -----------------------------------------------------------
+
+def _bucketed(spark, sf_dir) -> BucketedFacts:
+    """Both facts of the run's days and their history, written bucketed."""
+    s = _stages(spark, sf_dir)
+    placements = normalize_placements(daily.begin_day_between(s._raw_placements, s.cfg.read_start, s.cfg.end))
+    return write_bucketed(spark, s.sales, placements, f"adlift_{uuid.uuid4().hex}", _output_folder(spark, "bucketed"), 8)
+
+
+def q_attribution_winner_bucketed(spark, sf_dir):
+    cfg = _cfg()
+    return _bucketed(spark, sf_dir).winners(cfg.start, cfg.end, cfg.grace_seconds).select(
+        "date", "order_id", "sku", "location_id", "ts_sec", "placement_id", "begin_sec", "end_sec")
+
+
+def q_sales_without_ads_bucketed(spark, sf_dir):
+    cfg = _cfg()
+    return _bucketed(spark, sf_dir).sales_without_ads(cfg.read_start, cfg.history_end).select(
+        "date", "order_id", "sku", "location_id", "ts_sec", "units_sold", "sale_amount")
+
+
 # ---- quality reports -----------------------------------------------------------
 
 def q_source_profile(spark, sf_dir):
@@ -405,6 +448,13 @@ def q_sample_rows(spark, sf_dir):
         ["date", "order_id"], 2)
 
 
+def q_show_rows(spark, sf_dir):
+    """L2: five rows of the chosen columns."""
+    s = _setup(spark, sf_dir).sales
+    shown = s.select("order_id", *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")])
+    return quality.sample_rows(shown, ["order_id"], 5)
+
+
 QUERIES = {
     "scan_date_range": q_scan_date_range,
     "run_calendar": q_run_calendar,
@@ -440,6 +490,11 @@ QUERIES = {
     "baseline_from_summary": q_baseline_from_summary,
     "affected_days": q_affected_days,
     "backfill_output": q_backfill_output,
+    "attribution_winner_bucketed": q_attribution_winner_bucketed,
+    "sales_without_ads_bucketed": q_sales_without_ads_bucketed,
+    "placement_partitions": q_placement_partitions,
+    "lookback_window": q_lookback_window,
+    "show_rows": q_show_rows,
     "source_profile": q_source_profile,
     "baseline_profile": q_baseline_profile,
     "stage_counts": q_stage_counts,

@@ -308,3 +308,61 @@ def test_winner_equals_max_by_over_pairs(spark):
     mine = st.winners.select("date", "order_id", "sku", "location_id", "placement_id")
     assert mine.count() > 0
     assert mine.exceptAll(by_max).count() == 0 and by_max.exceptAll(mine).count() == 0
+
+
+def test_bucketed_facts_need_no_shuffle_for_their_joins(spark, tmp_path):
+    """Broadcasts off: between the scans and the anti-join or the attribution there is no Exchange."""
+    from adlift.operators.normalize import normalize_placements
+    from adlift.sources.layout import write_bucketed
+
+    cfg = RunConfig(start="2024-01-20", end="2024-01-25", lookback_days=10)
+    st = daily.stages(fixtures.load(spark, SF_SMALL), cfg)
+    placements = normalize_placements(daily.begin_day_between(st._raw_placements, cfg.read_start, cfg.end))
+    facts = write_bucketed(spark, st.sales, placements, "bucketed_test", str(tmp_path / "b"), 5, (cfg.read_start, cfg.end))
+    back = set_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    try:
+        won = facts.winners(cfg.start, cfg.end, cfg.grace_seconds)
+        alone = facts.sales_without_ads(cfg.read_start, cfg.history_end, cfg.baseline_rows)
+        for df in (won, alone):
+            df.collect()
+            plan = plan_text(df).split("== Initial Plan ==")[0]
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            assert "PartitionFilters: [isnotnull(day" in plan and "SelectedBucketsCount: 5 out of 5" in plan
+        cols = ["date", "order_id", "sku", "location_id", "placement_id"]
+        assert won.count() > 0
+        assert sorted(map(tuple, won.select(cols).collect())) == sorted(map(tuple, st.winners.select(cols).collect()))
+    finally:
+        back()
+        for t in (facts.sales_table, facts.placements_table):
+            spark.sql(f"DROP TABLE {t}")
+
+
+def test_bucketed_hot_key_matches_plain(spark, tmp_path):
+    from adlift.sources.layout import write_bucketed
+
+    day, sales, placements = hot_key_case()
+    st = daily.stages(golden.sources(spark, sales=sales, placements=placements), RunConfig(start=day, end=day))
+    facts = write_bucketed(spark, st.sales, st.placements_run, "bucketed_hot", str(tmp_path / "b"), 4)
+    d = dt.date.fromisoformat(day)
+    got = facts.winners(d, d, 7200)
+    assert sorted((r.order_id, r.placement_id) for r in got.collect()) == sorted(
+        (r.order_id, r.placement_id) for r in st.winners.collect())
+    for t in (facts.sales_table, facts.placements_table):
+        spark.sql(f"DROP TABLE {t}")
+
+
+def test_command_line_backfill(spark, partitioned, tmp_path):
+    from adlift.cli import main
+    from adlift.sources.sink import read_daily_conversions
+
+    src, derived = partitioned
+    base = src.sales.inputFiles()[0].split("/sales/")[0].replace("file:", "")
+    argv = ["--start-date", "2024-01-28", "--end-date", "2024-01-30", "--lookback-days", "5", "--versions", "files",
+            "--sales", f"{base}/sales", "--placements", f"{base}/placements", "--output", str(tmp_path / "out"),
+            "--backfill", str(tmp_path / "history")]
+    for n in ("categories", "campaigns", "organizations", "locations", "ad_groups", "ads"):
+        argv += ["--dimension", f"{n}={base}/{n}"]
+    assert len(main(argv, spark)["days_run"]) == 3 and main(argv, spark)["days_run"] == []
+    want = daily.daily_conversions(derived, RunConfig(start="2024-01-28", end="2024-01-30", lookback_days=5))
+    back = read_daily_conversions(spark, str(tmp_path / "out"))
+    assert back.exceptAll(want).count() == 0 and back.count() == want.count()
