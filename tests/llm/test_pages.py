@@ -106,6 +106,86 @@ class TestMainText:
         assert html_suffix.extract_main_text(none).count() == 0
 
 
+    def test_names_that_only_hold_a_frame_word_are_content(self, spark):
+        body = ("<div id='ad-hoc-report'><p>Report.</p></div><p class='social-policy'>Policy.</p>"
+                "<section class=comment-on-law>Law.</section><div class='ad-box'>Buy</div><div class='site-header ad'>Buy</div>"
+                "<div class='related-posts'>More</div><p class='no-sidebar'>Wide.</p>")
+        got = self.rows(spark, [("http://a.org/", f"<article>{body}</article>")])
+        assert got[0] == "Report.\nPolicy.\nLaw.\nWide."
+
+    def test_links_on_an_unmarked_page_are_left_to_the_repeats(self, spark):
+        link = "<p><a href=x>Only a linked headline sentence here</a></p>"
+        menu = "<ul>" + "".join(f"<li><a href=/{w}>{w}</a></li>" for w in MENU.split()) + "</ul>"
+        got = self.rows(spark, [("http://a.org/1", link + "<p>One text.</p>"), ("http://b.org/1", menu + link),
+                                ("http://b.org/2", menu + "<p>Other words.</p>")])
+        assert got == {0: "Only a linked headline sentence here\nOne text.", 1: "Only a linked headline sentence here",
+                       2: "Other words."}
+
+    def test_inline_adverts_end_where_they_end(self, spark):
+        cases = {
+            '<p>Start <span class="ad"><span>Buy</span> now cheap</span> end</p>': "Start end",
+            '<p>A <span class="ad">x<b>y<i>z</i></span> b <span hidden>no<span>no</span>no</span>c</p><p>d</p>': "A b c\nd",
+            '<p>A <span class="ad">open ended</p><p>next</p>': "A\nnext",
+            '<p>A <a class="ads"><div>block <p>inside</p></div> ad</a> b': "A\nb",
+            'x<span class="ad">y': "x",
+        }
+        for page, want in cases.items():
+            assert "\n".join(t for z, t, _ in html_suffix.blocks_of(page) if z == "open") == want, page
+
+    def test_random_pages_equal_their_construction(self, spark):
+        """Pages built together with their text: blocks, inline marks and adverts, frames in and around the article."""
+        rng = random.Random(11)
+        word = lambda: rng.choice(["alpha", "béta", "&lt;tag&gt;", "x &amp; y", "漢字", "1 200", "don&#39;t"])
+        plain = lambda h: h.replace("&lt;", "<").replace("&gt;", ">").replace("&amp;", "&").replace("&#39;", "'")
+
+        def inline():
+            parts, said = [], []
+            for _ in range(rng.randint(1, 6)):
+                w = word()
+                kind = rng.randrange(5)
+                if kind == 4:
+                    tag = rng.choice(["span", "b", "a"])
+                    parts.append(f'<{tag} class="{rng.choice(["ad", "ad-box", "share-links"])}">buy<{tag}> {w} </{tag}>now</{tag}>')
+                    continue
+                said.append(plain(w))
+                parts.append(w if kind < 2 else f"<i>{w}</i>" if kind == 2 else f'<span class="ad-hoc">{w}<br></span>')
+            return " \n".join(parts), " ".join(said)
+
+        frame = lambda: rng.choice(["<nav><a>Home</a></nav>", '<div class="cookie-notice"><p>Ok?</p></div>', "<aside>Side</aside>",
+                                    "<form>Name <input></form>", '<div class="ad"><div>Buy</div>!</div>', "<script>a<b</script>",
+                                    '<ul class="social-share"><li>Like</ul>', "<style>p{}</style>", "<!-- <p>no</p> -->"])
+
+        def article():
+            parts, said = [], []
+            for _ in range(rng.randint(1, 8)):
+                if rng.random() < 0.3:
+                    parts.append(frame())
+                h, t = inline()
+                shape = rng.choice(["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<div class='social-policy'>{}</div>", "<ul><li>{}</ul>",
+                                    "<blockquote><p>{}</p></blockquote>", "<table><tr><td>{}</table>"])
+                parts.append(shape.format(h))
+                said += [t] if t else []
+            return "".join(parts), "\n".join(said)
+
+        pages, want = [], {}
+        for k in range(150):
+            h, t = article()
+            around = rng.choice(["<article>{}</article>", '<main><div class="content">{}</div></main>',
+                                 '<div class="post"><article>{}</article><section id="comments"><p>Hi</p></section></div>'])
+            pages.append((f"http://h{k % 7}.org/{k}", "<html><body>" + frame() + around.format(h) + frame() + "<footer>F</footer>"))
+            want[k] = t
+        assert self.rows(spark, pages) == want
+
+    def test_near_copies_of_an_unmarked_page(self, spark):
+        """The repeats decide: shared windows go, what tells the copies apart stays with its surroundings under 8 tokens."""
+        def page(k):
+            return f"<div>{MENU}</div><p>Report {k}: the harbour was closed for repairs in the spring and opened again by June.</p>"
+
+        got = self.rows(spark, [(f"http://h.org/{k}", page(k)) for k in (1, 2)] + [("http://other.org/", page(3))])
+        assert got[2].endswith("by June.") and MENU in got[2]
+        assert got[0] == "Report 1:" and got[1] == "Report 2:"
+
+
 class TestWarc:
     ROWS = [(5, "http://b.org/x", "<p>" + "same " * 40), (3, "http://a.org/y?q#f", "<p>" + "same " * 40), (9, None, None),
             (8, "no\r\nscheme", "short"), (7, "http://a.org/y", "short"), (2, "http://A.org/z", "é" * 50), (4, "", "é" * 50),
