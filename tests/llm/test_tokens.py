@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -103,6 +105,59 @@ class TestPacking:
             assert all(e.start == 0 and len(e.ids) == e.total for s in out for e in s)
 
 
+    def test_many_short_documents_pack_in_linear_time_without_padding(self):
+        """300,000 one-id documents in one partition; a limit of 256 segments leaves three-id documents unfilled."""
+        for n, size in ((300_000, 1), (20_000, 3)):
+            out, began = [], time.time()
+            packer = vector_pack.Packer(vector_pack.Limits(), lambda s, pieces: out.append([len(e.ids) for e in pieces]))
+            one = np.ones(size, dtype=np.uint32)
+            for i in range(n):
+                packer.add(vector_pack.Example(i, one, one.astype(np.int8), 0, size))
+            packer.drain(0)
+            assert time.time() - began < 30
+            lengths = [sum(s) for s in out]
+            assert sum(lengths) == n * size and all(x & (x - 1) == 0 and x <= 1024 for x in lengths)
+            assert all(len(s) <= 256 for s in out)
+
+    def test_three_id_documents_need_no_padding(self, spark, frame, exact):
+        text = "a b"
+        assert len(exact.encode(text, add_special_tokens=False).ids) == 2
+        docs = frame("doc_id long, text string", [(i, text) for i in range(20_000)])
+        assert check_packing(queries.pack(docs).collect(), {i: text for i in range(20_000)}, exact) == 0
+
+    def test_loss_limit_below_the_token_limit(self, spark, frame, exact):
+        """Turns that bear loss fill a sequence's loss limit before its tokens; every id is placed once."""
+        rnd = random.Random(4)
+        words = ["ask", "answer", "héllo", "世界", "x1"]
+        rows = []
+        for i in range(120):
+            text = " ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 60)))
+            a = rnd.randrange(len(text) + 1)
+            spans = rnd.choice([None, [], [(a, a + rnd.randrange(40))], [(0, 5), None, (3, 9), (10 ** 6, 10 ** 6 + 1)]])
+            rows.append((i, text, spans))
+        docs = frame("doc_id long, text string, turns array<struct<start: int, end: int>>", rows)
+        limits = vector_pack.Limits(tokens=64, segments=8, loss_tokens=24, pool=512)
+        f = queries.tokenizer_files()
+        out = vector_pack.pack_documents(docs, f["json"], f["ranks"], f["pattern"], limits, "turns").collect()
+        flags, sequences, covered = {}, {}, {}
+        for i, text, spans in rows:
+            e = exact.encode(text, add_special_tokens=False)
+            inside = [spans is None or any(s and s[0] <= p < s[1] for s in spans) for p in range(len(text))]
+            flags[i] = [inside[a] for a, _ in e.offsets] + [inside[-1] if text else spans is None]
+        for r in out:
+            covered.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+            sequences.setdefault(r["sequence_id"], []).append(r)
+        for i, own in covered.items():
+            own.sort()
+            assert [a for a, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))]
+            assert sum(n for _, n in own) == len(flags[i])
+        assert set(covered) == set(flags)
+        loss = [sum(sum(flags[r["doc_id"]][r["start"]:r["start"] + r["length"]]) for r in s) for s in sequences.values()]
+        size = [sum(r["length"] for r in s) for s in sequences.values()]
+        assert max(loss) <= 24 < max(size) <= 64 and all(len(s) <= 8 for s in sequences.values())
+        assert all(n & (n - 1) == 0 for n in size)
+
+
 ENCODERS = {}
 
 
