@@ -211,15 +211,16 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """One row per document: its counts, ``base_failed``, ``quality`` (posterior) and ``kept``.
+    """One row per document: its counts, ``base_failed``, ``kept`` and ``quality`` (posterior).
 
     The counts are written once and used for both learning and judging.
     """
     slim = features(docs.select("doc_id", "text"))
     voted = save(slim.select("doc_id", *COUNTS, "base_failed", *[f"_v_{k}" for k in votes()]), "quality")
     model = learn(vote_patterns(voted))
-    return voted.select("doc_id", *COUNTS, "base_failed", model.posterior().alias("quality")).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("quality") >= KEEP_AT))
+    judged = voted.select("doc_id", *COUNTS, "base_failed", model.posterior().alias("quality"))
+    return judged.select("doc_id", *COUNTS, "base_failed",
+                         (~F.col("base_failed") & (F.col("quality") >= KEEP_AT)).alias("kept"), "quality")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
