@@ -216,6 +216,37 @@ SPAN = ("array<struct<kind:string,start:int,end:int,valid:boolean,format:tinyint
         "edge:tinyint,f_length:string,f_digits:string,f_before:string,f_after:string>>")
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _chunks(size: Column) -> Column:
+    return F.sequence(F.lit(0), F.floor((size - 1) / CHUNK).cast("int"))
+
+
+def _stretches(spans: Column) -> Column:
+    """Spans by start, in stretches of ``CHUNK`` with the place each stretch covers; empty for none."""
+    def cut(places: Column) -> Column:
+        def one(j: Column) -> Column:
+            return _bound(F.slice(places, j * CHUNK + 1, F.lit(CHUNK)), lambda own: F.struct(
+                own.alias("own"), own[0]["start"].alias("start"), F.array_max(F.transform(own, lambda s: s["end"])).alias("end")))
+
+        return F.when(F.size(places) > 0, F.transform(_chunks(F.size(places)), one))
+
+    return _bound(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))), cut)
+
+
+def _meets(stretches: Column, s: Column) -> Column:
+    """Whether a span overlaps one of them: looked for in the stretches around it alone."""
+    overlap = lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"])
+    return F.coalesce(F.exists(stretches, lambda c: overlap(c) & F.exists(c["own"], overlap)), F.lit(False))
+
+
+def _clear(b: Column) -> Column:
+    return F.filter(b["own"], lambda s: ~_meets(b["taken"], s))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``_base`` and ``_more``: arrays of base spans and further candidates."""
     df = docs.withColumn("_text", text_or_empty())
@@ -229,12 +260,11 @@ def scan(docs: DataFrame) -> DataFrame:
     df = df.withColumns({f"_s_{k}": F.coalesce(_matches(k).cast(SPAN), F.array().cast(SPAN))
                          for k in patterns})
     df = df.withColumn("_base", F.concat(*[f"_s_{k}" for k in BASE]))
-    clear = lambda have: (lambda s: ~F.exists(have, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     df = df.withColumn("_more", F.array().cast(SPAN))
     for k in LOOSE:
-        df = df.withColumn("_taken", F.concat("_base", "_more"))
-        df = df.withColumn("_more", F.when(F.size(f"_s_{k}") > 0, F.concat(
-            "_more", F.filter(f"_s_{k}", clear(F.col("_taken"))))).otherwise(F.col("_more")))
+        own = F.col(f"_s_{k}")
+        clear = _bound(F.struct(own.alias("own"), _stretches(F.concat("_base", "_more")).alias("taken")), _clear)
+        df = df.withColumn("_more", F.when(F.size(own) > 0, F.concat("_more", clear)).otherwise(F.col("_more")))
     return df.select(*docs.columns, "_text", "_base", "_more")
 
 
@@ -363,38 +393,61 @@ def find(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", *counts, _listing("_base").alias("base"), _listing("_spans").alias("spans"))
 
 
+def _mask(text: Column, spans: Column) -> Column:
+    """``text`` with its spans (start, end, kind; by start) replaced, overlapping ones under the first's name.
+
+    Stretches of ``CHUNK`` spans are masked within their own part of the text and joined
+    once, so neither the output nor the way to a place is walked again for every span.
+    """
+    def all_of(b: Column) -> Column:
+        ends = F.transform(_chunks(F.size(b["s"])), lambda j: F.array_max(
+            F.transform(F.slice(b["s"], j * CHUNK + 1, F.lit(CHUNK)), lambda s: s["end"])))
+
+        def joined(reach: Column) -> Column:
+            def part(j: Column) -> Column:
+                at = F.coalesce(F.array_max(F.slice(reach, F.lit(1), j)), F.lit(0))
+                return _bound(at, lambda at: _bound(F.struct(
+                    F.slice(b["s"], j * CHUNK + 1, F.lit(CHUNK)).alias("s"), at.alias("at"),
+                    F.substr(b["t"], at + F.lit(1), F.greatest(reach[j] - at, F.lit(0))).alias("t")), filled))
+
+            return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.size(reach) - 1), part), ""),
+                            F.substr(b["t"], F.array_max(reach) + F.lit(1), F.length(b["t"])))
+
+        return _bound(ends, joined)
+
+    def filled(c: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            gap = F.substr(c["t"], acc["at"] - c["at"] + F.lit(1), F.greatest(s["start"] - acc["at"], F.lit(0)))
+            mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
+            return F.struct(F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, mark)).otherwise(acc["out"]).alias("out"),
+                            F.greatest(s["end"], acc["at"]).alias("at"))
+
+        return F.aggregate(c["s"], F.struct(F.lit("").alias("out"), c["at"].alias("at")), step, lambda acc: acc["out"])
+
+    return _bound(F.struct(text.alias("t"), spans.alias("s")), all_of)
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``[KIND]``; all columns, all rows.
 
     Overlapping spans of different kinds are masked together under the earlier one's
     name. A text without spans, null included, stays as it is. ``n_chars``, where it
-    exists and a text changes, becomes the new length.
+    exists and a text changes, becomes the new length. Texts are scanned once: rows are
+    written with their candidates, which then train the model and are judged in place.
     """
     names = docs.columns
-    rows = docs.select(F.col("text").cast("string").alias("text"),
-                       F.struct(*[F.col(f"`{c}`") for c in names]).alias("_in"))
-    model = learn(_candidates(scan(rows.select("text"))))
-    df = scan(rows).withColumn("_spans", F.array_sort(F.transform(
+    rest = [F.col(f"`{c}`") for c in names if c != "text"] or [F.lit(None).cast("string").alias("none")]
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct(*rest).alias("_in"))
+    scanned = save(scan(rows).select("text", "_in", "_base", "_more"), "pii-rows")
+    model = learn(_candidates(scanned))
+    df = scanned.withColumn("_spans", F.array_sort(F.transform(
         F.concat("_base", _accepted(model)), lambda s: F.struct(s["start"], s["end"], s["kind"]))))
-    text = F.col("_text")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        gap = F.substr(text, acc["at"] + F.lit(1), F.greatest(s["start"] - acc["at"], F.lit(0)))
-        mark = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.when(fresh, F.concat(acc["out"], gap, mark)).otherwise(acc["out"]).alias("out"),
-                        F.greatest(s["end"], acc["at"]).alias("at"))
-
-    masked = F.aggregate("_spans", start, step, lambda acc: F.concat(
-        acc["out"], F.substr(text, acc["at"] + F.lit(1), F.length(text))))
-    df = df.withColumn("_masked", F.when(F.size("_spans") > 0, masked).otherwise(F.col("text")))
+    changed = F.size("_spans") > 0
+    df = df.withColumn("_masked", F.when(changed, _mask(F.col("text"), F.col("_spans"))).otherwise(F.col("text")))
     out = []
     for c in names:
-        given = F.col(f"_in.`{c}`")
-        if c == "text":
-            given = F.col("_masked")
-        elif c == "n_chars":
-            given = F.when(F.size("_spans") > 0, F.length("_masked")).otherwise(given).cast(docs.schema[c].dataType)
+        given = F.col("_masked") if c == "text" else F.col(f"_in.`{c}`")
+        if c == "n_chars":
+            given = F.when(changed, F.length("_masked")).otherwise(given).cast(docs.schema[c].dataType)
         out.append(given.alias(c))
     return df.select(*out)
