@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlift.llm.bloom_urls import without_keys
+from adlift.llm.bloom_urls import possible_hits, without_keys
 from adlift.llm.common import save, shared_path, text_or_empty
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -105,9 +105,12 @@ def _groups(docs: DataFrame, digest: Callable[[Column], Column]) -> tuple[DataFr
 
     # Full bytes of the members only. A group's texts are equal if its least and greatest
     # are; the partial aggregate leaves two texts per group and task to shuffle.
+    # A filter of the members' ids clears all other rows first, so no text of theirs is shuffled,
+    # however the exact semi-join is run.
+    key = lambda i: F.coalesce(F.col(i).cast("string"), F.lit("")).alias("key")
     full = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    ids = members.select(F.col("doc_id").alias("_id")).distinct()
-    full = full.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    ids = save(members.select(key("doc_id")).distinct(), "dedup-ids")
+    full = possible_hits(full.select("*", key("doc_id")), ids).join(ids, "key", "left_semi").drop("key")
     full = full.withColumn("digest", digest(F.col("text")))
     differ = full.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").select("digest")
     collided = save(differ, "dedup-collisions")
