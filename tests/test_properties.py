@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from adlift.config import fixture_config
 from adlift.operators.enrich import enrich
-from adlift.operators.metrics import daily_sums
+from adlift.functions import exact
+from adlift.operators.metrics import MEASURES, daily_sums
 from adlift.plans import daily
 from adlift.sources import fixtures
 from conftest import SF_SMALL
@@ -33,15 +34,22 @@ def test_enrichment_keeps_rows_and_units(st):
     assert tuple(before) == tuple(after)
 
 
+def exact_totals(df):
+    """(units, sales) summed exactly, from the increments or from the parts that stand for them."""
+    if "_units_whole" not in df.columns:
+        df = df.select(*[c for m, n in MEASURES for c in exact.parts(n, m)])
+    sums = df.groupBy().agg(*[c for _, n in MEASURES for c in exact.summed(n)])
+    return tuple(sums.select(*[exact.total(n) for _, n in MEASURES]).first())
+
+
 def test_sums_before_enrichment_lose_nothing(st):
-    total = lambda df: tuple(df.agg(F.round(F.sum("incremental_units_sold"), 6), F.round(F.sum("incremental_sales"), 6)).first())
-    assert total(st.enriched()) == total(st.incremental)
+    assert exact_totals(st.enriched()) == exact_totals(st.incremental)
 
 
 def test_output_sums_match_rows(st):
     rows = st.enriched()
     out = daily_sums(rows)
-    total = rows.agg(F.sum("incremental_sales")).first()[0] or 0.0
+    total = float(exact_totals(rows)[1] or 0)
     assert float(out.agg(F.sum("sales")).first()[0] or 0) == pytest.approx(total, abs=0.01 * out.count() + 0.01)
 
 
