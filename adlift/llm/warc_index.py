@@ -4,11 +4,13 @@ Writing: one WARC/1.1 record per page, payload the html in UTF-8. Of records wit
 payloads of at least ``MIN_REVISIT`` bytes the one with the smallest page id is a
 ``response``; the others are ``revisit`` records, which name it in ``WARC-Refers-To`` and
 carry no block, as the standard's identical-payload profile has it. Records are written by
-Spark's text sink with the record terminator as line separator, ``RECORDS_PER_FILE`` a file
-at most, so each file is a plain WARC file (named ``.txt`` by that sink).
+Spark's text sink with the record terminator as line separator, so each file is a plain WARC
+file (named ``.txt`` by that sink). A file holds at most ``RECORDS_PER_FILE`` records and
+``FILE_BYTES`` bytes, unless one record alone is larger: longer records form classes of their
+own, each of whose files holds as many as fit if all are of the class's greatest length.
 
 Reading: files are parsed record by record by their Content-Length; digests and lengths
-are taken from the payload bytes read back.
+are taken from the payload bytes read back. A task holds one file at a time.
 
 Index: each archive file yields its captures sorted by (URL key, timestamp, page id), a
 local run. Runs are written to the shared folder, dealt out by key range, and each range
@@ -38,6 +40,8 @@ from adlift.llm.common import save, shared_path
 
 MIN_REVISIT = 100
 RECORDS_PER_FILE = 2000
+FILE_BYTES = 128 << 20
+HEADER_BYTES = 1000
 ROWS_PER_RANGE = 200_000
 EPOCH = "2024-01-01 00:00:00"
 END = "\r\n\r\n"
@@ -50,11 +54,26 @@ def _header(name: str, value) -> F.Column:
     return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
 
 
-def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+def size_classes(records_per_file: int, file_bytes: int) -> list[tuple[int, int]]:
+    """(records a file may hold, longest record) of each class; the last one takes any length."""
+    held = [records_per_file]
+    while held[-1] > 1:
+        held.append(max(1, held[-1] // 8))
+    return [(n, file_bytes // n) for n in held]
+
+
+def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE,
+                   file_bytes: int = FILE_BYTES) -> None:
     """One WARC record per row of ``pages`` (``page_id, url, html``) in files below ``path``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"),
                         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    classes = size_classes(records_per_file, file_bytes)
+    # The url and two digests stand in the header; a line break of the url takes three bytes there.
+    whole = F.octet_length("html") + 3 * F.octet_length("url") + HEADER_BYTES
+    rows = rows.withColumn("class", sum(((whole > most).cast("int") for _, most in classes[:-1]), F.lit(0)))
+    # At most one row per class.
+    present = {r["class"] for r in rows.select("class").distinct().collect()} | {0}
     rows = rows.withColumns({"digest": F.sha2("html", 256), "bytes": F.octet_length("html")})
     firsts = rows.where(F.col("bytes") >= MIN_REVISIT).groupBy("digest").agg(
         F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1 and first_id is not null")
@@ -79,8 +98,9 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
         _header("Content-Type", F.lit("text/html; charset=utf-8")),
         _header("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("bytes")).cast("string")),
         F.lit("\r\n"), F.when(revisit, F.lit("")).otherwise(F.col("html")))
-    rows.select(record.alias("value")).write.option("lineSep", END).option(
-        "maxRecordsPerFile", records_per_file).text(path)
+    for k in sorted(present):
+        rows.where(F.col("class") == k).select(record.alias("value")).write.option("lineSep", END).option(
+            "maxRecordsPerFile", classes[k][0]).text(f"{path}/{k}")
 
 
 def read_records(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -131,7 +151,7 @@ def capture_runs(spark, path: str) -> DataFrame:
         for b in batches:
             for file, content in zip(b["path"], b["content"]):
                 own = []
-                for offset, length, h, block in read_records(bytes(content)):
+                for offset, length, h, block in read_records(content):
                     kind = h["WARC-Type"]
                     digest = hashlib.sha256(block).hexdigest() if kind == "response" \
                         else h["WARC-Payload-Digest"].removeprefix("sha256:")
@@ -141,7 +161,7 @@ def capture_runs(spark, path: str) -> DataFrame:
                 own.sort(key=_order)
                 yield _frame(own, CAPTURE)
 
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     return files.select("path", "content").mapInPandas(run, CAPTURE)
 
 
@@ -245,7 +265,8 @@ def _typed(run, names):
     return typed
 
 
-def archive_captures(pages: DataFrame, records_per_file: int = RECORDS_PER_FILE) -> DataFrame:
+def archive_captures(pages: DataFrame, records_per_file: int = RECORDS_PER_FILE,
+                     file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes archives of ``pages``, reads them back and returns the merged index.
 
     The index is written to the shared folder in global order; a revisit's length is that
@@ -253,7 +274,7 @@ def archive_captures(pages: DataFrame, records_per_file: int = RECORDS_PER_FILE)
     """
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
-    write_archives(pages, path, records_per_file)
+    write_archives(pages, path, records_per_file, file_bytes)
     runs = save(capture_runs(spark, path), "warc-runs")
     size = runs.count()
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // ROWS_PER_RANGE + 1)

@@ -10,6 +10,7 @@ from brute import SF_SMALL, frame  # noqa: F401 (a fixture)
 from pyspark.sql import functions as F
 
 from adlift.llm import html_suffix, queries, warc_index
+from adlift.llm.common import shared_path
 
 MENU = "Home Products Prices About us Contact Help Blog Jobs Press"
 NOTICE = "We use small files on your device to make this site work better for you"
@@ -215,6 +216,27 @@ class TestWarc:
             "f", F.input_file_name()).orderBy("f").collect()]
         assert keys == sorted(keys)
 
+    def test_files_are_cut_by_bytes(self, spark, frame):
+        """Long records leave the files of short ones; no file of several records exceeds its bytes."""
+        sizes = [10] * 300 + [3_000] * 60 + [30_000] * 20 + [400_000] * 3
+        rows = [(i, f"http://h{i % 7}.org/{i}", chr(97 + i % 26) * n + str(i)) for i, n in enumerate(sizes)]
+        pages = frame("page_id long, url string, html string", rows)
+        path = shared_path(spark, "warc")
+        warc_index.write_archives(pages.coalesce(1), path, 100, 200_000)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).collect()
+        held = [(f["length"], len(list(warc_index.read_records(f["content"])))) for f in files]
+        assert sum(n for _, n in held) == len(sizes)
+        assert all(n == 1 or (length <= 200_000 and n <= 100) for length, n in held)
+        assert sum(n == 1 and length > 200_000 for length, n in held) == 3 and len(held) < 40
+        index = warc_index.resolve_revisits(warc_index.archive_captures(pages, 100, 200_000))
+        got = index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+        assert sorted((tuple(r) for r in got), key=str) == self.want(rows)
+
+    def test_size_classes(self):
+        for most, size in ((2000, 128 << 20), (1, 10), (9, 100)):
+            classes = warc_index.size_classes(most, size)
+            assert classes[0][0] == most and classes[-1][0] == 1 and all(n * b <= size for n, b in classes)
+
     def test_null_ids_and_empty_tables(self, spark, frame):
         rows = [(None, "http://a.b/", "z" * 200), (4, "http://a.b/", "z" * 200), (4, "http://a.b/", "z" * 200)]
         pages = frame("page_id long, url string, html string", rows)
