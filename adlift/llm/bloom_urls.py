@@ -31,7 +31,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlift.llm.common import lower_ascii
+from adlift.llm.common import lower_ascii, save
 
 WORDS = 8
 BITS_PER_KEY = 16
@@ -92,10 +92,16 @@ def without_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
     return probed.where(~maybe).select(*rows.columns).unionByName(hits.select(*rows.columns))
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFrame:
+def distinct_urls(pages: DataFrame) -> DataFrame:
+    """The distinct URLs of ``pages``, written once: one narrow column ``url``."""
+    return save(pages.select(F.col("url").cast("string").alias("url")).where("url is not null").distinct(), "urls")
+
+
+def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, urls: DataFrame | None = None) -> DataFrame:
     """``page_id, host, path, rule, verdict`` for every row of ``pages``.
 
     ``rules``: host, path, verdict. ``listed``: one column ``url`` of URLs to block.
+    ``urls``: the pages' :func:`distinct_urls`, where they are at hand.
     """
     rules = rules.select(F.concat(lower_ascii(F.col("host")), F.col("path")).alias("rule"),
                          F.size(F.split(F.col("host"), r"\.")).alias("labels"),
@@ -109,7 +115,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFra
                            F.lit("block").alias("rule_verdict")))
 
     host, path = split_url(F.col("url").cast("string"))
-    urls = pages.select(F.col("url").cast("string").alias("url")).where("url is not null").distinct()
+    urls = distinct_urls(pages) if urls is None else urls
     urls = urls.select("url", host.alias("host"), path.alias("path"))
     wanted = [F.expr(f"CASE WHEN length(path) >= {n} AND size(split(host, '[.]')) >= {k} "
                      f"THEN concat('r:', substring_index(host, '.', -{k}), left(path, {n})) END") for k, n in shapes]

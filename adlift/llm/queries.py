@@ -79,8 +79,8 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     host, _ = bloom_urls.split_url(F.col("url"))
-    listed = pages.where(host.rlike(LISTED_HOSTS)).select("url")
-    return bloom_urls.judge_urls(pages, rules, listed)
+    urls = bloom_urls.distinct_urls(pages)
+    return bloom_urls.judge_urls(pages, rules, urls.where(host.rlike(LISTED_HOSTS)), urls)
 
 
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
