@@ -2,10 +2,11 @@
 
 import base64
 import hashlib
+import math
 import random
 import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -217,6 +218,56 @@ class TestLanguage:
         assert sum(r["lang_pred"] == r["lang"] for r in held) >= 0.97 * len(held) > 100
         assert all(0 <= r["score"] <= 1 for r in got)
 
+    def test_equals_plain_naive_bayes(self, spark):
+        """Counts, probabilities and decisions as plain Python makes them, whole result row by row."""
+        sf = "/root/testdata/sf0.001"
+        docs = [r.asDict() for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").collect()]
+        low = (1 << 32) - 1
+        buckets = {}
+
+        def bucket(gram):
+            if gram not in buckets:
+                h = 0
+                for c in gram:
+                    h = (h ^ ord(c)) * 0x9E3779B1 & low
+                    h ^= h >> 15
+                buckets[gram] = (h * 0x85EBCA6B + len(gram) - 1 & low) >> 17
+            return buckets[gram]
+
+        def grams(text):
+            t = "".join(c if c.isalpha() else " " for c in text.lower()) + "  "
+            n = Counter()
+            for k in (1, 2, 3):
+                for gram, times in Counter(t[i:i + k] for i in range(len(t) - 2)).items():
+                    n[bucket(gram)] += times
+            return n
+
+        held = {d["doc_id"]: zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0 for d in docs}
+        found = {d["doc_id"]: grams(d["text"]) for d in docs if d["text"] is not None}
+        taught, n_texts = {}, Counter()
+        for d in docs:
+            if not held[d["doc_id"]] and d["lang"] is not None and d["text"] is not None:
+                taught.setdefault(d["lang"], Counter()).update(found[d["doc_id"]])
+                n_texts[d["lang"]] += 1
+        total = {k: sum(c.values()) + lang_nb.SMOOTHING * lang_nb.BUCKETS for k, c in taught.items()}
+        want = {}
+        for d in docs:
+            text = d["text"]
+            if text is None or not any(c.isalpha() for c in text.lower()):
+                want[d["doc_id"]] = ("und", 0.0)
+                continue
+            scores = {k: math.log(n_texts[k] / sum(n_texts.values())) + sum(
+                n * math.log((taught[k][b] + lang_nb.SMOOTHING) / total[k]) for b, n in found[d["doc_id"]].items())
+                for k in sorted(taught)}
+            best = max(scores, key=scores.get)
+            want[d["doc_id"]] = (best, 1 / sum(math.exp(s - scores[best]) for s in scores.values()))
+        got = queries.op10_language(spark, sf).collect()
+        assert len(got) == len(docs) and len(taught) > 1
+        for r in got:
+            lang, score = want[r["doc_id"]]
+            assert (r["held_out"], r["lang_pred"]) == (held[r["doc_id"]], lang)
+            assert abs(r["score"] - score) < 1e-3
+
     def test_counts_do_not_depend_on_slices(self, monkeypatch):
         texts = ["abc déf", "x" * 50, "Überall 12 Wörter", "漢"]
         def counts(size):
