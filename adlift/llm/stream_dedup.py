@@ -101,7 +101,12 @@ def _groups(docs: DataFrame, digest: Callable[[Column], Column]) -> tuple[DataFr
     landed = keyed.land(docs, digest)
     keyed.advance()
     many = save(keyed.index().where("n > 1").select("digest", "keep_id", "n"), "dedup-hits")
-    members = save(landed.join(many, "digest").select("doc_id", "digest", "keep_id", "n").distinct(), "dedup-members")
+    # Rows outside the groups do not move. Repeated rows go before the join, after which nothing needs
+    # its order, so a large group of copies is split there.
+    found = possible_hits(landed.select("doc_id", "digest", F.col("digest").alias("key")),
+                          many.select(F.col("digest").alias("key")))
+    found = found.select("doc_id", "digest").distinct()
+    members = save(found.join(many, "digest").select("doc_id", "digest", "keep_id", "n"), "dedup-members")
 
     # Full bytes of the members only. A group's texts are equal if its least and greatest
     # are; the partial aggregate leaves two texts per group and task to shuffle.
