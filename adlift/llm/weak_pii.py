@@ -3,18 +3,20 @@
 Base spans come from four exact patterns (email, ip, card, phone) and always stay. Looser
 patterns propose further candidates (written-out emails, phones without a country code,
 social security numbers, bank accounts, credentials, titled names). Three kinds of labelers
-vote on every candidate, base ones included: the pattern's own format checks, gazetteers
-(domains, dialling codes, issuers, reserved networks, key words, given names) and the words
-just before it. Expectation-maximisation over all candidates estimates how reliable each
-labeler is; its posteriors then train the final span classifier, a naive Bayes model over
-the span's shape and surroundings, which decides on the candidates that are not base spans.
+vote on every candidate, base ones included: the span's format, gazetteers (domains, dialling codes, issuers, reserved networks, countries,
+stand-in words, given names) and the words just before it. On an added kind a labeler votes
+only on what its pattern leaves open, and abstains otherwise, so that a vote that every match
+would get does not outweigh the others. Expectation-maximisation over all candidates
+estimates how reliable each labeler is; its posteriors then train the final span classifier, a
+naive Bayes model per kind over the span's shape and surroundings, which decides on the
+candidates that are not base spans. Where a kind shows no difference, its features weigh nothing.
 
 A match's place is the summed length, in code points, of the pieces and matches before it,
 from one split by the same pattern, added up over chunks and a rest. The patterns use look-behinds and possessive
 quantifiers, so each scan is linear in the text and never recurses.
 
 EM works on counts per vote pattern (at most kinds * 3^labelers rows) and the classifier
-on counts per feature value (a fixed set), both partial aggregates over all documents.
+on counts per kind and feature value (a fixed set), both partial aggregates over all documents.
 
 Null text is empty and has no spans. Spans of one kind never overlap; an added span never
 overlaps a base span or an earlier added one of another kind's list. Repeated rows are
@@ -25,6 +27,7 @@ through by :func:`redact`.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -56,12 +59,17 @@ KINDS = (*BASE, *LOOSE)
 CONTEXT = 40
 ROUNDS = 10
 ACCEPT_AT = 0.5
+DRAW = 8
 
 # Gazetteers: fixed values.
 TLDS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "it", "nl", "eu")
 DIAL_CODES = ("1", "33", "34", "39", "41", "43", "44", "49", "52", "55", "61", "81", "86", "91")
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5)|35|30|36|38)"
 RESERVED_NETS = r"^(?:0|127|255|22[4-9]|23[0-9])\."
+# Length of an account number by country.
+IBAN_LENGTHS = {"AT": 20, "BE": 16, "CH": 21, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27,
+                "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+STAND_INS = r"(?i)^(?:change[_-]?me|dummy|example|placeholder|redacted|required|sample|undefined|x{4,}|your)"
 GIVEN_NAMES = ("Anna", "Carlos", "Claire", "David", "Elena", "Emma", "Hans", "Ivan", "Jean", "John", "Julia", "Karl",
                "Laura", "Maria", "Marie", "Mary", "Michael", "Paul", "Peter", "Pierre", "Robert", "Sophie", "Thomas")
 CUES = {
@@ -98,6 +106,11 @@ def _valid(kind: str, text: Column) -> Column:
     return F.lit(True)
 
 
+def _value(text: Column) -> Column:
+    """What stands after a credential's key word."""
+    return F.regexp_extract(text, r"[=:]\s*[\"']?([^\"']*)", 1)
+
+
 def _format_vote(kind: str, text: Column) -> Column:
     """Format labeler: 1 looks right, -1 looks wrong, 0 abstains."""
     digits = _digits(text)
@@ -108,14 +121,18 @@ def _format_vote(kind: str, text: Column) -> Column:
         return one(~text.rlike(r"(?:^|\.)0[0-9]"), text.rlike(r"(?:^|\.)0[0-9]"))
     if kind == "card":
         return one(F.length(digits).isin(15, 16), digits.rlike(r"^(.)\1*$"))
-    if kind in ("phone", "phone_local"):
+    if kind == "phone":
         return one(F.length(digits).between(10, 13), digits.rlike(r"^(.)\1*$"))
+    if kind == "phone_local":
+        return F.when(digits.rlike(r"^(?:[01]|...[01]|(.)\1*$)"), -1).otherwise(0)
     if kind == "ssn":
-        return one(~text.rlike(r"^(?:000|666|9)|-00-|-0000$"), text.rlike(r"^(?:000|666|9)|-00-|-0000$"))
+        return F.when(text.rlike(r"^(?:000|666|9)|-00-|-0000$"), -1).otherwise(0)
     if kind == "secret":
-        return one(text.rlike("[0-9]"), text.rlike(r"(?i)[=:]\s*[\"']?[a-z]+[\"']?$"))
+        value = _value(text)
+        mixed = (F.length(value) >= 16) & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+        return one(mixed, value.rlike(r"^(?:[A-Z]?[a-z]+|[A-Z]+)(?:[_-](?:[A-Z]?[a-z]+|[A-Z]+))*$"))
     if kind == "iban":
-        return one(F.length(F.regexp_replace(text, " ", "")).between(15, 34), F.length(digits) < 8)
+        return F.when(F.length(digits) < 8, -1).otherwise(0)
     return F.lit(0)
 
 
@@ -130,7 +147,11 @@ def _gazetteer_vote(kind: str, text: Column) -> Column:
     if kind == "phone":
         return F.when(F.left(digits, F.lit(1)).isin(*DIAL_CODES) | F.left(digits, F.lit(2)).isin(*DIAL_CODES), 1).otherwise(0)
     if kind == "secret":
-        return F.lit(1)  # the pattern names the key word
+        return F.when(_value(text).rlike(STAND_INS), -1).otherwise(0)
+    if kind == "iban":
+        length = F.length(F.replace(text, F.lit(" ")))
+        known = [F.when(F.left(text, F.lit(2)) == c, F.when(length == n, 1).otherwise(-1)) for c, n in IBAN_LENGTHS.items()]
+        return F.coalesce(*known, F.lit(0))
     if kind == "name":
         return F.when(F.regexp_extract(text, r"^\S+ ([\p{L}\p{M}]+)", 1).isin(*GIVEN_NAMES), 1).otherwise(0)
     return F.lit(0)
@@ -144,7 +165,7 @@ def _context_vote(kind: str, before: Column) -> Column:
 
 def _edge_vote(before: Column, after: Column) -> Column:
     glued = before.rlike(r"[\p{L}0-9]$") | after.rlike(r"^[\p{L}0-9]")
-    return F.when(glued, -1).otherwise(1)
+    return F.when(glued, -1).otherwise(0)
 
 
 LABELERS = ("format", "gazetteer", "context", "edge")
@@ -274,7 +295,7 @@ class PiiModel:
 
     reliability: dict[str, float]
     prior: dict[str, float]
-    log_odds: dict[tuple[str, str], float] = field(default_factory=dict)
+    log_odds: dict[tuple[str, str, str], float] = field(default_factory=dict)
 
     def label_score(self, span) -> Column:
         """Log odds from the votes alone."""
@@ -290,12 +311,11 @@ class PiiModel:
     def span_score(self, span) -> Column:
         """Log odds of the final classifier: kind, votes and shape together."""
         score = self.label_score(span)
-        for f in FEATURES:
-            odds = F.when(F.lit(False), 0.0)
-            for (name, value), w in self.log_odds.items():
-                if name == f:
-                    odds = odds.when(span(f"f_{f}") == value, w)
-            score = score + odds.otherwise(0.0)
+        if self.log_odds:
+            table = F.create_map(*[F.lit(x) for k, w in self.log_odds.items() for x in (":".join(k), w)])
+            for f in FEATURES:
+                key = F.concat_ws(":", span("kind"), F.lit(f), span(f"f_{f}"))
+                score = score + F.coalesce(F.try_element_at(table, key), F.lit(0.0))
         return score
 
 
@@ -352,16 +372,22 @@ def learn(spans: DataFrame, rounds: int = ROUNDS) -> PiiModel:
                     "pii-patterns")
     model = PiiModel(*_em(patterns.groupBy("kind", *LABELERS).agg(F.sum("n").alias("n")), rounds))
     scored = patterns.withColumn("p", _probability(model.label_score(F.col)))
-    both = scored.select("n", "p", F.explode(F.array(*[
+    both = scored.select("n", "p", "kind", F.explode(F.array(*[
         F.struct(F.lit(f).alias("name"), F.col(f"f_{f}").alias("value")) for f in FEATURES])).alias("f"))
-    # The fixed value sets bound this table to a few dozen rows.
-    weights = both.groupBy("f.name", "f.value").agg(F.sum(F.col("n") * F.col("p")).alias("yes"),
-                                                   F.sum(F.col("n") * (1 - F.col("p"))).alias("no")).collect()
-    yes = {f: sum(w["yes"] for w in weights if w["name"] == f) for f in FEATURES}
-    no = {f: sum(w["no"] for w in weights if w["name"] == f) for f in FEATURES}
-    odds = {(w["name"], w["value"]): math.log(((w["yes"] + 1) / (yes[w["name"]] + 8))
-                                              / ((w["no"] + 1) / (no[w["name"]] + 8)))
-            for w in sorted(weights, key=lambda w: (w["name"], str(w["value"]))) if w["value"] is not None}
+    # The fixed value sets bound this table to a few dozen rows per kind.
+    weights = both.where("f.value is not null").groupBy("kind", "f.name", "f.value").agg(
+        F.sum(F.col("n") * F.col("p")).alias("yes"), F.sum(F.col("n") * (1 - F.col("p"))).alias("no")).collect()
+    yes, no = Counter(), Counter()
+    for w in weights:
+        yes[w["kind"], w["name"]] += w["yes"]
+        no[w["kind"], w["name"]] += w["no"]
+    odds = {}
+    for w in sorted(weights, key=lambda w: (w["kind"], w["name"], w["value"])):
+        y, n = yes[w["kind"], w["name"]], no[w["kind"], w["name"]]
+        # Both classes are drawn towards the value's share among all of the kind, so a class
+        # without examples tells nothing.
+        own = DRAW * (w["yes"] + w["no"]) / (y + n)
+        odds[w["kind"], w["name"], w["value"]] = math.log((w["yes"] + own) / (y + DRAW)) - math.log((w["no"] + own) / (n + DRAW))
     return PiiModel(model.reliability, model.prior, odds)
 
 

@@ -1,5 +1,6 @@
 """Quality rules, URL filter and PII against brute force, and their defined corner cases."""
 
+import random
 import re
 import time
 
@@ -159,7 +160,51 @@ PII = [None, "", "a@b.c", "x a.b+c@d-e.f.g, q", "a@b.c_d@e.f g@h", "1.2.3.4 256.
        "call (787) 555-1710 or ssn 078-05-1120, Mr. John Smith"]
 
 
+def decoyed(n, decoys, seed=5):
+    """(text, kind, span, personal): one candidate of an added kind a text, a share ``decoys`` of them not personal."""
+    rng = random.Random(seed)
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    word = lambda: rng.choice("harbour garden window letter market river signal winter copper meadow".split())
+    out = []
+    for _ in range(n):
+        ssn, local = f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}", \
+            f"{rng.randint(200, 999)}-{rng.randint(200, 999)}-{digits(4)}"
+        key = "".join(rng.choice("0123456789abcdef") + rng.choice("abcdef") for _ in range(16))
+        plain = rng.choice(("required", "validation", "your_token", "authentication", "change-me"))
+        for kind, good, bad in (
+                ("ssn", ("social security number {}", ssn), ("order {}", ssn)),
+                ("phone_local", ("please call {}", local), ("invoice {}", local)),
+                ("secret", ("{}", f"token={key}"), ("{}", f"token: {plain}")),
+                ("iban", ("account DE{}", digits(20)), ("item DE{}", digits(14)))):
+            personal = rng.random() >= decoys
+            frame, span = good if personal else bad
+            span = f"DE{span}" if kind == "iban" else span
+            text = f"{word()} {frame.replace('DE{}', '{}').format(span)} {word()}"
+            out.append((text, kind, span, personal))
+        out.append((f"{word()} mail bob{digits(3)}@corp.com call +1 (555) 010-{digits(4)}", None, "", True))
+    return out
+
+
 class TestPii:
+    @pytest.mark.parametrize("decoys", [0.1, 0.5, 0.8])
+    def test_classifier_rejects_decoys(self, spark, decoys):
+        """Order numbers, invoice numbers, plain words after a key word and account numbers of a wrong length."""
+        rows = decoyed(150, decoys)
+        docs = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "doc_id long, text string")
+        got = {r["doc_id"]: {tuple(s.split(":")[:2]) for s in r["spans"].split(",")} for r in weak_pii.find(docs).collect()}
+        for kind in ("ssn", "phone_local", "secret", "iban"):
+            hits = [(personal, (kind, str(text.index(span))) in got[i])
+                    for i, (text, k, span, personal) in enumerate(rows) if k == kind]
+            found = sum(p and h for p, h in hits)
+            assert found >= 0.98 * sum(p for p, _ in hits), kind
+            assert found >= 0.98 * sum(h for _, h in hits), kind
+
+    def test_features_without_both_classes_weigh_nothing(self, spark):
+        spans = spark.createDataFrame([("ssn", 0, 0, 1, 0, "3", "3", "space", "space")] * 20,
+                                      "kind string, format int, gazetteer int, context int, edge int, " + ", ".join(
+                                          f"f_{f} string" for f in weak_pii.FEATURES))
+        assert all(abs(w) < 0.01 for w in weak_pii.learn(spans).log_odds.values())
+
     def test_base_spans_equal_brute_force(self, spark, frame, documents):
         texts = PII + [r["text"] for r in documents.collect()]
         docs = frame("doc_id long, text string, kind string", [(i, t, "x") for i, t in enumerate(texts)])
