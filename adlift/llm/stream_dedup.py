@@ -1,7 +1,8 @@
 """Exact deduplication with keyed streaming state.
 
-1. Every row gives its digest, stable id and content locator (the file it was read
-   from and its size in bytes); these narrow rows land in the shared folder.
+1. Every row gives its digest, stable id and content locator (the Parquet file that holds
+   it and its row number there); these narrow rows land in the shared folder. Rows that are
+   no plain scan of Parquet files have no such place and are first written to that folder.
 2. A streaming aggregation keyed by digest reads them. Its state lives on disk
    (RocksDB state store, snapshots in the shared checkpoint folder), has no watermark
    and so never expires: per digest it retains the largest id, that row's locator and
@@ -9,15 +10,15 @@
    third of all rows share reaches its state as one row per task. :class:`Deduplicator`
    keeps one checkpoint, so later batches meet the digests of earlier ones.
 3. The state is read back with the ``statestore`` reader. Digests with two or more rows
-   are hits: their members' full texts are fetched and compared byte by byte. Rows whose bytes differ (a collision of the digest) are regrouped exactly by
-   digest and text. Members are found by id, not by the locator: file and size do not
-   address a row, and a table that was shuffled before names no file. The locator is
-   kept in the state for later batches only.
+   are hits: their members' full texts are fetched by locator and compared byte by byte.
+   Rows whose bytes differ (a collision of the digest) are regrouped exactly by digest and
+   text. The row that stays is the one the state's locator names.
 
 Null text counts as empty, and empty texts are equal like any others. Of equal texts the
 row with the largest id stays; null ids are smaller than any other. Rows repeated with
 one id and text are one document: each counts in ``group_size``, and in :func:`judge`
-all rows of the staying id are kept, while :func:`keep_one` returns just one of them.
+all rows of the staying id are kept, while :func:`keep_one` returns just one of them (of
+rows that tie, the last by file and row number).
 An empty table gives an empty table; other columns are passed through by
 :func:`keep_one` and ignored elsewhere.
 """
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,44 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def _is_scan(docs: DataFrame) -> bool:
+    """Do the rows come straight from Parquet files, under whatever name?"""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() == "SubqueryAlias":
+        plan = plan.child()
+    if plan.nodeName() != "LogicalRelation":
+        return False
+    try:
+        docs.select(*_locator(docs))
+    except AnalysisException:  # files of another format number no rows
+        return False
+    return True
+
+
+def addressed(docs: DataFrame) -> DataFrame:
+    """``docs`` as a scan of Parquet files, where a file and a row number address each row.
+
+    A join, a filter, rows in memory or another format are written to the shared folder once:
+    through them a place would name no row, or several.
+    """
+    return docs if _is_scan(docs) else save(docs, "dedup-rows")
+
+
+def _locator(source: DataFrame) -> list[Column]:
+    at = source.metadataColumn("_metadata")
+    return [at["file_path"].alias("file"), at["row_index"].alias("row")]
+
+
+def _place() -> Column:
+    """The locator as one key."""
+    return F.concat("file", F.lit(":"), F.col("row").cast("string")).alias("key")
+
+
+def _last() -> Column:
+    """The row that stays: largest id, null ids before all others."""
+    return F.max(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("order"), "doc_id", "file", "row"))
+
+
 class Deduplicator:
     """Keyed state over any number of batches, in one checkpoint of the shared folder."""
 
@@ -57,8 +97,9 @@ class Deduplicator:
 
     def land(self, docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
         """Append the digest, id and locator of every row; return the rows just landed."""
-        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text_or_empty()).alias("digest"),
-                           F.input_file_name().alias("file"), F.octet_length(text_or_empty()).alias("n_bytes"))
+        source = addressed(docs)
+        rows = source.select(F.col("doc_id").cast("long").alias("doc_id"), digest(text_or_empty()).alias("digest"),
+                             *_locator(source))
         landed = save(rows, "dedup-digests")
         landed.write.mode("append").parquet(f"{self.path}/landing")
         return landed
@@ -70,11 +111,9 @@ class Deduplicator:
         for k, v in STATE_SETTINGS.items():
             conf.set(k, v)
         try:
-            rows = (self.spark.readStream.schema("doc_id long, digest string, file string, n_bytes int")
+            rows = (self.spark.readStream.schema("doc_id long, digest string, file string, row long")
                     .option("maxFilesPerTrigger", self.files_per_batch).parquet(f"{self.path}/landing"))
-            state = rows.groupBy("digest").agg(
-                F.max(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("order"), "doc_id", "file", "n_bytes"))
-                .alias("stays"), F.count("*").alias("n"))
+            state = rows.groupBy("digest").agg(_last().alias("stays"), F.count("*").alias("n"))
             query = (state.writeStream.outputMode("update").format("noop")
                      .option("checkpointLocation", f"{self.path}/state").trigger(availableNow=True).start())
             query.awaitTermination()
@@ -83,60 +122,55 @@ class Deduplicator:
                 conf.unset(k) if v is None else conf.set(k, v)
 
     def index(self) -> DataFrame:
-        """``digest, keep_id, file, n_bytes, n`` as the state holds them."""
+        """``digest, keep_id, file, row, n`` as the state holds them: the row that stays, and how many there are."""
         state = self.spark.read.format("statestore").load(f"{self.path}/state")
         kept = F.col("value").getField("max")
         return state.select("key.digest", kept["doc_id"].alias("keep_id"), kept["file"].alias("file"),
-                            kept["n_bytes"].alias("n_bytes"), F.col("value").getField("count").alias("n"))
+                            kept["row"].alias("row"), F.col("value").getField("count").alias("n"))
 
 
-def _groups(docs: DataFrame, digest: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
-    """(rows ``doc_id, digest``, hits ``doc_id, digest, keep_id, n`` with verified bytes).
+def _groups(source: DataFrame, digest: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """(rows ``doc_id, digest, file, row``, members of groups ``file, row, keep_id, stays, n`` with verified bytes).
 
-    Hits have one row per distinct (doc_id, digest) whose group has two rows or more;
-    a collided digest's rows carry ``sha256(text)`` instead, so groups stay apart.
+    Members are the rows whose text another row has too; ``stays`` marks the one of each group that the
+    state's locator names.
     """
-    spark = docs.sparkSession
-    keyed = Deduplicator(spark)
-    landed = keyed.land(docs, digest)
+    keyed = Deduplicator(source.sparkSession)
+    landed = keyed.land(source, digest)
     keyed.advance()
-    many = save(keyed.index().where("n > 1").select("digest", "keep_id", "n"), "dedup-hits")
-    # Rows outside the groups do not move. Repeated rows go before the join, after which nothing needs
-    # its order, so a large group of copies is split there.
-    found = possible_hits(landed.select("doc_id", "digest", F.col("digest").alias("key")),
+    many = save(keyed.index().where("n > 1").select("digest", "keep_id", F.struct("file", "row").alias("kept"), "n"),
+                "dedup-hits")
+    stays = (F.struct("file", "row") == F.col("kept")).alias("stays")
+    member = ["file", "row", "digest", "keep_id", stays, "n"]
+    # Rows outside the groups do not move, and nothing after the join needs its order, so a large
+    # group of copies is split there.
+    found = possible_hits(landed.select("file", "row", "digest", F.col("digest").alias("key")),
                           many.select(F.col("digest").alias("key")))
-    found = found.select("doc_id", "digest").distinct()
-    members = save(found.join(many, "digest").select("doc_id", "digest", "keep_id", "n"), "dedup-members")
-
-    # Full bytes of the members only. A group's texts are equal if its least and greatest
-    # are; the partial aggregate leaves two texts per group and task to shuffle.
-    # A filter of the members' ids clears all other rows first, so no text of theirs is shuffled,
-    # however the exact semi-join is run.
-    key = lambda i: F.coalesce(F.col(i).cast("string"), F.lit("")).alias("key")
-    full = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    ids = save(members.select(key("doc_id")).distinct(), "dedup-ids")
-    full = possible_hits(full.select("*", key("doc_id")), ids).join(ids, "key", "left_semi").drop("key")
-    full = full.withColumn("digest", digest(F.col("text")))
+    members = save(found.join(many, "digest").select(*member), "dedup-members")
+
+    # Full bytes of the members only, by their places. A group's texts are equal if its least and
+    # greatest are; the partial aggregate leaves two texts per group and task to shuffle. What the
+    # filter passes beside the members has a digest of its own and so differs from nothing.
+    full = source.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *_locator(source))
+    full = possible_hits(full.select("*", _place()), members.select(_place())).withColumn("digest", digest(F.col("text")))
     differ = full.groupBy("digest").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b").select("digest")
     collided = save(differ, "dedup-collisions")
     if collided.isEmpty():
         return landed, members
     # A digest shared by different texts: group its rows by their bytes instead.
-    rows = full.join(collided, "digest").select("doc_id", "digest", "text")
-    exact = rows.groupBy("digest", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("n"))
-    regrouped = rows.join(exact, ["digest", "text"]).select("doc_id", "digest", "keep_id", "n").distinct()
-    return landed, save(members.join(collided, "digest", "left_anti").unionByName(regrouped), "dedup-members")
+    rows = full.join(collided, "digest").select("doc_id", "file", "row", "digest", "text")
+    exact = rows.groupBy("digest", "text").agg(_last().alias("last"), F.count("*").alias("n")).select(
+        "digest", "text", F.col("last.doc_id").alias("keep_id"), F.struct("last.file", "last.row").alias("kept"), "n")
+    regrouped = rows.join(exact, ["digest", "text"]).select(*member)
+    return landed, save(members.join(collided, "digest", "left_anti").select(*members.columns).unionByName(regrouped),
+                        "dedup-members")
 
 
 def judge(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, digest`` for every row of ``docs``.
-
-    With a weak ``digest`` whose collisions one id's rows share, the texts of that id
-    cannot be told apart by id; give such rows distinct ids.
-    """
-    landed, members = _groups(docs, digest)
-    hits = members.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "keep_id", "n")
-    rows = landed.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+    """``doc_id, keep_id, group_size, kept, digest`` for every row of ``docs``."""
+    plain = addressed(docs if _is_scan(docs) else docs.select("doc_id", "text"))
+    landed, members = _groups(plain, digest)
+    rows = landed.join(members.drop("digest"), ["file", "row"], "left")
     keep = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return rows.select("doc_id", keep.alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
                        F.col("doc_id").eqNullSafe(keep).alias("kept"), "digest")
@@ -144,14 +178,9 @@ def judge(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataF
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of every group of equal texts, with the columns of ``docs`` as they were."""
-    landed, members = _groups(docs, sha256)
-    key = lambda i, d: F.concat(F.coalesce(F.col(i).cast("string"), F.lit("")), F.lit(":"), F.col(d))
-    drop = save(members.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(key("doc_id", "digest").alias("key")),
-                "dedup-drop")
-    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), sha256(text_or_empty()).alias("_sha"),
-                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"))
-    rows = without_keys(rows.withColumn("key", key("_doc", "_sha")), drop)
-    repeated = landed.groupBy("doc_id", "digest").count().where("count > 1")
-    if not repeated.isEmpty():
-        rows = rows.dropDuplicates(["_doc", "_sha"])
+    source = addressed(docs)
+    _, members = _groups(source, sha256)
+    drop = members.where(~F.col("stays")).select(_place())
+    rows = source.select(*_locator(source), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"))
+    rows = without_keys(rows.select(_place(), "_in"), drop)
     return rows.select(*[F.col(f"_in.`{c}`").alias(c) for c in docs.columns])

@@ -22,6 +22,27 @@ def exact_plain(rows):
     return sorted(((i, best[t or ""], len(groups[t or ""]), i == best[t or ""]) for i, t in rows), key=str)
 
 
+def exchanges(df):
+    """(column names, rows written) of each shuffle of the executed plan."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        plan = todo.pop()
+        name = plan.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            todo.append(plan.plan())
+            continue
+        if name == "ShuffleExchangeExec":
+            columns = plan.output()
+            out.append(([columns.apply(i).name() for i in range(columns.size())],
+                        plan.metrics().apply("shuffleRecordsWritten").value()))
+        children = plan.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out
+
+
 ROWS = [(1, "a"), (2, "a"), (3, None), (4, ""), (5, "b"), (6, "B"), (7, "a "), (8, "x" * 200_000), (9, "x" * 200_000),
         (10, "x" * 199_999), (11, "é"), (12, "e\u0301"), (None, "a"), (None, "n"), (13, "c"), (13, "c"), (14, "c")]
 
@@ -56,6 +77,49 @@ class TestExact:
         assert got == {sha("a"): (3, 3), sha("b"): (2, 1), sha("c"): (4, 1)}
         assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != stream_dedup.PROVIDER
 
+    def test_locators_address_the_rows_that_stay(self, spark, frame, tmp_path):
+        frame("doc_id long, text string", [(i, f"text {i % 5}") for i in range(40)]).write.parquet(str(tmp_path / "t"))
+        docs = spark.read.parquet(str(tmp_path / "t"))
+        keyed = stream_dedup.Deduplicator(spark)
+        keyed.land(docs)
+        keyed.advance()
+        place = {(r["file"], r["row"]): (r["doc_id"], r["text"]) for r in
+                 docs.select("doc_id", "text", "_metadata.file_path", "_metadata.row_index").toDF(
+                     "doc_id", "text", "file", "row").collect()}
+        index = keyed.index().collect()
+        assert len(place) == 40 and len(index) == 5
+        for r in index:
+            i, text = place[r["file"], r["row"]]
+            assert i == r["keep_id"] and hashlib.sha256(text.encode()).hexdigest() == r["digest"] and r["n"] == 8
+
+    def test_one_id_with_several_texts_under_colliding_digests(self, spark, frame):
+        rows = [(1, "a"), (1, "b"), (1, "a"), (2, "b"), (None, "c"), (None, "c"), (None, "d")]
+        out = stream_dedup.judge(frame("doc_id long, text string", rows), lambda c: F.lit("same")).collect()
+        assert sorted(((r[0], r[1], r[2], r[3]) for r in out), key=str) == exact_plain(rows)
+
+    def test_plans_that_hide_or_repeat_places(self, spark, frame, tmp_path):
+        frame("doc_id long, text string, _metadata int", [(i, f"text {i % 5}", 7) for i in range(20)]).write.parquet(str(tmp_path / "t"))
+        docs = spark.read.parquet(str(tmp_path / "t"))
+        twice = docs.crossJoin(spark.range(2).select(F.col("id").alias("file")))
+        for rows in (docs.alias("x"), docs.where("doc_id < 100"), twice.cache()):
+            out = stream_dedup.keep_one(rows)
+            assert out.columns == rows.columns
+            assert sorted(tuple(r)[:2] for r in out.collect()) == [(i, f"text {i % 5}") for i in range(15, 20)]
+
+    def test_no_text_outside_the_groups_is_shuffled(self, spark, frame, tmp_path):
+        rows = [(i, f"alone {i} " * 20) for i in range(3000)] + [(5000 + i, f"group {i % 10}") for i in range(100)]
+        frame("doc_id long, text string", rows).write.parquet(str(tmp_path / "t"))
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            out = stream_dedup.keep_one(spark.read.parquet(str(tmp_path / "t")))
+            assert len(out.collect()) == 3010
+            moved = [n for names, n in exchanges(out) if "_in" in names or "text" in names]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        # The 90 rows that go, and what the filter passes beside them.
+        assert moved and all(90 <= n < 120 for n in moved)
+
     def test_empty_table(self, spark, frame):
         none = frame("doc_id long, text string", ROWS).limit(0)
         assert stream_dedup.judge(none).count() == 0 and stream_dedup.keep_one(none).count() == 0
