@@ -106,6 +106,11 @@ class TestExact:
             assert out.columns == rows.columns
             assert sorted(tuple(r)[:2] for r in out.collect()) == [(i, f"text {i % 5}") for i in range(15, 20)]
 
+    def test_files_of_another_format(self, spark, frame, tmp_path):
+        frame("doc_id long, text string", [(1, "a"), (2, "a"), (3, "b")]).write.json(str(tmp_path / "t"))
+        docs = spark.read.schema("doc_id long, text string").json(str(tmp_path / "t"))
+        assert sorted(map(tuple, stream_dedup.keep_one(docs).collect())) == [(2, "a"), (3, "b")]
+
     def test_no_text_outside_the_groups_is_shuffled(self, spark, frame, tmp_path):
         rows = [(i, f"alone {i} " * 20) for i in range(3000)] + [(5000 + i, f"group {i % 10}") for i in range(100)]
         frame("doc_id long, text string", rows).write.parquet(str(tmp_path / "t"))
