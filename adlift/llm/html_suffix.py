@@ -5,20 +5,24 @@ page's main container), ``frame`` inside menus, headers, footers, sidebars, noti
 adverts, forms or reader comments, ``open`` where markup does not tell. Scripts, styles,
 comments and hidden elements give no block.
 
-The token streams of a host's pages are then searched for long repeats. A suffix array of
-the concatenated streams, cut off at depth ``MIN_TOKENS``, puts suffixes with a common
-prefix of that many tokens next to each other; such an interval with suffixes of two or
-more pages of different content is a repeated substring, and the union of these windows is
-exactly what all longer repeats cover. A page's content is its article or, without one, its
-undecided stream, so copies of a page under several ids count as one page. The intervals are found as groups of equal (host, window) ranks, the
-rank being a 64-bit hash of the window, by a partial aggregate: a menu that every page of a
-hot host shares reaches its group as one row per task. Covered tokens are boilerplate and
-go; unique runs stay.
-
-Two exact checks follow. Text in a ``main`` zone stays although it repeats (quoted
-passages, licence lines, copies of an article): it is left out of the streams. Where a page
-has a ``main`` zone, or markup names a block ``frame``, unique runs outside the article go
-as well. So the repeats decide on pages, or parts of them, whose markup does not tell.
+The token streams of a host's pages, articles and frames included, are searched for long
+repeats. A suffix array of the concatenated streams, cut off at depth ``MIN_TOKENS``, puts
+suffixes with a common prefix of that many tokens next to each other; such an interval with
+suffixes of two or more pages of different content is a repeated substring, and the union of
+these windows is exactly what all longer repeats cover. A page's content is its article or,
+without one, its undecided stream, so copies of a page under several ids count as one page.
+The intervals are found as groups of equal (host, window) ranks, the rank being a 64-bit hash
+of the window, by a partial aggregate: a menu that every page of a hot host shares reaches
+its group as one row per task. Few windows of an article repeat, so a filter comes first:
+every window has a seed that equal windows share, seeds meet in packs, and only windows whose
+seed another row has are ranked and grouped. Covered tokens are boilerplate and go; unique
+runs stay.
+
+Two exact checks follow, for every page. Covered text in a page's article (``article``
+zones or, without any, ``main`` zones) is put back (quoted passages, licence lines), and so
+is text of an undecided page that repeats only what stands in articles. Where a page has an
+article, or markup names a block ``frame``, unique runs outside the article go as well. So
+the repeats are found on all pages, and have the last word where markup does not tell.
 
 Character references are decoded, white space inside a block becomes one space, blocks are
 joined by one newline. Nothing else is dropped or capped, and whole pages are read.
@@ -35,6 +39,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +51,11 @@ from pyspark.sql import functions as F
 
 from adlift.llm.bloom_urls import split_url
 from adlift.llm.common import save
+from adlift.llm.runs import groups
 
 MIN_TOKENS = 8
+# The filter before the search: tokens of a seed, and how many of a seed's 42 bits name its shelf.
+GRAM, SHELF_BITS = 4, 10
 
 TAG = re.compile(r"<!--(?:.*?-->|.*+)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>?|"
                  r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
@@ -254,21 +262,31 @@ def blocks_of(page: str) -> list[tuple[str, str, bool]]:
     return out
 
 
-def _split_blocks(blocks: list[tuple[str, str, bool]]) -> tuple[str | None, list[str], list[str]]:
-    """(text, [], frame) where markup names the article, else (None, undecided blocks, frame).
+def _split_blocks(blocks: list[tuple[str, str, bool]]) -> tuple[list[str], list[str], list[str]]:
+    """(article, undecided, frame): every block of the page, by what markup says of it.
 
-    Beside a named article, blocks that are mostly links are menus; without one the repeats decide on them.
+    Beside a named article nothing is undecided; without one the repeats decide on the open blocks.
     """
-    frame = [t for z, t, _ in blocks if z == "frame"]
-    for zones in (("article",), ("main",)):
-        found = [t for z, t, _ in blocks if z in zones]
-        if found:
-            return "\n".join(found), [], frame + [t for z, t, links in blocks if z == "open" and links]
-    return None, [t for z, t, _ in blocks if z == "open"], frame
+    for zone in ("article", "main"):
+        if any(z == zone for z, _, _ in blocks):
+            return [t for z, t, _ in blocks if z == zone], [], [t for z, t, _ in blocks if z != zone]
+    return [], [t for z, t, _ in blocks if z == "open"], [t for z, t, _ in blocks if z == "frame"]
+
+
+BYTES = np.array([xxhash.xxh64_intdigest(bytes([i])) for i in range(256)], dtype=np.uint64)
 
 
 def _token_hashes(text: str) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w) for w in text.split()], dtype=np.uint64)
+    """A 64-bit hash per token of a text whose tokens one space parts: bytes by place, summed and mixed."""
+    if not text:
+        return np.empty(0, dtype=np.uint64)
+    raw = np.frombuffer(b" " + text.encode(), dtype=np.uint8)
+    gaps = np.flatnonzero(raw == 32)
+    lengths = np.diff(np.r_[gaps, len(raw)])
+    powers = np.cumprod(np.full(lengths.max(), 0x9E3779B97F4A7C15, dtype=np.uint64))
+    h = np.add.reduceat(BYTES[raw] * powers[np.arange(len(raw)) - np.repeat(gaps, lengths)], gaps)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
 
 
 def window_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -283,47 +301,159 @@ def window_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def parse_pages(pages: DataFrame, depth: int) -> DataFrame:
-    """Per page row: a row number, ids, host, the marked article's text or the undecided
-    blocks, a hash of its content, and the ranks of its stream (undecided blocks and frame)
-    position by position."""
+def _packed(blocks: list[str]) -> bytes:
+    """Blocks for a shuffle, where a page's text is most of the bytes. No block is empty or holds a newline."""
+    return zlib.compress("\n".join(blocks).encode(), 3) if blocks else b""
+
+
+def _unpacked(packed: bytes) -> list[str]:
+    return zlib.decompress(packed).decode().split("\n") if packed else []
+
+
+def parse_pages(pages: DataFrame) -> DataFrame:
+    """Per page row: a row number, ids, host, all blocks (article, undecided, frame) and a hash of its content."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         row = TaskContext.get().partitionId() << 33
         for b in batches:
             out = []
             for page in b.pop("html"):
-                text, undecided, frame = _split_blocks(blocks_of(page) if page else [])
-                tokens = [_token_hashes(t) for t in undecided + frame]
-                ranks = window_ranks(np.concatenate(tokens) if tokens else np.empty(0, dtype=np.uint64), depth)
-                content = " ".join(undecided if text is None else text.split())
-                out.append((row, text, undecided, xxhash.xxh64_intdigest(content) - (1 << 63), ranks.tolist()))
+                article, undecided, frame = _split_blocks(blocks_of(page) if page else [])
+                content = " ".join(article or undecided)
+                out.append((row, *map(_packed, (article, undecided, frame)), xxhash.xxh64_intdigest(content) - (1 << 63)))
                 row += 1
-            new = pd.DataFrame(out, columns=["row", "article", "undecided", "content", "ranks"])
+            new = pd.DataFrame(out, columns=["row", "article", "undecided", "frame", "content"])
             yield pd.concat([b.reset_index(drop=True), new], axis=1)
 
     host, _ = split_url(F.col("url").cast("string"))
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"),
                         host.alias("host"), F.col("html").cast("string").alias("html"))
-    return rows.mapInPandas(run, "page_id string, url string, host string, row long, article string, "
-                                 "undecided array<string>, content long, ranks array<long>")
+    return rows.mapInPandas(run, "page_id string, url string, host string, row long, article binary, "
+                                 "undecided binary, frame binary, content long")
 
 
-def covered_positions(parsed: DataFrame, *differ: str) -> DataFrame:
-    """``row, covered``: sorted stream positions at which a repeated window begins.
+def page_windows(article: list[str], rest: list[str], host: str, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ranks, seeds) of all windows of a page's stream: the article, then the other blocks.
 
-    A window repeats where rows of one host differ in page_id and in the columns ``differ``.
+    No window reaches from the article into the rest. A window's seed is the smallest hash of the runs of
+    ``GRAM`` tokens in it and the host, cut to ``SHELF_BITS`` + 32 bits: equal windows have equal seeds, and
+    neighbours mostly share one.
+    """
+    starts, ranks, seeds, at = [], [], [], 0
+    salt = np.uint64(xxhash.xxh64_intdigest(host))
+    gram = min(GRAM, depth)
+    for blocks in (article, rest):
+        tokens = _token_hashes(" ".join(blocks))
+        found = window_ranks(tokens, depth)
+        if len(found):
+            grams = (window_ranks(tokens, gram).view(np.uint64) ^ salt) * np.uint64(0x9E3779B97F4A7C15)
+            least = np.lib.stride_tricks.sliding_window_view(grams, depth - gram + 1).min(axis=1)
+            # The least of several hashes is small; mixed again, its high bits spread over the shelves.
+            least = (least ^ (least >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            starts.append(np.arange(at, at + len(found)))
+            ranks.append(found)
+            seeds.append((least >> np.uint64(32 - SHELF_BITS)).view(np.int64))
+        at += len(tokens)
+    if not starts:
+        return (np.empty(0, dtype=np.int64),) * 3
+    return np.concatenate(starts), np.concatenate(ranks), np.concatenate(seeds)
+
+
+def shared_seeds(parsed: DataFrame, depth: int) -> DataFrame:
+    """``row, seeds``: the seeds of a row that other rows of its host have too.
+
+    Seeds travel in packs, one per lot of 256 rows and shelf (their high bits): four bytes a seed and one
+    for its row. A shelf meets in one task and holds one in 1,024 of all seeds.
+    """
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            each = [np.unique(page_windows(_unpacked(a), _unpacked(u) + _unpacked(f), h, depth)[2])
+                    for a, u, f, h in zip(b["article"], b["undecided"], b["frame"], b["host"])]
+            seeds = np.concatenate(each) if each else np.empty(0, dtype=np.int64)
+            rows = np.repeat(b["row"].to_numpy(dtype=np.int64), [len(x) for x in each])
+            shelf, lot = seeds >> 32, rows >> 8
+            order = np.lexsort((shelf, lot))
+            shelf, lot = shelf[order], lot[order]
+            low, member = (seeds[order] & 0xFFFFFFFF).astype("<u4"), (rows[order] & 255).astype("u1")
+            edge = np.flatnonzero((shelf[1:] != shelf[:-1]) | (lot[1:] != lot[:-1])) + 1
+            cuts = list(zip(np.r_[0, edge], np.r_[edge, len(shelf)])) if len(shelf) else []
+            yield pd.DataFrame({"shelf": [int(shelf[i]) for i, _ in cuts], "lot": [int(lot[i]) for i, _ in cuts],
+                                "low": [low[i:j].tobytes() for i, j in cuts],
+                                "member": [member[i:j].tobytes() for i, j in cuts]})
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (shelf,), packs in groups(batches, ["shelf"]):
+            low = np.frombuffer(b"".join(packs["low"]), dtype="<u4")
+            member = np.frombuffer(b"".join(packs["member"]), dtype="u1")
+            rows = (np.repeat(packs["lot"].to_numpy(), [len(x) for x in packs["member"]]) << 8) | member
+            order = np.argsort(low, kind="stable")
+            low, rows = low[order], rows[order]
+            same = low[1:] == low[:-1]
+            shared = np.r_[False, same] | np.r_[same, False]
+            yield pd.DataFrame({"row": rows[shared], "seed": (int(shelf) << 32) | low[shared].astype(np.int64)})
+
+    packs = parsed.where("host != ''").select("row", "host", "article", "undecided", "frame").mapInPandas(
+        pack, "shelf int, lot long, low binary, member binary")
+    shared = packs.repartition("shelf").sortWithinPartitions("shelf").mapInPandas(meet, "row long, seed long")
+    return shared.groupBy("row").agg(F.collect_list("seed").alias("seeds"))
+
+
+def search_windows(parsed: DataFrame, depth: int) -> DataFrame:
+    """Per row with shared seeds, the windows that may repeat: ``starts``, ``ranks``, ``inside`` (the article).
+
+    Equal windows share their seed, so no repeat is among the windows left out.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for a, u, f, h, shared in zip(b["article"], b["undecided"], b["frame"], b["host"], b["seeds"]):
+                a = _unpacked(a)
+                starts, ranks, seeds = page_windows(a, _unpacked(u) + _unpacked(f), h, depth)
+                asked = np.isin(seeds, shared)
+                inside = starts[asked] < sum(t.count(" ") + 1 for t in a)
+                out.append((starts[asked].astype(np.int32), ranks[asked], inside))
+            new = pd.DataFrame(out, columns=["starts", "ranks", "inside"])
+            yield pd.concat([b[["row", "page_id", "host", "content"]].reset_index(drop=True), new], axis=1)
+
+    seeds = save(shared_seeds(parsed, depth), "html-seeds")
+    rows = parsed.select("row", "page_id", "host", "content", "article", "undecided", "frame").join(seeds, "row")
+    return rows.mapInPandas(run, "row long, page_id string, host string, content long, "
+                                 "starts array<int>, ranks array<long>, inside array<boolean>")
+
+
+def covered_positions(searched: DataFrame, *differ: str) -> DataFrame:
+    """``row, covered, lost``: sorted stream positions at which a repeated window begins.
+
+    A window repeats where rows of one host differ in page_id and in the columns ``differ``. It is
+    ``lost`` where it stands outside an article and repeats without the articles that hold it.
+    ``ranks`` are those of the positions ``starts`` (without that column: of all, in order).
     """
-    parsed = parsed.where("host != ''")
-    at = parsed.select("host", "page_id", "row", *differ, F.explode("ranks").alias("rank"))
-    page = F.coalesce("page_id", F.col("row").cast("string"))
+    searched = searched.where("host != ''")
+    if "starts" in searched.columns:
+        at = searched.withColumn("at", F.explode(F.arrays_zip("starts", "ranks", "inside"))).select(
+            "host", "page_id", "row", *differ, F.col("at.starts").alias("pos"), F.col("at.ranks").alias("rank"),
+            F.col("at.inside").alias("inside"))
+    else:
+        at = searched.select("host", "page_id", "row", *differ, F.posexplode("ranks").alias("pos", "rank"),
+                             F.lit(False).alias("inside"))
+    # Ids as hashes, so that a row of the shuffle has a fixed, small size.
+    page = F.xxhash64(F.coalesce("page_id", F.col("row").cast("string")))
     keys = [page, *map(F.col, differ)]
-    ends = [f(k).alias(f"{name}{i}") for i, k in enumerate(keys) for f, name in ((F.min, "a"), (F.max, "b"))]
-    repeated = at.groupBy("host", "rank").agg(*ends).where(" AND ".join(f"a{i} < b{i}" for i in range(len(keys))))
-    # Only streams that decide something need their positions back.
-    asked = parsed.where(F.size("undecided") > 0).select("row", "host", F.posexplode("ranks").alias("pos", "rank"))
-    hits = asked.join(repeated.select("host", "rank"), ["host", "rank"])
-    return hits.groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("covered"))
+    window = F.xxhash64("host", "rank").alias("window")
+    ends, both = [], {"all": [], "outside": []}
+    for i, k in enumerate(keys):
+        for name, key in (("all", k), ("outside", F.when(~F.col("inside"), k))):
+            ends += [F.min(key).alias(f"{name}_a{i}"), F.max(key).alias(f"{name}_b{i}")]
+            both[name].append(f"{name}_a{i} < {name}_b{i}")
+    repeated = at.groupBy(window).agg(*ends).where(" AND ".join(both["all"])).select(
+        "window", F.coalesce(F.expr(" AND ".join(both["outside"])), F.lit(False)).alias("outside"))
+    repeated = save(repeated, "html-repeats")
+    hits = at.select("row", "pos", "inside", window).join(repeated, "window")
+    lost = F.when(F.col("outside") & ~F.col("inside"), F.col("pos"))
+    return hits.groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("covered"),
+                                   F.sort_array(F.collect_list(lost)).alias("lost"))
 
 
 def unique_runs(blocks: list[str], covered: list[int], depth: int) -> str:
@@ -332,9 +462,10 @@ def unique_runs(blocks: list[str], covered: list[int], depth: int) -> str:
     A window may reach a few tokens into the block beside a repeated one; a covered run
     shorter than ``depth`` goes only where it is the whole block.
     """
-    lost = set()
-    for p in covered:
-        lost.update(range(p, p + depth))
+    end = sum(t.count(" ") + 1 for t in blocks)
+    lost = {i for p in covered if p < end for i in range(p, p + depth)}
+    if not lost:
+        return "\n".join(blocks)
     out, at = [], 0
     for text in blocks:
         words = text.split(" ")
@@ -357,24 +488,20 @@ def unique_runs(blocks: list[str], covered: list[int], depth: int) -> str:
 
 def extract_main_text(pages: DataFrame, depth: int = MIN_TOKENS) -> DataFrame:
     """``page_id, url, text, n_chars, n_covered`` for every row; ``n_covered``: covered windows."""
-    parsed = save(parse_pages(pages, depth), "html-blocks")
-    covered = covered_positions(parsed, "content")
-    # Pages whose markup decides need no runs removed, so only the others meet their repeats.
-    decided = parsed.where(F.size("undecided") == 0).select(
-        "page_id", "url", F.coalesce("article", F.lit("")).alias("text"))
-    decided = decided.select("*", F.length("text").cast("long").alias("n_chars"), F.lit(0).cast("long").alias("n_covered"))
-    rows = parsed.where(F.size("undecided") > 0).select("row", "page_id", "url", "undecided").join(covered, "row", "left")
+    parsed = save(parse_pages(pages), "html-blocks")
+    searched = save(search_windows(parsed, depth), "html-windows")
+    covered = save(covered_positions(searched, "content"), "html-covered")
+    covered = covered.select("row", F.size("covered").cast("long").alias("n_covered"), "lost")
+    rows = parsed.select("row", "page_id", "url", "article", "undecided").join(covered, "row", "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts, n = [], []
-            for blocks, hits in zip(b["undecided"], b["covered"]):
-                hits = [] if hits is None else list(hits)
-                texts.append(unique_runs(list(blocks), hits, depth))
-                n.append(len(hits))
-            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts,
-                                "n_chars": [len(t) for t in texts], "n_covered": n})
-
-    searched = rows.mapInPandas(run, "page_id string, url string, text string, n_chars long, n_covered long")
-    out = decided.unionByName(searched)
+            # Unique runs stay. The check by markup has put back what repeats in an article
+            # (such windows are not lost), and takes the frame, unique runs or not.
+            texts = [unique_runs(_unpacked(a) + _unpacked(u), [] if hits is None else list(hits), depth)
+                     for a, u, hits in zip(b["article"], b["undecided"], b["lost"])]
+            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts],
+                                "n_covered": b["n_covered"].fillna(0).astype("int64")})
+
+    out = rows.mapInPandas(run, "page_id string, url string, text string, n_chars long, n_covered long")
     return out.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))

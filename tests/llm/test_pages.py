@@ -177,6 +177,42 @@ class TestMainText:
             want[k] = t
         assert self.rows(spark, pages) == want
 
+    def test_marked_pages_go_through_the_repeats(self, spark):
+        """The search covers articles and frames of marked pages; the check by markup comes after it."""
+        menu = f"<nav>{MENU}</nav>"
+        quoted = "<p>A passage that stands word for word in several articles of this one site.</p>"
+        pages = [(1, "http://h.org/1", f"{menu}<article>{quoted}<p>First.</p></article>"),
+                 (2, "http://h.org/2", f"{menu}<article><p>Second.</p>{quoted}</article>"),
+                 (3, "http://h.org/3", f"<article><p>Third story.</p></article><div>{NOTICE}</div>"),
+                 (4, "http://h.org/4", f"{quoted}<p>Fourth.</p><div>{NOTICE}</div>"),
+                 (5, "http://other.org/", f"{menu}<article>{quoted}</article>"),
+                 (6, None, f"{menu}<article>{quoted}</article>")]
+        out = html_suffix.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3))
+        got = {r["page_id"]: r for r in out.collect()}
+        said = quoted[3:-4]
+        in_menu, in_passage, in_notice = (len(t.split()) - html_suffix.MIN_TOKENS + 1 for t in (MENU, said, NOTICE))
+        assert {k: r["n_covered"] for k, r in got.items()} == {
+            1: in_menu + in_passage, 2: in_menu + in_passage, 3: in_notice, 4: in_passage + in_notice, 5: 0, 6: 0}
+        # What repeats in an article stays, also on the page without one; what repeats outside it goes.
+        assert {k: r["text"] for k, r in got.items()} == {
+            1: f"{said}\nFirst.", 2: f"Second.\n{said}", 3: "Third story.", 4: f"{said}\nFourth.", 5: said, 6: said}
+
+    def test_searched_windows_hold_every_repeat(self, spark):
+        """The filter by seeds loses no repeated window: articles against plain counting, over two hosts and several lots."""
+        rng = random.Random(5)
+        texts = {p: [rng.choice("abcd") for _ in range(rng.randint(0, 40))] for p in range(700)}
+        pages = [(p, f"http://h{p % 2}.org/{p}", f"<article>{' '.join(t)}</article>") for p, t in texts.items()]
+        out = html_suffix.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2))
+        got = {r["page_id"]: r["n_covered"] for r in out.collect()}
+        seen = {}
+        windows = {p: [(p % 2, *t[i:i + html_suffix.MIN_TOKENS]) for i in range(len(t) - html_suffix.MIN_TOKENS + 1)]
+                   for p, t in texts.items()}
+        for p, found in windows.items():
+            for w in found:
+                seen.setdefault(w, set()).add(tuple(texts[p]))
+        assert got == {p: sum(len(seen[w]) > 1 for w in found) for p, found in windows.items()}
+        assert 0 < sum(got.values()) < sum(map(len, windows.values()))
+
     def test_near_copies_of_an_unmarked_page(self, spark):
         """The repeats decide: shared windows go, what tells the copies apart stays with its surroundings under 8 tokens."""
         def page(k):
