@@ -56,6 +56,8 @@ from adlift.llm.runs import groups
 MIN_TOKENS = 8
 # The filter before the search: tokens of a seed, and how many of a seed's 42 bits name its shelf.
 GRAM, SHELF_BITS = 4, 10
+# Text hashed at once; bounds a task's memory.
+CHUNK_CHARS = 4 << 20
 
 TAG = re.compile(r"<!--(?:.*?-->|.*+)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>?|"
                  r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
@@ -332,46 +334,84 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                                  "undecided binary, frame binary, content long")
 
 
-def page_windows(article: list[str], rest: list[str], host: str, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ranks, seeds) of all windows of a page's stream: the article, then the other blocks.
+def _chunks(pages: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[tuple[str, str]]]]:
+    """(pages, their article and other text) for up to 256 pages or a few million characters, or one longer page."""
+    texts, size, start = [], 0, 0
+    for i, (a, u, f) in enumerate(zip(pages["article"], pages["undecided"], pages["frame"])):
+        texts.append((" ".join(_unpacked(a)), " ".join(_unpacked(u) + _unpacked(f))))
+        size += len(texts[-1][0]) + len(texts[-1][1])
+        if len(texts) == 256 or size > CHUNK_CHARS or i == len(pages) - 1:
+            yield pages.iloc[start:i + 1], texts
+            texts, size, start = [], 0, i + 1
 
-    No window reaches from the article into the rest. A window's seed is the smallest hash of the runs of
+
+def page_windows(pages: pd.DataFrame, depth: int) -> Iterator[tuple]:
+    """(pages, member, starts, ranks, inside, pairs) for chunks of up to 256 pages: all windows of their streams.
+
+    A stream is the article, then the other blocks; no window reaches from the article (``inside``) into the
+    rest. ``member`` is the page's place in the chunk. A window's seed is the smallest hash of the runs of
     ``GRAM`` tokens in it and the host, cut to ``SHELF_BITS`` + 32 bits: equal windows have equal seeds, and
-    neighbours mostly share one.
+    neighbours mostly share one. ``pairs`` are seed * 256 + member.
     """
-    starts, ranks, seeds, at = [], [], [], 0
-    salt = np.uint64(xxhash.xxh64_intdigest(host))
     gram = min(GRAM, depth)
-    for blocks in (article, rest):
-        tokens = _token_hashes(" ".join(blocks))
-        found = window_ranks(tokens, depth)
-        if len(found):
-            grams = (window_ranks(tokens, gram).view(np.uint64) ^ salt) * np.uint64(0x9E3779B97F4A7C15)
-            least = np.lib.stride_tricks.sliding_window_view(grams, depth - gram + 1).min(axis=1)
-            # The least of several hashes is small; mixed again, its high bits spread over the shelves.
-            least = (least ^ (least >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            starts.append(np.arange(at, at + len(found)))
-            ranks.append(found)
-            seeds.append((least >> np.uint64(32 - SHELF_BITS)).view(np.int64))
-        at += len(tokens)
-    if not starts:
-        return (np.empty(0, dtype=np.int64),) * 3
-    return np.concatenate(starts), np.concatenate(ranks), np.concatenate(seeds)
+    for chunk, streams in _chunks(pages):
+        texts, counts, owner, offset, main, salts = [], [], [], [], [], []
+        for i, (stream, host) in enumerate(zip(streams, chunk["host"])):
+            at, salt = 0, xxhash.xxh64_intdigest(host)
+            for in_article, text in zip((True, False), stream):
+                if text:
+                    texts.append(text)
+                    counts.append(text.count(" ") + 1)
+                    owner.append(i)
+                    offset.append(at)
+                    main.append(in_article)
+                    salts.append(salt)
+                    at += counts[-1]
+        tokens = _token_hashes(" ".join(texts))
+        counts = np.array(counts, dtype=np.int64)
+        ends = np.cumsum(counts)
+        whole = np.maximum(counts - depth + 1, 0)
+        # The windows that lie within one text: where each begins among all tokens.
+        first = np.repeat(ends - counts, whole)
+        within = np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)
+        place = first + within
+        ranks = window_ranks(tokens, depth)[place]
+        salt = np.repeat(np.array(salts, dtype=np.uint64), counts)
+        grams = (window_ranks(tokens, gram).view(np.uint64) ^ salt[:max(len(tokens) - gram + 1, 0)]) * np.uint64(0x9E3779B97F4A7C15)
+        least = np.full(len(place), np.iinfo(np.uint64).max, dtype=np.uint64)
+        for j in range(depth - gram + 1):
+            np.minimum(least, grams[place + j], out=least)
+        # The least of several hashes is small; mixed again, its high bits spread over the shelves.
+        least = (least ^ (least >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        seeds = (least >> np.uint64(32 - SHELF_BITS)).view(np.int64)
+        member = np.repeat(np.array(owner, dtype=np.int64), whole)
+        starts = np.repeat(np.array(offset, dtype=np.int64), whole) + within
+        inside = np.repeat(np.array(main, dtype=bool), whole)
+        yield chunk, member, starts, ranks, inside, (seeds << 8) | member
+
+
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first of each run of equal values, lengths of the runs)."""
+    edge = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, dtype=np.int64)
+    return values[edge], np.diff(np.r_[edge, len(values)])
 
 
 def shared_seeds(parsed: DataFrame, depth: int) -> DataFrame:
     """``row, seeds``: the seeds of a row that other rows of its host have too.
 
     Seeds travel in packs, one per lot of 256 rows and shelf (their high bits): four bytes a seed and one
-    for its row. A shelf meets in one task and holds one in 1,024 of all seeds.
+    for its row. A shelf meets in one task and holds one in 1,024 of all seeds; a seed that every page of
+    a hot host has adds five bytes a page to its shelf.
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            each = [np.unique(page_windows(_unpacked(a), _unpacked(u) + _unpacked(f), h, depth)[2])
-                    for a, u, f, h in zip(b["article"], b["undecided"], b["frame"], b["host"])]
-            seeds = np.concatenate(each) if each else np.empty(0, dtype=np.int64)
-            rows = np.repeat(b["row"].to_numpy(dtype=np.int64), [len(x) for x in each])
+            pairs, rows = [], []
+            for chunk, *_, found in page_windows(b, depth):
+                pairs.append(np.unique(_runs(found)[0]))
+                rows.append(chunk["row"].to_numpy(dtype=np.int64)[pairs[-1] & 255])
+            seeds = np.concatenate(pairs) >> 8 if pairs else np.empty(0, dtype=np.int64)
+            rows = np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)
             shelf, lot = seeds >> 32, rows >> 8
             order = np.lexsort((shelf, lot))
             shelf, lot = shelf[order], lot[order]
@@ -407,15 +447,15 @@ def search_windows(parsed: DataFrame, depth: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for a, u, f, h, shared in zip(b["article"], b["undecided"], b["frame"], b["host"], b["seeds"]):
-                a = _unpacked(a)
-                starts, ranks, seeds = page_windows(a, _unpacked(u) + _unpacked(f), h, depth)
-                asked = np.isin(seeds, shared)
-                inside = starts[asked] < sum(t.count(" ") + 1 for t in a)
-                out.append((starts[asked].astype(np.int32), ranks[asked], inside))
-            new = pd.DataFrame(out, columns=["starts", "ranks", "inside"])
-            yield pd.concat([b[["row", "page_id", "host", "content"]].reset_index(drop=True), new], axis=1)
+            for chunk, member, starts, ranks, inside, pairs in page_windows(b, depth):
+                sizes = [len(x) for x in chunk["seeds"]]
+                shared = (np.concatenate(list(chunk["seeds"])) << 8) | np.repeat(np.arange(len(chunk)), sizes)
+                firsts, lengths = _runs(pairs)
+                asked = np.repeat(np.isin(firsts, shared), lengths)
+                cuts = np.cumsum(np.bincount(member[asked], minlength=len(chunk)))[:-1]
+                new = pd.DataFrame({"starts": np.split(starts[asked].astype(np.int32), cuts),
+                                    "ranks": np.split(ranks[asked], cuts), "inside": np.split(inside[asked], cuts)})
+                yield pd.concat([chunk[["row", "page_id", "host", "content"]].reset_index(drop=True), new], axis=1)
 
     seeds = save(shared_seeds(parsed, depth), "html-seeds")
     rows = parsed.select("row", "page_id", "host", "content", "article", "undecided", "frame").join(seeds, "row")
