@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,33 @@ def save(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def save_bucketed(df: DataFrame, label: str, column: str) -> DataFrame:
+    """:func:`save` in buckets of ``column``, as many as a shuffle has partitions: joining or
+    grouping by it then moves none of these rows. Only the files stay; the table's name, by
+    which Spark knows of the buckets, is dropped again."""
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    name = path.rpartition("/")[2].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("compression", "zstd").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    saved = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return saved
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """What is written inside gives its shuffle files back as soon as it is written, not when the
+    driver next collects its garbage. Only for frames that run once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -12,11 +12,13 @@ suffixes of two or more pages of different content is a repeated substring, and
 these windows is exactly what all longer repeats cover. A page's content is its article or,
 without one, its undecided stream, so copies of a page under several ids count as one page.
 The intervals are found as groups of equal (host, window) ranks, the rank being a 64-bit hash
-of the window, by a partial aggregate: a menu that every page of a hot host shares reaches
-its group as one row per task. Few windows of an article repeat, so a filter comes first:
+of the window: a lot of some hundred pages sends each of its distinct windows once, with the
+bounds of the pages and contents it stands for, so a menu that every page of a hot host shares
+reaches its group as one entry per lot. Few windows of an article repeat, so a filter comes first:
 every window has a seed that equal windows share, seeds meet in packs, and only windows whose
 seed another row has are ranked and grouped. Covered tokens are boilerplate and go; unique
-runs stay.
+runs stay. The texts are written once, in buckets of lots, and never shuffled: seeds, windows and
+flags travel as compressed packs and meet the texts lot by lot.
 
 Two exact checks follow, for every page. Covered text in a page's article (``article``
 zones or, without any, ``main`` zones) is put back (quoted passages, licence lines), and so
@@ -40,7 +42,7 @@ from __future__ import annotations
 import html as htmllib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -50,14 +52,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlift.llm.bloom_urls import split_url
-from adlift.llm.common import save
+from adlift.llm.common import save, save_bucketed, shuffles_released
 from adlift.llm.runs import groups
 
 MIN_TOKENS = 8
 # The filter before the search: tokens of a seed, and how many of a seed's 42 bits name its shelf.
 GRAM, SHELF_BITS = 4, 10
-# Text hashed at once; bounds a task's memory.
-CHUNK_CHARS = 4 << 20
+# A lot: pages that are searched at once; its characters bound a task's memory.
+ROW_BITS = 10
+LOT_ROWS, LOT_CHARS = 1 << ROW_BITS, 2 << 20
 
 TAG = re.compile(r"<!--(?:.*?-->|.*+)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*+>?|"
                  r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|"
@@ -303,197 +306,305 @@ def window_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _packed(blocks: list[str]) -> bytes:
-    """Blocks for a shuffle, where a page's text is most of the bytes. No block is empty or holds a newline."""
-    return zlib.compress("\n".join(blocks).encode(), 3) if blocks else b""
+def _joined(blocks: list[str]) -> str:
+    """Blocks as one string. No block is empty or holds a newline."""
+    return "\n".join(blocks)
 
 
-def _unpacked(packed: bytes) -> list[str]:
-    return zlib.decompress(packed).decode().split("\n") if packed else []
+def _blocks(joined: str) -> list[str]:
+    return joined.split("\n") if joined else []
 
 
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """Per page row: a row number, ids, host, all blocks (article, undecided, frame) and a hash of its content."""
+    """Per page row: ids, host, lot and row number, all blocks (article, undecided, frame) and a hash of its content.
+
+    A lot is up to ``LOT_ROWS`` rows of one task, fewer where their text is long; its number is ``row >> ROW_BITS``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        row = TaskContext.get().partitionId() << 33
+        lot = TaskContext.get().partitionId() << 32
+        ids, out, size = [], [], 0
+
+        def frame() -> pd.DataFrame:
+            return pd.DataFrame([(*i, lot, (lot << ROW_BITS) + k, *x) for k, (i, x) in enumerate(zip(ids, out))], columns=names)
+
+        names = ["page_id", "url", "host", "lot", "row", "article", "undecided", "frame", "content"]
         for b in batches:
-            out = []
-            for page in b.pop("html"):
-                article, undecided, frame = _split_blocks(blocks_of(page) if page else [])
-                content = " ".join(article or undecided)
-                out.append((row, *map(_packed, (article, undecided, frame)), xxhash.xxh64_intdigest(content) - (1 << 63)))
-                row += 1
-            new = pd.DataFrame(out, columns=["row", "article", "undecided", "frame", "content"])
-            yield pd.concat([b.reset_index(drop=True), new], axis=1)
+            for *own, page in zip(b["page_id"], b["url"], b["host"], b["html"]):
+                article, undecided, rest = _split_blocks(blocks_of(page) if page else [])
+                content = xxhash.xxh64_intdigest(" ".join(article or undecided)) - (1 << 63)
+                ids.append(own)
+                out.append((*map(_joined, (article, undecided, rest)), content))
+                size += sum(map(len, out[-1][:3]))
+                if len(out) == LOT_ROWS or size > LOT_CHARS:
+                    yield frame()
+                    ids, out, size, lot = [], [], 0, lot + 1
+        if out:
+            yield frame()
 
     host, _ = split_url(F.col("url").cast("string"))
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"),
                         host.alias("host"), F.col("html").cast("string").alias("html"))
-    return rows.mapInPandas(run, "page_id string, url string, host string, row long, article binary, "
-                                 "undecided binary, frame binary, content long")
-
+    return rows.mapInPandas(run, "page_id string, url string, host string, lot long, row long, article string, "
+                                 "undecided string, frame string, content long")
 
-def _chunks(pages: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[tuple[str, str]]]]:
-    """(pages, their article and other text) for up to 256 pages or a few million characters, or one longer page."""
-    texts, size, start = [], 0, 0
-    for i, (a, u, f) in enumerate(zip(pages["article"], pages["undecided"], pages["frame"])):
-        texts.append((" ".join(_unpacked(a)), " ".join(_unpacked(u) + _unpacked(f))))
-        size += len(texts[-1][0]) + len(texts[-1][1])
-        if len(texts) == 256 or size > CHUNK_CHARS or i == len(pages) - 1:
-            yield pages.iloc[start:i + 1], texts
-            texts, size, start = [], 0, i + 1
 
-
-def page_windows(pages: pd.DataFrame, depth: int) -> Iterator[tuple]:
-    """(pages, member, starts, ranks, inside, pairs) for chunks of up to 256 pages: all windows of their streams.
+def page_windows(pages: pd.DataFrame, depth: int) -> tuple[np.ndarray, ...]:
+    """(member, starts, ranks, inside, seeds): all windows of the pages' streams.
 
     A stream is the article, then the other blocks; no window reaches from the article (``inside``) into the
-    rest. ``member`` is the page's place in the chunk. A window's seed is the smallest hash of the runs of
+    rest. ``member`` is the page's place in the frame. A window's seed is the smallest hash of the runs of
     ``GRAM`` tokens in it and the host, cut to ``SHELF_BITS`` + 32 bits: equal windows have equal seeds, and
-    neighbours mostly share one. ``pairs`` are seed * 256 + member.
+    neighbours mostly share one.
     """
     gram = min(GRAM, depth)
-    for chunk, streams in _chunks(pages):
-        texts, counts, owner, offset, main, salts = [], [], [], [], [], []
-        for i, (stream, host) in enumerate(zip(streams, chunk["host"])):
-            at, salt = 0, xxhash.xxh64_intdigest(host)
-            for in_article, text in zip((True, False), stream):
-                if text:
-                    texts.append(text)
-                    counts.append(text.count(" ") + 1)
-                    owner.append(i)
-                    offset.append(at)
-                    main.append(in_article)
-                    salts.append(salt)
-                    at += counts[-1]
-        tokens = _token_hashes(" ".join(texts))
-        counts = np.array(counts, dtype=np.int64)
-        ends = np.cumsum(counts)
-        whole = np.maximum(counts - depth + 1, 0)
-        # The windows that lie within one text: where each begins among all tokens.
-        first = np.repeat(ends - counts, whole)
-        within = np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)
-        place = first + within
-        ranks = window_ranks(tokens, depth)[place]
-        salt = np.repeat(np.array(salts, dtype=np.uint64), counts)
-        grams = (window_ranks(tokens, gram).view(np.uint64) ^ salt[:max(len(tokens) - gram + 1, 0)]) * np.uint64(0x9E3779B97F4A7C15)
-        least = np.full(len(place), np.iinfo(np.uint64).max, dtype=np.uint64)
-        for j in range(depth - gram + 1):
-            np.minimum(least, grams[place + j], out=least)
-        # The least of several hashes is small; mixed again, its high bits spread over the shelves.
-        least = (least ^ (least >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        seeds = (least >> np.uint64(32 - SHELF_BITS)).view(np.int64)
-        member = np.repeat(np.array(owner, dtype=np.int64), whole)
-        starts = np.repeat(np.array(offset, dtype=np.int64), whole) + within
-        inside = np.repeat(np.array(main, dtype=bool), whole)
-        yield chunk, member, starts, ranks, inside, (seeds << 8) | member
-
-
-def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first of each run of equal values, lengths of the runs)."""
-    edge = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.empty(0, dtype=np.int64)
-    return values[edge], np.diff(np.r_[edge, len(values)])
+    texts, counts, owner, offset, main, salts = [], [], [], [], [], []
+    for i, (host, a, u, f) in enumerate(zip(pages["host"], pages["article"], pages["undecided"], pages["frame"])):
+        at, salt = 0, xxhash.xxh64_intdigest(host)
+        for in_article, text in ((True, a), (False, "\n".join(x for x in (u, f) if x))):
+            if text:
+                texts.append(text.replace("\n", " "))
+                counts.append(texts[-1].count(" ") + 1)
+                owner.append(i)
+                offset.append(at)
+                main.append(in_article)
+                salts.append(salt)
+                at += counts[-1]
+    tokens = _token_hashes(" ".join(texts))
+    counts = np.array(counts, dtype=np.int64)
+    ends = np.cumsum(counts)
+    whole = np.maximum(counts - depth + 1, 0)
+    # The windows that lie within one text: where each begins among all tokens.
+    first = np.repeat(ends - counts, whole)
+    within = np.arange(whole.sum()) - np.repeat(np.cumsum(whole) - whole, whole)
+    place = first + within
+    ranks = window_ranks(tokens, depth)[place]
+    salt = np.repeat(np.array(salts, dtype=np.uint64), counts)
+    grams = (window_ranks(tokens, gram).view(np.uint64) ^ salt[:max(len(tokens) - gram + 1, 0)]) * np.uint64(0x9E3779B97F4A7C15)
+    least = np.full(len(place), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for j in range(depth - gram + 1):
+        np.minimum(least, grams[place + j], out=least)
+    # The least of several hashes is small; mixed again, its high bits spread over the shelves.
+    least = (least ^ (least >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    seeds = (least >> np.uint64(32 - SHELF_BITS)).view(np.int64)
+    member = np.repeat(np.array(owner, dtype=np.int64), whole)
+    starts = np.repeat(np.array(offset, dtype=np.int64), whole) + within
+    inside = np.repeat(np.array(main, dtype=bool), whole)
+    return member, starts, ranks, inside, seeds
+
+
+def _edges(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins, and the end."""
+    n = len(sorted_keys[0])
+    changed = np.zeros(max(n - 1, 0), dtype=bool)
+    for k in sorted_keys:
+        changed |= k[1:] != k[:-1]
+    return np.r_[0, np.flatnonzero(changed) + 1, n] if n else np.zeros(1, dtype=np.int64)
+
+
+def _squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers for a shuffle: byte by byte, so that the high bytes of small numbers take next to nothing."""
+    return zlib.compress(b"".join(np.ascontiguousarray(c).view("u1").reshape(len(c), c.itemsize).T.tobytes() for c in columns), 1)
+
+
+def _objects(values: list) -> pd.Series:
+    """A column of arrays or bytes, also where there are none."""
+    return pd.Series(values, dtype=object)
+
+
+def _loosened(packs: Iterable[bytes], *types: str) -> tuple[list[np.ndarray], np.ndarray]:
+    """(columns of all packs, rows of each pack)."""
+    kinds = [np.dtype(t) for t in types]
+    columns, sizes = [[np.empty(0, dtype=k)] for k in kinds], []
+    for pack in packs:
+        raw, at = np.frombuffer(zlib.decompress(pack), dtype="u1"), 0
+        sizes.append(len(raw) // sum(k.itemsize for k in kinds))
+        for column, k in zip(columns, kinds):
+            end = at + sizes[-1] * k.itemsize
+            column.append(np.ascontiguousarray(raw[at:end].reshape(k.itemsize, -1).T).view(k).ravel())
+            at = end
+    return [np.concatenate(c) for c in columns], np.array(sizes, dtype=np.int64)
 
 
 def shared_seeds(parsed: DataFrame, depth: int) -> DataFrame:
-    """``row, seeds``: the seeds of a row that other rows of its host have too.
+    """``lot, shelf, low``: the seeds of a lot that rows of other lots have too.
 
-    Seeds travel in packs, one per lot of 256 rows and shelf (their high bits): four bytes a seed and one
-    for its row. A shelf meets in one task and holds one in 1,024 of all seeds; a seed that every page of
-    a hot host has adds five bytes a page to its shelf.
+    Seeds travel in packs, one per lot and shelf (their high bits): the sorted low bits of the lot's distinct
+    seeds, as differences. A shelf meets in one task and holds one in 1,024 of all seeds; a seed that every
+    page of a hot host has adds one number per lot to its shelf.
     """
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            pairs, rows = [], []
-            for chunk, *_, found in page_windows(b, depth):
-                pairs.append(np.unique(_runs(found)[0]))
-                rows.append(chunk["row"].to_numpy(dtype=np.int64)[pairs[-1] & 255])
-            seeds = np.concatenate(pairs) >> 8 if pairs else np.empty(0, dtype=np.int64)
-            rows = np.concatenate(rows) if rows else np.empty(0, dtype=np.int64)
-            shelf, lot = seeds >> 32, rows >> 8
-            order = np.lexsort((shelf, lot))
-            shelf, lot = shelf[order], lot[order]
-            low, member = (seeds[order] & 0xFFFFFFFF).astype("<u4"), (rows[order] & 255).astype("u1")
-            edge = np.flatnonzero((shelf[1:] != shelf[:-1]) | (lot[1:] != lot[:-1])) + 1
-            cuts = list(zip(np.r_[0, edge], np.r_[edge, len(shelf)])) if len(shelf) else []
-            yield pd.DataFrame({"shelf": [int(shelf[i]) for i, _ in cuts], "lot": [int(lot[i]) for i, _ in cuts],
-                                "low": [low[i:j].tobytes() for i, j in cuts],
-                                "member": [member[i:j].tobytes() for i, j in cuts]})
+            for lot, rows in b.groupby("lot", sort=False):
+                seeds = np.unique(page_windows(rows, depth)[-1])
+                shelf, low = seeds >> 32, (seeds & 0xFFFFFFFF).astype("<u4")
+                cuts = _edges(shelf)
+                yield pd.DataFrame({"lot": lot, "shelf": shelf[cuts[:-1]].astype("int32"),
+                                    "low": _objects([_squeezed(np.diff(low[i:j], prepend=low.dtype.type(0)))
+                                                    for i, j in zip(cuts, cuts[1:])])})
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for (shelf,), packs in groups(batches, ["shelf"]):
-            low = np.frombuffer(b"".join(packs["low"]), dtype="<u4")
-            member = np.frombuffer(b"".join(packs["member"]), dtype="u1")
-            rows = (np.repeat(packs["lot"].to_numpy(), [len(x) for x in packs["member"]]) << 8) | member
+            (steps,), sizes = _loosened(packs["low"], "<u4")
+            ends = np.cumsum(sizes)
+            # Sums within a pack: the sum over all packs wraps around, and so does what it is lessened by.
+            total = np.cumsum(steps, dtype=np.uint32)
+            before = np.r_[np.uint32(0), total[ends[:-1] - 1]].astype(np.uint32)
+            low, pack_of = total - np.repeat(before, sizes), np.repeat(np.arange(len(packs)), sizes)
             order = np.argsort(low, kind="stable")
-            low, rows = low[order], rows[order]
-            same = low[1:] == low[:-1]
-            shared = np.r_[False, same] | np.r_[same, False]
-            yield pd.DataFrame({"row": rows[shared], "seed": (int(shelf) << 32) | low[shared].astype(np.int64)})
+            same = low[order[1:]] == low[order[:-1]]
+            shared = np.zeros(len(low), dtype=bool)
+            shared[order] = np.r_[False, same] | np.r_[same, False]
+            found = np.split(low[shared], np.cumsum(np.bincount(pack_of[shared], minlength=len(packs)))[:-1])
+            out = pd.DataFrame({"lot": packs["lot"], "shelf": shelf, "low": [_squeezed(x) for x in found]})
+            yield out[[len(x) > 0 for x in found]]
+
+    schema = "lot long, shelf int, low binary"
+    packs = parsed.where("host != ''").select("lot", "host", "article", "undecided", "frame").mapInPandas(pack, schema)
+    return packs.repartition("shelf").sortWithinPartitions("shelf").mapInPandas(meet, schema)
+
 
-    packs = parsed.where("host != ''").select("row", "host", "article", "undecided", "frame").mapInPandas(
-        pack, "shelf int, lot long, low binary, member binary")
-    shared = packs.repartition("shelf").sortWithinPartitions("shelf").mapInPandas(meet, "row long, seed long")
-    return shared.groupBy("row").agg(F.collect_list("seed").alias("seeds"))
+def twins(parsed: DataFrame) -> DataFrame:
+    """``lot, row, kind, first``: rows that share their page id (kind 0) or a host's content (kind 1) with an earlier row.
+
+    ``first`` is the earliest such row. It stands for the id or content, as a row's own number does for all others.
+    """
+    rows = parsed.where("host != ''").select("lot", "row", F.xxhash64(F.coalesce("page_id", F.col("row").cast("string"))).alias("page"),
+                                             F.xxhash64("host", "content").alias("said"))
+    found = []
+    for kind, key in enumerate(("page", "said")):
+        first = rows.groupBy(key).agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first < last")
+        found.append(rows.join(first.select(key, "first"), key).where("first < row").select("lot", "row", F.lit(kind).alias("kind"), "first"))
+    return found[0].unionAll(found[1])
 
 
 def search_windows(parsed: DataFrame, depth: int) -> DataFrame:
-    """Per row with shared seeds, the windows that may repeat: ``starts``, ``ranks``, ``inside`` (the article).
+    """Per row, the windows that may repeat: ``starts``, ``ranks``, ``inside`` (the article); ``page`` and
+    ``content`` stand for the row's page id and content (:func:`twins`).
 
     Equal windows share their seed, so no repeat is among the windows left out.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for chunk, member, starts, ranks, inside, pairs in page_windows(b, depth):
-                sizes = [len(x) for x in chunk["seeds"]]
-                shared = (np.concatenate(list(chunk["seeds"])) << 8) | np.repeat(np.arange(len(chunk)), sizes)
-                firsts, lengths = _runs(pairs)
-                asked = np.repeat(np.isin(firsts, shared), lengths)
-                cuts = np.cumsum(np.bincount(member[asked], minlength=len(chunk)))[:-1]
-                new = pd.DataFrame({"starts": np.split(starts[asked].astype(np.int32), cuts),
-                                    "ranks": np.split(ranks[asked], cuts), "inside": np.split(inside[asked], cuts)})
-                yield pd.concat([chunk[["row", "page_id", "host", "content"]].reset_index(drop=True), new], axis=1)
-
-    seeds = save(shared_seeds(parsed, depth), "html-seeds")
-    rows = parsed.select("row", "page_id", "host", "content", "article", "undecided", "frame").join(seeds, "row")
-    return rows.mapInPandas(run, "row long, page_id string, host string, content long, "
-                                 "starts array<int>, ranks array<long>, inside array<boolean>")
+    found = save(shared_seeds(parsed, depth).select("lot", "shelf", "low", F.lit(0).cast("long").alias("row"),
+                                                    F.lit(0).cast("long").alias("first")).unionAll(
+        twins(parsed).select("lot", -1 - F.col("kind"), F.lit(b""), "row", "first")), "html-seeds")
+
+    def run(pages: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        rows = pages["row"].to_numpy(dtype=np.int64)
+        member, starts, ranks, inside, seeds = page_windows(pages, depth)
+        packs = found[found["shelf"] >= 0]
+        (low,), sizes = _loosened(packs["low"], "<u4")
+        elsewhere = (np.repeat(packs["shelf"].to_numpy(dtype=np.int64), sizes) << 32) | low.astype(np.int64)
+        pairs = np.unique((seeds << ROW_BITS) | member) >> ROW_BITS
+        asked = np.isin(seeds, np.r_[elsewhere, pairs[1:][pairs[1:] == pairs[:-1]]])
+        cuts = np.cumsum(np.bincount(member[asked], minlength=len(rows)))[:-1]
+        out = pd.DataFrame({"lot": pages["lot"].iloc[0], "row": rows, "host": pages["host"].to_numpy(), "page": rows, "content": rows,
+                            "starts": np.split(starts[asked].astype(np.int32), cuts),
+                            "ranks": np.split(ranks[asked], cuts), "inside": np.split(inside[asked], cuts)})
+        place = {r: i for i, r in enumerate(rows)}
+        for shelf, row, first in zip(found["shelf"], found["row"], found["first"]):
+            if shelf < 0:
+                out.iat[place[row], 3 if shelf == -1 else 4] = first
+        return out[[len(x) > 0 for x in out["starts"]]]
+
+    pages = parsed.where("host != ''").select("lot", "row", "host", "article", "undecided", "frame")
+    return pages.groupBy("lot").cogroup(found.groupBy("lot")).applyInPandas(
+        run, "lot long, row long, host string, page long, content long, starts array<int>, ranks array<long>, inside array<boolean>")
+
+
+def _lot_windows(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """(place of the row, start, inside, hash of host and window) for all windows of a lot's rows."""
+    sizes = rows["ranks"].map(len).to_numpy(dtype=np.int64)
+    joined = lambda arrays, kind: np.concatenate([np.empty(0, dtype=kind), *arrays]).astype(kind)
+    starts = joined(rows["starts"] if "starts" in rows else [np.arange(n) for n in sizes], np.int32)
+    inside = joined(rows["inside"], bool) if "inside" in rows else np.zeros(len(starts), dtype=bool)
+    salt = np.array([xxhash.xxh64_intdigest(h) for h in rows["host"]], dtype=np.uint64)
+    window = (joined(rows["ranks"], np.int64).view(np.uint64) ^ np.repeat(salt, sizes)) * np.uint64(0x9E3779B97F4A7C15)
+    window = (window ^ (window >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.repeat(np.arange(len(rows)), sizes), starts, inside, window
 
 
 def covered_positions(searched: DataFrame, *differ: str) -> DataFrame:
     """``row, covered, lost``: sorted stream positions at which a repeated window begins.
 
-    A window repeats where rows of one host differ in page_id and in the columns ``differ``. It is
-    ``lost`` where it stands outside an article and repeats without the articles that hold it.
-    ``ranks`` are those of the positions ``starts`` (without that column: of all, in order).
+    A window repeats where rows of one host differ in page id (its number ``page``, where there is that column)
+    and in the columns ``differ``. It is ``lost`` where it stands outside an article and repeats without the
+    articles that hold it. ``ranks`` are those of the positions ``starts`` (without that column: of all, in order).
+
+    A lot's distinct windows travel in packs, one per shelf (high bits of the window's hash), each window with the
+    bounds of what its rows differ in. A shelf meets in one task and holds one in 1,024 of them; a window that every
+    page of a hot host has adds one entry per lot. Two flags per window come back to the lot, in the same order.
     """
-    searched = searched.where("host != ''")
-    if "starts" in searched.columns:
-        at = searched.withColumn("at", F.explode(F.arrays_zip("starts", "ranks", "inside"))).select(
-            "host", "page_id", "row", *differ, F.col("at.starts").alias("pos"), F.col("at.ranks").alias("rank"),
-            F.col("at.inside").alias("inside"))
-    else:
-        at = searched.select("host", "page_id", "row", *differ, F.posexplode("ranks").alias("pos", "rank"),
-                             F.lit(False).alias("inside"))
-    # Ids as hashes, so that a row of the shuffle has a fixed, small size.
-    page = F.xxhash64(F.coalesce("page_id", F.col("row").cast("string")))
-    keys = [page, *map(F.col, differ)]
-    window = F.xxhash64("host", "rank").alias("window")
-    ends, both = [], {"all": [], "outside": []}
-    for i, k in enumerate(keys):
-        for name, key in (("all", k), ("outside", F.when(~F.col("inside"), k))):
-            ends += [F.min(key).alias(f"{name}_a{i}"), F.max(key).alias(f"{name}_b{i}")]
-            both[name].append(f"{name}_a{i} < {name}_b{i}")
-    repeated = at.groupBy(window).agg(*ends).where(" AND ".join(both["all"])).select(
-        "window", F.coalesce(F.expr(" AND ".join(both["outside"])), F.lit(False)).alias("outside"))
-    repeated = save(repeated, "html-repeats")
-    hits = at.select("row", "pos", "inside", window).join(repeated, "window")
-    lost = F.when(F.col("outside") & ~F.col("inside"), F.col("pos"))
-    return hits.groupBy("row").agg(F.sort_array(F.collect_list("pos")).alias("covered"),
-                                   F.sort_array(F.collect_list(lost)).alias("lost"))
+    names = ["page", *differ]
+    types = ["<u8", "<u2", "?", *["<i8"] * 4 * len(names)]
+    least, most = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+    page = F.col("page") if "page" in searched.columns else F.xxhash64(F.coalesce("page_id", F.col("row").cast("string")))
+    lot = F.col("lot") if "lot" in searched.columns else F.shiftright("row", ROW_BITS)
+    held = [c for c in ("row", "host", "ranks", "starts", "inside") if c in searched.columns]
+    searched = searched.where("host != ''").select(lot.alias("lot"), *held, page.alias("page"), *differ)
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        place, _, inside, window = _lot_windows(rows)
+        order = np.argsort(window, kind="stable")
+        edge = _edges(window[order])
+        first, member, out = edge[:-1], place[order], ~inside[order]
+        window = window[order][first]
+        own = rows["row"].to_numpy(dtype=np.int64)[member]
+        columns = [(np.minimum.reduceat(own, first) & (LOT_ROWS - 1)).astype("<u2"), np.logical_or.reduceat(out, first)] if len(first) else []
+        for k in names if len(first) else ():
+            k = rows[k].to_numpy(dtype=np.int64)[member]
+            low, high = np.minimum.reduceat(k, first), np.maximum.reduceat(k, first)
+            out_low = np.minimum.reduceat(np.where(out, k, least), first)
+            out_high = np.maximum.reduceat(np.where(out, k, most), first)
+            # As differences, which are mostly zero (and may wrap around).
+            columns += [low - np.minimum.reduceat(own, first), high - low,
+                        np.where(columns[1], out_low - low, 0), np.where(columns[1], high - out_high, 0)]
+        shelf = window >> np.uint64(64 - SHELF_BITS)
+        cuts = _edges(shelf)
+        return pd.DataFrame({"lot": rows["lot"].iloc[0], "shelf": shelf[cuts[:-1]].astype("int32"),
+                             "data": _objects([_squeezed(np.diff(window[i:j], prepend=np.uint64(0)), *(c[i:j] for c in columns))
+                                               for i, j in zip(cuts, cuts[1:])])})
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for (shelf,), packs in groups(batches, ["shelf"]):
+            (steps, member, some_out, *bounds), sizes = _loosened(packs["data"], *types)
+            ends = np.cumsum(sizes)
+            total = np.cumsum(steps, dtype=np.uint64)
+            window = total - np.repeat(np.r_[np.uint64(0), total[ends[:-1] - 1]], sizes)
+            own = np.repeat(packs["lot"].to_numpy(dtype=np.int64) << ROW_BITS, sizes) | member
+            order = np.argsort(window, kind="stable")
+            edge = _edges(window[order])
+            first, runs = edge[:-1], np.diff(edge)
+            repeats, outside = np.ones(len(runs), dtype=bool), np.ones(len(runs), dtype=bool)
+            for i in range(0, len(bounds), 4):
+                low = own + bounds[i]
+                high = low + bounds[i + 1]
+                repeats &= np.minimum.reduceat(low[order], first) < np.maximum.reduceat(high[order], first)
+                low, high = np.where(some_out, low + bounds[i + 2], least), np.where(some_out, high - bounds[i + 3], most)
+                outside &= np.minimum.reduceat(low[order], first) < np.maximum.reduceat(high[order], first)
+            flags = np.empty(len(window), dtype="u1")
+            flags[order] = np.repeat(repeats + 2 * (repeats & outside), runs)
+            yield pd.DataFrame({"lot": packs["lot"], "shelf": shelf,
+                                "data": [_squeezed(x) for x in np.split(flags, ends[:-1])]})
+
+    def mark(rows: pd.DataFrame, flags: pd.DataFrame) -> pd.DataFrame:
+        place, starts, inside, window = _lot_windows(rows)
+        (flag,), _ = _loosened(flags.sort_values("shelf")["data"], "u1")
+        flag = flag[np.unique(window, return_inverse=True)[1]]
+        lost = (flag > 1) & ~inside
+        order = np.lexsort((starts, place))
+        order = order[flag[order] > 0]
+        place, starts, lost = place[order], starts[order], lost[order]
+        cuts = _edges(place)
+        return pd.DataFrame({"row": rows["row"].to_numpy(dtype=np.int64)[place[cuts[:-1]]],
+                             "covered": _objects([starts[i:j] for i, j in zip(cuts, cuts[1:])]),
+                             "lost": _objects([starts[i:j][lost[i:j]] for i, j in zip(cuts, cuts[1:])])})
+
+    schema = "lot long, shelf int, data binary"
+    packs = searched.groupBy("lot").applyInPandas(pack, schema)
+    flags = packs.repartition("shelf").sortWithinPartitions("shelf").mapInPandas(meet, schema)
+    return searched.drop("page", *differ).groupBy("lot").cogroup(flags.groupBy("lot")).applyInPandas(
+        mark, "row long, covered array<int>, lost array<int>")
 
 
 def unique_runs(blocks: list[str], covered: list[int], depth: int) -> str:
@@ -528,20 +639,23 @@ def unique_runs(blocks: list[str], covered: list[int], depth: int) -> str:
 
 def extract_main_text(pages: DataFrame, depth: int = MIN_TOKENS) -> DataFrame:
     """``page_id, url, text, n_chars, n_covered`` for every row; ``n_covered``: covered windows."""
-    parsed = save(parse_pages(pages), "html-blocks")
-    searched = save(search_windows(parsed, depth), "html-windows")
-    covered = save(covered_positions(searched, "content"), "html-covered")
-    covered = covered.select("row", F.size("covered").cast("long").alias("n_covered"), "lost")
-    rows = parsed.select("row", "page_id", "url", "article", "undecided").join(covered, "row", "left")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            # Unique runs stay. The check by markup has put back what repeats in an article
-            # (such windows are not lost), and takes the frame, unique runs or not.
-            texts = [unique_runs(_unpacked(a) + _unpacked(u), [] if hits is None else list(hits), depth)
-                     for a, u, hits in zip(b["article"], b["undecided"], b["lost"])]
-            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts],
-                                "n_covered": b["n_covered"].fillna(0).astype("int64")})
-
-    out = rows.mapInPandas(run, "page_id string, url string, text string, n_chars long, n_covered long")
+    with shuffles_released(pages.sparkSession):
+        parsed = save_bucketed(parse_pages(pages), "html-blocks", "lot")
+        searched = save_bucketed(search_windows(parsed, depth), "html-windows", "lot")
+        covered = save(covered_positions(searched, "content"), "html-covered")
+    covered = covered.select(F.shiftright("row", ROW_BITS).alias("lot"), "row", F.size("covered").cast("long").alias("n_covered"), "lost")
+
+    def run(pages: pd.DataFrame, covered: pd.DataFrame) -> pd.DataFrame:
+        # Unique runs stay. The check by markup has put back what repeats in an article
+        # (such windows are not lost), and takes the frame, unique runs or not.
+        found = {row: (n, lost) for row, n, lost in zip(covered["row"], covered["n_covered"], covered["lost"])}
+        hits = [found.get(row, (0, ())) for row in pages["row"]]
+        texts = [unique_runs(_blocks(a) + _blocks(u), list(lost), depth)
+                 for a, u, (_, lost) in zip(pages["article"], pages["undecided"], hits)]
+        return pd.DataFrame({"page_id": pages["page_id"], "url": pages["url"], "text": texts, "n_chars": [len(t) for t in texts],
+                             "n_covered": [n for n, _ in hits]})
+
+    rows = parsed.select("lot", "row", "page_id", "url", "article", "undecided")
+    out = rows.groupBy("lot").cogroup(covered.groupBy("lot")).applyInPandas(
+        run, "page_id string, url string, text string, n_chars long, n_covered long")
     return out.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))

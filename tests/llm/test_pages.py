@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import brute
 import numpy as np
@@ -213,6 +214,51 @@ class TestMainText:
         assert got == {p: sum(len(seen[w]) > 1 for w in found) for p, found in windows.items()}
         assert 0 < sum(got.values()) < sum(map(len, windows.values()))
 
+    def test_lots_agree_with_plain_counting(self, spark):
+        """Ids and contents that repeat within and across lots: a window needs two of each on its host."""
+        rng = random.Random(8)
+        texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 30))) for _ in range(400)]
+        rows = [(rng.choice([None, *range(900)]), f"http://h{rng.randrange(2)}.org/{k}", rng.choice(texts), rng.choice(texts))
+                for k in range(2600)]
+        pages = [(i, url, f"<nav>{nav}</nav><article>{text}</article>") for i, url, text, nav in rows]
+        out = html_suffix.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2))
+        got = {r["url"]: r["n_covered"] for r in out.collect()}
+        seen = {}
+        depth = html_suffix.MIN_TOKENS
+        windows = [[(url[:9], *t[j:j + depth]) for t in (text.split(), nav.split()) for j in range(len(t) - depth + 1)]
+                   for _, url, text, nav in rows]
+        for (i, url, text, _), found in zip(rows, windows):
+            for w in found:
+                ids, said = seen.setdefault(w, (set(), set()))
+                ids.add(url if i is None else i)
+                said.add(text)
+        assert got == {r[1]: sum(min(map(len, seen[w])) > 1 for w in found) for r, found in zip(rows, windows)}
+
+    def test_texts_are_written_once_and_not_shuffled(self, spark):
+        """The blocks lie in buckets of lots; only positions are shuffled, and no frame that Spark runs shuffles a text."""
+        rng = random.Random(2)
+        pages = [(k, f"http://h{k % 3}.org/{k}", f"<nav>{MENU}</nav><article>{' '.join(rng.choice(MENU.split()) + str(rng.random()) for _ in range(50))}"
+                  "</article>") for k in range(60)]
+        before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        ran = spark._jsparkSession.sharedState().statusStore()
+        first = ran.executionsCount()
+        try:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            out = html_suffix.extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
+            assert out.count() == 60
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        ends = ran.executionsCount()
+        plans = [ran.executionsList(i, 1).apply(0).physicalPlanDescription() for i in range(first, ends)]
+        moved = [x for plan in plans for x in re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", plan)]
+        assert moved and not [x for x in moved if re.search("article|undecided|html", x)]
+
+    def test_columns_for_a_shuffle_come_back(self):
+        packs = [(np.arange(n, dtype="<u8") << np.uint64(40), np.arange(n, dtype="<u2"), np.arange(n) % 2 == 0, -np.arange(n, dtype="<i8"))
+                 for n in (0, 1, 700)]
+        columns, sizes = html_suffix._loosened([html_suffix._squeezed(*x) for x in packs], "<u8", "<u2", "?", "<i8")
+        assert list(sizes) == [0, 1, 700] and all((c == np.concatenate(x)).all() for c, x in zip(columns, zip(*packs)))
+
     def test_near_copies_of_an_unmarked_page(self, spark):
         """The repeats decide: shared windows go, what tells the copies apart stays with its surroundings under 8 tokens."""
         def page(k):
